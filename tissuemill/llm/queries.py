@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import recompression, simhash, suffix_dedup
+from tissuemill.llm import langid, order_minhash, recompression, simhash, suffix_dedup
 from tissuemill.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -22,10 +26,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_language_id": op3_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_document_fingerprints": op9_document_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
