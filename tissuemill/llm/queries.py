@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import langid, order_minhash, recompression, simhash, suffix_dedup
+from tissuemill.llm import langid, order_minhash, recompression, simhash, suffix_dedup, warc
 from tissuemill.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, sf_dir)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.dedup(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_document_fingerprints": op9_document_fingerprints,
 }
