@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import langid, order_minhash, recompression, simhash, suffix_dedup, warc
+from tissuemill.llm import decontaminate, langid, order_minhash, recompression, simhash, suffix_dedup, warc
 from tissuemill.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_language_id": op3_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op7_warc": op7_warc,
