@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import decontaminate, langid, order_minhash, recompression, simhash, suffix_dedup, warc
+from tissuemill.llm import decontaminate, langid, licenses, mixing, order_minhash, recompression, simhash, suffix_dedup, tokens, warc
 from tissuemill.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:
+    return tokens.section_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, sf_dir)
 
@@ -38,14 +46,24 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_language_id": op3_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_mixing_sources": op5_mixing_sources,
+    "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_document_fingerprints": op9_document_fingerprints,
+    "op10_license_scans": op10_license_scans,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixing_sources": mixing.ORACLE,
+    "op10_license_scans": licenses.oracle(),
+}
