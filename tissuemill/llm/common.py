@@ -49,10 +49,10 @@ def unique_keys(docs: DataFrame) -> DataFrame:
         F.coalesce(F.count_if(F.col("doc_id").isNull()), F.lit(0)).alias("nulls"),
         F.coalesce(F.min("doc_id"), F.lit(0)).alias("low"),
     ).first()
-    if ids["most"] <= 1 and not ids["nulls"]:
-        return docs.withColumn("_key", F.col("doc_id").cast("long"))
+    if ids["most"] <= 1 and not ids["nulls"]:  # coalesce tells Spark that there are no nulls: no filter, equal exchanges
+        return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(ids["low"] - 1)))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(ids["low"] - 1)) * F.lit(ids["most"]) + nth - 1)
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(ids["low"] - 1)) * F.lit(ids["most"]) + F.coalesce(nth, F.lit(1)) - 1)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

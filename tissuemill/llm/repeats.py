@@ -153,15 +153,15 @@ def covered_spans(keyed: DataFrame, length: int, find: Callable, cut: Callable,
     """
     recs = records(keyed, find, by_position)
     often = recs.groupBy("h").agg(F.sum(F.when(F.col("dups").isNull(), 1).otherwise(2)).alias("c")).where("c > 1").select("h")
-    met = materialise(recs.join(often, "h"))
     me = F.struct("doc", "pos") if by_position else F.struct("doc")
-    ranked = met.withColumn("first", F.min(me).over(Window.partitionBy("h", "ctx")))
-    firsts = ranked.where(me == F.col("first")).select("h", "ctx", "doc", "pos", "n")
+    later = (me > F.min(me).over(Window.partitionBy("h", "ctx"))).alias("later")
+    ranked = materialise(recs.join(often, "h").select("*", later))
+    firsts = ranked.where("not later").select("h", "ctx", "doc", "pos", "n")
     many = firsts.groupBy("h").agg(F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
     wanted = materialise(firsts.join(many, "h").select("h", "doc", "pos", "n", (F.col("c") > hot).alias("hot")))
     span = lambda df: df.select("doc", F.col("pos").alias("b"), (F.col("pos") + F.col("n") + length - 1).alias("e"))
     fetched = _fetch(wanted, keyed, cut)
-    out = span(ranked.where(me > F.col("first"))).union(span(met.where("dups is not null").select(F.explode("dups").alias("d"), "n").select("d.doc", "d.pos", "n")))
+    out = span(ranked.where("later")).union(span(ranked.where("dups is not null").select(F.explode("dups").alias("d"), "n").select("d.doc", "d.pos", "n")))
     out = out.union(_judged(fetched.where("not hot"), judge, length))
     if not wanted.where("hot").isEmpty():
         out = out.union(_by_name(fetched.where("hot"), names, length, by_position))

@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 from tissuemill.llm.common import SLICE_BYTES, text_buffer, unique_keys
 from tissuemill.llm.repeats import HOT, covered_spans, merged, with_spans
 
-GRAM = 16
+GRAM = 24
 PLACES = np.uint64((1 << 20) - 1)
 
 
 def _mixed(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the 16 bytes from each place on (zeros beyond the end)."""
-    padded = np.concatenate((data, np.zeros(16, np.uint8)))
+    """A 64-bit hash of the 24 bytes from each place on (zeros beyond the end)."""
+    padded = np.concatenate((data, np.zeros(GRAM, np.uint8)))
     h = np.ndarray((len(data),), "<u8", padded, 0, (1,)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h += np.ndarray((len(data),), "<u8", padded, 8, (1,))
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
+    h += np.ndarray((len(data),), "<u8", padded, 16, (1,))
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(29)
     return h
