@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ RESERVED = [
 ]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once a row even if body has it inside a lambda.
+
+    A plain column isn't enough: the optimizer may put its expression into the lambda, to be evaluated for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def make_names(name: Column) -> Column:
     """A valid column name: other characters than letters, digits, ``.`` and ``_`` become ``.``; X goes before a bad start."""
     clean = F.regexp_replace(name, r"[^\p{L}\p{N}._]", ".")

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.scalar import let
 from tissuemill.functions.storage import materialise
 from tissuemill.operators.report import density
 
@@ -27,9 +28,8 @@ def to_features(cells: DataFrame, markers: Sequence[str]) -> DataFrame:
 
 def clr_normalise(features: DataFrame) -> DataFrame:
     """log1p(x / exp(sum of log1p over the cell's positive values / number of markers)); row by row."""
-    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.when(x > 0, F.log1p(x)).otherwise(0.0))
-    middle = F.exp(total / F.size("v"))
-    return features.withColumn("_m", middle).withColumn("v", F.transform("v", lambda x: F.log1p(x / F.col("_m")))).drop("_m")
+    divided = lambda total: F.transform("v", lambda x: F.log1p(x / F.exp(total / F.size("v"))))
+    return features.withColumn("v", F.aggregate("v", F.lit(0.0), lambda a, x: a + F.when(x > 0, F.log1p(x)).otherwise(0.0), divided))
 
 
 def _moments(features: DataFrame) -> DataFrame:
@@ -90,7 +90,8 @@ def project(features: DataFrame, axes: DataFrame) -> DataFrame:
     """Scores of cells on axes, which may come from a sketch of them."""
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     centred = F.zip_with("v", "mean", lambda x, m: x - m)
-    return features.join(axes, "sample_id").withColumn("_c", centred).select(*CELL, F.transform("axes", lambda a: dot(a, F.col("_c"))).alias("pc"))
+    scores = let(centred, lambda c: F.transform("axes", lambda a: dot(a, c)))
+    return features.join(axes, "sample_id").select(*CELL, scores.alias("pc"))
 
 
 def pca(features: DataFrame, k: int = 6) -> DataFrame:
@@ -112,8 +113,8 @@ def leverage_scores(features: DataFrame) -> DataFrame:
 
     inverse = gram(features).groupBy("sample_id").applyInPandas(run, "sample_id string, inverse array<array<double>>")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    out = features.join(inverse, "sample_id").withColumn("_u", F.transform("inverse", lambda r: dot(r, F.col("v"))))
-    return out.select(*CELL, dot(F.col("v"), F.col("_u")).alias("leverage"))
+    out = features.join(inverse, "sample_id")
+    return out.select(*CELL, dot(F.col("v"), F.transform("inverse", lambda r: dot(r, F.col("v")))).alias("leverage"))
 
 
 def leverage_sample(features: DataFrame, n: int = 50_000, seed: int = 0) -> DataFrame:
@@ -276,17 +277,17 @@ def fuzzy_graph(neighbours: DataFrame, k: int = 20) -> DataFrame:
     near = neighbours.where("neighbour_id <> cell_id").groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("dist", "neighbour_id"))).alias("a"))
     dist = F.transform("a", lambda x: x["dist"])
     near = near.withColumn("d", dist).withColumn("rho", F.coalesce(F.array_min(F.filter("d", lambda x: x > 0)), F.lit(0.0)))
-    near = near.withColumn("over", F.transform("d", lambda x: F.greatest(x - F.col("rho"), F.lit(0.0))))
-    weight = lambda sigma: F.aggregate("over", F.lit(0.0), lambda s, x: s + F.exp(-x / sigma))
+    near = near.withColumn("over", let(F.col("rho"), lambda rho: F.transform("d", lambda x: F.greatest(x - rho, F.lit(0.0)))))
+    weight = lambda over, sigma: F.aggregate(over, F.lit(0.0), lambda s, x: s + F.exp(-x / sigma))
     start = F.struct(F.lit(0.0).alias("low"), F.lit(float("inf")).alias("high"), F.lit(1.0).alias("mid"))
 
-    def halve(s: Column, _: Column) -> Column:
-        much = weight(s["mid"]) > goal
+    def halve(over: Column, s: Column) -> Column:
+        much = weight(over, s["mid"]) > goal
         low, high = F.when(much, s["low"]).otherwise(s["mid"]), F.when(much, s["mid"]).otherwise(s["high"])
         return F.struct(low.alias("low"), high.alias("high"), F.when(high == float("inf"), low * 2).otherwise((low + high) / 2).alias("mid"))
 
-    sigma = F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, halve, lambda s: F.greatest(s["mid"], F.lit(1e-12)))
-    rows = near.withColumn("sigma", sigma).select("sample_id", F.col("cell_id").alias("i"), F.inline(F.transform("a", lambda x: F.struct(x["neighbour_id"].alias("j"), F.exp(-F.greatest(x["dist"] - F.col("rho"), F.lit(0.0)) / F.col("sigma")).alias("w")))))
+    sigma = let(F.col("over"), lambda o: F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, lambda s, _: halve(o, s), lambda s: F.greatest(s["mid"], F.lit(1e-12))))
+    rows = near.withColumn("sigma", sigma).select("sample_id", F.col("cell_id").alias("i"), F.inline(let(F.struct("a", "rho", "sigma"), lambda t: F.transform(t["a"], lambda x: F.struct(x["neighbour_id"].alias("j"), F.exp(-F.greatest(x["dist"] - t["rho"], F.lit(0.0)) / t["sigma"]).alias("w"))))))
     pair = rows.select("sample_id", F.least("i", "j").alias("src"), F.greatest("i", "j").alias("dst"), "w")
     each = pair.groupBy("sample_id", "src", "dst").agg(F.sum("w").alias("sum"), F.when(F.count("*") > 1, F.product("w")).otherwise(0.0).alias("both"))
     return each.select("sample_id", "src", "dst", (F.col("sum") - F.col("both")).alias("weight"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tissuemill.functions.scalar import clip, finite_or_zero
+from tissuemill.functions.scalar import clip, finite_or_zero, let
 
 TILE = 512
 PLACE = ["sample_id", "channel", "y", "x"]
@@ -24,11 +24,18 @@ def to_tiles(pixels: DataFrame, size: int = TILE, value: str = "value", by: Sequ
     """Blocks of ``size`` x ``size`` pixels (smaller at the far edges), row by row, missing pixels 0; one shuffle by block."""
     ty, tx = F.floor(F.col("y") / size).cast("int"), F.floor(F.col("x") / size).cast("int")
     blocks = pixels.withColumns({"ty": ty, "tx": tx}).groupBy(*by, "ty", "tx").agg(
-        F.collect_list(F.struct((F.col("y") % size).alias("r"), (F.col("x") % size).alias("c"), F.col(value).alias("v"))).alias("p"),
+        F.sort_array(F.collect_list(F.struct((F.col("y") % size).alias("r"), (F.col("x") % size).alias("c"), F.col(value).alias("v")))).alias("p"),
         (F.max(F.col("y") % size) + 1).cast("int").alias("h"), (F.max(F.col("x") % size) + 1).cast("int").alias("w"),
     )
-    known = F.map_from_entries(F.transform("p", lambda p: F.struct((p["r"] * F.col("w") + p["c"]).cast("int").alias("key"), p["v"].alias("value"))))
-    values = F.transform(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1), lambda i: F.coalesce(F.try_element_at(known, i), F.lit(0)))
+    none = F.lit(0).cast(dict(pixels.dtypes)[value])
+
+    def filled(s: Column) -> Column:
+        at = lambda e: (e["r"] * s["w"] + e["c"]).cast("int")
+        gap = lambda e, i: at(e) - F.coalesce(at(F.get(s["p"], i - 1)), F.lit(-1)) - 1
+        rows = F.flatten(F.transform(s["p"], lambda e, i: F.concat(F.array_repeat(none, gap(e, i)), F.array(e["v"]))))
+        return F.concat(rows, F.array_repeat(none, s["h"] * s["w"] - 1 - at(F.element_at(s["p"], -1))))
+
+    values = let(F.struct("p", "h", "w"), filled)
     return blocks.select(*by, "ty", "tx", (F.col("ty") * size).alias("y0"), (F.col("tx") * size).alias("x0"), "h", "w", values.alias("values"))
 
 
@@ -109,14 +116,14 @@ def downscale_tiles(tiles: DataFrame, k: int, integer: bool = False) -> DataFram
         return tiles
     h, w = F.expr(f"h div {k}").cast("int"), F.expr(f"w div {k}").cast("int")
 
-    def mean(i: Column) -> Column:
-        r, c = F.floor(i / F.col("w2")), i % F.col("w2")
-        cells = [F.get("values", ((r * k + a) * F.col("w") + c * k + b).cast("int")) for a in range(k) for b in range(k)]
+    def mean(t: Column, i: Column) -> Column:
+        r, c = F.floor(i / t["w2"]), i % t["w2"]
+        cells = [F.get(t["values"], ((r * k + a) * t["w"] + c * k + b).cast("int")) for a in range(k) for b in range(k)]
         m = sum(cells[1:], cells[0]) / (k * k)
         return F.rint(m) if integer else m
 
     sized = tiles.withColumns({"h2": h, "w2": w}).where("h2 > 0 and w2 > 0")
-    values = F.transform(F.sequence(F.lit(0), F.col("h2") * F.col("w2") - 1), mean)
+    values = let(F.struct("values", "w", "h2", "w2"), lambda t: F.transform(F.sequence(F.lit(0), t["h2"] * t["w2"] - 1), lambda i: mean(t, i)))
     new = {"values": values, "y0": F.expr(f"y0 div {k}").cast("int"), "x0": F.expr(f"x0 div {k}").cast("int"), "h": F.col("h2"), "w": F.col("w2")}
     return sized.select(*[new.get(c, F.col(c)).alias(c) for c in tiles.columns])
 

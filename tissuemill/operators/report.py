@@ -81,7 +81,7 @@ def make_unique(cells: DataFrame, order: str) -> DataFrame:
     free = named.join(once, ["sample_id", "_taken"], "left_anti")
     free = free.withColumn("_nth", F.row_number().over(Window.partitionBy(*CELL).orderBy("_k"))).select(*CELL, "_nth", "_taken")
     out = numbered.join(free, [*CELL, "_nth"], "left")
-    return out.withColumn("cell_id", F.coalesce("_taken", "cell_id")).select(*cells.columns)
+    return out.withColumn("cell_id", F.coalesce("_taken", "cell_id")).select(*[F.col(f"`{c}`") for c in cells.columns])
 
 
 # -- summaries --------------------------------------------------------------------------------------------------------
