@@ -113,8 +113,8 @@ def test_level_choice(spark):
 
 
 def test_axes(spark):
-    df = spark.createDataFrame([(None, [4, 4]), (None, [4, 4, 3]), (None, [5, 4, 4]), ("IYX", [2, 4, 4]), (None, [1, 2, 3, 4]), (None, [1, 1, 2, 3, 4]), ("Q", [4, 4])], "a string, s array<int>")
-    assert [r[0] for r in df.select(meta.detect_axes(F.col("a"), F.col("s"))).collect()] == ["YX", "YXC", "ZYX", "CYX", "CZYX", "TCZYX", "YX"]
+    df = spark.createDataFrame([(None, [4, 4]), (None, [4, 4, 3]), (None, [5, 4, 9]), (None, [5, 4, 4]), ("IYX", [2, 4, 4]), (None, [1, 2, 3, 4]), (None, [1, 1, 2, 3, 4]), ("Q", [4, 4])], "a string, s array<int>")
+    assert [r[0] for r in df.select(meta.detect_axes(F.col("a"), F.col("s"))).collect()] == ["YX", "YXC", "ZYX", "YXC", "CYX", "CZYX", "TCZYX", "YX"]
 
 
 def test_channels(spark):

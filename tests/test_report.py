@@ -74,7 +74,7 @@ def test_sample_cells_size_and_repeatability(spark):
 
 
 def test_box_and_correlation(spark):
-    values = [1.0, 2, 3, 4, 5, 6, 7, 8, 9, 100]
+    values = [float(v) for v in (1, 2, 3, 4, 5, 6, 7, 8, 9, 100)]
     long = long_frame(spark, [("s", str(i), "m", v) for i, v in enumerate(values)])
     box = report.box_stats(long).first()
     q1, q3 = np.quantile(values, [0.25, 0.75])

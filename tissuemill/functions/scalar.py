@@ -23,9 +23,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def make_names(name: Column) -> Column:
-    """A valid column name: other characters than letters, digits, ``.`` and ``_`` become ``.``; X goes before a bad start."""
+    """A valid column name: other characters than letters, digits, ``.`` and ``_`` become ``.``; X goes before a bad start.
+
+    The start is judged as given: a letter, or a dot that no digit follows, is good.
+    """
     clean = F.regexp_replace(name, r"[^\p{L}\p{N}._]", ".")
-    good = clean.rlike(r"^(\p{L}|\.(?!\p{N}))")
+    good = name.rlike(r"^(\p{L}|\.(?!\p{N}))")
     led = F.when(good, clean).otherwise(F.concat(F.lit("X"), clean))
     return F.trim(F.when(led.isin(RESERVED), F.concat(led, F.lit("."))).otherwise(led))
 

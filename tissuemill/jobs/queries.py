@@ -258,7 +258,7 @@ def s9_build_manifest(spark, d):
 
 @query("""WITH n AS (SELECT p_partkey, unnest([p_name, p_brand, p_type, '.' || p_size, p_size || p_name, 'if', ' x ', '.a']) AS name FROM part),
 c AS (SELECT *, regexp_replace(name, '[^\\p{L}\\p{N}._]', '.', 'g') AS clean FROM n),
-x AS (SELECT *, CASE WHEN regexp_matches(clean, '^(\\p{L}|\\.$|\\.[^\\p{N}])') THEN clean ELSE 'X' || clean END AS led FROM c)
+x AS (SELECT *, CASE WHEN regexp_matches(name, '^(\\p{L}|\\.$|\\.[^\\p{N}])') THEN clean ELSE 'X' || clean END AS led FROM c)
 SELECT p_partkey, name, trim(CASE WHEN led IN ('if', 'else', 'for', 'in', 'next', 'break', 'while', 'repeat', 'function') THEN led || '.' ELSE led END) AS valid FROM x""")
 def f1_make_names(spark, d):
     c = F.col

@@ -139,22 +139,22 @@ def nearest(queries: DataFrame, data: DataFrame, k: int, block: int = 2000, vect
     """
     most = lambda df: df.groupBy("sample_id").count().agg(F.coalesce(F.max("count"), F.lit(1))).first()[0]
     qn, dn = (-(-most(df) // block) for df in (queries, data))
-    q = queries.select(*CELL, F.col(vector).alias("p"), F.pmod(F.xxhash64("cell_id"), F.lit(qn)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(dn - 1))).cast("long").alias("db"))
-    d = data.select(*CELL, F.col(vector).alias("p"), F.explode(F.sequence(F.lit(0), F.lit(qn - 1))).cast("long").alias("qb"), F.pmod(F.xxhash64("cell_id"), F.lit(dn)).alias("db"))
+    q = queries.select(*CELL, F.col(vector).alias("p"), F.pmod(F.xxhash64("cell_id"), F.lit(qn)).alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dn - 1).cast("long"))).alias("db"))
+    d = data.select(F.col("sample_id").alias("sample"), F.col("cell_id").alias("other"), F.col(vector).alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qn - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("cell_id"), F.lit(dn)).alias("db"))
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame(columns=["sample_id", "cell_id", "neighbour_id", "dist"])
-        b = b.sort_values("cell_id")
+        b = b.sort_values("other")
         x, y = np.stack(a.p), np.stack(b.p)
         square = np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T, 0)
         m = min(k, len(y))
         near = np.argsort(square, axis=1, kind="stable")[:, :m]
         dist = np.sqrt(((x[:, None, :] - y[near]) ** 2).sum(axis=2))
-        return pd.DataFrame({"sample_id": a.sample_id.iloc[0], "cell_id": np.repeat(a.cell_id.to_numpy(), m), "neighbour_id": b.cell_id.to_numpy()[near].ravel(), "dist": dist.ravel()})
+        return pd.DataFrame({"sample_id": a.sample_id.iloc[0], "cell_id": np.repeat(a.cell_id.to_numpy(), m), "neighbour_id": b.other.to_numpy()[near].ravel(), "dist": dist.ravel()})
 
     kind = dict(queries.dtypes)["cell_id"]
-    found = q.groupBy("sample_id", "qb", "db").cogroup(d.groupBy("sample_id", "qb", "db")).applyInPandas(run, f"sample_id string, cell_id {kind}, neighbour_id {kind}, dist double")
+    found = q.groupBy("sample_id", "qb", "db").cogroup(d.groupBy("sample", "qb", "db")).applyInPandas(run, f"sample_id string, cell_id {kind}, neighbour_id {kind}, dist double")
     nth = F.row_number().over(Window.partitionBy(*CELL).orderBy("dist", "neighbour_id"))
     return found.withColumn("rank", nth).where(F.col("rank") <= k).select(*CELL, "neighbour_id", "rank", "dist")
 

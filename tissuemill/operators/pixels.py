@@ -117,7 +117,8 @@ def downscale_tiles(tiles: DataFrame, k: int, integer: bool = False) -> DataFram
     h, w = F.expr(f"h div {k}").cast("int"), F.expr(f"w div {k}").cast("int")
 
     def mean(t: Column, i: Column) -> Column:
-        r, c = F.floor(i / t["w2"]), i % t["w2"]
+        wide = F.greatest(t["w2"], F.lit(1))
+        r, c = F.floor(i / wide), i % wide
         cells = [F.get(t["values"], ((r * k + a) * t["w"] + c * k + b).cast("int")) for a in range(k) for b in range(k)]
         m = sum(cells[1:], cells[0]) / (k * k)
         return F.rint(m) if integer else m

@@ -27,7 +27,9 @@ def read_cells(spark: SparkSession, path: str, sample_id: str | None = None, tex
     names = clean_names(spark, raw.columns)
     raw = raw.toDF(*names)
     cast = {n: F.when(F.col(f"`{n}`").isin("", "inf"), None).otherwise(F.col(f"`{n}`")) for n in names}
-    cells = raw.select(*[(c if n in text else c.cast("double")).alias(n) for n, c in cast.items()]).dropna("any")
+    cells = raw.select(*[(c if n in text else c.cast("double")).alias(n) for n, c in cast.items()])
+    for n, kind in cells.dtypes:
+        cells = cells.where(F.col(f"`{n}`").isNotNull() & ~F.isnan(f"`{n}`") if kind == "double" else F.col(f"`{n}`").isNotNull())
     cells = cells.withColumn("row_id", F.monotonically_increasing_id())
     if sample_id is not None:
         cells = cells.withColumn("sample_id", F.lit(sample_id))
