@@ -175,7 +175,8 @@ def normalise(files: DataFrame, folder: str, level: int = 4) -> DataFrame:
                 if rows:
                     yield _indexed(rows)
 
-    return materialise(files.select("path").repartition("path").mapInArrow(run, INDEX))
+    n = max(1, files.count())  # a task for each archive: without a number, few rows would be put together into one task
+    return materialise(files.select("path").repartition(n, "path").mapInArrow(run, INDEX))
 
 
 def _indexed(rows: list[tuple]) -> pa.RecordBatch:
