@@ -86,6 +86,15 @@ def test_boundaries(spark):
     assert bw.where("channel = 1 and value = 255").count() == (line > 0).sum()
 
 
+def test_axes_of_pixels(spark):
+    a = image(spark, [[1, 2], [3, 4]])
+    assert pixels.normalise_axes(a.drop("channel")).where("channel = 0").count() == 4 and pixels.normalise_axes(a) is a
+    turned = pixels.permute_axes(a, (0, 2, 1))
+    assert array(turned).tolist() == [[1, 3], [2, 4]] and sorted(pixels.permute_axes(a).collect()) == sorted(pixels.bg_none(a).select(*pixels.permute_axes(a).columns).collect())
+    pyramid = pixels.build_pyramid(a, (1, 2))
+    assert pyramid.where("level = 1").first()["value"] == 2.5
+
+
 def test_otsu(spark):
     a = np.concatenate([RNG.normal(10, 1, 200), RNG.normal(50, 1, 200)]).reshape(20, 20)
     t = pixels.otsu(image(spark, a)).first()["threshold"]

@@ -1,0 +1 @@
+"""Column expressions and storage helpers."""

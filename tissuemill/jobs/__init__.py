@@ -1,0 +1 @@
+"""Whole workloads, and the registered queries."""

@@ -146,7 +146,7 @@ def w2_make_unique(spark, d):
 
 
 def _normal(p: str) -> str:
-    """The same quantile function in SQL, from the expressions of the library: Spark prints them."""
+    """The same quantile function in SQL. The published coefficients, as in functions.scalar."""
     a = "-39.69683028665376,220.9460984245205,-275.9285104469687,138.357751867269,-30.66479806614716,2.506628277459239".split(",")
     b = "-54.47609879822406,161.5858368580409,-155.6989798598866,66.80131188771972,-13.28068155288572,1.0".split(",")
     c = "-0.007784894002430293,-0.3223964580411365,-2.400758277161838,-2.549732539343734,4.374664141464968,2.938163982698783".split(",")

@@ -1,0 +1 @@
+"""Operators on imaging tables: DataFrames in, DataFrames out."""

@@ -1,0 +1 @@
+"""Where tables come from and go to."""

@@ -1,0 +1 @@
+"""Nothing here yet: imaging runs are one-shot tables, without streams, watermarks or late data."""
