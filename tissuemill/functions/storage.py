@@ -1,21 +1,28 @@
-"""Cutting the lineage of iterative jobs with tables in shared storage."""
+"""Cutting the lineage of long jobs with tables in shared storage."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` (a temporary folder only where that is unset) and read it back."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name below the cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = _own.setdefault(context.applicationId, "file://" + tempfile.mkdtemp(prefix="tissuemill-"))
-    path, schema = f"{base.rstrip('/')}/{uuid.uuid4().hex}", df.schema
+        if context.applicationId not in _own:
+            _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tissuemill-")
+        base = _own[context.applicationId]
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to shared storage and read it back: cuts the lineage, survives lost executors."""
+    path, schema = shared_dir(df.sparkSession), df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
