@@ -47,3 +47,18 @@ def test_stages_return_the_columns_of_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, str(tmp_path))
         assert out.count() == 0 and out.columns[: len(docs.columns)] == docs.columns
+
+
+def test_stages_keep_extra_columns_whatever_their_names(spark, tmp_path):
+    spark.createDataFrame([(0, "word " * 20)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    extra = ["_key", "_row", "parts", "slots", "until", "nth", "at", "doc", "spans", "fp", "h", "wanted", "a.b"]
+    docs = h.frame(spark, [(i, f"text number {i} is here", "en", "s", 1) for i in range(4)] + [(2, "text number 2 is here", "en", "s", 1)])
+    for i, name in enumerate(extra):
+        docs = docs.selectExpr("*", f"doc_id * 10 + {i} AS `{name}`")
+    out = docs
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, str(tmp_path))
+        assert out.columns[: len(docs.columns)] == docs.columns
+        rows = out.collect()
+        assert sorted(r["doc_id"] for r in rows) in ([0, 1, 2, 2, 3], [0, 1, 2, 3])
+        assert all(r[name] == r["doc_id"] * 10 + i for r in rows for i, name in enumerate(extra))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.storage import materialise, shared_dir
+
+__all__ = ["as_int64", "filtered", "groups_of_rows", "materialise", "packed", "shared_dir", "table", "text_buffer", "unique_keys"]
+
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19
 
@@ -19,23 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below the cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = getattr(spark.sparkContext, "_tissuemill_dir", None)
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="tissuemill-")
-            spark.sparkContext._tissuemill_dir = base
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+def packed(docs: DataFrame, *without: str) -> DataFrame:
+    """(doc_id, text, _row): all columns but ``without`` in one struct, so that no name of theirs meets an operator's own."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("_row"))
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: cuts the lineage, survives lost executors."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def filtered(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``docs`` through a function that drops rows of Arrow batches; columns go by number, so any name is good."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def unique_keys(docs: DataFrame) -> DataFrame:
@@ -51,7 +45,8 @@ def unique_keys(docs: DataFrame) -> DataFrame:
     ).first()
     if ids["most"] <= 1 and not ids["nulls"]:  # coalesce tells Spark that there are no nulls: no filter, equal exchanges
         return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(ids["low"] - 1)))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
+    last = [F.xxhash64("_row")] if "_row" in docs.columns else []
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), *last))
     return docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(ids["low"] - 1)) * F.lit(ids["most"]) + F.coalesce(nth, F.lit(1)) - 1)
 
 

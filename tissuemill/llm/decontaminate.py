@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import groups_of_rows, text_buffer
+from tissuemill.llm.common import filtered, groups_of_rows, text_buffer
 
 Q = 12
 #: Bytes of benchmark text that are indexed and broadcast at once; a larger benchmark goes over the documents in blocks.
@@ -219,7 +219,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFrame:
     """The rows of ``docs`` that hold no part of a benchmark item; all columns stay as they are."""
     at = docs.columns.index("text")
-    schema = docs.schema
     for rows in _blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(build(rows, rate))
 
@@ -232,5 +231,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) ->
                         clean[i + r] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = filtered(docs, run)
     return docs

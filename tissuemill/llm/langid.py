@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import groups_of_rows, text_buffer
+from tissuemill.llm.common import filtered, groups_of_rows, text_buffer
 
 #: Languages that may be learned: profiles of so many go to the driver and to each task.
 MOST_LANGUAGES = 1000
@@ -157,4 +157,4 @@ def keep_identified(docs: DataFrame, top: int = 300) -> DataFrame:
             known = [x[0] != "und" for _, texts in _rows(batch.column(at)) for x in judge(texts)]
             yield batch.filter(pa.array(known, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run)

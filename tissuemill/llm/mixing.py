@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.scalar import let
+
 #: Sources that may be mixed, and parts of all weights: the schedule of one cycle is a single row.
 MOST_SOURCES, MOST_PARTS = 1000, 20_000
 NO_SOURCE = "(none)"
@@ -38,19 +40,22 @@ def schedule(sources: DataFrame) -> DataFrame:
     one = sources.agg(F.array_sort(F.collect_list(F.struct("_source", "parts"))).alias("s"), F.sum("parts").alias("slots"))
     one = one.where("size(s) > 0").withColumn("s", F.when(F.size("s") > MOST_SOURCES, F.raise_error(F.lit(f"more than {MOST_SOURCES} sources"))).otherwise(F.col("s")))
     one = one.withColumn("slots", F.when(F.col("slots") > MOST_PARTS, F.raise_error(F.lit(f"more than {MOST_PARTS} parts"))).otherwise(F.col("slots")))
-    start = F.struct(F.transform("s", lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<struct<i:int,nth:long,at:long>>").alias("plan"))
 
-    def due(x: Column, i: Column, done: Column, t: Column) -> Column:
+    def due(z: Column, x: Column, i: Column, done: Column, t: Column) -> Column:
         n, w = F.get(done, i), x["parts"]
-        released = F.floor(n * F.col("slots") / w) <= t
-        return F.when((n < w) & released, F.struct(F.ceil((n + 1) * F.col("slots") / w).alias("due"), i.alias("i")))
+        released = F.floor(n * z["slots"] / w) <= t
+        return F.when((n < w) & released, F.struct(F.ceil((n + 1) * z["slots"] / w).alias("due"), i.alias("i")))
 
-    def slot(state: Column, t: Column) -> Column:
-        first = F.array_min(F.transform("s", lambda x, i: due(x, i, state["done"], t)))["i"]
+    def slot(z: Column, state: Column, t: Column) -> Column:
+        first = F.array_min(F.transform(z["s"], lambda x, i: due(z, x, i, state["done"], t)))["i"]
         taken = F.struct(first.alias("i"), F.get(state["done"], first).alias("nth"), t.alias("at"))
         return F.struct(F.transform(state["done"], lambda n, i: F.when(i == first, n + 1).otherwise(n)).alias("done"), F.concat(state["plan"], F.array(taken)).alias("plan"))
 
-    plan = one.select("s", F.explode(F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1), start, slot, lambda x: x["plan"])).alias("p"))
+    def cycle(z: Column) -> Column:
+        start = F.struct(F.transform(z["s"], lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<struct<i:int,nth:long,at:long>>").alias("plan"))
+        return F.aggregate(F.sequence(F.lit(0).cast("long"), z["slots"] - 1), start, lambda state, t: slot(z, state, t), lambda x: x["plan"])
+
+    plan = one.select("s", F.explode(let(F.struct("s", "slots"), cycle)).alias("p"))
     return plan.select(F.get(F.col("s"), F.col("p.i"))["_source"].alias("_source"), "p.nth", "p.at")
 
 
@@ -69,8 +74,9 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, block_rows: i
     """
     names = ["mix_block", "mix_slot", "mix_position", "mix_balanced"]
     docs = docs.drop(*names)
-    own = docs.columns
-    keyed = docs.withColumns({"_source": F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE)), "_hash": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))}).withColumn("_salt", F.substring("_hash", 1, 3))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # apart from names in here
+    source, digest = F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE)), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.select(row.alias("_row"), "doc_id", source.alias("_source"), digest.alias("_hash")).withColumn("_salt", F.substring("_hash", 1, 3))
     counts, sources = _sources(keyed, weights, parts)
     plan = schedule(sources.select("_source", "parts"))
     slots = F.sum("parts").over(Window.partitionBy())
@@ -86,7 +92,7 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, block_rows: i
     ranked = ranked.join(plan.select(F.col("_source").alias("_s"), "nth", "at"), (F.col("_source") == F.col("_s")) & (F.col("_turn") == F.col("nth")))
     slot = F.floor(F.col("mix_block") / F.col("parts")) * F.col("slots") + F.col("at")
     out = ranked.withColumn("mix_slot", slot).withColumns({"mix_position": F.col("mix_slot") * block_rows + F.col("_nth") % block_rows, "mix_balanced": F.col("mix_slot") < F.col("until")})
-    return out.select(*own, *names)
+    return out.select("_row.*", *names)
 
 
 #: The same mixture of ``documents`` in DuckDB.

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import SLICE_BYTES, text_buffer, unique_keys
+from tissuemill.llm.common import SLICE_BYTES, packed, text_buffer, unique_keys
 from tissuemill.llm.repeats import HOT, covered_spans, merged, with_spans
 
 GRAM = 24
@@ -224,10 +224,10 @@ def without_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataF
 
     A null text stays null. Other columns stay as they are.
     """
-    keyed = unique_keys(docs)
+    keyed = unique_keys(packed(docs, "text"))
     pure = keyed.select("_key", "text")
     out = _applied(with_spans(pure, removal_spans(pure, length, hot)), True).select("_key", F.col("kept").alias("_kept"))
-    missing = keyed.select("*", F.col("text").isNull().alias("_null"))
+    missing = keyed.select("_key", "_row", "text", F.col("text").isNull().alias("_null"))
     new = F.when(F.col("_null"), F.lit(None).cast("string")).otherwise(F.col("_kept"))
     set_anew = {"text": new, "n_chars": F.char_length(new).cast("long")}
-    return _originals(missing, out).select(*[set_anew.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return _originals(missing, out).select(*[set_anew[c].alias(c) if c in set_anew else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
