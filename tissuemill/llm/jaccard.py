@@ -1,0 +1,130 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash bands find candidates, whole shingle sets decide."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, text_buffer, unique_keys
+from tissuemill.llm.components import components
+from tissuemill.llm.simhash import shingle_hashes
+
+WIDTH = 5
+#: A pair of Jaccard 0.8 shares no band with probability (1 - 0.8 ** 5) ** 30 = 7e-6; more similar pairs with less.
+BANDS, ROWS = 30, 5
+_random = np.random.Generator(np.random.PCG64(7))
+TURNS = _random.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
+    """The sorted hashes of each row's distinct shingles."""
+    ends = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+    return [np.unique(np.array(shingle_hashes(data[a:b].tobytes(), width), np.uint64)) for a, b in ends]
+
+
+def bands(sets: list[np.ndarray]) -> np.ndarray:
+    """Rows x BANDS keys: each mixes the least of ROWS hash orders over the row's set. Sets must not be empty."""
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *[len(s) for s in sets[:-1]]])
+    out = np.zeros((len(sets), BANDS), np.uint64)
+    for i in range(BANDS * ROWS):
+        mixed = (flat ^ TURNS[i]) * FACTORS[i]
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum.reduceat(mixed * FACTORS[i - 1], starts)
+        b = i // ROWS
+        x = (out[:, b] ^ least) * np.uint64(0x9E3779B97F4A7C15)
+        out[:, b] = x ^ (x >> np.uint64(29))
+    return out
+
+
+def marks(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(id, low, high, bands) of each row of (id, text): the 128-bit name of its shingle set, and its band keys; none without a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in groups_of_rows(offsets):
+                sets = shingle_sets(data, offsets[i : j + 1], width)
+                names = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets], np.uint64).reshape(-1, 2)
+                full = [k for k, s in enumerate(sets) if len(s)]
+                keys = bands([sets[k] for k in full]) if full else np.zeros((0, BANDS), np.uint64)
+                ends = np.zeros(len(sets) + 1, np.int32)
+                ends[1:][full] = BANDS
+                listed = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), as_int64(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], as_int64(names[:, 1]), as_int64(names[:, 0]), listed], ["id", "low", "high", "bands"])
+
+    return docs.mapInArrow(run, "id long, low long, high long, bands array<long>")
+
+
+def sets_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(id, set) of each row of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in groups_of_rows(offsets):
+                sets = shingle_sets(data, offsets[i : j + 1], width)
+                ends = pa.array(np.cumsum([0, *[len(s) for s in sets]], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(ends, as_int64(np.concatenate(sets)))], ["id", "set"])
+
+    return docs.mapInArrow(run, "id long, set array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` / 100 or more, in whole numbers."""
+    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    small, large = F.least(F.size("a"), F.size("b")), F.greatest(F.size("a"), F.size("b"))
+    both = both.where(100 * small >= percent * large)
+    s, n = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+    return both.where((100 + percent) * s >= percent * n).select("u", "v")
+
+
+def links(docs: DataFrame, keys: DataFrame, percent: int = 80, group: int = 64, width: int = WIDTH) -> DataFrame:
+    """Edges (u, v) that connect the rows of (id, text) whose shingle sets have a Jaccard of ``percent`` / 100 or more.
+
+    ``keys`` is (id, bands). Members of a key of up to ``group`` are paired off. Those of a larger key are compared with its
+    first member; what is linked to one same member needs no more comparison. Of the others each is compared with
+    all of the key that aren't known to be linked to it: no pair of a key is left out.
+    """
+    filed = keys.select("id", F.posexplode("bands").alias("band", "key"))
+    sizes = filed.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
+    filed = materialise(filed.join(sizes, ["band", "key"]))
+    sets = materialise(sets_of(docs.join(filed.select("id").distinct(), "id", "left_semi").select("id", "text"), width))
+    small, large = filed.where(F.col("n") <= group).select("band", "key", "id"), filed.where(F.col("n") > group)
+    pairs = small.withColumnRenamed("id", "u").join(small.withColumnRenamed("id", "v"), ["band", "key"]).where("u > v").select("u", "v")
+    if large.isEmpty():
+        return verified(materialise(pairs.distinct()), sets, percent)
+    star = materialise(verified(materialise(large.where("id > pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()), sets, percent))
+    to = star.groupBy("u").agg(F.min("v").alias("to"))
+    named = materialise(large.join(to, large["id"] == to["u"], "left").select("band", "key", "id", F.coalesce("to", "id").alias("to")))
+    each = named.groupBy("band", "key", "to").count()
+    most = each.groupBy("band", "key").agg(F.max_by("to", F.struct("count", "to")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    named = named.join(most, ["band", "key"])
+    odd = named.where("to <> top").select("band", "key", F.col("id").alias("u"), F.col("to").alias("tu"))
+    rest = odd.join(named.select("band", "key", F.col("id").alias("v"), F.col("to").alias("tv"), "top"), ["band", "key"]).where("tu <> tv and (tv = top or u > v)")
+    more = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return star.union(verified(materialise(pairs.union(more).distinct()), sets, percent))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 80, group: int = 64, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` without near copies: of the rows that links of Jaccard ``percent`` / 100 connect, the smallest doc_id stays.
+
+    Shingles are of ``width`` lower-cased (A-Z) words; a text of fewer is one shingle. Rows of equal sets are settled by name
+    (128 bits), and rows without a word are copies of each other. All columns stay as they are. Of rows that repeat a doc_id,
+    the one with the least text counts as first; a null doc_id counts as the smallest.
+    """
+    keyed = unique_keys(packed(docs))
+    texts = keyed.select(F.col("_key").alias("id"), "text")
+    found = materialise(marks(texts, width))
+    least = found.groupBy("low", "high").agg(F.min("id").alias("least"))
+    first = found.join(least, F.col("id") == F.col("least"), "left_semi")
+    parts = components(links(texts, first.select("id", "bands"), percent, group, width))
+    copies = found.join(least, ["low", "high"]).where("id <> least").select("id")
+    drop = copies.union(parts.where("node <> component").select("node")).toDF("_key")
+    return keyed.join(drop, "_key", "left_anti").select("_row.*")
