@@ -23,16 +23,63 @@ FOLD[ord("a") : ord("z") + 1] = FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a
 FOLD[128:] = np.arange(128, 256)
 
 
+#: Case folds of characters beyond ASCII, by code point; those of as many bytes as the character also as one number.
+FOLDS = {c: f for c in range(128, 0x1F000) if not 0xD800 <= c < 0xE000 and (f := chr(c).casefold()) != chr(c)}
+BYTES = np.zeros(0x110000, np.uint32)
+OTHER = np.zeros(0x110000, bool)
+for _c, _f in FOLDS.items():
+    _b = _f.encode()
+    OTHER[_c] = len(_b) != len(chr(_c).encode())
+    if not OTHER[_c]:
+        BYTES[_c] = int.from_bytes(_b, "little")
+
+
+def case_folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """UTF-8 bytes with all characters beyond ASCII case-folded, and each byte's origin where lengths have changed."""
+    at = np.flatnonzero(data >= 0xC0)
+    if not len(at):
+        return data, None
+    lead = data[at].astype(np.int64)
+    width = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead & (0x7F >> width)
+    for k in (1, 2, 3):
+        more = k < width
+        code[more] = code[more] << 6 | data[at[more] + k] & 0x3F
+    same = BYTES[code]
+    hit = np.flatnonzero(same)
+    if len(hit):
+        data = data.copy()
+        for k in range(4):
+            own = hit[k < width[hit]]
+            data[at[own] + k] = same[own] >> np.uint32(8 * k) & np.uint32(255)
+    hit = np.flatnonzero(OTHER[code])
+    if not len(hit):
+        return data, None
+    parts, origins, last = [], [], 0
+    for a, n, c in zip(at[hit].tolist(), width[hit].tolist(), code[hit].tolist(), strict=True):
+        new = np.frombuffer(FOLDS[c].encode(), np.uint8)
+        place = np.minimum(np.arange(len(new)), n - 1)
+        place[-1] = n - 1
+        parts += [data[last:a], new]
+        origins += [np.arange(last, a), a + place]
+        last = a + n
+    return np.concatenate([*parts, data[last:]]), np.concatenate([*origins, np.arange(last, len(data))])
+
+
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows' bytes with A-Z lower-cased and all other ASCII but letters and digits as one space; new offsets; origins."""
+    """Rows' bytes case-folded and all ASCII but letters and digits as one space; new offsets; origins."""
+    data, source = case_folded(data)
+    if source is not None:
+        offsets = np.searchsorted(source, offsets)
+    size = len(data)
     folded = FOLD[data]
     blank = folded == 32
-    before = np.ones(len(data), bool)
+    before = np.ones(size, bool)
     before[1:] = blank[:-1]
-    before[offsets[:-1][offsets[:-1] < len(data)]] = True
+    before[offsets[:-1][offsets[:-1] < size]] = True
     keep = ~(blank & before)
-    origin = np.flatnonzero(keep)
-    return folded[keep], np.searchsorted(origin, offsets), origin
+    kept = np.flatnonzero(keep)
+    return folded[keep], np.searchsorted(kept, offsets), kept if source is None else source[kept]
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -179,7 +226,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFrame:
     """(doc_id, item_id, first_byte, end_byte, passages_hit, passages, edits) for each document that holds part of an item.
 
-    Texts are compared lower-cased (A-Z), with all ASCII but letters and digits as single spaces. An item counts as leaked where
+    Texts are compared case-folded (all of Unicode), with all ASCII but letters and digits as single spaces. An item counts as leaked where
     one of its passages (up to 96 such bytes, or the whole of a short item) is found within ``rate`` edits a byte. By the
     q-gram lemma such a match shares at least len-Q+1-Q*edits q-grams with the passage, all in one of the overlapping
     diagonal bands; bands with as many are verified by banded alignment. Bytes are those of the original text, from the
