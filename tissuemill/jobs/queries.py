@@ -704,7 +704,7 @@ def c9_cluster_marker_means(spark, d):
 
 @query()
 def c10_cluster_marker_density(spark, d):
-    return cluster.cluster_marker_density(_marked(spark, d).where("marker in ('m0', 'm1')"), views.labels(spark, d), 64)
+    return cluster.cluster_marker_density(_marked(spark, d), views.labels(spark, d))
 
 
 @query(f"WITH {CELLS} SELECT sample_id, cell_id, \"Y_centroid\" AS x, \"X_centroid\" AS y, (\"Area\" % 7)::INT AS cluster FROM cells")
