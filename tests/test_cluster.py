@@ -1,7 +1,10 @@
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.test_jobs import SF
+from tissuemill.operators import cluster
 
 
 def test_density_query_has_every_marker_and_the_whole_grid(spark):
@@ -23,3 +26,30 @@ def saved(spark, rows):
     folder = shared_dir(spark)
     rows.write.parquet(f"{folder}/embeddings.parquet")
     return folder
+
+
+def fixture(spark):
+    """Sample a of 30 cells, sample b of 90; two groups in each, and labels that follow them."""
+    rng = np.random.default_rng(3)
+    rows = [(s, i, [float(x) for x in rng.normal(8 * (i % 2), 1, 3)]) for s, n in (("a", 30), ("b", 90)) for i in range(n)]
+    features = spark.createDataFrame(rows, "sample_id string, cell_id long, v array<double>")
+    return features, features.selectExpr("sample_id", "cell_id", "1.0D AS resolution", "int(cell_id % 2) AS cluster")
+
+
+def test_only_samples_over_the_limit_are_sketched(spark):
+    features, labels = fixture(spark)
+    drawn = cluster.sketch(features, 50, 20)
+    assert {r["sample_id"]: r["count"] for r in drawn.groupBy("sample_id").count().collect()} == {"a": 30, "b": 20}
+    points = features.withColumnRenamed("v", "pc")
+    odd = labels.withColumn("cluster", F.when(F.expr("sample_id = 'a' and cell_id = 0"), 7).otherwise(F.col("cluster")))  # a vote would lose it
+    got = cluster.labels_of_all(drawn.withColumnRenamed("v", "pc"), odd, points, 5, 50)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, odd.collect()))
+
+
+@pytest.mark.parametrize("name", ["t4_leverage_sample", "c7_transfer_labels"])
+def test_queries_take_small_samples_whole(spark, name):
+    got = entry.queries()[name](spark, SF)
+    cells = spark.read.parquet(f"{SF}/embeddings.parquet")
+    assert got.count() == cells.count()
+    if name == "c7_transfer_labels":
+        assert {r["cell_id"]: r["cluster"] for r in got.collect()} == {r["vec_id"]: r["label"] for r in cells.collect()}

@@ -647,7 +647,7 @@ def c3_pca(spark, d):
 
 @query()
 def t4_leverage_sample(spark, d):
-    return cluster.leverage_sample(views.features(spark, d), 100).select("sample_id", "cell_id")
+    return cluster.sketch(views.features(spark, d)).select("sample_id", "cell_id")
 
 
 KNN = FEATURES + """, pairs AS (SELECT a.sample_id, a.cell_id, b.cell_id AS neighbour_id, list_distance(a.v, b.v) AS dist FROM features a JOIN features b USING (sample_id)),
@@ -676,8 +676,8 @@ def c6_louvain(spark, d):
 @query()
 def c7_transfer_labels(spark, d):
     points = _points(spark, d)
-    sketch = points.join(cluster.leverage_sample(views.features(spark, d), 100).select("sample_id", "cell_id"), ["sample_id", "cell_id"], "left_semi")
-    return cluster.transfer_labels(sketch, views.labels(spark, d), points)
+    sketch = points.join(cluster.sketch(views.features(spark, d)).select("sample_id", "cell_id"), ["sample_id", "cell_id"], "left_semi")
+    return cluster.labels_of_all(sketch, views.labels(spark, d), points)
 
 
 @query()

@@ -128,6 +128,16 @@ def leverage_sample(features: DataFrame, n: int = 50_000, seed: int = 0) -> Data
     return features.join(chosen.select(*CELL), CELL, "left_semi")
 
 
+def sketch(features: DataFrame, limit: int = 100_000, n: int = 50_000) -> DataFrame:
+    """Samples of up to ``limit`` cells whole, and of each larger sample a leverage sample of ``n`` cells."""
+    large = samples_over(features, limit)
+    return features.join(large, "sample_id", "left_anti").unionByName(leverage_sample(features.join(large, "sample_id", "left_semi"), n))
+
+
+def samples_over(cells: DataFrame, limit: int) -> DataFrame:
+    return cells.groupBy("sample_id").count().where(F.col("count") > limit).select("sample_id")
+
+
 # -- neighbours -------------------------------------------------------------------------------------------------------
 
 
@@ -196,6 +206,13 @@ def transfer_labels(sketch: DataFrame, labels: DataFrame, full: DataFrame, k: in
     return votes.groupBy(*CELL, "resolution").agg(F.max_by("cluster", F.struct("w", -F.col("cluster"))).alias("cluster"))
 
 
+def labels_of_all(sketch: DataFrame, labels: DataFrame, full: DataFrame, k: int = 20, limit: int = 100_000) -> DataFrame:
+    """Labels of all cells: samples of up to ``limit`` cells keep their own, those of larger samples come from the sketch."""
+    large = samples_over(full, limit)
+    moved = transfer_labels(*[df.join(large, "sample_id", "left_semi") for df in (sketch, labels, full)], k)
+    return labels.join(large, "sample_id", "left_anti").select(moved.columns).unionByName(moved)
+
+
 # -- graph clusters ---------------------------------------------------------------------------------------------------
 
 
