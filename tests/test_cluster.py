@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.test_jobs import SF
+from tissuemill.jobs import workloads
 from tissuemill.operators import cluster
 
 
@@ -53,3 +54,22 @@ def test_queries_take_small_samples_whole(spark, name):
     assert got.count() == cells.count()
     if name == "c7_transfer_labels":
         assert {r["cell_id"]: r["cluster"] for r in got.collect()} == {r["vec_id"]: r["label"] for r in cells.collect()}
+
+
+def test_cluster_tables_sketch_each_sample_by_its_own_size(spark):
+    rng = np.random.default_rng(4)
+    rows = [(s, i, float(i), float(i), *(float(x) for x in rng.gamma(2, 1, 3) + np.array([9 * (i % 2), 9 * (1 - i % 2), 1]))) for s, n in (("a", 30), ("b", 90)) for i in range(n)]
+    cells = spark.createDataFrame(rows, "sample_id string, cell_id long, X_centroid double, Y_centroid double, DAPI double, CD3 double, CD8 double")
+    both = workloads.cluster_tables(cells, ["DAPI", "CD3", "CD8"], (0.2,), k=8, components=2, limit=50, sketch=20)
+    for name in ("clusters", "layout"):
+        assert {tuple(r) for r in both[name].select("sample_id", "cell_id").collect()} == {(r[0], r[1]) for r in rows}
+    assert both["layout"].where("isnan(x) or isnan(y) or x is null or y is null").count() == 0
+
+
+def test_layout_of_all_moves_only_cells_outside_the_sketch(spark):
+    features, _ = fixture(spark)
+    points = features.withColumnRenamed("v", "pc")
+    drawn = points.where("sample_id = 'a' or cell_id < 20")
+    layout = drawn.select("sample_id", "cell_id", (F.col("cell_id") % 2).cast("double").alias("x"), F.lit(3.0).alias("y"))
+    got = cluster.layout_of_all(drawn, layout, points, 5, 50).toPandas()
+    assert len(got) == 120 and np.allclose(got.x, got.cell_id % 2) and np.allclose(got.y, 3)

@@ -79,20 +79,23 @@ def quality_tables(cells: DataFrame, markers: Sequence[str], points: int = 512,
 def cluster_tables(cells: DataFrame, markers: Sequence[str], resolutions: Sequence[float] = cluster.RESOLUTIONS, k: int = 20, components: int = 6, limit: int = 100_000, sketch: int = 50_000) -> dict[str, DataFrame]:
     """Clusters of all cells at all resolutions, with the tables behind their maps. Ids must be unique (``make_unique``).
 
-    Samples of up to ``limit`` cells are clustered whole. If any sample has more, clusters are found on a leverage sketch of
-    ``sketch`` cells a sample, and the other cells take the labels of their nearest sketch cells.
+    Samples of up to ``limit`` cells are clustered whole, whatever others are in the run. In each larger sample clusters and map
+    are found on a leverage sketch of ``sketch`` cells, and its other cells take labels and positions from their nearest sketch cells.
     """
     own = report.marker_columns(list(markers))
     features = materialise(cluster.scale_features(cluster.clr_normalise(cluster.to_features(cells, own))))
-    most = features.groupBy("sample_id").count().agg(F.max("count")).first()[0] or 0
-    drawn = materialise(cluster.scale_features(cluster.leverage_sample(features, sketch))) if most > limit else features
+    large = materialise(cluster.samples_over(features, limit))
+    part = cluster.leverage_sample(features.join(large, "sample_id", "left_semi"), sketch)
+    drawn = materialise(features.join(large, "sample_id", "left_anti").unionByName(cluster.scale_features(part)))
     axes = materialise(cluster.principal_axes(drawn, components))
     points = materialise(cluster.project(drawn, axes))
     near = materialise(cluster.knn(points, k))
     labels = materialise(cluster.clusters(cluster.snn(near, k), resolutions, points))
     layout = materialise(cluster.layout_2d(cluster.fuzzy_graph(near, k)))
-    if most > limit:
-        labels = materialise(cluster.transfer_labels(points, labels, cluster.project(features, axes), k))
+    if not large.isEmpty():
+        full = materialise(cluster.project(features, axes))
+        labels = materialise(cluster.labels_of_all(points, labels, full, k, limit))
+        layout = materialise(cluster.layout_of_all(points, layout, full, k, limit))
     long = features.select("sample_id", "cell_id", F.posexplode("v").alias("i", "value")).select("sample_id", "cell_id", F.get(F.array(*map(F.lit, own)), F.col("i")).alias("marker"), "value")
     return {
         "clusters": labels,

@@ -193,15 +193,17 @@ def snn(neighbours: DataFrame, k: int = 20, prune: float = 1 / 15) -> DataFrame:
     return shared.withColumn("weight", F.col("s") / (2 * k - F.col("s"))).where((F.col("weight") >= prune) & (F.col("s") > 0)).select("sample_id", "src", "dst", "weight")
 
 
+def _weighted(near: DataFrame) -> DataFrame:
+    far = F.max("dist").over(Window.partitionBy(*CELL))
+    return near.withColumn("w", F.when(far > 0, 1 - F.col("dist") / far).otherwise(1.0) + 1e-9)
+
+
 def transfer_labels(sketch: DataFrame, labels: DataFrame, full: DataFrame, k: int = 20) -> DataFrame:
     """(sample_id, cell_id, resolution, cluster): labels of all cells from their nearest sketch cells, by weighted vote.
 
     ``sketch`` and ``full`` have pc; a neighbour's weight is 1 - dist / (distance of the k-th), all equal if that is 0.
     """
-    near = nearest(full, sketch, k)
-    far = F.max("dist").over(Window.partitionBy(*CELL))
-    weight = F.when(far > 0, 1 - F.col("dist") / far).otherwise(1.0) + 1e-9
-    votes = near.withColumn("w", weight).join(labels.select("sample_id", F.col("cell_id").alias("neighbour_id"), "resolution", "cluster"), ["sample_id", "neighbour_id"])
+    votes = _weighted(nearest(full, sketch, k)).join(labels.select("sample_id", F.col("cell_id").alias("neighbour_id"), "resolution", "cluster"), ["sample_id", "neighbour_id"])
     votes = votes.groupBy(*CELL, "resolution", "cluster").agg(F.sum("w").alias("w"))
     return votes.groupBy(*CELL, "resolution").agg(F.max_by("cluster", F.struct("w", -F.col("cluster"))).alias("cluster"))
 
@@ -213,6 +215,23 @@ def labels_of_all(sketch: DataFrame, labels: DataFrame, full: DataFrame, k: int
     return labels.join(large, "sample_id", "left_anti").select(moved.columns).unionByName(moved)
 
 
+def transfer_layout(sketch: DataFrame, layout: DataFrame, full: DataFrame, k: int = 20) -> DataFrame:
+    """(sample_id, cell_id, x, y): positions of all cells. Cells of the layout keep theirs; the others lie at the mean of
+    their nearest sketch cells, weighted as in ``transfer_labels``."""
+    placed = sketch.join(layout.select(*CELL), CELL, "left_semi")
+    near = _weighted(nearest(full.join(layout.select(*CELL), CELL, "left_anti"), placed, k))
+    at = near.join(layout.select("sample_id", F.col("cell_id").alias("neighbour_id"), "x", "y"), ["sample_id", "neighbour_id"])
+    mean = lambda name: (F.sum(F.col("w") * F.col(name)) / F.sum("w")).alias(name)
+    return layout.select(*CELL, "x", "y").unionByName(at.groupBy(*CELL).agg(mean("x"), mean("y")))
+
+
+def layout_of_all(sketch: DataFrame, layout: DataFrame, full: DataFrame, k: int = 20, limit: int = 100_000) -> DataFrame:
+    """Positions of all cells: those of samples of up to ``limit`` cells as they are, larger samples' from their sketch."""
+    large = samples_over(full, limit)
+    moved = transfer_layout(*[df.join(large, "sample_id", "left_semi") for df in (sketch, layout, full)], k)
+    return layout.join(large, "sample_id", "left_anti").select(moved.columns).unionByName(moved)
+
+
 # -- graph clusters ---------------------------------------------------------------------------------------------------
 
 
