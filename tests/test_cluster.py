@@ -73,3 +73,17 @@ def test_layout_of_all_moves_only_cells_outside_the_sketch(spark):
     layout = drawn.select("sample_id", "cell_id", (F.col("cell_id") % 2).cast("double").alias("x"), F.lit(3.0).alias("y"))
     got = cluster.layout_of_all(drawn, layout, points, 5, 50).toPandas()
     assert len(got) == 120 and np.allclose(got.x, got.cell_id % 2) and np.allclose(got.y, 3)
+
+
+def test_louvain_has_all_resolutions_and_raises_at_its_bounds(spark, monkeypatch):
+    pairs = [(s, 10 * g + i, 10 * g + j, 1.0) for s, m in (("a", 1), ("b", 3)) for g in range(m) for i in range(5) for j in range(i + 1, 5)]
+    edges = spark.createDataFrame(pairs, "sample_id string, src long, dst long, weight double")
+    groups = {}
+    for r in cluster.louvain(edges).collect():
+        groups.setdefault((r["sample_id"], r["cluster"]), set()).add(r["cell_id"] // 10)
+    assert sorted(map(str, groups.values())) == ["{0}", "{0}", "{1}", "{2}"]
+    with pytest.raises(RuntimeError):
+        cluster.louvain(edges, sweeps=1)
+    monkeypatch.setattr(cluster, "louvain", lambda edges, r, cells=None: edges.selectExpr("sample_id", "src AS cell_id", "0 AS cluster"))
+    got = entry.queries()["c6_louvain"](spark, SF)
+    assert {r[0] for r in got.select("resolution").distinct().collect()} == {0.25, 0.5, 0.75, 1.0}

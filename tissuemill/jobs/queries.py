@@ -670,7 +670,7 @@ def _points(spark, d):
 
 @query()
 def c6_louvain(spark, d):
-    return cluster.clusters(cluster.snn(cluster.knn(_points(spark, d))), (0.5, 1.0))
+    return cluster.clusters(cluster.snn(cluster.knn(_points(spark, d))))
 
 
 @query()

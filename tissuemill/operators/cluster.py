@@ -235,12 +235,13 @@ def layout_of_all(sketch: DataFrame, layout: DataFrame, full: DataFrame, k: int
 # -- graph clusters ---------------------------------------------------------------------------------------------------
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None = None, sweeps: int = 8, levels: int = 4) -> DataFrame:
+def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None = None, sweeps: int = 200, levels: int = 50) -> DataFrame:
     """(sample_id, cell_id, cluster): modularity clusters of a weighted graph (src < dst), 0 being the largest.
 
     In a sweep every node weighs the communities of its neighbours by modularity gain; a half of the nodes, chosen by a
-    hash, move at once. After the sweeps communities become nodes. Sweeps end when nothing moves or modularity no longer
-    rises; the best partition counts. Every sweep's labels go to shared storage.
+    hash, move at once. After the sweeps communities become nodes. Each sample ends its sweeps when no node would move or its
+    modularity has not risen for four sweeps, its own best partition counts, and it is done when no nodes merge. At the
+    bounds of sweeps and levels this is an error. Every sweep's labels go to shared storage.
     """
     both = edges.select("sample_id", F.col("src").alias("a"), F.col("dst").alias("b"), "weight").union(edges.select("sample_id", "dst", "src", "weight"))
     graph = materialise(both)
@@ -251,16 +252,22 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
         total = graph.groupBy("sample_id").agg(F.sum("weight").alias("m2"))
         label = materialise(degree.select("sample_id", F.col("a").alias("node"), F.col("a").alias("c"), "d"))
 
-        def modularity(label: DataFrame) -> float:
+        def state(label: DataFrame) -> dict:
+            """Of each sample, its modularity and the number of nodes that would move."""
             at = label.select("sample_id", "node", "c")
             own = graph.join(at.withColumnsRenamed({"node": "a", "c": "ca"}), ["sample_id", "a"]).join(at.withColumnsRenamed({"node": "b", "c": "cb"}), ["sample_id", "b"])
             inside = own.where("ca = cb").groupBy("sample_id").agg(F.sum("weight").alias("w"))
-            mass = label.groupBy("sample_id", "c").agg(F.sum("d").alias("s")).groupBy("sample_id").agg(F.sum(F.col("s") * F.col("s")).alias("s2"))
-            q = total.join(mass, "sample_id").join(inside, "sample_id", "left").agg(F.sum(F.coalesce("w", F.lit(0.0)) / F.col("m2") - resolution * F.col("s2") / F.col("m2") / F.col("m2"))).first()[0]
-            return q or 0.0
+            mass = label.groupBy("sample_id", "c").agg(F.sum("d").alias("s"), F.sum("wish").alias("wish")).groupBy("sample_id").agg(F.sum(F.col("s") * F.col("s")).alias("s2"), F.sum("wish").alias("wish"))
+            q = F.coalesce("w", F.lit(0.0)) / F.col("m2") - resolution * F.col("s2") / F.col("m2") / F.col("m2")
+            return {r["sample_id"]: (r["q"], r["wish"]) for r in total.join(mass, "sample_id").join(inside, "sample_id", "left").select("sample_id", q.alias("q"), "wish").collect()}
 
-        best, best_q, quiet = label, modularity(label), 0
+        tables = [label]
+        best = {sample: (q, 0, 0) for sample, (q, _) in state(label.withColumn("wish", F.lit(1))).items()}  # modularity, its sweep, sweeps since
+        active = set(best)
         for sweep in range(sweeps):
+            if not active:
+                break
+            label = label.where(F.col("sample_id").isin(sorted(active)))
             mass = label.groupBy("sample_id", "c").agg(F.sum("d").alias("mass"))
             near = graph.where("a <> b").join(label.select("sample_id", F.col("node").alias("b"), "c"), ["sample_id", "b"]).groupBy("sample_id", F.col("a").alias("node"), "c").agg(F.sum("weight").alias("w"))
             stay = label.select("sample_id", "node", "c", F.lit(0.0).alias("w"))
@@ -270,20 +277,29 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
             gain = F.round(F.col("w") - resolution * F.col("d") * others / F.col("m2"), 9)
             move = choice.groupBy("sample_id", "node").agg(F.max_by("c", F.struct(gain, (F.col("c") == F.col("old")).cast("int"), F.col("c"))).alias("new"), F.first("old").alias("old"), F.first("d").alias("d"))
             awake = F.pmod(F.xxhash64("node", F.lit(sweep + 100 * level)), F.lit(2)) == 0
-            label = materialise(move.select("sample_id", "node", F.when(awake, F.col("new")).otherwise(F.col("old")).alias("c"), "d"))
-            q = modularity(label)
-            quiet = 0 if q > best_q + 1e-7 else quiet + 1
-            if q > best_q:
-                best, best_q = label, q
-            if quiet == 2:
-                break
-        merged = best.select("sample_id", F.col("node").alias("_n"), F.col("c").alias("_c"))
-        before = of.select("sample_id", "node").distinct().count()
-        of = materialise(of.join(merged, (of["sample_id"] == merged["sample_id"]) & (of["node"] == merged["_n"])).select(of["sample_id"], "cell_id", F.col("_c").alias("node")))
-        ma, mb = merged.withColumnsRenamed({"_n": "a", "_c": "na"}), merged.withColumnsRenamed({"_n": "b", "_c": "nb"})
-        graph = materialise(graph.join(ma, ["sample_id", "a"]).join(mb, ["sample_id", "b"]).groupBy("sample_id", F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("weight").alias("weight")))
-        if of.select("sample_id", "node").distinct().count() == before:
+            wish = (F.col("new") != F.col("old")).cast("int").alias("wish")
+            label = materialise(move.select("sample_id", "node", F.when(awake, F.col("new")).otherwise(F.col("old")).alias("c"), "d", wish))
+            tables.append(label)
+            for sample, (q, wishes) in state(label).items():
+                top, at, quiet = best[sample]
+                quiet = 0 if q > top + 1e-7 else quiet + 1
+                best[sample] = (q, len(tables) - 1, quiet) if q > top else (top, at, quiet)
+                if not wishes or quiet == 4:
+                    active.discard(sample)
+        if active:
+            raise RuntimeError(f"louvain did not settle in {sweeps} sweeps")
+        chosen = label.select("sample_id", "node", "c").limit(0)
+        for at in sorted({at for _, at, _ in best.values()}):
+            chosen = chosen.union(tables[at].where(F.col("sample_id").isin(sorted(k for k, v in best.items() if v[1] == at))).select("sample_id", "node", "c"))
+        merged = materialise(chosen.select("sample_id", F.col("node").alias("_n"), F.col("c").alias("_c")))
+        going = [r[0] for r in merged.groupBy("sample_id").agg(F.count("*").alias("n"), F.countDistinct("_c").alias("m")).where("m < n").collect()]
+        if not going:
             break
+        of = materialise(of.join(merged, (of["sample_id"] == merged["sample_id"]) & (of["node"] == merged["_n"]), "left").select(of["sample_id"], "cell_id", F.coalesce("_c", "node").alias("node")))
+        ma, mb = merged.withColumnsRenamed({"_n": "a", "_c": "na"}), merged.withColumnsRenamed({"_n": "b", "_c": "nb"})
+        graph = materialise(graph.where(F.col("sample_id").isin(going)).join(ma, ["sample_id", "a"]).join(mb, ["sample_id", "b"]).groupBy("sample_id", F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("weight").alias("weight")))
+    else:
+        raise RuntimeError(f"louvain did not settle in {levels} levels")
     if cells is not None:  # cells without an edge are clusters of their own
         of = cells.select(*CELL).join(of, CELL, "left").select(*CELL, F.coalesce("node", F.concat(F.lit("alone "), F.col("cell_id").cast("string"))).alias("node"))
     sizes = of.groupBy("sample_id", "node").agg(F.count("*").alias("n"), F.min("cell_id").alias("least"))
