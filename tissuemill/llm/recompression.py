@@ -1,4 +1,4 @@
-"""Substring dedup by recompression: equal word sequences get equal interior symbols, which reveal and verify repeats.
+"""Substring dedup by content-anchored windows: equal word sequences get equal interior symbols, which choose the anchors.
 
 Every word has a 64-bit name made from its bytes. A round replaces a run (two equal neighbours that aren't part of a longer
 run) or a pair (a left symbol followed by a right one; a bit of the name says which) by one symbol, whose name is made
