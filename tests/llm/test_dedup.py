@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -6,9 +7,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import helpers as h
-from tissuemill.llm import recompression, simhash, suffix_dedup
+from tissuemill.llm import recompression, repeats, simhash, suffix_dedup
 from tissuemill.llm.components import components
 
+SF = "/root/testdata/sf0.001/documents.parquet"
 WORDS = [f"w{i}" for i in range(60)]
 
 
@@ -41,13 +43,56 @@ def test_suffix_dedup_is_brute_force(spark, hot):
     assert [tuple(r)[1:] for r in got] == h.suffix_dedup(rows)
 
 
-def test_suffix_dedup_over_slices_and_batches(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 300)
-    find = suffix_dedup.finder(100)
+def test_records_of_long_rows_hold_every_window_once(monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 300)
     text = np.frombuffer((passage(random.Random(1), 400)).encode(), np.uint8)
-    hh, ctx, row, pos, n = find(text, np.array([0, len(text)]))
-    covered = sorted(x for a, k in zip(pos.tolist(), n.tolist()) for x in range(a, a + k))
-    assert covered == list(range(len(text) - 99))  # every window has one record
+    for bounds in ([0, len(text)], [0, 250, 330, 700, len(text)]):
+        h_, row, pos, n = repeats.anchored(suffix_dedup._mixed(text), np.array(bounds), 100, suffix_dedup.GRAM)
+        covered = sorted({bounds[r] + x for r, a, k in zip(row.tolist(), pos.tolist(), n.tolist()) for x in range(a, a + k)})
+        assert covered == [x for a, z in zip(bounds, bounds[1:]) for x in range(a, z - 99)]
+
+
+@given(st.lists(st.sampled_from(b"ab"), min_size=1, max_size=80).map(bytes))
+@settings(max_examples=100, deadline=None)
+def test_common_prefixes(text):
+    order = suffix_dedup.two_stage_suffix_array(np.frombuffer(text, np.uint8), 96)
+    got = suffix_dedup.common_prefixes(np.frombuffer(text, np.uint8), order, 20)
+    want = [0] + [len(os.path.commonprefix([text[a:], text[b:]])) for a, b in zip(order, order[1:])]
+    assert got.tolist() == [min(x, 20) for x in want]
+
+
+def test_nothing_is_removed_without_the_suffix_arrays(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "judged", lambda fetched, length: spark.createDataFrame([], suffix_dedup.JUDGED))
+    assert {r["n_removed"] for r in suffix_dedup.dedup(h.frame(spark, corpus())).collect()} == {0}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")
+def test_suffix_dedup_of_the_test_table(spark):
+    docs = spark.read.parquet(SF)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    got = suffix_dedup.dedup(docs).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == h.suffix_dedup(rows)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")
+def test_substring_dedup_of_the_test_table(spark):
+    docs = spark.read.parquet(SF)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    got = recompression.dedup(docs).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == h.window_dedup(rows)
+
+
+def test_long_texts(spark):
+    """A text of over 1 MiB, whose end repeats its beginning and another text."""
+    rng = random.Random(13)
+    head = passage(rng, 400)
+    long = head + " " + " ".join(f"{rng.getrandbits(48):x}" for _ in range(100_000)) + " " + head
+    assert len(long) > 1 << 20
+    rows = [(1, long), (2, passage(rng, 30) + " " + long[-3000:])]
+    got = suffix_dedup.dedup(h.frame(spark, rows)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == h.suffix_dedup(rows)
+    got = recompression.dedup(h.frame(spark, rows), room=1000).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == h.window_dedup(rows)
 
 
 def test_suffix_dedup_repeated_ids_nulls_and_empty(spark):
@@ -68,27 +113,39 @@ def test_text_without_repeats_keeps_rows_columns_and_characters(spark):
     assert docs.columns == list(got[0].asDict())
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_substring_dedup_is_brute_force(spark, hot):
+@pytest.mark.parametrize("room", [recompression.CHUNK, 120])
+def test_substring_dedup_is_brute_force(spark, room):
     rows = corpus(8) + [(70 + i, "a " * k + "b") for i, k in enumerate((10, 49, 50, 51, 120, 300))]
-    got = recompression.dedup(h.frame(spark, rows).repartition(5), hot=hot).orderBy("doc_id").collect()
+    got = recompression.dedup(h.frame(spark, rows).repartition(5), room=room).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in got] == h.window_dedup(rows)
 
 
-def test_recompression_symbols_agree_inside_equal_windows():
+def test_words_are_told_apart_by_their_letters(spark):
+    """Two words that a polynomial hash modulo a power of two can't tell apart."""
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - b for b in bits]
+    base = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, base + " " + "".join("ab"[b] for b in bits)), (2, base + " " + "".join("ba"[b] for b in bits)), (3, base + " " + "".join("ba"[b] for b in bits))]
+    got = recompression.dedup(h.frame(spark, rows)).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in got] == [0, 0, 50]
+
+
+def test_symbols_agree_inside_equal_windows():
+    """With numbers for parts as an oracle gives them, equal windows have equal settled symbols at equal places."""
     rng = random.Random(4)
-    left, right, longest = recompression.Rounds().reach()
-    middle = [rng.choice("abc") for _ in range(50)]
-    kept = []
-    for _ in range(20):
-        text = " ".join([rng.choice("abc") for _ in range(rng.randrange(40))] + ["|"] * 0 + middle + [rng.choice("abc") for _ in range(rng.randrange(40))])
-        before = len(text.split()) - 0
-        names, bounds = recompression.words_named(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
-        starts, symbols = recompression.compressed(names, bounds)
-        at = next(i for i in range(before - 49) if text.split()[i : i + 50] == middle)
-        inside = {int(s) - at: int(x) for s, x in zip(starts, symbols) if left <= s - at <= 50 - right}
-        kept.append(inside)
-    assert kept[0] and all(k == kept[0] for k in kept)
+    middle = [rng.choice([1, 2, 3]) for _ in range(50)]
+    names, inside = {}, []
+    for _ in range(30):
+        left, right = ([rng.choice([1, 2, 3]) for _ in range(rng.randrange(40))] for _ in range(2))
+        word = np.array(left + middle + right)
+        p = recompression.Parse.of_words(word, np.array([len(word)]))
+        for turn in range(4):
+            p, want, parts = p.step(turn)
+            p.sym[want] = [names.setdefault(tuple(x), len(names) + 10) for x in parts.T.tolist()]
+        a = len(left)
+        inside.append({(s - a, e - a): x for x, s, e, lo, hi in zip(p.sym.tolist(), p.start.tolist(), p.end.tolist(), p.lo.tolist(), p.hi.tolist()) if lo >= a and hi <= a + 50})
+    assert inside[0] and all(x == inside[0] for x in inside)
 
 
 def test_substring_dedup_edges(spark):
@@ -142,3 +199,21 @@ def test_chain_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (200, 200)], "u long, v long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+BIG = 2**62 + 5
+
+
+@pytest.mark.parametrize("ids", [[BIG, BIG, 1, 2], [None, None, -(2**63), 5], [None, 2**63 - 1, -(2**63), 7], ["b", "b", "a", None]])
+def test_ids_of_any_size_or_type(spark, ids):
+    """Repeated, null, very large and text ids, beside a map column: rows are documents, ordered by id and text."""
+    text = passage(random.Random(3), 70)
+    kind = "string" if isinstance(ids[0], str) else "long"
+    docs = spark.createDataFrame([(i, text, {"k": 1}) for i in ids], f"doc_id {kind}, text string, extra map<string,int>")
+    for got in (suffix_dedup.dedup(docs).collect(), recompression.dedup(docs).collect()):
+        assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(map(str, ids))
+        assert sorted(r["n_removed"] > 0 for r in got) == [False, True, True, True]
+        first = next(r["doc_id"] for r in got if not r["n_removed"])
+        assert first is None if None in ids else first == min(ids)
+    kept = suffix_dedup.without_repeats(docs).collect()
+    assert sorted(len(r["text"]) for r in kept) == [0, 0, 0, len(text)] and all(r["extra"] == {"k": 1} for r in kept)

@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tissuemill.functions.storage import materialise, shared_dir
 
-__all__ = ["as_int64", "filtered", "groups_of_rows", "materialise", "packed", "shared_dir", "table", "text_buffer", "unique_keys"]
+__all__ = ["as_int64", "filtered", "groups_of_rows", "materialise", "packed", "packed_lists", "shared_dir", "table", "text_buffer", "unique_keys"]
 
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19
@@ -32,22 +33,28 @@ def filtered(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
-def unique_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with a long ``_key`` that is unique, not null and ordered as doc_id.
+def unique_keys(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with a long ``_key`` that is unique, not null and ordered as doc_id; and how results get their rows back.
 
-    With unique doc_ids the key is the doc_id. A null doc_id counts as smaller than all others. Rows that repeat a doc_id
-    count as different documents, ordered by their text; ids are then scaled to make room.
+    With unique, whole-numbered doc_ids the key is the doc_id. Else rows are ordered by doc_id (nulls first) and text over
+    range partitions, and numbered there by partition and place: no arithmetic on ids, whatever their size or type. Rows equal
+    in both come in any order. The numbers are written down with the rows, so that every later read has the same.
     """
-    ids = docs.groupBy("doc_id").count().agg(
-        F.coalesce(F.max("count"), F.lit(1)).alias("most"),
-        F.coalesce(F.count_if(F.col("doc_id").isNull()), F.lit(0)).alias("nulls"),
-        F.coalesce(F.min("doc_id"), F.lit(0)).alias("low"),
-    ).first()
-    if ids["most"] <= 1 and not ids["nulls"]:  # coalesce tells Spark that there are no nulls: no filter, equal exchanges
-        return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(ids["low"] - 1)))
-    last = [F.xxhash64("_row")] if "_row" in docs.columns else []
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), *last))
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(ids["low"] - 1)) * F.lit(ids["most"]) + F.coalesce(nth, F.lit(1)) - 1)
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        seen = docs.groupBy("doc_id").count().agg(F.coalesce(F.max("count"), F.lit(1)), F.coalesce(F.count_if(F.col("doc_id").isNull()), F.lit(0))).first()
+        if tuple(seen) == (1, 0):  # coalesce tells Spark that there are no nulls: no filter, equal exchanges
+            keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")))
+            return keyed, lambda out: keyed.drop("text").join(out, "_key")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first(), F.col("_turn")]
+    ranged = docs.withColumn("_turn", F.rand(7)).repartitionByRange(*order).sortWithinPartitions(*order)
+    keyed = materialise(ranged.drop("_turn").withColumn("_key", F.monotonically_increasing_id()))
+    return keyed, lambda out: keyed.drop("text").join(out, "_key")
+
+
+def packed_lists(chunk: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row: a number and a list for each column."""
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists], ["chunk", *columns])
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

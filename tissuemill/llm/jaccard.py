@@ -119,7 +119,7 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, group: int = 64, width:
     (128 bits), and rows without a word are copies of each other. All columns stay as they are. Of rows that repeat a doc_id,
     the one with the least text counts as first; a null doc_id counts as the smallest.
     """
-    keyed = unique_keys(packed(docs))
+    keyed, _ = unique_keys(packed(docs))
     texts = keyed.select(F.col("_key").alias("id"), "text")
     found = materialise(marks(texts, width))
     least = found.groupBy("low", "high").agg(F.min("id").alias("least"))

@@ -1,46 +1,48 @@
-"""Substring dedup by content-anchored windows: equal word sequences get equal interior symbols, which choose the anchors.
-
-Every word has a 64-bit name made from its bytes. A round replaces a run (two equal neighbours that aren't part of a longer
-run) or a pair (a left symbol followed by a right one; a bit of the name says which) by one symbol, whose name is made
-from the names of its parts. As names come from contents alone, all tasks name alike and no exchange of names is needed;
-a symbol that starts at a word is settled by a few words around it (``Rounds`` counts how many), so that all windows with
-equal words have the same symbols inside, wherever they stand.
+"""Substring dedup by recompression: Spark rounds name runs and pairs of symbols for the whole corpus.
+
+What may repeat (see ``repeats``) is cut out of the documents as stretches of words, and stretches are put into chunks of
+bounded size, one row a chunk. Symbols are numbers that stand for word sequences, equal numbers for equal sequences:
+
+* Round 0 names words by their letters. Each chunk files its distinct words, Spark brings equal words of all chunks
+  together, gives each one number, and sends the numbers back to the chunks.
+* Every further round does so with runs (a symbol and how often it stands there in a row) and pairs (a left symbol followed
+  by a right one; a bit drawn from the symbol and the round tells which it is). Names are given by the parts' exact
+  numbers, so a number stands for one word sequence; no hash decides.
+* What occurs once in the corpus gets the number 0 and is named no further.
+
+A symbol depends on the words from ``lo`` to ``hi`` around it, which the rounds keep track of. Windows that hold all of them
+have the symbol inside, wherever they stand: equal windows have equal symbols at equal places. A window that holds a
+symbol of number 0 therefore repeats nowhere. Each other window is filed under the first symbol of the last round inside
+it. Windows in a row under one symbol are one record, verified as a whole by the numbers of all its words; where one symbol
+has records of different words, their windows are verified one by one.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tissuemill.llm.common import SLICE_BYTES, text_buffer, unique_keys
-from tissuemill.llm.repeats import HOT, covered_spans, merged, with_spans
-from tissuemill.llm.suffix_dedup import PLACES, _originals, sliding_least
+from tissuemill.llm.common import SLICE_BYTES, materialise, packed_lists, text_buffer, unique_keys
+from tissuemill.llm.repeats import anchored, in_all_salts, merged, runs, salted, slices, with_spans
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 LETTERS = np.random.default_rng(17).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-@dataclass(frozen=True)
-class Rounds:
-    """The rounds in order, and what settles a symbol: ``left`` words before its start, ``right`` from its start on."""
-
-    kinds: tuple[str, ...] = ("runs", "pairs", "pairs")
-
-    def reach(self) -> tuple[int, int, int]:
-        left, right, longest = 0, 1, 1
-        for kind in self.kinds:
-            # a run is settled by the symbols two before and two after, a pair by one before and one after
-            left, right, longest = left + longest * (2 if kind == "runs" else 1), right + longest * (2 if kind == "runs" else 1), 2 * longest
-        return left, right, longest
+#: Words of a chunk.
+CHUNK = 1 << 17
+#: Rounds after the words' own: symbols of the last are some four words long, and a window holds what settles several of them.
+ROUNDS = 5
+#: Words of a gram of the sieve.
+GRAM = 16
+NEVER = 1 << 40
 
 
 @lru_cache(maxsize=8)
@@ -65,15 +67,15 @@ def stirred(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def spans_named(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
-    """A hash of names[start:end] for each start and end."""
+def spans_hashed(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
+    """A hash of names[start:end] for each start and end. It serves the sieve only: equal spans have equal hashes."""
     up, down = powers(base, len(names))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(names * up[: len(names)], dtype=np.uint64)))
     return stirred((sums[ends] - sums[starts]) * down[starts])
 
 
-def words_named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The names of all words of the rows, and the rows' n+1 offsets in them."""
+def words_hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of the rows, for the sieve, and the rows' n+1 offsets in the words."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     dark = ~BLANK[data]
@@ -89,120 +91,371 @@ def words_named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     while a < len(starts):  # long rows in pieces that end between words
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + step)))
         low, high = starts[a], ends[b - 1]
-        names[a:b] = spans_named(LETTERS[data[low:high]], starts[a:b] - low, ends[a:b] - low, BASES[0])
+        names[a:b] = spans_hashed(LETTERS[data[low:high]], starts[a:b] - low, ends[a:b] - low, BASES[0])
         a = b
     return names, np.searchsorted(starts, offsets)
 
 
-def compressed(names: np.ndarray, offsets: np.ndarray, rounds: Rounds = Rounds()) -> tuple[np.ndarray, np.ndarray]:
-    """The starts (word numbers) and names of the symbols after all rounds; symbols stay inside their rows."""
-    starts = np.arange(len(names))
-    fence = np.zeros(len(names) + 1, bool)
-    fence[offsets] = True
-    for level, kind in enumerate(rounds.kinds):
-        if len(starts) < 2:
-            break
-        joint = ~fence[starts[1:]]  # symbols i and i+1 are neighbours of one row
-        if kind == "runs":
-            equal = joint & (names[1:] == names[:-1])
-            join = equal.copy()
-            join[1:] &= ~equal[:-1]
-            join[:-1] &= ~equal[1:]
-        else:
-            right = (stirred(names + np.uint64(level + 1)) & np.uint64(1)).astype(bool)
-            join = joint & ~right[:-1] & right[1:]
-        heads = np.flatnonzero(join)
-        names = names.copy()
-        names[heads] = stirred(names[heads] * BASES[1] + names[heads + 1] + np.uint64(level))
-        keep = np.ones(len(names), bool)
-        keep[heads + 1] = False
-        names, starts = names[keep], starts[keep]
-    return starts, names
-
-
-def finder(length: int, rounds: Rounds = Rounds()):
-    left, right, longest = rounds.reach()
-    places = length - left - right + 1
-    if places < longest:
-        raise ValueError("windows are too short for these rounds")
-
-    def find(data: np.ndarray, offsets: np.ndarray):
-        words, bounds = words_named(data, offsets)
-        out = []
-        step = int(PLACES) - 2 * length
-        pieces = [(0, 0, len(words))] if len(words) <= step else [(a, a, min(len(words), a + step + length - 1)) for a in range(0, len(words), step)]
-        starts, names = compressed(words, bounds, rounds)
-        key = np.full(len(words), np.iinfo(np.uint64).max)
-        key[starts] = stirred(names) & ~PLACES
-        around = np.concatenate((words, np.zeros(length, np.uint64)))
-        for a, _, b in pieces:
-            if b - a < length:
-                continue
-            own = key[a:b].copy()
-            placed = own != np.iinfo(np.uint64).max
-            own[placed] |= np.flatnonzero(placed).astype(np.uint64)
-            least = sliding_least(own, places)[left : left + b - a - length + 1]
-            anchor = (least & PLACES).astype(np.int64)
-            for end in (bounds[1:-1] - a).tolist():
-                if 0 < end < b - a:
-                    anchor[max(0, end - length + 1) : end] = -1
-            first = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1))
-            n = np.diff(np.concatenate((first, [len(anchor)])))
-            good = anchor[first] >= 0
-            first, n = first[good], n[good]
-            at = anchor[first] + a
-            h = spans_named(around, at - left, at + right, BASES[1]) >> np.uint64(16)
-            view, digest = memoryview(words).cast("B"), xxhash.xxh3_64_intdigest
-            first = first + a
-            ctx = np.array([digest(view[8 * x : 8 * y]) for x, y in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], np.uint64)
-            row = np.searchsorted(bounds, first, "right") - 1
-            out.append((h, ctx, row, first - bounds[row], n))
-        if not out:
-            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-        return tuple(map(np.concatenate, zip(*out, strict=True)))
-
-    return find
-
-
-def window_names(words: np.ndarray, length: int) -> np.ndarray:
-    """128-bit names of all windows of a row: n x 2."""
-    starts = np.arange(len(words) - length + 1)
-    return np.stack([spans_named(words, starts, starts + length, base) for base in BASES], axis=1)
-
-
-def covered_windows(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray, payload: list[bytes]) -> np.ndarray:
-    """For each window of each record in turn: whether a smaller document has a window of that name."""
-    names = np.frombuffer(b"".join(payload), np.uint64).reshape(-1, 2)
-    docs = np.repeat(doc, n)
-    by = np.lexsort((docs, names[:, 1], names[:, 0]))
-    fresh = np.ones(len(by), bool)
-    fresh[1:] = (names[by[1:]] != names[by[:-1]]).any(axis=1)
-    least = docs[by][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    bad = np.zeros(len(by), bool)
-    bad[by] = docs[by] > least
-    return bad
-
-
-def removal_spans(keyed: DataFrame, length: int = 50, hot: int = HOT, rounds: Rounds = Rounds()) -> DataFrame:
-    """Spans (doc, b, e), in words, that windows found in a smaller document cover."""
+def sieved(keyed: DataFrame, length: int) -> DataFrame:
+    """(doc, wanted): for each document, the records (pos, n) of windows whose anchor occurs more than once."""
+    gram = min(GRAM, length)
+
+    def work(keys: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
+        words, bounds = words_hashed(data, offsets)
+        if len(words) < length:
+            return None
+        at = np.arange(len(words))
+        h, row, pos, n = anchored(spans_hashed(words, at, np.minimum(at + gram, len(words)), BASES[1]), bounds, length, gram)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[row]), pa.array(pos), pa.array(n)], ["h", "doc", "pos", "n"])
+
+    found = slices(keyed, work, "h long, doc long, pos long, n long")
+    often = in_all_salts(found.groupBy("h").count().where("count > 1").select("h"))
+    kept = found.withColumn("salt", salted(F.col("doc"))).join(often, ["h", "salt"])
+    return kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "n")).alias("wanted"))
+
+
+CHUNKS = "chunk long, doc array<long>, at array<long>, size array<long>, text binary"
+
+
+def chunks(keyed: DataFrame, wanted: DataFrame, length: int, room: int = CHUNK) -> DataFrame:
+    """The stretches of words that hold all wanted windows, one row for some ``room`` words; longer ones overlap by a window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
+        doc, at, size, text = [], [], [], []
 
-    def cut(text: np.ndarray, pos: np.ndarray, n: np.ndarray) -> list[bytes]:
-        words, _ = words_named(text, np.array([0, len(text)]))
-        names = window_names(words, length)
-        return [names[a : a + k].tobytes() for a, k in zip(pos.tolist(), n.tolist(), strict=True)]
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made]), *[pa.array([x], pa.list_(pa.int64())) for x in (doc, at, size)], pa.array([b" ".join(text)], pa.binary())], ["chunk", "doc", "at", "size", "text"])
 
-    return covered_spans(keyed, length, finder(length, rounds), cut, covered_windows, lambda p, n: np.frombuffer(p, np.uint64).reshape(-1, 2), False, hot)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for k, (key, records) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                words = data[offsets[k] : offsets[k + 1]].tobytes().split()
+                for b, e in merged([(r["pos"], r["pos"] + r["n"] + length - 1) for r in records]):
+                    for x in range(b, max(b + 1, e - length + 1), room):
+                        y = min(e, x + room + length - 1)
+                        doc.append(key)
+                        at.append(x)
+                        size.append(y - x)
+                        text += words[x:y]
+                        if len(text) >= room:
+                            yield row()
+                            made += 1
+                            doc, at, size, text = [], [], [], []
+        if doc:
+            yield row()
+
+    rows = keyed.join(wanted, keyed["_key"] == wanted["doc"]).select("_key", "text", "wanted")
+    return materialise(rows.mapInArrow(run, CHUNKS))
+
+
+def _each(df: DataFrame, work: Callable[..., pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``work`` over rows of chunks; list columns come as numpy arrays, null ones as None."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                cells = [c[k] for c in batch.columns]
+                out = work(*[c.values.to_numpy(zero_copy_only=False) if pa.types.is_list(c.type) and c.is_valid else c.as_py() for c in cells])
+                if out is not None:
+                    yield out
+
+    return df.mapInArrow(run, schema)
+
+
+def _filed(chunk: int, columns: dict[str, np.ndarray | list]) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    cols = [pa.array(np.full(n, chunk)), pa.array(np.arange(n, dtype=np.int32)), *[c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]]
+    return pa.RecordBatch.from_arrays(cols, ["chunk", "nth", *columns])
+
+
+def named(filed: DataFrame, keys: list[str]) -> DataFrame:
+    """One number for each distinct key of all chunks that occurs more than once: (chunk, numbers of struct<nth, id>).
+
+    ``filed``: (chunk, nth, keys, n). Each chunk files a key once, so that a key has a row for each chunk at most. The numbers
+    are written down: a lost task reads them again and gives no new ones.
+    """
+    alike = filed.groupBy(*keys).agg(F.collect_list(F.struct("chunk", "nth")).alias("where"), F.sum("n").alias("n")).where("n > 1")
+    numbers = materialise(alike.select((F.monotonically_increasing_id() + 1).alias("id"), "where"))
+    back = numbers.select("id", F.explode("where").alias("w")).select("w.chunk", "w.nth", "id")
+    return back.groupBy("chunk").agg(F.collect_list("nth").alias("nth"), F.collect_list("id").alias("id"))
+
+
+def numbered(count: int, nth: np.ndarray | None, ids: np.ndarray | None) -> np.ndarray:
+    """The number of each key that a chunk has filed; 0 for those that occur nowhere else."""
+    out = np.zeros(count, np.int64)
+    if nth is not None:
+        out[nth] = ids
+    return out
+
+
+def _first_seen(words: list[bytes]) -> tuple[list[int], dict[bytes, int]]:
+    seen: dict[bytes, int] = {}
+    return [seen.setdefault(w, len(seen)) for w in words], seen
+
+
+WORDS = "chunk long, doc array<long>, at array<long>, size array<long>, word array<long>"
+
+
+def words_named(chunked: DataFrame) -> DataFrame:
+    """Round 0: the chunks with the number of each word."""
+
+    def need(chunk: int, text: bytes) -> pa.RecordBatch:
+        nth, seen = _first_seen(text.split())
+        return _filed(chunk, {"key": pa.array(list(seen), pa.binary()), "n": np.bincount(nth, minlength=len(seen))})
+
+    def give(chunk: int, doc: np.ndarray, at: np.ndarray, size: np.ndarray, text: bytes, nth: np.ndarray | None, ids: np.ndarray | None) -> pa.RecordBatch:
+        place, seen = _first_seen(text.split())
+        return packed_lists(chunk, {"doc": doc, "at": at, "size": size, "word": numbered(len(seen), nth, ids)[place]})
+
+    back = named(_each(chunked.select("chunk", "text"), need, "chunk long, nth int, key binary, n long"), ["key"])
+    return materialise(_each(chunked.join(back, "chunk", "left").select("chunk", "doc", "at", "size", "text", "nth", "id"), give, WORDS))
+
+
+def draws(sym: np.ndarray, count: np.ndarray, turn: int) -> np.ndarray:
+    """For each run: whether it is a right one in this round (else a left one)."""
+    x = sym.astype(np.uint64) * BASES[0] + count.astype(np.uint64) * BASES[1] + np.uint64(turn)
+    return (stirred(x) & np.uint64(1)).astype(bool)
+
+
+class Parse:
+    """The symbols of a chunk: number, first and end word, and the words from lo to hi that settle each."""
+
+    def __init__(self, sym: np.ndarray, start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray, fence: np.ndarray):
+        self.sym, self.start, self.end, self.lo, self.hi, self.fence = sym, start, end, lo, hi, fence
+
+    @classmethod
+    def of_words(cls, word: np.ndarray, size: np.ndarray) -> Parse:
+        at = np.arange(len(word))
+        return cls(word, at, at + 1, at, at + 1, np.concatenate(([0], np.cumsum(size))))
+
+    def _around(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each symbol, whether its stretch begins with it; lo of the one before, hi of the one after it."""
+        opens = np.zeros(len(self.start), bool)
+        opens[np.searchsorted(self.start, self.fence[:-1])] = True
+        closes = np.append(opens[1:], True)
+        before = np.where(opens, self.start - 1, np.concatenate(([0], self.lo[:-1])))  # a word outside the stretch: no window holds it
+        after = np.where(closes, self.end + 1, np.concatenate((self.hi[1:], [0])))
+        return opens, before, after
+
+    def runs(self) -> tuple[Parse, np.ndarray]:
+        """Equal neighbours as one symbol of the same number; how many they were."""
+        if not len(self.sym):
+            return self, np.zeros(0, np.int64)
+        opens, before, after = self._around()
+        same = np.zeros(len(self.sym), bool)
+        same[1:] = (self.sym[1:] == self.sym[:-1]) & (self.sym[1:] != 0) & ~opens[1:]
+        head = np.flatnonzero(~same)
+        tail = np.append(head[1:], len(same)) - 1
+        alone = self.sym[head] == 0
+        lo = np.where(alone, self.lo[head], before[head])
+        hi = np.where(alone, self.hi[tail], after[tail])
+        return Parse(self.sym[head], self.start[head], self.end[tail], lo, hi, self.fence), tail - head + 1
+
+    def step(self, turn: int) -> tuple[Parse, np.ndarray, np.ndarray]:
+        """A round: the parse after it, the places of symbols that want a name, and their parts (4 columns)."""
+        now, count = self.runs()
+        opens, before, after = now._around()
+        right = draws(now.sym, count, turn)
+        live = now.sym != 0
+        joint = np.zeros(len(right), bool)
+        joint[:-1] = live[:-1] & live[1:] & ~opens[1:] & ~right[:-1] & right[1:]
+        head = np.ones(len(right), bool)
+        head[1:] = ~joint[:-1]
+        at = np.flatnonzero(head)
+        paired = joint[at]
+        last = at + paired
+        lone = ~paired & live[at]
+        lo = np.where(lone & right[at], before[at], now.lo[at])  # a right one alone: the one before isn't a left one
+        hi = np.where(lone & ~right[at], after[at], now.hi[last])
+        new = Parse(now.sym[at].copy(), now.start[at], now.end[last], lo, hi, now.fence)
+        want = np.flatnonzero(paired | (live[at] & (count[at] > 1)))
+        a, b, both = at[want], last[want], paired[want]
+        parts = np.stack([now.sym[a], count[a], np.where(both, now.sym[b], 0), np.where(both, count[b], 0)])
+        return new, want, parts
+
+
+def _distinct(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct columns of ``parts`` in order, each column's place among them, and how often each occurs."""
+    order = np.lexsort(parts[::-1])
+    sorted_ = parts[:, order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (sorted_[:, 1:] != sorted_[:, :-1]).any(axis=0)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    first = np.flatnonzero(fresh)
+    return sorted_[:, first], place, np.diff(np.append(first, len(order)))
+
+
+STATE = "chunk long, size array<long>, sym array<long>, wide array<int>, back array<int>, ahead array<int>"
+
+
+def _packed_state(chunk: int, size: np.ndarray, p: Parse) -> pa.RecordBatch:
+    wide, back, ahead = (x.astype(np.int32) for x in (p.end - p.start, p.start - p.lo, p.hi - p.end))
+    return packed_lists(chunk, {"size": size, "sym": p.sym, "wide": wide, "back": back, "ahead": ahead})
+
+
+def _unpacked(size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndarray, ahead: np.ndarray) -> Parse:
+    end = np.cumsum(wide, dtype=np.int64)
+    start = end - wide
+    return Parse(sym, start, end, start - back, end + ahead, np.concatenate(([0], np.cumsum(size))))
+
+
+def rounds(words: DataFrame, turns: int = ROUNDS) -> DataFrame:
+    """The chunks' symbols after ``turns`` rounds, each a naming of all runs and pairs of the corpus."""
+
+    def begin(chunk: int, size: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
+        return _packed_state(chunk, size, Parse.of_words(word, size))
+
+    state = _each(words.select("chunk", "size", "word"), begin, STATE)
+    for turn in range(turns):
+
+        def need(chunk: int, *cells: np.ndarray, turn: int = turn) -> pa.RecordBatch | None:
+            _, _, parts = _unpacked(*cells).step(turn)
+            keys, _, n = _distinct(parts)
+            return _filed(chunk, dict(zip("abcd", keys, strict=True)) | {"n": n}) if len(n) else None
+
+        def give(chunk: int, size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndarray, ahead: np.ndarray, nth: np.ndarray | None, ids: np.ndarray | None, turn: int = turn) -> pa.RecordBatch:
+            new, want, parts = _unpacked(size, sym, wide, back, ahead).step(turn)
+            keys, place, _ = _distinct(parts)
+            new.sym[want] = numbered(keys.shape[1], nth, ids)[place]
+            return _packed_state(chunk, size, new)
+
+        names = named(_each(state, need, "chunk long, nth int, a long, b long, c long, d long, n long"), list("abcd"))
+        state = materialise(_each(state.join(names, "chunk", "left"), give, STATE))
+    return state
+
+
+def _settled(p: Parse, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window start: whether it may repeat; its first settled symbol (-1: none); its stretch."""
+    stretch = np.repeat(np.arange(len(p.fence) - 1), np.diff(p.fence))
+    start = np.arange(len(stretch))
+    may = start + length <= p.fence[1:][stretch]
+    once = p.sym == 0
+    may &= np.append(p.hi[once], NEVER)[np.searchsorted(p.lo[once], start)] > start + length
+    i = np.searchsorted(p.lo, start)
+    symbol = np.where(np.append(p.hi, NEVER)[i] <= start + length, i, -1)
+    return may, symbol, stretch
+
+
+def _records(p: Parse, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Records of windows in a row under one symbol: first window, how many, the symbol's number (0: none), stretch."""
+    may, symbol, stretch = _settled(p, length)
+    at = np.flatnonzero(may)
+    if not len(at):
+        return at, at, at, at
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (np.diff(at) != 1) | (symbol[at[1:]] != symbol[at[:-1]]) | (symbol[at[1:]] < 0) | (stretch[at[1:]] != stretch[at[:-1]])
+    first = np.flatnonzero(fresh)
+    n = np.diff(np.append(first, len(at)))
+    at = at[first]
+    return at, n, np.where(symbol[at] >= 0, np.append(p.sym, 0)[symbol[at]], 0), stretch[at]
+
+
+def digests(word: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 128-bit BLAKE2 digest of the word numbers from each start to its end: n x 2."""
+    view = memoryview(np.ascontiguousarray(word)).cast("B")
+    return np.frombuffer(b"".join([hashlib.blake2b(view[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
+
+
+def _least(values: np.ndarray, place: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    low, high = np.full(count, np.iinfo(np.int64).max), np.full(count, np.iinfo(np.int64).min)
+    np.minimum.at(low, place, values)
+    np.maximum.at(high, place, values)
+    return low, high
+
+
+PARSED = ["chunk", "doc", "at", "size", "word", "sym", "wide", "back", "ahead"]
+
+
+def covered_spans(words: DataFrame, state: DataFrame, length: int) -> DataFrame:
+    """Spans (doc, b, e), in words, of the windows that also start in a document with a smaller key."""
+    parsed = words.join(state.drop("size"), "chunk").select(*PARSED)
+
+    def cases(doc, size, word, sym, wide, back, ahead):
+        first, n, number, stretch = _records(_unpacked(size, sym, wide, back, ahead), length)
+        parts = np.concatenate([[number], digests(word, first, first + n + length - 1).T])
+        keys, place, _ = _distinct(parts)
+        return first, n, stretch, keys, place, doc[stretch]
+
+    def file_records(chunk, doc, at, size, word, *cells) -> pa.RecordBatch | None:
+        first, _, _, keys, place, owner = cases(doc, size, word, *cells)
+        low, high = _least(owner, place, keys.shape[1])
+        return _filed(chunk, dict(zip(("number", "k1", "k2"), keys, strict=True)) | {"low": low, "high": high}) if len(first) else None
+
+    filed = _each(parsed, file_records, "chunk long, nth int, number long, k1 long, k2 long, low long, high long")
+    # a record's words: the least document that has them, and whether others stand under their symbol
+    whole = filed.groupBy("number", "k1", "k2").agg(F.min("low").alias("low"), F.collect_list(F.struct("chunk", "nth")).alias("where"))
+    whole = materialise(whole)
+    kinds = whole.where("number <> 0").groupBy("number").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"))
+    many = kinds.where("a <> b or c <> d").select(F.col("number").alias("many"))
+    told = whole.join(many, whole["number"] == many["many"], "left").select("low", F.col("many").isNotNull().alias("several"), F.explode("where").alias("w"))
+    told = told.groupBy("w.chunk").agg(*[F.collect_list(c).alias(c.rpartition(".")[2]) for c in ("w.nth", "low", "several")])
+    judged = materialise(parsed.join(told, "chunk"))
+
+    def windows(chunk, doc, at, size, word, sym, wide, back, ahead, nth, low, several):
+        """Records settled as a whole (b, e), and the windows of the others: start, digest, own document."""
+        first, n, stretch, keys, place, owner = cases(doc, size, word, sym, wide, back, ahead)
+        least, more = np.empty(keys.shape[1], np.int64), np.empty(keys.shape[1], bool)
+        least[nth], more[nth] = low, several
+        gone = owner > least[place]
+        open_ = ~gone & more[place]
+        own = n[open_]
+        start = np.repeat(first[open_], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        keys, where, _ = _distinct(digests(word, start, start + length).T)
+        return first[gone], (first + n + length - 1)[gone], start, keys, where, doc, at, size
+
+    def owners(start: np.ndarray, doc: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return doc[np.searchsorted(np.cumsum(size), start, "right")]
+
+    def file_windows(chunk, *cells) -> pa.RecordBatch | None:
+        _, _, start, keys, where, doc, _, size = windows(chunk, *cells)
+        low, high = _least(owners(start, doc, size), where, keys.shape[1])
+        return _filed(chunk, {"k1": keys[0], "k2": keys[1], "low": low, "high": high}) if len(start) else None
+
+    single = _each(judged, file_windows, "chunk long, nth int, k1 long, k2 long, low long, high long")
+    found = single.groupBy("k1", "k2").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list(F.struct("chunk", "nth")).alias("where")).where("low < high")
+    found = found.select("low", F.explode("where").alias("w")).groupBy("w.chunk").agg(F.collect_list("w.nth").alias("wn"), F.collect_list("low").alias("wlow"))
+
+    def spans(chunk, *cells) -> pa.RecordBatch | None:
+        b, e, start, keys, where, doc, at, size = windows(chunk, *cells[:-2])
+        wn, wlow = cells[-2:]
+        if wn is not None and len(start):
+            least = np.full(keys.shape[1], np.iinfo(np.int64).max)
+            least[wn] = wlow
+            hit = start[owners(start, doc, size) > least[where]]
+            b, e = np.concatenate((b, hit)), np.concatenate((e, hit + length))
+        if not len(b):
+            return None
+        ends = np.cumsum(size)
+        stretch = np.searchsorted(ends, b, "right")
+        covered = np.zeros(int(ends[-1]) + 1, np.int64)  # overlapping spans as one
+        np.add.at(covered, b, 1)
+        np.add.at(covered, e, -1)
+        first, last = runs(np.cumsum(covered)[:-1] > 0, np.repeat(np.arange(len(size)), size))
+        stretch = np.searchsorted(ends, first, "right")
+        shift = at[stretch] - (ends - size)[stretch]
+        return pa.RecordBatch.from_arrays([pa.array(doc[stretch]), pa.array(first + shift), pa.array(last + 1 + shift)], ["doc", "b", "e"])
+
+    return _each(judged.join(found, "chunk", "left"), spans, "doc long, b long, e long")
+
+
+def removal_spans(keyed: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:
+    """Spans (doc, b, e), in words, that windows found in a smaller document cover."""
+    words = words_named(chunks(keyed, sieved(keyed, length), length, room))
+    return covered_spans(words, rounds(words, turns), length)
 
 
-def dedup(docs: DataFrame, length: int = 50, hot: int = HOT) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:
     """Of every text of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
     Words are runs without ASCII white space; each word is removed that lies in a window of ``length`` words whose words
     also stand in a document with a smaller doc_id, judged on the input; kept words are joined by one space. Null texts
-    have no words; texts under ``length`` words stay whole. Rows that repeat a doc_id count as different documents,
-    ordered by text; a null doc_id is the smallest. Repeats inside one document stay.
+    have no words; texts under ``length`` words stay whole. A very long text is cut into pieces of ``room`` words that overlap
+    by a window. Rows that repeat a doc_id count as different documents, ordered by text; a null doc_id is the smallest.
+    Repeats inside one document stay. Other columns aren't looked at; an empty table gives no rows.
     """
-    keyed = unique_keys(docs.select("doc_id", "text"))
+    keyed, ids = unique_keys(docs.select("doc_id", "text"))
     pure = keyed.select("_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,13 +464,13 @@ def dedup(docs: DataFrame, length: int = 50, hot: int = HOT) -> DataFrame:
             total, removed, kept = [], [], []
             for k, spans in enumerate(batch.column(2).to_pylist()):
                 words = data[offsets[k] : offsets[k + 1]].tobytes().split()
-                runs = merged([(s["b"], s["e"]) for s in spans or ()])
+                found = merged([(s["b"], s["e"]) for s in spans or ()])
                 total.append(len(words))
-                removed.append(sum(e - b for b, e in runs))
-                edges = [0, *[x for r in runs for x in r], len(words)]
-                left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]] if runs else words
+                removed.append(sum(e - b for b, e in found))
+                edges = [0, *[x for r in found for x in r], len(words)]
+                left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]] if found else words
                 kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["_key", "n_words", "n_removed", "kept_sha256"])
 
-    out = with_spans(pure, removal_spans(pure, length, hot)).mapInArrow(run, "_key long, n_words long, n_removed long, kept_sha256 string")
-    return _originals(keyed, out).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    out = with_spans(pure, removal_spans(pure, length, turns, room)).mapInArrow(run, "_key long, n_words long, n_removed long, kept_sha256 string")
+    return ids(out).select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -1,16 +1,10 @@
-"""Repeated windows across a corpus: anchors bring equal windows together, a judge decides them exactly.
-
-A window is ``length`` consecutive units (bytes, words) of one document. Each window has one anchor, a place inside it
-chosen by the window's content alone, so equal windows have equal anchors. Consecutive windows with one anchor make a
-record (h, ctx, doc, pos, n): the anchor's name, the name of all their units together, and where they start. That is
-a record for some 40 units, and equal windows always meet under one h.
-
-1. Records whose h occurs once go (a count with map-side combine, then a join; the adaptive skew handling may split it).
-2. Records equal in (h, ctx) are equal in all their windows: all but the first are covered. Copies in one Arrow batch
-   are told apart in the map task already, so that a group of (h, ctx) has a row for each batch at most.
-3. Firsts whose h has several ctx get their units and go, by h, to the judge, which works on bounded chunks of whole h.
-   An h with over ``HOT`` of them is decided window by window instead, by 128-bit names and an aggregate with map-side
-   combine, so that no h makes a large group.
+"""What the two removers of repeated windows share: a sieve that keeps what may repeat, and spans that go back to texts.
+
+A window is ``length`` consecutive units (bytes, words) of one document. Each window has one anchor: of the grams inside it
+the one of least hash. Equal windows have equal anchors. Consecutive windows with one anchor make a record (h, doc, pos, n):
+the anchor's hash and where the windows start, one record for some tens of units. A window whose h occurs once in the
+corpus equals no other. So the sieve only ever drops windows that can't repeat; what stays is judged by each operator's
+own method, whatever the hash.
 """
 
 from __future__ import annotations
@@ -19,153 +13,72 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import groups_of_rows, materialise, text_buffer
-
-#: Firsts of one h that are judged in one chunk; more of them are decided by window names.
-HOT = 20_000
-#: Bytes of units that a judge gets at once, if no single h has more.
-CHUNK = 1 << 20
-
-Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # h, ctx, row, pos, n
-
-
-def _batch(h: np.ndarray, ctx: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray, by_position: bool) -> pa.RecordBatch:
-    """A batch's records: firsts of each (h, ctx), with what they cover as ``dups``."""
-    order = np.lexsort((pos, doc, ctx, h))
-    h, ctx, doc, pos, n = h[order], ctx[order], doc[order], pos[order], n[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])
-    start = np.flatnonzero(fresh)
-    group = np.cumsum(fresh) - 1
-    covered = doc != doc[start][group]
-    if by_position:
-        covered |= pos != pos[start][group]
-    keep = ~covered
-    holders = np.flatnonzero(keep)
-    per = np.zeros(len(holders), np.int64)
-    slot = np.full(len(start), -1)
-    slot[group[holders][::-1]] = np.arange(len(holders))[::-1]  # the first record of each group holds its copies
-    np.add.at(per, slot[group[covered]], 1)
-    dups = pa.StructArray.from_arrays([pa.array(doc[covered]), pa.array(pos[covered])], ["doc", "pos"])
-    bounds = np.concatenate(([0], np.cumsum(per))).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(bounds, mask=np.concatenate((per == 0, [False]))), dups)
-    return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(ctx[keep].view(np.int64)), pa.array(doc[keep]), pa.array(pos[keep]), pa.array(n[keep].astype(np.int32)), lists], ["h", "ctx", "doc", "pos", "n", "dups"])
-
-
-def records(keyed: DataFrame, find: Callable[[np.ndarray, np.ndarray], Found], by_position: bool) -> DataFrame:
+from tissuemill.llm.common import groups_of_rows, text_buffer
+
+PLACES = np.uint64((1 << 20) - 1)
+#: Units of a row that are worked on at once; longer rows go in pieces that overlap by a window.
+PIECE = 1 << 19
+#: Parts that an anchor's records are dealt to when joined, so that a very common anchor isn't one task's.
+SALTS = 8
+
+
+def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours, by doubling."""
+    size = 1
+    while size * 2 <= width:
+        key = np.minimum(key[:-size], key[size:])
+        size *= 2
+    return np.minimum(key[: len(key) - (width - size)], key[width - size :]) if size < width else key
+
+
+def anchored(hashes: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(h, row, pos, n) of the records of rows that lie end to end; ``hashes``: one for the gram at each unit."""
+    total, out = len(hashes), []
+    for a in range(0, max(1, total), PIECE):
+        z = min(total, a + PIECE + length - 1)
+        if z - a < length:
+            break
+        own = hashes[a:z]
+        key = (own & ~PLACES) | np.arange(z - a, dtype=np.uint64)
+        least = sliding_least(key, length - gram + 1)[: z - a - length + 1]
+        anchor = (least & PLACES).astype(np.int32)
+        for end in bounds[np.searchsorted(bounds, a, "right") : np.searchsorted(bounds, z)].tolist():  # no window over the end of a row
+            anchor[max(0, end - a - length + 1) : end - a] = -1
+        first = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1))
+        n = np.diff(np.concatenate((first, [len(anchor)])))
+        good = anchor[first] >= 0
+        first, n = first[good], n[good]
+        row = np.searchsorted(bounds, first + a, "right") - 1
+        out.append((own[anchor[first]] >> np.uint64(16), row, first + a - bounds[row], n))
+        if z == total:
+            break
+    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
+
+
+def slices(keyed: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``work`` over slices of (_key, text): keys, bytes, offsets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = text_buffer(batch.column(1))
-            parts = []
             for i, j in groups_of_rows(offsets):
-                h, ctx, row, pos, n = find(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                if len(h):
-                    parts.append((h, ctx, keys[i:j][row], pos, n))
-            if parts:
-                yield _batch(*map(np.concatenate, zip(*parts, strict=True)), by_position)
-
-    return keyed.mapInArrow(run, "h long, ctx long, doc long, pos long, n int, dups array<struct<doc:long,pos:long>>")
-
-
-def _fetch(wanted: DataFrame, keyed: DataFrame, cut: Callable) -> DataFrame:
-    """The units of wanted records: h, doc, pos, n, hot, payload."""
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "n", "hot")).alias("wanted"))
-    rows = keyed.join(lists, keyed["_key"] == lists["doc"]).select("_key", "text", "wanted")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            lists = batch.column(2)
-            bounds = lists.offsets.to_numpy().astype(np.int64)
-            bounds -= bounds[0]
-            h, pos, n, hot = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
-            keys = batch.column(0).to_numpy()
-            for i, j in groups_of_rows(offsets, 4 << 20):
-                a, b = bounds[i], bounds[j]
-                payload = [x for r in range(i, j) for x in cut(data[offsets[r] : offsets[r + 1]], pos[bounds[r] : bounds[r + 1]], n[bounds[r] : bounds[r + 1]])]
-                doc = np.repeat(keys[i:j], np.diff(bounds[i : j + 1]))
-                yield pa.RecordBatch.from_arrays([pa.array(h[a:b]), pa.array(doc), pa.array(pos[a:b]), pa.array(n[a:b].astype(np.int32)), pa.array(hot[a:b]), pa.array(payload, pa.binary())], ["h", "doc", "pos", "n", "hot", "payload"])
-
-    return rows.mapInArrow(run, "h long, doc long, pos long, n int, hot boolean, payload binary")
-
-
-def _judged(fetched: DataFrame, judge: Callable, length: int) -> DataFrame:
-    """Spans (doc, b, e) of the windows that the judge finds covered; chunks hold whole h groups."""
-
-    def spans(h: list, doc: list, pos: list, n: list, payload: list) -> pa.RecordBatch | None:
-        n = np.array(n, np.int64)
-        hh, doc, pos = np.array(h, np.int64), np.array(doc, np.int64), np.array(pos, np.int64)
-        bad = judge(hh, doc, pos, n, payload)  # for each window of each record in turn
-        row = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        bad = np.flatnonzero(bad)
-        if not len(bad):
-            return None
-        cut = np.flatnonzero((np.diff(bad) != 1) | (np.diff(row[bad]) != 0)) + 1
-        first, last = bad[np.concatenate(([0], cut))], bad[np.concatenate((cut - 1, [len(bad) - 1]))]
-        return pa.RecordBatch.from_arrays([pa.array(doc[row[first]]), pa.array(pos[row[first]] + at[first]), pa.array(pos[row[last]] + at[last] + length)], ["doc", "b", "e"])
+                out = work(keys[i:j], data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                if out is not None:
+                    yield out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], []]
-        size = 0
-        for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in range(5)]
-            for row in zip(*cols, strict=True):
-                if size >= CHUNK and row[0] != held[0][-1]:
-                    if (out := spans(*held)) is not None:
-                        yield out
-                    held, size = [[], [], [], [], []], 0
-                for x, y in zip(held, row, strict=True):
-                    x.append(y)
-                size += len(row[4])
-        if held[0] and (out := spans(*held)) is not None:
-            yield out
+    return keyed.mapInArrow(run, schema)
 
-    return fetched.select("h", "doc", "pos", "n", "payload").repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc long, b long, e long")
 
+def salted(column: Column) -> Column:
+    return F.pmod(column, F.lit(SALTS)).cast("int").alias("salt")
 
-def _by_name(fetched: DataFrame, names: Callable, length: int, by_position: bool) -> DataFrame:
-    """The same spans for records of hot anchors: windows by 128-bit names, minima pre-aggregated before the shuffle."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, pos, n = (batch.column(k).to_numpy().astype(np.int64) for k in (0, 1, 2))
-            found = [names(p.as_py(), k) for p, k in zip(batch.column(3), n.tolist(), strict=True)]
-            if found:
-                all_names = np.concatenate(found)
-                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(all_names[:, 0]).view(np.int64)), pa.array(np.ascontiguousarray(all_names[:, 1]).view(np.int64)), pa.array(np.repeat(doc, n)), pa.array(np.repeat(pos, n) + at)], ["k1", "k2", "doc", "pos"])
-
-    windows = fetched.select("doc", "pos", "n", "payload").mapInArrow(run, "k1 long, k2 long, doc long, pos long")
-    me = F.struct("doc", "pos") if by_position else F.struct("doc")
-    least = windows.groupBy("k1", "k2").agg(F.min(me).alias("first"), F.count("*").alias("c")).where("c > 1")
-    return windows.join(least, ["k1", "k2"]).where(me > F.col("first")).select("doc", F.col("pos").alias("b"), (F.col("pos") + length).alias("e"))
-
-
-def covered_spans(keyed: DataFrame, length: int, find: Callable, cut: Callable, judge: Callable, names: Callable, by_position: bool, hot: int = HOT) -> DataFrame:
-    """Spans (doc, b, e) of ``keyed`` (_key, text) that windows starting earlier elsewhere cover; spans may overlap.
-
-    by_position: "earlier" is a smaller (document, start); else a smaller document.
-    """
-    recs = records(keyed, find, by_position)
-    often = recs.groupBy("h").agg(F.sum(F.when(F.col("dups").isNull(), 1).otherwise(2)).alias("c")).where("c > 1").select("h")
-    me = F.struct("doc", "pos") if by_position else F.struct("doc")
-    later = (me > F.min(me).over(Window.partitionBy("h", "ctx"))).alias("later")
-    ranked = materialise(recs.join(often, "h").select("*", later))
-    firsts = ranked.where("not later").select("h", "ctx", "doc", "pos", "n")
-    many = firsts.groupBy("h").agg(F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
-    wanted = materialise(firsts.join(many, "h").select("h", "doc", "pos", "n", (F.col("c") > hot).alias("hot")))
-    span = lambda df: df.select("doc", F.col("pos").alias("b"), (F.col("pos") + F.col("n") + length - 1).alias("e"))
-    fetched = _fetch(wanted, keyed, cut)
-    out = span(ranked.where("later")).union(span(ranked.where("dups is not null").select(F.explode("dups").alias("d"), "n").select("d.doc", "d.pos", "n")))
-    out = out.union(_judged(fetched.where("not hot"), judge, length))
-    if not wanted.where("hot").isEmpty():
-        out = out.union(_by_name(fetched.where("hot"), names, length, by_position))
-    return out
+def in_all_salts(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def with_spans(keyed: DataFrame, spans: DataFrame) -> DataFrame:
@@ -184,3 +97,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
         else:
             out.append((b, e))
     return out
+
+
+def runs(hit: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of the runs of true neighbours of one group."""
+    at = np.flatnonzero(hit)
+    if not len(at):
+        return at, at
+    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(group[at]) != 0)) + 1
+    return at[np.concatenate(([0], cut))], at[np.concatenate((cut - 1, [len(at) - 1]))]

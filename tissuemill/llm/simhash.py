@@ -121,7 +121,7 @@ def keep_one_of_each(docs: DataFrame, max_bits: int = 2) -> DataFrame:
     All columns stay as they are. Of rows that repeat a doc_id, the one with the least text counts as first; a null
     doc_id counts as the smallest.
     """
-    keyed = unique_keys(packed(docs))
+    keyed, _ = unique_keys(packed(docs))
     found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), max_bits)
     drop = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key"))
     return keyed.join(drop, "_key", "left_anti").select("_row.*")

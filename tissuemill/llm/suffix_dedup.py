@@ -1,4 +1,10 @@
-"""Suffix-array dedup: suffixes sorted in two stages, adjacent common prefixes, repeated byte strings cut out."""
+"""Suffix-array dedup: suffixes sorted in two stages, adjacent common prefixes, repeated byte strings cut out.
+
+What may repeat (see ``repeats``) is filed as records of windows under their anchor. All records of one anchor go into one
+suffix array, each content once: copies of a content (one anchor, length and 128-bit digest of all bytes) have one entry
+with the first of them. Suffixes that share ``length`` bytes or more with their neighbour in the array are equal windows, and
+all but the first of those are covered. A content's verdict holds for its copies: those after the first are covered whole.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import SLICE_BYTES, packed, text_buffer, unique_keys
-from tissuemill.llm.repeats import HOT, covered_spans, merged, with_spans
+from tissuemill.llm.common import groups_of_rows, materialise, packed, text_buffer, unique_keys
+from tissuemill.llm.repeats import anchored, in_all_salts, merged, runs, salted, with_spans
 
 GRAM = 24
-PLACES = np.uint64((1 << 20) - 1)
+#: Contents of one anchor that go into one suffix array by the anchor; beyond, each window goes by its own bytes.
+HOT = 5_000
+#: Bytes of a suffix array, if no single anchor has more. Direct sorting copies 100 bytes for about each second one.
+CHUNK = 1 << 19
 
 
 def _mixed(data: np.ndarray) -> np.ndarray:
@@ -34,46 +43,45 @@ def _mixed(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
-    """The least of each ``width`` neighbours, by doubling."""
-    size = 1
-    while size * 2 <= width:
-        key = np.minimum(key[:-size], key[size:])
-        size *= 2
-    return np.minimum(key[: len(key) - (width - size)], key[width - size :]) if size < width else key
-
-
-def _anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of window starts that share an anchor: the anchor's hash, row, start, number of starts."""
-    if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
-    h = _mixed(data)
-    key = (h & ~PLACES) | np.arange(len(h), dtype=np.uint64)
-    least = sliding_least(key, length - GRAM + 1)[: len(data) - length + 1]
-    anchor = (least & PLACES).astype(np.int32)
-    for end in offsets[1:-1].tolist():
-        anchor[max(0, end - length + 1) : end] = -1
-    first = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1))
-    n = np.diff(np.concatenate((first, [len(anchor)])))
-    good = anchor[first] >= 0
-    first, n = first[good], n[good]
-    return h[anchor[first]] >> np.uint64(16), np.searchsorted(offsets, first, "right") - 1, first, n
-
-
-def finder(length: int):
-    def find(data: np.ndarray, offsets: np.ndarray):
-        pieces = [(0, data, offsets)]
-        if len(data) > SLICE_BYTES:  # one long row: in pieces that overlap by a window
-            pieces = [(a, x := data[a : a + SLICE_BYTES + length - 1], np.array([0, len(x)])) for a in range(0, len(data), SLICE_BYTES)]
-        out = []
-        for base, part, bounds in pieces:
-            h, row, first, n = _anchors(part, bounds, length)
-            view, digest = memoryview(np.ascontiguousarray(part)), xxhash.xxh3_64_intdigest
-            ctx = np.array([digest(view[a:b]) for a, b in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], np.uint64)
-            out.append((h, ctx, row, first - bounds[row] + base, n))
-        return tuple(map(np.concatenate, zip(*out, strict=True)))
-
-    return find
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    view, digest = memoryview(np.ascontiguousarray(data)), xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
+
+
+def _contents(h: np.ndarray, c: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A batch's records, one row for each content: its first place, and the others as ``dups``."""
+    order = np.lexsort((pos, doc, c[:, 1], c[:, 0], h))
+    h, c, doc, pos, n = h[order], c[order], doc[order], pos[order], n[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1]).any(axis=1)
+    first, more = np.flatnonzero(fresh), np.flatnonzero(~fresh)
+    per = np.diff(np.append(first, len(h))) - 1
+    dups = pa.StructArray.from_arrays([pa.array(doc[more]), pa.array(pos[more])], ["doc", "pos"])
+    bounds = np.concatenate(([0], np.cumsum(per))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(bounds, mask=np.concatenate((per == 0, [False]))), dups)
+    cols = [h[first].view(np.int64), c[first, 0], c[first, 1], doc[first], pos[first], n[first].astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, cols), lists], ["h", "c1", "c2", "doc", "pos", "n", "dups"])
+
+
+def records(keyed: DataFrame, length: int) -> DataFrame:
+    """The records of (_key, text), contents told apart within an Arrow batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            data, offsets = text_buffer(batch.column(1))
+            parts = []
+            for i, j in groups_of_rows(offsets):
+                own, bounds = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                if len(own) < length:
+                    continue
+                h, row, pos, n = anchored(_mixed(own), bounds, length, GRAM)
+                at = bounds[row] + pos
+                parts.append((h, _digests(own, at, at + n + length - 1), keys[i:j][row], pos, n))
+            if parts:
+                yield _contents(*map(np.concatenate, zip(*parts, strict=True)))
+
+    return keyed.mapInArrow(run, "h long, c1 long, c2 long, doc long, pos long, n int, dups array<struct<doc:long,pos:long>>")
 
 
 def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -129,7 +137,26 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def repeated_windows(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray, payload: list[bytes], length: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """The common prefix of each suffix in ``order`` with the one before it, up to ``depth`` bytes; 0 for the first."""
+    out = np.zeros(len(order), np.int64)
+    if len(order) < 2:
+        return out
+    padded = np.concatenate((text, np.zeros(depth + 8, np.uint8)))
+    eight = np.ndarray((len(text) + depth,), "<u8", padded, 0, (1,))
+    alive = np.arange(1, len(order))
+    for k in range(0, depth, 8):
+        differ = eight[order[alive] + k] ^ eight[order[alive - 1] + k]
+        low = differ & (~differ + np.uint64(1))  # the lowest bit that differs is in the first byte that does
+        same = np.where(differ == 0, 8, np.frexp(low.astype(np.float64))[1] - 1 >> 3)
+        out[alive] += same
+        alive = alive[differ == 0]
+    ends = np.minimum(len(text) - order[1:], len(text) - order[:-1])
+    out[1:] = np.minimum(np.minimum(out[1:], ends), depth)
+    return out
+
+
+def repeated_windows(doc: np.ndarray, pos: np.ndarray, n: np.ndarray, payload: list[bytes], length: int) -> np.ndarray:
     """For each window of each record in turn: whether an equal window starts earlier, by (doc, start).
 
     One suffix array over the records' bytes; neighbours with a common prefix of ``length`` bytes or more are equal windows.
@@ -144,10 +171,7 @@ def repeated_windows(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndar
     order = two_stage_suffix_array(text, length)
     order = order[number[order] >= 0]
     own = number[order]
-    prefixes = np.ndarray((len(text) - length + 1,), f"S{length}", text, 0, (1,))[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = prefixes[1:] == prefixes[:-1]
-    group = np.cumsum(~same)
+    group = np.cumsum(common_prefixes(text, order, length) < length)
     by = np.lexsort((pos[row[own]] + at[own], doc[row[own]], group))
     later = np.zeros(len(order), bool)
     later[1:] = group[by][1:] == group[by][:-1]
@@ -156,21 +180,111 @@ def repeated_windows(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndar
     return bad
 
 
-def window_names(payload: bytes, n: int, length: int) -> np.ndarray:
-    view = memoryview(payload)
-    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)]), np.uint64).reshape(-1, 2)
+FETCHED = "g long, h long, c1 long, c2 long, doc long, pos long, skip int, n int, payload binary"
+
+
+def _fetch(contents: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+    """The bytes of each content, under its anchor; of contents of hot anchors each window, under its own bytes.
+
+    ``skip``: how many windows of the content come before the row's first.
+    """
+    fields = ["h", "c1", "c2", "pos", "n", "hot"]
+    lists = contents.groupBy("doc").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
+    rows = keyed.join(lists, keyed["_key"] == lists["doc"]).select("_key", "text", "wanted")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            keys, wanted = batch.column(0).to_numpy(), batch.column(2)
+            bounds = wanted.offsets.to_numpy().astype(np.int64)
+            bounds -= bounds[0]
+            cells = [x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten()]
+            for i, j in groups_of_rows(offsets, 4 << 20):
+                h, c1, c2, pos, n, hot = (x[bounds[i] : bounds[j]] for x in cells)
+                doc = np.repeat(keys[i:j], np.diff(bounds[i : j + 1]))
+                start = pos + np.repeat(offsets[i:j], np.diff(bounds[i : j + 1]))
+                per = np.where(hot, n, 1)
+                at = np.repeat(np.arange(len(h)), per)
+                skip = np.arange(len(at)) - np.repeat(np.cumsum(per) - per, per)
+                count = np.where(hot, 1, n)[at]
+                low = start[at] + skip
+                payload = [data[a:b].tobytes() for a, b in zip(low.tolist(), (low + count + length - 1).tolist(), strict=True)]
+                g = h[at]
+                for k in np.flatnonzero(hot[at]).tolist():
+                    g[k] = name(payload[k]) >> 1
+                out = [pa.array(x) for x in (g, h[at], c1[at], c2[at], doc[at], pos[at], skip.astype(np.int32), count.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*out, pa.array(payload, pa.binary())], [x.split()[0] for x in FETCHED.split(", ")])
+
+    return rows.mapInArrow(run, FETCHED)
+
+
+JUDGED = "h long, c1 long, c2 long, doc long, pos long, lead boolean, spans array<struct<b:long,e:long>>"
+
+
+def judged(fetched: DataFrame, length: int, chunk: int = CHUNK) -> DataFrame:
+    """Each content's first place and the spans there that earlier windows cover; one row of a content is its ``lead``.
+
+    Suffix arrays are over whole groups g, as many as make ``chunk`` bytes.
+    """
+
+    def verdict(held: list[list]) -> pa.RecordBatch:
+        h, c1, c2, doc, pos, skip, n = (np.array(x, np.int64) for x in held[1:8])
+        bad = repeated_windows(doc, pos + skip, n, held[8], length)
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        first, last = runs(bad, row)
+        base = (pos + skip)[row[first]]
+        spans = pa.StructArray.from_arrays([pa.array(base + at[first]), pa.array(base + at[last] + length)], ["b", "e"])
+        ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=len(n))))).astype(np.int32)
+        return pa.RecordBatch.from_arrays([*map(pa.array, (h, c1, c2, doc, pos, skip == 0)), pa.ListArray.from_arrays(pa.array(ends), spans)], [x.split()[0] for x in JUDGED.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in range(9)]
+        size = 0
+        for batch in batches:
+            cols = [batch.column(k).to_pylist() for k in range(9)]
+            g = cols[0]
+            bytes_ = np.concatenate(([0], np.cumsum([len(p) for p in cols[8]])))
+            a = 0
+            while a < len(g):
+                b = min(len(g), max(a + 1, int(np.searchsorted(bytes_, bytes_[a] + max(0, chunk - size)))))
+                while b < len(g) and g[b] == g[b - 1]:
+                    b += 1
+                if held[0] and size >= chunk and g[a] != held[0][-1]:
+                    yield verdict(held)
+                    held, size = [[] for _ in range(9)], 0
+                for x, y in zip(held, cols, strict=True):
+                    x += y[a:b]
+                size += int(bytes_[b] - bytes_[a])
+                a = b
+        if held[0]:
+            yield verdict(held)
+
+    return fetched.repartition("g").sortWithinPartitions("g").mapInArrow(run, JUDGED)
 
 
 def removal_spans(keyed: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
-    """Spans (doc, b, e), in bytes, that an equal ``length``-byte string starting earlier covers."""
+    """Spans (doc, b, e), in bytes, that an equal ``length``-byte string starting earlier covers; spans may overlap.
+
+    An anchor with over ``hot`` contents would make one large suffix array: its windows are filed one by one under their own
+    bytes, so that equal windows still meet, in arrays of bounded size.
+    """
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
-
-    def cut(text: np.ndarray, pos: np.ndarray, n: np.ndarray) -> list[bytes]:
-        whole = text.tobytes()
-        return [whole[a : a + k + length - 1] for a, k in zip(pos.tolist(), n.tolist(), strict=True)]
-
-    return covered_spans(keyed, length, finder(length), cut, lambda *a: repeated_windows(*a, length), lambda p, n: window_names(p, n, length), True, hot)
+    found = records(keyed, length)
+    often = found.groupBy("h").agg(F.sum(F.when(F.col("dups").isNull(), 1).otherwise(2)).alias("c")).where("c > 1").select("h")
+    kept = materialise(found.withColumn("salt", salted(F.col("doc"))).join(in_all_salts(often), ["h", "salt"]).drop("salt"))
+    contents = materialise(kept.groupBy("h", "c1", "c2", "n").agg(F.min(F.struct("doc", "pos")).alias("first")))
+    many = contents.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many"))
+    wanted = contents.join(many, "h", "left").select("h", "c1", "c2", "first.*", "n", F.coalesce("many", F.lit(False)).alias("hot"))
+    done = materialise(judged(_fetch(wanted, keyed, length), length))
+    lead = done.where("lead").select("h", "c1", "c2", F.col("doc").alias("d"), F.col("pos").alias("p"))
+    span = lambda df: df.select("doc", F.col("pos").alias("b"), (F.col("pos") + F.col("n") + length - 1).alias("e"))
+    copies = kept.join(lead, ["h", "c1", "c2"])
+    out = done.select("doc", F.explode("spans").alias("s")).select("doc", "s.b", "s.e")
+    out = out.union(span(copies.where("doc <> d or pos <> p")))
+    return out.union(span(copies.where("dups is not null").select("n", F.explode("dups").alias("s")).select("n", "s.doc", "s.pos")))
 
 
 def _applied(rows: DataFrame, whole_characters: bool) -> DataFrame:
@@ -201,33 +315,28 @@ def _applied(rows: DataFrame, whole_characters: bool) -> DataFrame:
     return rows.mapInArrow(run, "_key long, n_bytes long, n_removed long, n_spans long, kept string")
 
 
-def _originals(keyed: DataFrame, results: DataFrame) -> DataFrame:
-    """Results by _key with the other columns of ``keyed``, which stay out of the text's shuffle."""
-    return keyed.drop("text").join(results, "_key")
-
-
 def dedup(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """Of every text of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Texts are UTF-8 bytes, null ones empty; each byte is removed that lies in a string of ``length`` bytes which also starts
     earlier (smaller doc_id, or same document and earlier start), judged on the input. Texts shorter than ``length`` stay
-    whole. Rows that repeat a doc_id count as different documents, ordered by text; a null doc_id is the smallest.
+    whole; very long ones are worked on in pieces that overlap by a window. Rows that repeat a doc_id count as different
+    documents, ordered by text; a null doc_id is the smallest. Other columns aren't looked at; no rows give no rows.
     """
-    keyed = unique_keys(docs.select("doc_id", "text"))
+    keyed, originals = unique_keys(docs.select("doc_id", "text"))
     pure = keyed.select("_key", "text")
     out = _applied(with_spans(pure, removal_spans(pure, length, hot)), False).withColumnRenamed("kept", "kept_sha256")
-    return _originals(keyed, out).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return originals(out).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def without_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """``docs`` with repeated strings cut out of text (whole code points only) and n_chars set anew; every row stays.
 
-    A null text stays null. Other columns stay as they are.
+    A null text stays null. Other columns stay as they are, whatever their types and names.
     """
-    keyed = unique_keys(packed(docs, "text"))
+    keyed, originals = unique_keys(packed(docs, "text").withColumn("_null", F.col("text").isNull()))
     pure = keyed.select("_key", "text")
     out = _applied(with_spans(pure, removal_spans(pure, length, hot)), True).select("_key", F.col("kept").alias("_kept"))
-    missing = keyed.select("_key", "_row", "text", F.col("text").isNull().alias("_null"))
     new = F.when(F.col("_null"), F.lit(None).cast("string")).otherwise(F.col("_kept"))
     set_anew = {"text": new, "n_chars": F.char_length(new).cast("long")}
-    return _originals(missing, out).select(*[set_anew[c].alias(c) if c in set_anew else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    return originals(out).select(*[set_anew[c].alias(c) if c in set_anew else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
