@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import decontaminate, jaccard, langid, mixing, suffix_dedup
+from tissuemill.llm import decontaminate, langid, mixing, simhash, suffix_dedup
 from tissuemill.llm.common import materialise, table
 
 
@@ -17,8 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard of five-word shingles 0.8 or more), the document with the smallest doc_id."""
-    return jaccard.keep_one_of_each(docs)
+    """Of each group of near copies (SimHash blocks; five-word shingles, similarity 0.8 or more), the document with the smallest doc_id."""
+    return simhash.keep_one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,16 @@
-"""SimHash near-duplicates: pigeonhole blocks, joined on blocks, verified by Hamming distance."""
+"""SimHash near-duplicates: pigeonhole blocks, joined on blocks, verified by Hamming distance.
+
+Two uses: ``near_duplicates`` links 64-bit fingerprints that differ in a few bits. ``keep_one_of_each`` drops near copies by
+shingle sets; a similarity of 0.8 means that some 15 % of fingerprint bits differ, ten of 64, which no blocks of 64 bits can
+serve. Its fingerprints are 3072 bits wide, in 128 blocks of 24: documents that differ in fewer than 128 bits share a block
+for certain (similarity 0.95 or so), others with the chance that ``Wide`` states. Pairs from the blocks are verified by their
+Hamming distance and then by the shingle sets themselves.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -62,7 +70,7 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
             fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), as_int64(fp)], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def links(distinct: DataFrame, max_bits: int = 2, blocks: int = 4, block_rows: int = 64) -> DataFrame:
@@ -88,13 +96,33 @@ def links(distinct: DataFrame, max_bits: int = 2, blocks: int = 4, block_rows: i
     if large.isEmpty():
         return near
     if max_bits != 2:
-        raise ValueError("blocks of over block_rows fingerprints are handled for two bits only")
+        return near.union(hot_links(large.select(F.col("fp").alias("id"), "slot", F.col("block").alias("key")), lambda pairs: pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits)))
     keys = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(x)) for x in [*[1 << k for k in range(63)], -(1 << 63)]]]
     star = large.select("fp").distinct().select("fp", F.explode(F.array(*keys)).alias("key"))
     star = star.select(F.col("fp").alias("u"), F.min("fp").over(Window.partitionBy("key")).alias("v")).where("u > v")
     return near.union(star)
 
 
+def hot_links(large: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (u, v) that connect the members of large keys, (id, slot, key), as all verified pairs of a key would.
+
+    Members are compared with the first of their key. What is linked to one same member needs no more comparison; of the
+    others each is compared with all of the key that aren't known to be linked to it. ``verify`` keeps the pairs that hold.
+    """
+    first = large.groupBy("slot", "key").agg(F.min("id").alias("pivot"))
+    to_first = large.join(first, ["slot", "key"]).where("id > pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v"))
+    star = materialise(verify(materialise(to_first.distinct())))
+    to = star.groupBy("u").agg(F.min("v").alias("to"))
+    named = materialise(large.join(to, large["id"] == to["u"], "left").select("slot", "key", "id", F.coalesce("to", "id").alias("to")))
+    each = named.groupBy("slot", "key", "to").count()
+    most = each.groupBy("slot", "key").agg(F.max_by("to", F.struct("count", "to")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    named = named.join(most, ["slot", "key"])
+    odd = named.where("to <> top").select("slot", "key", F.col("id").alias("u"), F.col("to").alias("tu"))
+    rest = odd.join(named.select("slot", "key", F.col("id").alias("v"), F.col("to").alias("tv"), "top"), ["slot", "key"]).where("tu <> tv and (tv = top or u > v)")
+    more = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return star.union(verify(materialise(more.distinct())))
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = 2, blocks: int = 4, width: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs``.
 
@@ -115,13 +143,143 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, blocks: int = 4, width:
     )
 
 
-def keep_one_of_each(docs: DataFrame, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays.
+@dataclass(frozen=True)
+class Wide:
+    """Fingerprints of ``blocks`` x ``bits`` bits for near copies.
+
+    A pair of which a share p of the bits differ has an equal block with probability 1 - (1 - (1 - p) ** bits) ** blocks. With
+    128 blocks of 24 bits that is 0.92 at a similarity of 0.8 (p = 0.15), 0.995 at 0.85, 0.9999 at 0.9.
+    Unrelated documents share a given block with probability 2 ** -bits.
+    """
+
+    bits: int = 24
+    blocks: int = 128
+
+    @property
+    def words(self) -> int:
+        return self.bits * self.blocks // 64
+
+    @property
+    def most(self) -> int:
+        """Differing bits up to which a pair goes on to the comparison of sets: a quarter; unrelated ones differ in half."""
+        return self.bits * self.blocks // 4
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
+    """The sorted hashes of each row's distinct shingles."""
+    ends = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+    return [np.unique(np.array(shingle_hashes(data[a:b].tobytes(), width), np.uint64)) for a, b in ends]
+
+
+def wide_fingerprints(sets: list[np.ndarray], wide: Wide) -> np.ndarray:
+    """Rows x words: SimHash over as many independent hashes of each distinct shingle as there are 64-bit words."""
+    flat, counts = np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
+    out = np.empty((len(sets), wide.words), np.uint64)
+    for k in range(wide.words):
+        h = (flat ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(29)
+        out[:, k] = fold(h, counts)
+    return out
+
+
+def blocks_of(prints: np.ndarray, wide: Wide) -> np.ndarray:
+    """Rows x blocks: the fingerprints cut into blocks."""
+    bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little").reshape(len(prints), wide.blocks, wide.bits)
+    room = np.zeros((len(prints), wide.blocks, 32), np.uint8)
+    room[:, :, : wide.bits] = bits
+    return np.packbits(room, axis=2, bitorder="little").view(np.uint32)[:, :, 0].astype(np.int32)
+
+
+def _lists(values: np.ndarray, held: np.ndarray) -> pa.Array:
+    """A list for each row: the next row of ``values`` where ``held``, else an empty one."""
+    ends = np.concatenate(([0], np.cumsum(np.where(held, values.shape[1], 0)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+
+def wide_marks(docs: DataFrame, width: int, wide: Wide) -> DataFrame:
+    """(id, low, high, print, blocks) of each row of (id, text): the 128-bit name of its shingle set, fingerprint and blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in groups_of_rows(offsets):
+                sets = shingle_sets(data, offsets[i : j + 1], width)
+                names = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets], np.uint64).reshape(-1, 2)
+                held = np.array([len(s) > 0 for s in sets])
+                prints = wide_fingerprints([s for s in sets if len(s)], wide) if held.any() else np.zeros((0, wide.words), np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], as_int64(names[:, 1]), as_int64(names[:, 0]), _lists(prints.view(np.int64), held), _lists(blocks_of(prints, wide), held)], ["id", "low", "high", "print", "blocks"])
+
+    return docs.mapInArrow(run, "id long, low long, high long, print array<long>, blocks array<int>")
+
+
+def sets_of(docs: DataFrame, width: int) -> DataFrame:
+    """(id, set) of each row of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in groups_of_rows(offsets):
+                sets = shingle_sets(data, offsets[i : j + 1], width)
+                ends = pa.array(np.cumsum([0, *[len(s) for s in sets]], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(ends, as_int64(np.concatenate(sets)))], ["id", "set"])
+
+    return docs.mapInArrow(run, "id long, set array<long>")
+
+
+def _close(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
+    """The pairs whose fingerprints differ in ``most`` bits or fewer."""
+    both = pairs.join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v")
+    apart = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+    return both.where(apart <= most).select("u", "v")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` / 100 or more, in whole numbers."""
+    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    small, large = F.least(F.size("a"), F.size("b")), F.greatest(F.size("a"), F.size("b"))
+    both = both.where(100 * small >= percent * large)
+    s, n = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+    return both.where((100 + percent) * s >= percent * n).select("u", "v")
+
+
+def near_links(texts: DataFrame, marks: DataFrame, percent: int, width: int, wide: Wide, block_rows: int = 16) -> DataFrame:
+    """Edges (u, v) that connect the rows of ``marks`` which share a block and whose shingle sets are similar.
+
+    Members of a block of up to ``block_rows`` are paired off; those of larger ones go to ``hot_links``.
+    """
+    filed = marks.select("id", F.posexplode("blocks").alias("slot", "key"))
+    shared = filed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
+    filed = materialise(filed.join(shared, ["slot", "key"]))
+    ids = materialise(filed.select("id").distinct())
+    prints = materialise(marks.join(ids, "id", "left_semi").select("id", "print"))
+    small, large = filed.where(F.col("n") <= block_rows).select("slot", "key", "id"), filed.where(F.col("n") > block_rows)
+    pairs = small.withColumnRenamed("id", "u").join(small.withColumnRenamed("id", "v"), ["slot", "key"]).where("u > v").select("u", "v")
+    pairs = materialise(_close(pairs.distinct(), prints, wide.most))
+    both = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(large.select("id")).distinct()
+    sets = materialise(sets_of(texts.join(both, "id", "left_semi").select("id", "text"), width))
+    near = _alike(pairs, sets, percent)
+    if large.isEmpty():
+        return near
+    return near.union(hot_links(large.select("id", "slot", "key"), lambda found: _alike(_close(found, prints, wide.most), sets, percent)))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, wide: Wide = Wide(), block_rows: int = 16) -> DataFrame:
+    """The rows of ``docs`` without near copies: of the rows that links connect, the one with the smallest doc_id stays.
 
-    All columns stay as they are. Of rows that repeat a doc_id, the one with the least text counts as first; a null
-    doc_id counts as the smallest.
+    Rows are linked whose sets of ``width``-word shingles (A-Z lower-cased; a text of fewer words is one shingle) have a Jaccard
+    similarity of ``percent`` / 100 or more and whose fingerprints share a block. Rows of equal sets are settled by name (128
+    bits), and rows without a word are copies of each other. Null texts have no words; very long texts are taken whole. All
+    columns stay as they are. Of rows that repeat a doc_id, the one with the least text counts as first; a null doc_id counts
+    as the smallest. No rows give no rows.
     """
     keyed, _ = unique_keys(packed(docs))
-    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), max_bits)
-    drop = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key"))
+    texts = keyed.select(F.col("_key").alias("id"), "text")
+    found = materialise(wide_marks(texts, width, wide))
+    least = found.groupBy("low", "high").agg(F.min("id").alias("least"))
+    first = found.join(least.select(F.col("least").alias("id")), "id", "left_semi")
+    parts = components(near_links(texts, first, percent, width, wide, block_rows))
+    copies = found.select("id", "low", "high").join(least, ["low", "high"]).where("id <> least").select("id")
+    drop = copies.union(parts.where("node <> component").select("node")).toDF("_key")
     return keyed.join(drop, "_key", "left_anti").select("_row.*")
