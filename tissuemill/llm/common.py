@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tissuemill.functions.storage import materialise, shared_dir
+from tissuemill.functions.storage import bucketed, forget, materialise, shared_dir
 
-__all__ = ["as_int64", "filtered", "groups_of_rows", "materialise", "packed", "packed_lists", "shared_dir", "table", "text_buffer", "unique_keys"]
+__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "materialise", "packed", "packed_lists", "shared_dir", "table", "text_buffer", "unique_keys"]
 
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19

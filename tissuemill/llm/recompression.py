@@ -1,7 +1,8 @@
 """Substring dedup by recompression: Spark rounds name runs and pairs of symbols for the whole corpus.
 
 What may repeat (see ``repeats``) is cut out of the documents as stretches of words, and stretches are put into chunks of
-bounded size, one row a chunk. Symbols are numbers that stand for word sequences, equal numbers for equal sequences:
+bounded size, one row a chunk. Stretches that look alike go to neighbouring chunks; a chunk holds stretches of equal letters once,
+with the places of all their copies. Symbols are numbers that stand for word sequences, equal numbers for equal sequences:
 
 * Round 0 names words by their letters. Each chunk files its distinct words, Spark brings equal words of all chunks
   together, gives each one number, and sends the numbers back to the chunks.
@@ -12,9 +13,8 @@ bounded size, one row a chunk. Symbols are numbers that stand for word sequences
 
 A symbol depends on the words from ``lo`` to ``hi`` around it, which the rounds keep track of. Windows that hold all of them
 have the symbol inside, wherever they stand: equal windows have equal symbols at equal places. A window that holds a
-symbol of number 0 therefore repeats nowhere. Each other window is filed under the first symbol of the last round inside
-it. Windows in a row under one symbol are one record, verified as a whole by the numbers of all its words; where one symbol
-has records of different words, their windows are verified one by one.
+symbol of number 0 therefore repeats nowhere. Each other window is filed under some symbols of the last round inside it. Windows in a row under the same symbols are one record, verified as a whole by the numbers of all its words; where the
+same symbols have records of different words, their windows are verified one by one.
 """
 
 from __future__ import annotations
@@ -29,19 +29,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import SLICE_BYTES, materialise, packed_lists, text_buffer, unique_keys
-from tissuemill.llm.repeats import anchored, in_all_salts, merged, runs, salted, slices, with_spans
+from tissuemill.llm.common import SLICE_BYTES, bucketed, forget, materialise, packed_lists, text_buffer, unique_keys
+from tissuemill.llm.repeats import PLACES, anchored, merged, runs, slices, with_spans
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 LETTERS = np.random.default_rng(17).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Words of a chunk.
-CHUNK = 1 << 17
+CHUNK = 1 << 18
 #: Rounds after the words' own: symbols of the last are some four words long, and a window holds what settles several of them.
 ROUNDS = 5
 #: Words of a gram of the sieve.
 GRAM = 16
+#: Copies of an anchor that go to one place; more are dealt to several.
+SPREAD = 20_000
+#: Neighbouring symbols that a window is filed under.
+SHARED = 3
 NEVER = 1 << 40
 
 
@@ -97,7 +101,7 @@ def words_hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def sieved(keyed: DataFrame, length: int) -> DataFrame:
-    """(doc, wanted): for each document, the records (pos, n) of windows whose anchor occurs more than once."""
+    """(doc, wanted): for each document, the records (pos, n, h, count) of windows whose anchor occurs more than once."""
     gram = min(GRAM, length)
 
     def work(keys: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
@@ -106,47 +110,81 @@ def sieved(keyed: DataFrame, length: int) -> DataFrame:
             return None
         at = np.arange(len(words))
         h, row, pos, n = anchored(spans_hashed(words, at, np.minimum(at + gram, len(words)), BASES[1]), bounds, length, gram)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[row]), pa.array(pos), pa.array(n)], ["h", "doc", "pos", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[row]), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "doc", "pos", "n"])
 
-    found = slices(keyed, work, "h long, doc long, pos long, n long")
-    often = in_all_salts(found.groupBy("h").count().where("count > 1").select("h"))
-    kept = found.withColumn("salt", salted(F.col("doc"))).join(often, ["h", "salt"])
-    return kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "n")).alias("wanted"))
+    found = slices(keyed, work, "h long, doc long, pos int, n int")
+    kept = found.join(found.groupBy("h").count().where("count > 1"), "h")
+    return kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "n", "h", "count")).alias("wanted"))
 
 
-CHUNKS = "chunk long, doc array<long>, at array<long>, size array<long>, text binary"
+CHUNKS = "chunk long, copies array<int>, doc array<long>, at array<long>, size array<long>, text binary"
 
 
-def chunks(keyed: DataFrame, wanted: DataFrame, length: int, room: int = CHUNK) -> DataFrame:
-    """The stretches of words that hold all wanted windows, one row for some ``room`` words; longer ones overlap by a window."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
-        doc, at, size, text = [], [], [], []
+def stretches(keyed: DataFrame, wanted: DataFrame, length: int, room: int) -> DataFrame:
+    """(place, size, text, doc, at): the stretches of words that hold all wanted windows, equal ones of a batch as one row.
 
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made]), *[pa.array([x], pa.list_(pa.int64())) for x in (doc, at, size)], pa.array([b" ".join(text)], pa.binary())], ["chunk", "doc", "at", "size", "text"])
+    Longer ones than ``room`` are cut into pieces that overlap by a window. ``place`` is the least anchor of the stretch, so
+    that copies have one place; copies of a common anchor are dealt to several.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
+            found: dict[bytes, tuple[int, int, list[int], list[int]]] = {}
             for k, (key, records) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 words = data[offsets[k] : offsets[k + 1]].tobytes().split()
+                records.sort(key=lambda r: r["pos"])
+                i = 0
                 for b, e in merged([(r["pos"], r["pos"] + r["n"] + length - 1) for r in records]):
+                    j = i
+                    while j < len(records) and records[j]["pos"] < e:
+                        j += 1
+                    h, count = min((r["h"], r["count"]) for r in records[i:j])
+                    i = j
+                    place = h + key % (1 + count // SPREAD)
                     for x in range(b, max(b + 1, e - length + 1), room):
                         y = min(e, x + room + length - 1)
-                        doc.append(key)
-                        at.append(x)
-                        size.append(y - x)
-                        text += words[x:y]
-                        if len(text) >= room:
-                            yield row()
-                            made += 1
-                            doc, at, size, text = [], [], [], []
-        if doc:
-            yield row()
+                        held = found.setdefault(b" ".join(words[x:y]), (place, y - x, [], []))
+                        held[2].append(key)
+                        held[3].append(x)
+            if found:
+                place, size, doc, at = zip(*found.values(), strict=True)
+                lists = (pa.array(x, pa.list_(pa.int64())) for x in (doc, at))
+                yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(size, pa.int64()), pa.array(list(found), pa.binary()), *lists], ["place", "size", "text", "doc", "at"])
 
     rows = keyed.join(wanted, keyed["_key"] == wanted["doc"]).select("_key", "text", "wanted")
-    return materialise(rows.mapInArrow(run, CHUNKS))
+    return rows.mapInArrow(run, "place long, size long, text binary, doc array<long>, at array<long>")
+
+
+def chunks(keyed: DataFrame, wanted: DataFrame, length: int, room: int = CHUNK) -> DataFrame:
+    """The stretches in rows of some ``room`` different words' places, or as many copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, words, copies = TaskContext.get().partitionId(), 0, 0, 0
+        held: dict[bytes, tuple[int, list[int], list[int]]] = {}
+
+        def row() -> pa.RecordBatch:
+            size, doc, at = zip(*held.values(), strict=True)
+            lists = [pa.array([[len(d) for d in doc]], pa.list_(pa.int32())), *(pa.array([x], pa.list_(pa.int64())) for x in (sum(doc, []), sum(at, []), list(size)))]
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made]), *lists, pa.array([b" ".join(held)], pa.binary())], ["chunk", "copies", "doc", "at", "size", "text"])
+
+        for batch in batches:
+            for size, text, doc, at in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if text not in held:
+                    held[text] = (size, [], [])
+                    words += size
+                held[text][1].extend(doc)
+                held[text][2].extend(at)
+                copies += len(doc)
+                if words >= room or copies >= room:
+                    yield row()
+                    made, words, copies = made + 1, 0, 0
+                    held = {}
+        if held:
+            yield row()
+
+    dealt = stretches(keyed, wanted, length, room).repartition("place").sortWithinPartitions("place")
+    return bucketed(dealt.select("size", "text", "doc", "at").mapInArrow(run, CHUNKS), "chunk")
 
 
 def _each(df: DataFrame, work: Callable[..., pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -169,8 +207,8 @@ def _filed(chunk: int, columns: dict[str, np.ndarray | list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, ["chunk", "nth", *columns])
 
 
-def named(filed: DataFrame, keys: list[str]) -> DataFrame:
-    """One number for each distinct key of all chunks that occurs more than once: (chunk, numbers of struct<nth, id>).
+def named(filed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One number for each distinct key of all chunks that occurs more than once: (chunk, nth, id) with lists; and its table.
 
     ``filed``: (chunk, nth, keys, n). Each chunk files a key once, so that a key has a row for each chunk at most. The numbers
     are written down: a lost task reads them again and gives no new ones.
@@ -178,7 +216,7 @@ def named(filed: DataFrame, keys: list[str]) -> DataFrame:
     alike = filed.groupBy(*keys).agg(F.collect_list(F.struct("chunk", "nth")).alias("where"), F.sum("n").alias("n")).where("n > 1")
     numbers = materialise(alike.select((F.monotonically_increasing_id() + 1).alias("id"), "where"))
     back = numbers.select("id", F.explode("where").alias("w")).select("w.chunk", "w.nth", "id")
-    return back.groupBy("chunk").agg(F.collect_list("nth").alias("nth"), F.collect_list("id").alias("id"))
+    return back.groupBy("chunk").agg(F.collect_list("nth").alias("nth"), F.collect_list("id").alias("id")), numbers
 
 
 def numbered(count: int, nth: np.ndarray | None, ids: np.ndarray | None) -> np.ndarray:
@@ -194,22 +232,25 @@ def _first_seen(words: list[bytes]) -> tuple[list[int], dict[bytes, int]]:
     return [seen.setdefault(w, len(seen)) for w in words], seen
 
 
-WORDS = "chunk long, doc array<long>, at array<long>, size array<long>, word array<long>"
+WORDS = "chunk long, copies array<int>, doc array<long>, at array<long>, size array<long>, word array<long>"
 
 
 def words_named(chunked: DataFrame) -> DataFrame:
     """Round 0: the chunks with the number of each word."""
 
-    def need(chunk: int, text: bytes) -> pa.RecordBatch:
+    def need(chunk: int, copies: np.ndarray, size: np.ndarray, text: bytes) -> pa.RecordBatch:
         nth, seen = _first_seen(text.split())
-        return _filed(chunk, {"key": pa.array(list(seen), pa.binary()), "n": np.bincount(nth, minlength=len(seen))})
+        n = np.bincount(nth, np.repeat(copies, size), len(seen)).astype(np.int64)
+        return _filed(chunk, {"key": pa.array(list(seen), pa.binary()), "n": n})
 
-    def give(chunk: int, doc: np.ndarray, at: np.ndarray, size: np.ndarray, text: bytes, nth: np.ndarray | None, ids: np.ndarray | None) -> pa.RecordBatch:
+    def give(chunk: int, copies: np.ndarray, doc: np.ndarray, at: np.ndarray, size: np.ndarray, text: bytes, nth: np.ndarray | None, ids: np.ndarray | None) -> pa.RecordBatch:
         place, seen = _first_seen(text.split())
-        return packed_lists(chunk, {"doc": doc, "at": at, "size": size, "word": numbered(len(seen), nth, ids)[place]})
+        return packed_lists(chunk, {"copies": copies, "doc": doc, "at": at, "size": size, "word": numbered(len(seen), nth, ids)[place]})
 
-    back = named(_each(chunked.select("chunk", "text"), need, "chunk long, nth int, key binary, n long"), ["key"])
-    return materialise(_each(chunked.join(back, "chunk", "left").select("chunk", "doc", "at", "size", "text", "nth", "id"), give, WORDS))
+    back, numbers = named(_each(chunked.select("chunk", "copies", "size", "text"), need, "chunk long, nth int, key binary, n long"), ["key"])
+    out = bucketed(_each(chunked.join(back, "chunk", "left").select("chunk", "copies", "doc", "at", "size", "text", "nth", "id"), give, WORDS), "chunk")
+    forget(chunked, numbers)
+    return out
 
 
 def draws(sym: np.ndarray, count: np.ndarray, turn: int) -> np.ndarray:
@@ -253,7 +294,7 @@ class Parse:
         return Parse(self.sym[head], self.start[head], self.end[tail], lo, hi, self.fence), tail - head + 1
 
     def step(self, turn: int) -> tuple[Parse, np.ndarray, np.ndarray]:
-        """A round: the parse after it, the places of symbols that want a name, and their parts (4 columns)."""
+        """A round: the parse after it, the places of symbols that want a name, and their parts: two symbols, two counts."""
         now, count = self.runs()
         opens, before, after = now._around()
         right = draws(now.sym, count, turn)
@@ -271,28 +312,27 @@ class Parse:
         new = Parse(now.sym[at].copy(), now.start[at], now.end[last], lo, hi, now.fence)
         want = np.flatnonzero(paired | (live[at] & (count[at] > 1)))
         a, b, both = at[want], last[want], paired[want]
-        parts = np.stack([now.sym[a], count[a], np.where(both, now.sym[b], 0), np.where(both, count[b], 0)])
+        parts = np.stack([now.sym[a], np.where(both, now.sym[b], 0), count[a], np.where(both, count[b], 0)])
         return new, want, parts
 
 
-def _distinct(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct columns of ``parts`` in order, each column's place among them, and how often each occurs."""
+def _distinct(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of ``parts`` in order, and each column's place among them."""
     order = np.lexsort(parts[::-1])
     sorted_ = parts[:, order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (sorted_[:, 1:] != sorted_[:, :-1]).any(axis=0)
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(fresh) - 1
-    first = np.flatnonzero(fresh)
-    return sorted_[:, first], place, np.diff(np.append(first, len(order)))
+    return sorted_[:, fresh], place
 
 
-STATE = "chunk long, size array<long>, sym array<long>, wide array<int>, back array<int>, ahead array<int>"
+STATE = "chunk long, copies array<int>, size array<long>, sym array<long>, wide array<int>, back array<int>, ahead array<int>"
 
 
-def _packed_state(chunk: int, size: np.ndarray, p: Parse) -> pa.RecordBatch:
+def _packed_state(chunk: int, copies: np.ndarray, size: np.ndarray, p: Parse) -> pa.RecordBatch:
     wide, back, ahead = (x.astype(np.int32) for x in (p.end - p.start, p.start - p.lo, p.hi - p.end))
-    return packed_lists(chunk, {"size": size, "sym": p.sym, "wide": wide, "back": back, "ahead": ahead})
+    return packed_lists(chunk, {"copies": copies, "size": size, "sym": p.sym, "wide": wide, "back": back, "ahead": ahead})
 
 
 def _unpacked(size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndarray, ahead: np.ndarray) -> Parse:
@@ -304,52 +344,73 @@ def _unpacked(size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndar
 def rounds(words: DataFrame, turns: int = ROUNDS) -> DataFrame:
     """The chunks' symbols after ``turns`` rounds, each a naming of all runs and pairs of the corpus."""
 
-    def begin(chunk: int, size: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
-        return _packed_state(chunk, size, Parse.of_words(word, size))
+    def begin(chunk: int, copies: np.ndarray, size: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
+        return _packed_state(chunk, copies, size, Parse.of_words(word, size))
 
-    state = _each(words.select("chunk", "size", "word"), begin, STATE)
+    state = bucketed(_each(words.select("chunk", "copies", "size", "word"), begin, STATE), "chunk")
     for turn in range(turns):
 
-        def need(chunk: int, *cells: np.ndarray, turn: int = turn) -> pa.RecordBatch | None:
-            _, _, parts = _unpacked(*cells).step(turn)
-            keys, _, n = _distinct(parts)
-            return _filed(chunk, dict(zip("abcd", keys, strict=True)) | {"n": n}) if len(n) else None
+        def need(chunk: int, copies: np.ndarray, size: np.ndarray, *cells: np.ndarray, turn: int = turn) -> pa.RecordBatch | None:
+            new, want, parts = _unpacked(size, *cells).step(turn)
+            keys, place = _distinct(parts)
+            each = copies[np.searchsorted(new.fence, new.start[want], "right") - 1]
+            n = np.bincount(place, each, keys.shape[1]).astype(np.int64)
+            return _filed(chunk, {"a": keys[0], "b": keys[1], "ns": keys[2] << 32 | keys[3], "n": n}) if len(n) else None
 
-        def give(chunk: int, size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndarray, ahead: np.ndarray, nth: np.ndarray | None, ids: np.ndarray | None, turn: int = turn) -> pa.RecordBatch:
+        def give(chunk: int, copies: np.ndarray, size: np.ndarray, sym: np.ndarray, wide: np.ndarray, back: np.ndarray, ahead: np.ndarray, nth: np.ndarray | None, ids: np.ndarray | None, turn: int = turn) -> pa.RecordBatch:
             new, want, parts = _unpacked(size, sym, wide, back, ahead).step(turn)
-            keys, place, _ = _distinct(parts)
+            keys, place = _distinct(parts)
             new.sym[want] = numbered(keys.shape[1], nth, ids)[place]
-            return _packed_state(chunk, size, new)
+            return _packed_state(chunk, copies, size, new)
 
-        names = named(_each(state, need, "chunk long, nth int, a long, b long, c long, d long, n long"), list("abcd"))
-        state = materialise(_each(state.join(names, "chunk", "left"), give, STATE))
+        names, numbers = named(_each(state, need, "chunk long, nth int, a long, b long, ns long, n long"), ["a", "b", "ns"])
+        before, state = state, bucketed(_each(state.join(names, "chunk", "left"), give, STATE), "chunk")
+        forget(numbers, before)
     return state
 
 
-def _settled(p: Parse, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window start: whether it may repeat; its first settled symbol (-1: none); its stretch."""
-    stretch = np.repeat(np.arange(len(p.fence) - 1), np.diff(p.fence))
-    start = np.arange(len(stretch))
-    may = start + length <= p.fence[1:][stretch]
-    once = p.sym == 0
-    may &= np.append(p.hi[once], NEVER)[np.searchsorted(p.lo[once], start)] > start + length
-    i = np.searchsorted(p.lo, start)
-    symbol = np.where(np.append(p.hi, NEVER)[i] <= start + length, i, -1)
-    return may, symbol, stretch
+def _least_between(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least of keys[low:high] for each low and high; there must be one."""
+    size = high - low
+    level = np.frexp(size.astype(np.float64))[1] - 1
+    out, table = np.empty(len(low), keys.dtype), keys
+    for k in range(int(level.max(initial=0)) + 1):
+        own = np.flatnonzero(level == k)
+        out[own] = np.minimum(table[low[own]], table[high[own] - (1 << k)])
+        if len(table) > 1 << k:
+            table = np.minimum(table[: -(1 << k)], table[1 << k :])
+    return out
 
 
 def _records(p: Parse, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Records of windows in a row under one symbol: first window, how many, the symbol's number (0: none), stretch."""
-    may, symbol, stretch = _settled(p, length)
+    """Records of windows in a row under the same symbols: first window, how many, the symbols' key (0: none), stretch.
+
+    A window is filed under ``SHARED`` neighbouring symbols that are settled in it, of all such the ones of least hash; one
+    with fewer settled symbols stands alone.
+    """
+    stretch = np.repeat(np.arange(len(p.fence) - 1), np.diff(p.fence))
+    start = np.arange(len(stretch))
+    once = p.sym == 0
+    may = (start + length <= p.fence[1:][stretch]) & (np.append(p.hi[once], NEVER)[np.searchsorted(p.lo[once], start)] > start + length)
     at = np.flatnonzero(may)
     if not len(at):
         return at, at, at, at
+    low, high = np.searchsorted(p.lo, at), np.searchsorted(p.hi, at + length, "right") - SHARED + 1
+    under = np.full(len(at), -1)
+    some = np.flatnonzero(high > low)
+    if len(some):
+        place = np.arange(len(p.sym) - SHARED + 1)
+        hashes = spans_hashed(p.sym.astype(np.uint64), place, place + SHARED, BASES[1])
+        under[some] = (_least_between(hashes & ~PLACES | place.astype(np.uint64), low[some], high[some]) & PLACES).astype(np.int64)
     fresh = np.ones(len(at), bool)
-    fresh[1:] = (np.diff(at) != 1) | (symbol[at[1:]] != symbol[at[:-1]]) | (symbol[at[1:]] < 0) | (stretch[at[1:]] != stretch[at[:-1]])
-    first = np.flatnonzero(fresh)
-    n = np.diff(np.append(first, len(at)))
-    at = at[first]
-    return at, n, np.where(symbol[at] >= 0, np.append(p.sym, 0)[symbol[at]], 0), stretch[at]
+    fresh[1:] = (np.diff(at) != 1) | (np.diff(under) != 0) | (under[1:] < 0) | (np.diff(stretch[at]) != 0)
+    heads = np.flatnonzero(fresh)
+    n = np.diff(np.append(heads, len(at)))
+    at, under = at[heads], under[heads]
+    key = np.zeros(len(at), np.uint64)
+    if len(some):
+        key[under >= 0] = hashes[under[under >= 0]] | np.uint64(1)
+    return at, n, key.view(np.int64), stretch[at]
 
 
 def digests(word: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -358,86 +419,91 @@ def digests(word: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return np.frombuffer(b"".join([hashlib.blake2b(view[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
 
 
-def _least(values: np.ndarray, place: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    low, high = np.full(count, np.iinfo(np.int64).max), np.full(count, np.iinfo(np.int64).min)
+def _least(values: np.ndarray, place: np.ndarray, count: int) -> np.ndarray:
+    low = np.full(count, np.iinfo(np.int64).max)
     np.minimum.at(low, place, values)
-    np.maximum.at(high, place, values)
-    return low, high
+    return low
 
 
-PARSED = ["chunk", "doc", "at", "size", "word", "sym", "wide", "back", "ahead"]
+PARSED = ["chunk", "copies", "doc", "at", "size", "word", "sym", "wide", "back", "ahead"]
 
 
 def covered_spans(words: DataFrame, state: DataFrame, length: int) -> DataFrame:
     """Spans (doc, b, e), in words, of the windows that also start in a document with a smaller key."""
-    parsed = words.join(state.drop("size"), "chunk").select(*PARSED)
+    parsed = words.join(state.drop("size", "copies"), "chunk").select(*PARSED)
 
-    def cases(doc, size, word, sym, wide, back, ahead):
+    def cases(copies, doc, size, word, sym, wide, back, ahead):
+        """Records (first, n, stretch), their distinct keys and places in those, and each stretch's least document."""
         first, n, number, stretch = _records(_unpacked(size, sym, wide, back, ahead), length)
-        parts = np.concatenate([[number], digests(word, first, first + n + length - 1).T])
-        keys, place, _ = _distinct(parts)
-        return first, n, stretch, keys, place, doc[stretch]
-
-    def file_records(chunk, doc, at, size, word, *cells) -> pa.RecordBatch | None:
-        first, _, _, keys, place, owner = cases(doc, size, word, *cells)
-        low, high = _least(owner, place, keys.shape[1])
-        return _filed(chunk, dict(zip(("number", "k1", "k2"), keys, strict=True)) | {"low": low, "high": high}) if len(first) else None
-
-    filed = _each(parsed, file_records, "chunk long, nth int, number long, k1 long, k2 long, low long, high long")
-    # a record's words: the least document that has them, and whether others stand under their symbol
-    whole = filed.groupBy("number", "k1", "k2").agg(F.min("low").alias("low"), F.collect_list(F.struct("chunk", "nth")).alias("where"))
-    whole = materialise(whole)
+        keys, place = _distinct(np.concatenate([[number], digests(word, first, first + n + length - 1).T]))
+        return first, n, stretch, keys, place, np.minimum.reduceat(doc, np.cumsum(copies) - copies)
+
+    def file_records(chunk, copies, doc, at, *cells) -> pa.RecordBatch | None:
+        first, _, stretch, keys, place, least = cases(copies, doc, *cells)
+        return _filed(chunk, dict(zip(("number", "k1", "k2"), keys, strict=True)) | {"low": _least(least[stretch], place, keys.shape[1])}) if len(first) else None
+
+    filed = _each(parsed, file_records, "chunk long, nth int, number long, k1 long, k2 long, low long")
+    # a record's words: the least document that has them, and whether others stand under their symbols
+    whole = materialise(filed.groupBy("number", "k1", "k2").agg(F.min("low").alias("low"), F.collect_list(F.struct("chunk", "nth")).alias("where")))
     kinds = whole.where("number <> 0").groupBy("number").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"))
     many = kinds.where("a <> b or c <> d").select(F.col("number").alias("many"))
     told = whole.join(many, whole["number"] == many["many"], "left").select("low", F.col("many").isNotNull().alias("several"), F.explode("where").alias("w"))
     told = told.groupBy("w.chunk").agg(*[F.collect_list(c).alias(c.rpartition(".")[2]) for c in ("w.nth", "low", "several")])
-    judged = materialise(parsed.join(told, "chunk"))
-
-    def windows(chunk, doc, at, size, word, sym, wide, back, ahead, nth, low, several):
-        """Records settled as a whole (b, e), and the windows of the others: start, digest, own document."""
-        first, n, stretch, keys, place, owner = cases(doc, size, word, sym, wide, back, ahead)
-        least, more = np.empty(keys.shape[1], np.int64), np.empty(keys.shape[1], bool)
-        least[nth], more[nth] = low, several
-        gone = owner > least[place]
+
+    def judge(chunk, copies, doc, at, size, word, sym, wide, back, ahead, nth, low, several) -> pa.RecordBatch:
+        """The spans that records settle, and the single windows of records that don't: one row for each distinct window."""
+        first, n, stretch, keys, place, least = cases(copies, doc, size, word, sym, wide, back, ahead)
+        lowest, more = np.empty(keys.shape[1], np.int64), np.empty(keys.shape[1], bool)
+        lowest[nth], more[nth] = low, several
+        gone = least[stretch] > lowest[place]
+        inside = np.repeat(np.arange(len(size)), size)
+        begins, heads = np.cumsum(size) - size, np.cumsum(copies) - copies
+
+        def together(b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Maximal spans of a stretch, ordered by stretch: their stretches, and begins and ends in them."""
+            steps = np.bincount(b, minlength=len(inside) + 1) - np.bincount(e, minlength=len(inside) + 1)
+            x, y = runs(np.cumsum(steps)[:-1] > 0, inside)
+            return inside[x], x - begins[inside[x]], y + 1 - begins[inside[x]]
+
+        owner = np.repeat(np.arange(len(size)), copies)
+        end = first + n + length - 1
+        out = []
+        # the least document of a stretch loses what smaller ones have; its copies in other documents lose all that it has
+        for mine, (s, x, y) in ((doc == least[owner], together(first[gone], end[gone])), (doc > least[owner], together(first, end))):
+            per = np.bincount(s, minlength=len(size))[owner[mine]]
+            k = np.repeat(np.searchsorted(s, owner[mine]), per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+            shift = np.repeat(at[mine], per)
+            out.append((np.repeat(doc[mine], per), x[k] + shift, y[k] + shift))
+        spans = [np.concatenate(x) for x in zip(*out, strict=True)]
+
         open_ = ~gone & more[place]
         own = n[open_]
         start = np.repeat(first[open_], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
-        keys, where, _ = _distinct(digests(word, start, start + length).T)
-        return first[gone], (first + n + length - 1)[gone], start, keys, where, doc, at, size
-
-    def owners(start: np.ndarray, doc: np.ndarray, size: np.ndarray) -> np.ndarray:
-        return doc[np.searchsorted(np.cumsum(size), start, "right")]
-
-    def file_windows(chunk, *cells) -> pa.RecordBatch | None:
-        _, _, start, keys, where, doc, _, size = windows(chunk, *cells)
-        low, high = _least(owners(start, doc, size), where, keys.shape[1])
-        return _filed(chunk, {"k1": keys[0], "k2": keys[1], "low": low, "high": high}) if len(start) else None
-
-    single = _each(judged, file_windows, "chunk long, nth int, k1 long, k2 long, low long, high long")
-    found = single.groupBy("k1", "k2").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list(F.struct("chunk", "nth")).alias("where")).where("low < high")
-    found = found.select("low", F.explode("where").alias("w")).groupBy("w.chunk").agg(F.collect_list("w.nth").alias("wn"), F.collect_list("low").alias("wlow"))
-
-    def spans(chunk, *cells) -> pa.RecordBatch | None:
-        b, e, start, keys, where, doc, at, size = windows(chunk, *cells[:-2])
-        wn, wlow = cells[-2:]
-        if wn is not None and len(start):
-            least = np.full(keys.shape[1], np.iinfo(np.int64).max)
-            least[wn] = wlow
-            hit = start[owners(start, doc, size) > least[where]]
-            b, e = np.concatenate((b, hit)), np.concatenate((e, hit + length))
-        if not len(b):
-            return None
-        ends = np.cumsum(size)
-        stretch = np.searchsorted(ends, b, "right")
-        covered = np.zeros(int(ends[-1]) + 1, np.int64)  # overlapping spans as one
-        np.add.at(covered, b, 1)
-        np.add.at(covered, e, -1)
-        first, last = runs(np.cumsum(covered)[:-1] > 0, np.repeat(np.arange(len(size)), size))
-        stretch = np.searchsorted(ends, first, "right")
-        shift = at[stretch] - (ends - size)[stretch]
-        return pa.RecordBatch.from_arrays([pa.array(doc[stretch]), pa.array(first + shift), pa.array(last + 1 + shift)], ["doc", "b", "e"])
-
-    return _each(judged.join(found, "chunk", "left"), spans, "doc long, b long, e long")
+        # all places of a window in the least documents of its stretches
+        of = np.repeat(stretch[open_], own)
+        firsts = [np.flatnonzero(doc[a:z] == d) + a for a, z, d in zip(heads.tolist(), (heads + copies).tolist(), least.tolist(), strict=True)]
+        per = np.array([len(f) for f in firsts])
+        member = np.concatenate(firsts)
+        k = np.repeat((np.cumsum(per) - per)[of], per[of]) + np.arange(per[of].sum()) - np.repeat(np.cumsum(per[of]) - per[of], per[of])
+        window = np.repeat(np.arange(len(start)), per[of])
+        owners, places = doc[member[k]], at[member[k]] + (start - begins[of])[window]
+        single, where = _distinct(digests(word, start, start + length).T)
+        by = np.argsort(where[window], kind="stable")
+        ends = np.concatenate(([0], np.cumsum(np.bincount(where[window], minlength=single.shape[1])))).astype(np.int32)
+        held = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(owners[by]), pa.array(places[by])], ["doc", "b"]))
+        m, k = len(spans[0]), single.shape[1]
+        cols = [np.full(m + k, chunk), np.concatenate((np.full(m, -1), np.arange(k)))]
+        void, empty = pa.nulls(k, pa.int64()), pa.nulls(m, pa.int64())
+        cols = [*map(pa.array, cols), *[pa.concat_arrays([pa.array(x), void]) for x in spans], *[pa.concat_arrays([empty, pa.array(x)]) for x in single], pa.concat_arrays([pa.nulls(m, held.type), held])]
+        return pa.RecordBatch.from_arrays(cols, ["chunk", "nth", "doc", "b", "e", "k1", "k2", "held"])
+
+    judged = materialise(_each(parsed.join(told, "chunk"), judge, "chunk long, nth long, doc long, b long, e long, k1 long, k2 long, held array<struct<doc:long,b:long>>"))
+    forget(words, state, whole)
+    single = judged.where("nth >= 0").select("chunk", "nth", "k1", "k2", F.array_min("held.doc").alias("low"), F.array_max("held.doc").alias("high"))
+    equal = single.groupBy("k1", "k2").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list(F.struct("chunk", "nth")).alias("where")).where("low < high")
+    equal = equal.select("low", F.explode("where").alias("w")).select("w.*", "low")
+    late = judged.where("nth >= 0").select("chunk", "nth", "held").join(equal, ["chunk", "nth"]).select("low", F.explode("held").alias("x")).where("x.doc > low")
+    return judged.where("nth < 0").select("doc", "b", "e").union(late.select("x.doc", "x.b", (F.col("x.b") + length).alias("e")))
 
 
 def removal_spans(keyed: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:

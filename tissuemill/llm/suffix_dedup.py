@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import groups_of_rows, materialise, packed, text_buffer, unique_keys
-from tissuemill.llm.repeats import anchored, in_all_salts, merged, runs, salted, with_spans
+from tissuemill.llm.common import forget, groups_of_rows, materialise, packed, text_buffer, unique_keys
+from tissuemill.llm.repeats import anchored, merged, runs, with_spans
 
 GRAM = 24
 #: Contents of one anchor that go into one suffix array by the anchor; beyond, each window goes by its own bytes.
@@ -274,7 +274,7 @@ def removal_spans(keyed: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
         raise ValueError(f"length must be {2 * GRAM} or more")
     found = records(keyed, length)
     often = found.groupBy("h").agg(F.sum(F.when(F.col("dups").isNull(), 1).otherwise(2)).alias("c")).where("c > 1").select("h")
-    kept = materialise(found.withColumn("salt", salted(F.col("doc"))).join(in_all_salts(often), ["h", "salt"]).drop("salt"))
+    kept = materialise(found.join(often, "h"))
     contents = materialise(kept.groupBy("h", "c1", "c2", "n").agg(F.min(F.struct("doc", "pos")).alias("first")))
     many = contents.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many"))
     wanted = contents.join(many, "h", "left").select("h", "c1", "c2", "first.*", "n", F.coalesce("many", F.lit(False)).alias("hot"))
@@ -282,6 +282,7 @@ def removal_spans(keyed: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
     lead = done.where("lead").select("h", "c1", "c2", F.col("doc").alias("d"), F.col("pos").alias("p"))
     span = lambda df: df.select("doc", F.col("pos").alias("b"), (F.col("pos") + F.col("n") + length - 1).alias("e"))
     copies = kept.join(lead, ["h", "c1", "c2"])
+    forget(contents)
     out = done.select("doc", F.explode("spans").alias("s")).select("doc", "s.b", "s.e")
     out = out.union(span(copies.where("doc <> d or pos <> p")))
     return out.union(span(copies.where("dups is not null").select("n", F.explode("dups").alias("s")).select("n", "s.doc", "s.pos")))
