@@ -10,15 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 
 
+def _path(spark: SparkSession, name: str):
+    """A Hadoop path, qualified by the default file system, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path), store
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below the cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """A new folder name in shared storage, as a qualified URI.
+
+    The folder is below the cluster's ``spark.checkpoint.dir``, or else below the folder given to ``setCheckpointDir``. Only a
+    local master without either gets a temporary folder: on a cluster that would be each machine's own.
+    """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir", None)
+    base = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if context.applicationId not in _own:
             _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tissuemill-")
         base = _own[context.applicationId]
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{_path(spark, base)[0].toString().rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -26,3 +39,19 @@ def materialise(df: DataFrame) -> DataFrame:
     path, schema = shared_dir(df.sparkSession), df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def bucketed(df: DataFrame, by: str) -> DataFrame:
+    """Like ``materialise``, in buckets of ``by``: joins on it shuffle the other side alone."""
+    spark, name = df.sparkSession, f"tissuemill_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, by).option("path", shared_dir(spark)).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` or ``bucketed`` has written, once nothing reads them any more."""
+    for table in tables:
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path, store = _path(table.sparkSession, folder)
+            store.delete(path, True)
