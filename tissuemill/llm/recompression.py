@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import SLICE_BYTES, bucketed, forget, materialise, packed_lists, text_buffer, unique_keys
-from tissuemill.llm.repeats import PLACES, anchored, merged, runs, slices, with_spans
+from tissuemill.llm.common import SLICE_BYTES, bucketed, forget, materialise, packed_lists, unique_keys
+from tissuemill.llm.repeats import PLACES, anchored, merged, received, runs, shipped, slices, with_spans
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -128,19 +128,18 @@ def stretches(keyed: DataFrame, wanted: DataFrame, length: int, room: int) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
+        for batch, i, j, data, offsets in ((b, *part) for b in batches for part in received(b.column(1))):
             found: dict[bytes, tuple[int, int, list[int], list[int]]] = {}
-            for k, (key, records) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for k, (key, records) in enumerate(zip(batch.column(0)[i:j].to_pylist(), batch.column(2)[i:j].to_pylist(), strict=True)):
                 words = data[offsets[k] : offsets[k + 1]].tobytes().split()
                 records.sort(key=lambda r: r["pos"])
-                i = 0
+                seen = 0
                 for b, e in merged([(r["pos"], r["pos"] + r["n"] + length - 1) for r in records]):
-                    j = i
-                    while j < len(records) and records[j]["pos"] < e:
-                        j += 1
-                    h, count = min((r["h"], r["count"]) for r in records[i:j])
-                    i = j
+                    end = seen
+                    while end < len(records) and records[end]["pos"] < e:
+                        end += 1
+                    h, count = min((r["h"], r["count"]) for r in records[seen:end])
+                    seen = end
                     place = h + key % (1 + count // SPREAD)
                     for x in range(b, max(b + 1, e - length + 1), room):
                         y = min(e, x + room + length - 1)
@@ -152,7 +151,8 @@ def stretches(keyed: DataFrame, wanted: DataFrame, length: int, room: int) -> Da
                 lists = (pa.array(x, pa.list_(pa.int64())) for x in (doc, at))
                 yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(size, pa.int64()), pa.array(list(found), pa.binary()), *lists], ["place", "size", "text", "doc", "at"])
 
-    rows = keyed.join(wanted, keyed["_key"] == wanted["doc"]).select("_key", "text", "wanted")
+    texts = shipped(keyed)
+    rows = texts.join(wanted, texts["_key"] == wanted["doc"]).select("_key", "text", "wanted")
     return rows.mapInArrow(run, "place long, size long, text binary, doc array<long>, at array<long>")
 
 
@@ -525,10 +525,9 @@ def dedup(docs: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CH
     pure = keyed.select("_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
+        for batch, i, j, data, offsets in ((b, *part) for b in batches for part in received(b.column(1))):
             total, removed, kept = [], [], []
-            for k, spans in enumerate(batch.column(2).to_pylist()):
+            for k, spans in enumerate(batch.column(2)[i:j].to_pylist()):
                 words = data[offsets[k] : offsets[k + 1]].tobytes().split()
                 found = merged([(s["b"], s["e"]) for s in spans or ()])
                 total.append(len(words))
@@ -536,7 +535,7 @@ def dedup(docs: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CH
                 edges = [0, *[x for r in found for x in r], len(words)]
                 left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]] if found else words
                 kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["_key", "n_words", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["_key", "n_words", "n_removed", "kept_sha256"])
 
     out = with_spans(pure, removal_spans(pure, length, turns, room)).mapInArrow(run, "_key long, n_words long, n_removed long, kept_sha256 string")
     return ids(out).select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -21,6 +21,8 @@ from tissuemill.llm.common import groups_of_rows, text_buffer
 PLACES = np.uint64((1 << 20) - 1)
 #: Units of a row that are worked on at once; longer rows go in pieces that overlap by a window.
 PIECE = 1 << 19
+#: Compression of texts on their way, and bytes of texts that are unpacked at once.
+LEVEL, SHIPMENT = 1, 4 << 20
 
 
 def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
@@ -71,8 +73,38 @@ def slices(keyed: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray]
     return keyed.mapInArrow(run, schema)
 
 
+def shipped(keyed: DataFrame) -> DataFrame:
+    """(_key, text) with texts compressed one by one, as they go through shuffles; a null text as an empty one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            view = memoryview(np.ascontiguousarray(data))
+            for i, j in groups_of_rows(offsets, 8 << 20):
+                packed = [(b - a).to_bytes(4, "little") + codec.compress(view[a:b], asbytes=True) for a, b in zip(offsets[i:j].tolist(), offsets[i + 1 : j + 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(packed, pa.binary())], ["_key", "text"])
+
+    return keyed.select("_key", "text").mapInArrow(run, "_key long, text binary")
+
+
+def received(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The texts of a shipped column, some at a time: first and end row, their bytes, and the rows' offsets in them."""
+    codec, i = pa.Codec("zstd"), 0
+    while i < len(column):
+        texts, size, j = [], 0, i
+        while j < len(column) and (j == i or size < SHIPMENT):
+            raw = column[j].as_buffer()
+            n = int.from_bytes(raw[:4].to_pybytes(), "little")
+            texts.append(codec.decompress(raw[4:], n, asbytes=True))
+            size, j = size + n, j + 1
+        yield i, j, np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        i = j
+
+
 def with_spans(keyed: DataFrame, spans: DataFrame) -> DataFrame:
-    """(_key, text, spans): every row of ``keyed`` with its list of spans, null where there are none."""
+    """(_key, shipped text, spans): every row of ``keyed`` with its list of spans, null where there are none."""
+    keyed = shipped(keyed)
     lists = spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
     return keyed.join(lists, keyed["_key"] == lists["doc"], "left").select("_key", "text", "spans")
 

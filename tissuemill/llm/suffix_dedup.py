@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissuemill.llm.common import forget, groups_of_rows, materialise, packed, text_buffer, unique_keys
-from tissuemill.llm.repeats import anchored, merged, runs, with_spans
+from tissuemill.llm.repeats import anchored, merged, received, runs, shipped, with_spans
 
 GRAM = 24
 #: Contents of one anchor that go into one suffix array by the anchor; beyond, each window goes by its own bytes.
@@ -190,20 +190,20 @@ def _fetch(contents: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
     """
     fields = ["h", "c1", "c2", "pos", "n", "hot"]
     lists = contents.groupBy("doc").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
-    rows = keyed.join(lists, keyed["_key"] == lists["doc"]).select("_key", "text", "wanted")
+    texts = shipped(keyed)
+    rows = texts.join(lists, texts["_key"] == lists["doc"]).select("_key", "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = xxhash.xxh3_64_intdigest
         for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
             keys, wanted = batch.column(0).to_numpy(), batch.column(2)
             bounds = wanted.offsets.to_numpy().astype(np.int64)
             bounds -= bounds[0]
             cells = [x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten()]
-            for i, j in groups_of_rows(offsets, 4 << 20):
+            for i, j, data, offsets in received(batch.column(1)):
                 h, c1, c2, pos, n, hot = (x[bounds[i] : bounds[j]] for x in cells)
                 doc = np.repeat(keys[i:j], np.diff(bounds[i : j + 1]))
-                start = pos + np.repeat(offsets[i:j], np.diff(bounds[i : j + 1]))
+                start = pos + np.repeat(offsets[:-1], np.diff(bounds[i : j + 1]))
                 per = np.where(hot, n, 1)
                 at = np.repeat(np.arange(len(h)), per)
                 skip = np.arange(len(at)) - np.repeat(np.cumsum(per) - per, per)
@@ -292,10 +292,9 @@ def _applied(rows: DataFrame, whole_characters: bool) -> DataFrame:
     """Cut the spans out. whole_characters: spans shrink to whole code points, and the text comes back as a string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
+        for batch, i, j, data, offsets in ((b, *part) for b in batches for part in received(b.column(1))):
             out: list[tuple] = []
-            for k, spans in enumerate(batch.column(2).to_pylist()):
+            for k, spans in enumerate(batch.column(2)[i:j].to_pylist()):
                 whole = data[offsets[k] : offsets[k + 1]].tobytes()
                 runs = merged([(s["b"], s["e"]) for s in spans or ()])
                 if whole_characters:
@@ -311,7 +310,7 @@ def _applied(rows: DataFrame, whole_characters: bool) -> DataFrame:
                 kept = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else whole
                 out.append((len(whole), len(whole) - len(kept), len(runs), kept.decode() if whole_characters else hashlib.sha256(kept).hexdigest()))
             cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], ["_key", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], ["_key", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.mapInArrow(run, "_key long, n_bytes long, n_removed long, n_spans long, kept string")
 
