@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tissuemill.llm.common import filtered, groups_of_rows, text_buffer
 
@@ -111,6 +113,7 @@ class Index:
     place: np.ndarray
     sieve: np.ndarray
     shift: int
+    short: dict[int, dict[bytes, list[int]]]  # passages under Q bytes, by size and text
 
 
 def budget(size: int, rate: float) -> int:
@@ -121,13 +124,13 @@ def budget(size: int, rate: float) -> int:
 def build(rows: list[tuple], rate: float = 0.06, size: int = 96, step: int = 48) -> Index:
     """The index of (item_id, text) rows: each item in passages of ``size`` normalised bytes, ``step`` apart.
 
-    An item under Q normalised bytes can't be told from chance and has no passage; one of up to size + step is one passage.
+    An item of up to size + step bytes is one passage; one under Q bytes has no q-gram and is sought as whole words, unedited.
     """
     items, texts = [], []
     for item, text in rows:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         whole = normalised(raw, np.array([0, len(raw)]))[0].tobytes().strip()
-        if len(whole) < Q:
+        if not whole:
             continue
         starts = [0] if len(whole) <= size + step else [*range(0, len(whole) - size, step), len(whole) - size]
         for a in starts:
@@ -145,7 +148,11 @@ def build(rows: list[tuple], rate: float = 0.06, size: int = 96, step: int = 48)
     bits = max(16, math.ceil(math.log2(64 * max(1, len(first)))))
     sieve = np.zeros(1 << bits, bool)
     sieve[h[first] >> np.uint64(64 - bits)] = True
-    return Index(items, texts, edits, least, h[first], np.concatenate((first, [len(h)])), passage, place, sieve, 64 - bits)
+    short: dict[int, dict[bytes, list[int]]] = {}
+    for k, t in enumerate(texts):
+        if len(t) < Q:
+            short.setdefault(len(t), {}).setdefault(t, []).append(k)
+    return Index(items, texts, edits, least, h[first], np.concatenate((first, [len(h)])), passage, place, sieve, 64 - bits, short)
 
 
 def distances(passages: list[bytes], regions: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,9 +174,55 @@ def distances(passages: list[bytes], regions: list[bytes]) -> tuple[np.ndarray,
     return now[np.arange(len(p)), best], best + p.shape[1]
 
 
+def starts(passages: list[bytes], regions: list[bytes], ends: list[int], slack: int) -> np.ndarray:
+    """Where the part of each region begins that ends at ``ends`` and is nearest to the passage; of equals the one of its size.
+
+    Passage and region are aligned backwards from the end, within ``slack`` diagonals; all passages have one length.
+    """
+    size = len(passages[0])
+    p = np.frombuffer(b"".join(x[::-1] for x in passages), np.uint8).reshape(len(passages), size)
+    back = [r[max(0, e - size - slack) : e][::-1] for r, e in zip(regions, ends, strict=True)]
+    r = np.frombuffer(b"".join(bytes(slack) + x + bytes(size + slack - len(x)) for x in back), np.uint8).reshape(len(passages), -1)
+    step = np.arange(2 * slack + 1)
+    now = np.broadcast_to(np.where(step < slack, 1 << 20, step - slack), (len(p), len(step))).copy()
+    for j in range(size):
+        new = now + (p[:, j : j + 1] != r[:, j : j + len(step)])
+        new[:, :-1] = np.minimum(new[:, :-1], now[:, 1:] + 1)
+        now = np.minimum.accumulate(new - step, axis=1) + step
+    best = (now * 4 * len(step) + np.abs(step - slack)).argmin(axis=1)
+    return np.array(ends) - size - (best - slack)
+
+
+def _whole_words(index: Index, text: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(row, passage, start, end) in the normalised text for each short item that stands there between spaces."""
+    out = []
+    open_ = np.ones(len(text) + 1, bool)
+    open_[1:-1] = (text[:-1] == 32) | (text[1:] == 32)
+    open_[bounds] = True
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(text),), "<u8", padded, 0, (1,))
+    for size, known in index.short.items():
+        mask = np.uint64((1 << 8 * min(size, 8)) - 1)
+        heads = np.array([int.from_bytes(t[:8], "little") for t in known], np.uint64)
+        at = np.flatnonzero(open_[: max(0, len(text) - size + 1)] & open_[size:])
+        at = at[np.isin(eight[at] & mask, heads)]
+        row = np.searchsorted(bounds, at, "right") - 1
+        for r, a in zip(row.tolist(), at.tolist(), strict=True):
+            if a + size <= bounds[r + 1]:
+                out += [(r, k, a, a + size) for k in known.get(text[a : a + size].tobytes(), ())]
+    return out
+
+
 def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, passage, start, end, edits) of every verified match in the rows; start and end are bytes of the row."""
     text, bounds, origin = normalised(data, offsets)
+    found = [(r, p, a, z, 0) for r, p, a, z in _whole_words(index, text, bounds)] if index.short else []
+    found += _aligned(index, text, bounds)
+    return [(r, p, int(origin[a] - offsets[r]), int(origin[z - 1] - offsets[r]) + 1, e) for r, p, a, z, e in found]
+
+
+def _aligned(index: Index, text: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The matches of passages with q-grams, in places of the normalised text."""
     h = grams(text)
     at = np.flatnonzero(index.sieve[h >> np.uint64(index.shift)])
     if not len(at) or not len(index.names):
@@ -206,11 +259,17 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[in
         for k in range(0, len(own), 512):
             part = own[k : k + 512]
             edits, ends = distances([index.texts[p] for _, p, _, _ in part], [x[3] for x in part])
-            for (r, p, low, _), e, end in zip(part, edits.tolist(), ends.tolist(), strict=True):
+            hits = []
+            for (r, p, low, region), e, end in zip(part, edits.tolist(), ends.tolist(), strict=True):
                 if e <= index.edits[p]:
-                    z = min(low + end, int(bounds[r + 1]))
-                    a = max(z - len(index.texts[p]), int(bounds[r]))
-                    out.append((r, p, int(origin[a] - offsets[r]), int(origin[z - 1] - offsets[r]) + 1, e))
+                    hits.append((r, p, low, region, e, end))
+            if not hits:
+                continue
+            slack = max(int(index.edits[p]) for _, p, *_ in hits)
+            begins = starts([index.texts[p] for _, p, *_ in hits], [x[3] for x in hits], [x[5] for x in hits], slack)
+            for (r, p, low, _, e, end), begin in zip(hits, begins.tolist(), strict=True):
+                a, z = max(low + begin, int(bounds[r])), min(low + end, int(bounds[r + 1]))
+                out.append((r, p, a, z, e))
     return out
 
 
@@ -232,11 +291,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
     diagonal bands; bands with as many are verified by banded alignment. Bytes are those of the original text, from the
     first to the last passage found; edits are summed over passages.
 
-    Null texts hold nothing, null items aren't sought; rows that repeat a doc_id or item_id are reported for each row and
+    An item under 12 such bytes is sought unedited, as whole words. Null texts hold nothing, null and blank items aren't sought;
+    very long texts are searched whole; rows that repeat a doc_id or item_id are reported for each row and
     item text. No benchmark or no documents: no rows.
     """
     out = None
     spark = docs.sparkSession
+    ids = [docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
+    names = ["doc_id", "item_id", "first_byte", "end_byte", "passages_hit", "passages", "edits"]
+    types = [*map(to_arrow_type, ids), *[pa.int64()] * 5]
+    schema = StructType([StructField(c, t) for c, t in zip(names, [*ids, *[LongType()] * 5], strict=True)])
     for rows in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(build(rows, rate))
 
@@ -256,9 +320,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
                         x[2][p] = min(e, x[2].get(p, e))
                 rows = [(ids[r].as_py(), item, a, z, len(ps), total[item], sum(ps.values())) for (r, item), (a, z, ps) in sorted(found.items(), key=lambda x: (x[0][0], str(x[0][1])))]
                 cols = list(zip(*rows, strict=True)) or [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "first_byte", "end_byte", "passages_hit", "passages", "edits"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
-        one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, item_id long, first_byte long, end_byte long, passages_hit long, passages long, edits long")
+        one = docs.select("doc_id", "text").mapInArrow(run, schema)
         out = one if out is None else out.union(one)
     return out
 

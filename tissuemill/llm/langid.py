@@ -148,13 +148,24 @@ def identify(docs: DataFrame, top: int = 300) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out, "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, top: int = 300) -> DataFrame:
-    """The rows of ``docs`` whose language can be told; all columns stay as they are."""
-    judge, at = _learned(docs, top), docs.columns.index("text")
+def keep_identified(docs: DataFrame, top: int = 300, least: float = 1 / 3) -> DataFrame:
+    """The rows of ``docs`` written in a learned language; where lang is null it is set to the predicted one.
+
+    Profiles are learned as in ``identify``. A row goes if its text is null or has no letter, or if its nearest profile scores
+    under ``least``, which text in a language or script without a profile does. All other columns and stated langs
+    stay as they are. Where nothing can be learned, rows with a letter stay, and null langs stay null.
+    """
+    judge, at, lang = _learned(docs, top), docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = [x[0] != "und" for _, texts in _rows(batch.column(at)) for x in judge(texts)]
-            yield batch.filter(pa.array(known, pa.bool_()))
+            if judge.langs:
+                said = [x for _, texts in _rows(batch.column(at)) for x in judge(texts)]
+            else:
+                said = [(None, float(len(g) > 0)) for _, texts in _rows(batch.column(at)) for g in grams(texts)]
+            stated = batch.column(lang)
+            filled = pa.array([a if a is not None else b for a, (b, _) in zip(stated.to_pylist(), said, strict=True)], stated.type)
+            good = pa.array([score >= least for _, score in said], pa.bool_())
+            yield batch.set_column(lang, batch.schema.field(lang), filled).filter(good)
 
     return filtered(docs, run)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tissuemill.functions.scalar import let
 
-#: Sources that may be mixed, and parts of all weights: the schedule of one cycle is a single row.
-MOST_SOURCES, MOST_PARTS = 1000, 20_000
+#: Sources that may be mixed: the schedule of one cycle is a single row.
+MOST_SOURCES = 1000
 NO_SOURCE = "(none)"
 
 
@@ -39,7 +39,6 @@ def schedule(sources: DataFrame) -> DataFrame:
     """
     one = sources.agg(F.array_sort(F.collect_list(F.struct("_source", "parts"))).alias("s"), F.sum("parts").alias("slots"))
     one = one.where("size(s) > 0").withColumn("s", F.when(F.size("s") > MOST_SOURCES, F.raise_error(F.lit(f"more than {MOST_SOURCES} sources"))).otherwise(F.col("s")))
-    one = one.withColumn("slots", F.when(F.col("slots") > MOST_PARTS, F.raise_error(F.lit(f"more than {MOST_PARTS} parts"))).otherwise(F.col("slots")))
 
     def due(z: Column, x: Column, i: Column, done: Column, t: Column) -> Column:
         n, w = F.get(done, i), x["parts"]
@@ -51,11 +50,20 @@ def schedule(sources: DataFrame) -> DataFrame:
         taken = F.struct(first.alias("i"), F.get(state["done"], first).alias("nth"), t.alias("at"))
         return F.struct(F.transform(state["done"], lambda n, i: F.when(i == first, n + 1).otherwise(n)).alias("done"), F.concat(state["plan"], F.array(taken)).alias("plan"))
 
+    kind = "array<struct<i:int,nth:long,at:long>>"
+
+    def stretch(z: Column, state: Column, low: Column) -> Column:
+        """The slots from ``low`` on, as many as a stretch has: made apart, so that a slot copies a stretch and not all before."""
+        times = F.sequence(low, F.least(low + z["wide"], z["slots"]) - 1)
+        made = F.aggregate(times, F.struct(state["done"].alias("done"), F.array().cast(kind).alias("plan")), lambda x, t: slot(z, x, t))
+        return F.struct(made["done"].alias("done"), F.concat(state["plan"], F.array(made["plan"])).alias("plan"))
+
     def cycle(z: Column) -> Column:
-        start = F.struct(F.transform(z["s"], lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<struct<i:int,nth:long,at:long>>").alias("plan"))
-        return F.aggregate(F.sequence(F.lit(0).cast("long"), z["slots"] - 1), start, lambda state, t: slot(z, state, t), lambda x: x["plan"])
+        start = F.struct(F.transform(z["s"], lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast(f"array<{kind}>").alias("plan"))
+        lows = F.sequence(F.lit(0).cast("long"), z["slots"] - 1, z["wide"])
+        return F.flatten(F.aggregate(lows, start, lambda state, low: stretch(z, state, low), lambda x: x["plan"]))
 
-    plan = one.select("s", F.explode(let(F.struct("s", "slots"), cycle)).alias("p"))
+    plan = one.select("s", F.explode(let(F.struct("s", "slots", F.ceil(F.sqrt("slots")).cast("long").alias("wide")), cycle)).alias("p"))
     return plan.select(F.get(F.col("s"), F.col("p.i"))["_source"].alias("_source"), "p.nth", "p.at")
 
 

@@ -141,15 +141,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     its own next.
 
     Documents are ranged by doc_id, and each task holds one document besides the one it reads. A partition's last document
-    waits for the next partition's first: one row for each partition goes through a window of its own.
+    waits for the next partition's first: partition numbers go through a window of their own, the two texts through a join. A
+    very long text is fingerprinted whole, in the task that holds it.
     """
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
     done = materialise(ranged.mapInArrow(_in_order, f"{ROW}, part long, head binary, last_id long, last binary"))
     edges = done.where("part is not null").select("part", "head", "last_id", "last")
+    # only the partitions' numbers meet in one place: one for each; texts go by a join
     everyone = Window.orderBy("part")
-    first = F.first("head").over(everyone.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    pairs = edges.select("last_id", "last", F.coalesce(F.lead("head").over(everyone), first).alias("following"))
+    first = F.first("part").over(everyone.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    turns = edges.select("part").withColumn("next", F.coalesce(F.lead("part").over(everyone), first))
+    heads = edges.select(F.col("part").alias("next"), F.col("head").alias("following"))
+    pairs = edges.select("part", "last_id", "last").join(turns, "part").join(heads, "next").select("last_id", "last", "following")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
