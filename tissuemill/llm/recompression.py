@@ -37,7 +37,7 @@ BLANK[[32, 9, 10, 11, 12, 13]] = True
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 LETTERS = np.random.default_rng(17).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Words of a chunk.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 #: Rounds after the words' own: symbols of the last are some four words long, and a window holds what settles several of them.
 ROUNDS = 5
 #: Words of a gram of the sieve.
@@ -100,8 +100,11 @@ def words_hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return names, np.searchsorted(starts, offsets)
 
 
-def sieved(keyed: DataFrame, length: int) -> DataFrame:
-    """(doc, wanted): for each document, the records (pos, n, h, count) of windows whose anchor occurs more than once."""
+def sieved(keyed: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, wanted): for each document, the records (pos, n, h, count) of windows whose anchor occurs more than once.
+
+    The table of all records, which that is made of, comes second.
+    """
     gram = min(GRAM, length)
 
     def work(keys: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
@@ -112,9 +115,9 @@ def sieved(keyed: DataFrame, length: int) -> DataFrame:
         h, row, pos, n = anchored(spans_hashed(words, at, np.minimum(at + gram, len(words)), BASES[1]), bounds, length, gram)
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[row]), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "doc", "pos", "n"])
 
-    found = slices(keyed, work, "h long, doc long, pos int, n int")
+    found = materialise(slices(keyed, work, "h long, doc long, pos int, n int"))
     kept = found.join(found.groupBy("h").count().where("count > 1"), "h")
-    return kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "n", "h", "count")).alias("wanted"))
+    return kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "n", "h", "count")).alias("wanted")), found
 
 
 CHUNKS = "chunk long, copies array<int>, doc array<long>, at array<long>, size array<long>, text binary"
@@ -508,7 +511,10 @@ def covered_spans(words: DataFrame, state: DataFrame, length: int) -> DataFrame:
 
 def removal_spans(keyed: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:
     """Spans (doc, b, e), in words, that windows found in a smaller document cover."""
-    words = words_named(chunks(keyed, sieved(keyed, length), length, room))
+    wanted, found = sieved(keyed, length)
+    chunked = chunks(keyed, wanted, length, room)
+    forget(found)
+    words = words_named(chunked)
     return covered_spans(words, rounds(words, turns), length)
 
 
