@@ -76,3 +76,30 @@ def test_images_to_quality_and_cluster_tables(spark, tmp_path):
         kinds.setdefault(r["cluster"], set()).add(int(group.ravel()[np.flatnonzero(labels.ravel() == r["cell_id"])[0]]))
     assert all(len(v) == 1 for v in kinds.values())
     assert found["spatial_map"].count() == 36 and found["spatial_markers"].count() == 144
+
+
+@pytest.mark.parametrize("background", workloads.BACKGROUNDS)
+def test_one_pixel_that_is_not_finite_counts_as_zero(spark, background):
+    """A hole in the image gives what the image with a zero there gives, whatever the background's kernel."""
+    rng = np.random.default_rng(3)
+    plain, other = rng.random((24, 24)), rng.random((24, 24)) / 4
+    plain[10, 11] = 0
+    holed = plain.copy()
+    holed[10, 11] = np.nan
+    channels = spark.createDataFrame([("s", 0, "dapi"), ("s", 1, "AF")], "sample_id string, channel int, name string")
+
+    def run(values):
+        tiles = pixels.to_tiles(image(spark, values).union(image(spark, other, channel=1)), 10)
+        found = workloads.binarised_nuclei(tiles, channels, background, size=2, block=10)
+        return {(r["y"], r["x"]): r["value"] for r in found.collect()}
+
+    assert run(holed) == run(plain)
+
+
+def test_background_job_refuses_blank_and_unequal_images(spark):
+    channels = spark.createDataFrame([("s", 0, "dapi"), ("s", 1, "AF")], "sample_id string, channel int, name string")
+    small, large, blank = np.ones((6, 6)), np.ones((8, 6)), np.zeros((6, 6))
+    for first, second, text in ((blank, small, "blank"), (small, large, "different sizes")):
+        tiles = pixels.to_tiles(image(spark, first).union(image(spark, second, channel=1)), 4)
+        with pytest.raises(ValueError, match=text):
+            workloads.binarised_nuclei(tiles, channels, "af")

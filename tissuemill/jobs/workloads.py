@@ -23,19 +23,30 @@ def binarised_nuclei(tiles: DataFrame, channels: DataFrame, background: str = "n
         raise ValueError(f"background is one of {', '.join(BACKGROUNDS)}")
     if not -1 <= leniency <= 1:
         raise ValueError("leniency lies between -1 and 1")
-    nuclei = meta.extract_channel(tiles, channels)
+    nuclei = pixels.clean_tiles(meta.extract_channel(tiles, channels))  # first: a filter would spread what isn't finite
+    _refuse(pixels.check_not_blank(pixels.to_pixels(nuclei)), "a blank nuclear channel")
     if background == "gaussian":
         nuclei = halo.bg_gaussian(nuclei, size, block)
     elif background == "rollingball":
         nuclei = halo.bg_rollingball(nuclei, int(size), block)
-    plain = pixels.clean_nonfinite(pixels.to_pixels(nuclei))
+    plain = pixels.to_pixels(nuclei)
     if background == "mean":
         plain = pixels.bg_mean(plain)
     elif background == "af":
-        plain = pixels.bg_af(plain, pixels.to_pixels(meta.extract_channel(tiles, channels, "AF")))
+        af = pixels.clean_nonfinite(pixels.to_pixels(meta.extract_channel(tiles, channels, "AF")))
+        _refuse(pixels.check_shapes(plain, af), "a nuclear and an autofluorescence channel of different sizes")
+        plain = pixels.bg_af(plain, af)
+    plain = materialise(plain)  # the range, the histogram and the threshold read it
     return pixels.binarise(plain, pixels.otsu(plain, leniency))
 
 
+def _refuse(found: DataFrame, what: str) -> None:
+    """Raise an error that names the first samples of ``found``, if there are any."""
+    rows = found.select("sample_id").orderBy("sample_id").limit(10).collect()
+    if rows:
+        raise ValueError(f"{what}: {', '.join(str(r[0]) for r in rows)}")
+
+
 def images_to_cells(tiles: DataFrame, mask: DataFrame, channels: DataFrame, markers: DataFrame, stat: str = "mean", solidity: bool = True) -> DataFrame:
     """The cell x feature table of all samples from image blocks and mask blocks on one grid.
 

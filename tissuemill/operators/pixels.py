@@ -64,6 +64,11 @@ def clean_nonfinite(pixels: DataFrame) -> DataFrame:
     return pixels.withColumn("value", finite_or_zero(F.col("value")))
 
 
+def clean_tiles(tiles: DataFrame) -> DataFrame:
+    """``clean_nonfinite`` on blocks, whose values stay together."""
+    return tiles.withColumn("values", F.transform("values", finite_or_zero))
+
+
 def count_nonfinite(pixels: DataFrame) -> DataFrame:
     v = F.col("value")
     return pixels.groupBy("sample_id").agg(F.count_if(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))).alias("n_nonfinite"))
