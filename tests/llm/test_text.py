@@ -227,3 +227,65 @@ def test_licence_rules(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     want = {tuple(r) for r in con.execute(licenses.oracle()).fetchall()}
     assert {tuple(r) for r in licenses.scan(h.frame(spark, rows)).collect()} == want
+
+
+def test_licence_rows_are_documents(spark):
+    """Two rows of one doc_id, or of none, state together what neither states alone."""
+    s = licenses.SENTENCES
+    rows = [(1, s["mit-grant"]), (1, s["mit-notice"]), (None, s["mit-grant"]), (None, s["mit-notice"]), (None, s["mit-short"]), (None, s["mit-short"])]
+    assert [tuple(r)[:2] for r in licenses.scan(h.frame(spark, rows)).collect()] == [(None, "MIT"), (None, "MIT")]
+
+
+def test_short_items_text_ids_and_exact_starts(spark):
+    benchmark = spark.createDataFrame([("x", "beta gam x"), ("y", "hello"), ("z", "the quick brown fox jumps over the lazy dog and runs away")], "item_id string, text string")
+    texts = ["alpha Beta  gam, X tail", "xbeta gam x", "hello", "othello hello2", "before THE quickly brown fox jumps over the lazy dog and runs away etc", "words. the quick brown fox jumpsover the lazzy dog and runs away!", ""]
+    docs = h.frame(spark, list(enumerate(texts)))
+    got = {(r["doc_id"], r["item_id"], texts[r["doc_id"]].encode()[r["first_byte"] : r["end_byte"]].decode()) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert got == {(0, "x", "Beta  gam, X"), (2, "y", "hello"), (4, "z", texts[4][7:-4]), (5, "z", texts[5][7:-1])}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(docs, benchmark).collect()} == {1, 3, 6}
+
+
+def test_mixing_of_many_parts(spark):
+    rows = [(i, "t", "en", "ab"[i % 2], 1) for i in range(40)]
+    got = mixing.mix(h.frame(spark, rows), {"a": 20_001, "b": 1}, block_rows=2).collect()
+    assert len({r["mix_position"] for r in got}) == 40
+
+
+def test_language_stage_keeps_learned_languages(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice((EN, DE)[i % 2].split()) for _ in range(30)), ("en", "de")[i % 2], "s", 0) for i in range(60)]
+    rows += [(100, "это другой язык и другое письмо", None, "s", 0), (101, "und der die das nicht auch werden", None, "s", 0), (102, "1 2", "en", "s", 0)]
+    kept = {r["doc_id"]: r["lang"] for r in langid.keep_identified(h.frame(spark, rows)).collect()}
+    assert kept == {**{i: ("en", "de")[i % 2] for i in range(60)}, 101: "de"}
+    assert langid.keep_identified(h.frame(spark, [(1, "some text", None, "s", 0), (2, "12", None, "s", 0)])).count() == 1
+
+
+def test_language_scores_are_out_of_place_distances(spark):
+    """Scores and languages against a plain version over n-grams as strings."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice((EN, DE)[i % 2].split()) for _ in range(12)), ("en", "de")[i % 2], "s", 0) for i in range(24)]
+    import collections
+    import zlib
+
+    def counts(text):
+        out = collections.Counter()
+        for w in text.split():
+            out.update(w)
+        padded = " " + " ".join(text.split()) + " "
+        for n in (2, 3):
+            out.update(padded[i : i + n] for i in range(len(padded) - n + 1) if n == 2 or padded[i + 1] != " ")
+        return out
+
+    def order(c):
+        return [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], sum(ord(a) << (21 * (len(x[0]) - 1 - i)) for i, a in enumerate(x[0]))))][:300]
+
+    learned = {}
+    for i, t, lang, *_ in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            learned[lang] = learned.get(lang, collections.Counter()) + counts(t)
+    ranks = {lang: {g: k for k, g in enumerate(order(c))} for lang, c in learned.items()}
+    for r in langid.identify(h.frame(spark, rows)).collect():
+        own = order(counts(rows[r["doc_id"]][1]))
+        away = {lang: sum(abs(of[g] - k) if g in of else 300 for k, g in enumerate(own)) for lang, of in ranks.items()}
+        best = min(sorted(away), key=away.get)
+        assert r["lang_pred"] == best and abs(r["score"] - (1 - away[best] / (300 * len(own)))) < 1e-12

@@ -108,21 +108,23 @@ def scan(docs: DataFrame) -> DataFrame:
     a-z and digits as single spaces, and looked up as a whole. A document's identifiers, in text order (a sentence before
     its lines), must contain those of a rule in order, others may stand between; of a family's rules that match, the
     first counts. first_sentence is the number (from 0) of the document's first known sentence, n_sentences how many known
-    ones it has. Documents without a licence have no row; null and empty texts have none. Rows that repeat a doc_id are
-    scanned as one document, in any order among themselves.
+    ones it has. Documents without a licence have no row; null and empty texts have none. Every row is a document of its own,
+    also where rows repeat a doc_id or have none. A very long text is cut into its sentences within the task that reads it;
+    only known sentences are shuffled. Other columns aren't looked at; no rows give no rows.
     """
     pieces, rules = _tables(docs.sparkSession)
-    sentences = docs.select("doc_id", F.posexplode(F.split("text", BREAK)).alias("at", "sentence"))
+    rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    sentences = rows.select("row", "doc_id", F.posexplode(F.split("text", BREAK)).alias("at", "sentence"))
     lines = F.split("sentence", "\n")
     parts = F.when(F.size(lines) > 1, F.concat(F.array("sentence"), lines)).otherwise(F.array("sentence"))
-    found = sentences.select("doc_id", "at", F.posexplode(parts).alias("line", "part"))
+    found = sentences.select("row", "doc_id", "at", F.posexplode(parts).alias("line", "part"))
     found = found.withColumn("known", F.trim(F.regexp_replace(F.lower("part"), "[^a-z0-9]+", " ")))
-    hits = found.join(F.broadcast(pieces), "known").select("doc_id", "at", "line", "id")
-    each = hits.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "line", "id"))).alias("hits"))
+    hits = found.join(F.broadcast(pieces), "known").select("row", "doc_id", "at", "line", "id")
+    each = hits.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "line", "id"))).alias("hits"))
     text = F.array_join(F.transform("hits", lambda h: F.concat(F.lit("|"), h["id"], F.lit("|"))), "")
-    each = each.select("doc_id", F.get("hits", F.lit(0))["at"].cast("long").alias("first_sentence"), F.size("hits").cast("long").alias("n_sentences"), text.alias("ids"), F.array_distinct(F.transform("hits", lambda h: h["id"])).alias("heads"))
+    each = each.select("row", "doc_id", F.get("hits", F.lit(0))["at"].cast("long").alias("first_sentence"), F.size("hits").cast("long").alias("n_sentences"), text.alias("ids"), F.array_distinct(F.transform("hits", lambda h: h["id"])).alias("heads"))
     cases = each.withColumn("head", F.explode("heads")).join(F.broadcast(rules), "head").where("ids LIKE pattern")
-    best = F.row_number().over(Window.partitionBy("doc_id", "family").orderBy("rule"))
+    best = F.row_number().over(Window.partitionBy("row", "family").orderBy("rule"))
     return cases.withColumn("best", best).where("best = 1").select("doc_id", "license", "family", "first_sentence", "n_sentences")
 
 
@@ -134,17 +136,17 @@ def oracle() -> str:
     ruled = ", ".join(f"({r}, {text(a)}, {text(b)}, {text(c)}, {text(d)})" for r, a, b, c, d in rules)
     return f"""
 WITH pieces(id, known) AS (VALUES {known}), rules(rule, license, family, head, pattern) AS (VALUES {ruled}),
-cut AS (SELECT doc_id, string_split_regex(text, '[.!?;]\\s+|\\n\\s*\\n') AS parts FROM documents),
-sentences AS (SELECT doc_id, unnest(range(0, len(parts))) AS spot, unnest(parts) AS sentence FROM cut),
-lined AS (SELECT doc_id, spot, CASE WHEN contains(sentence, chr(10)) THEN list_concat([sentence], string_split(sentence, chr(10))) ELSE [sentence] END AS lines FROM sentences),
-found AS (SELECT doc_id, spot, unnest(range(0, len(lines))) AS line, unnest(lines) AS part FROM lined),
+cut AS (SELECT row_number() OVER () AS row, doc_id, string_split_regex(text, '[.!?;]\\s+|\\n\\s*\\n') AS parts FROM documents),
+sentences AS (SELECT row, doc_id, unnest(range(0, len(parts))) AS spot, unnest(parts) AS sentence FROM cut),
+lined AS (SELECT row, doc_id, spot, CASE WHEN contains(sentence, chr(10)) THEN list_concat([sentence], string_split(sentence, chr(10))) ELSE [sentence] END AS lines FROM sentences),
+found AS (SELECT row, doc_id, spot, unnest(range(0, len(lines))) AS line, unnest(lines) AS part FROM lined),
 hits AS (
-  SELECT doc_id, spot, line, id FROM found JOIN pieces ON pieces.known = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))
+  SELECT row, doc_id, spot, line, id FROM found JOIN pieces ON pieces.known = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))
 ),
 each AS (
-  SELECT doc_id, min(spot) AS first_sentence, count(*) AS n_sentences, string_agg('|' || id || '|', '' ORDER BY spot, line, id) AS ids FROM hits GROUP BY doc_id
+  SELECT row, doc_id, min(spot) AS first_sentence, count(*) AS n_sentences, string_agg('|' || id || '|', '' ORDER BY spot, line, id) AS ids FROM hits GROUP BY row, doc_id
 ),
 cases AS (SELECT each.*, rules.* FROM each JOIN rules ON ids LIKE pattern)
 SELECT doc_id, license, family, first_sentence, n_sentences FROM cases
-QUALIFY row_number() OVER (PARTITION BY doc_id, family ORDER BY rule) = 1
+QUALIFY row_number() OVER (PARTITION BY row, family ORDER BY rule) = 1
 """
