@@ -93,7 +93,7 @@ DENSITY = f"""WITH {CELLS}, {LONG},
 s AS (SELECT sample_id, marker, count(value) AS n, min(value) AS low, max(value) AS high, stddev_samp(value) AS sd, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM long GROUP BY ALL),
 b AS (SELECT *, 0.9 * CASE WHEN least(sd, iqr / 1.34) > 0 THEN least(sd, iqr / 1.34) WHEN sd > 0 THEN sd WHEN abs(low) > 0 THEN abs(low) ELSE 1.0 END * pow(n, -0.2) AS bw, (high - low) / 511 AS step FROM s),
 a AS (SELECT sample_id, marker, CASE WHEN step > 0 THEN (value - low) / step ELSE 0.0 END AS spot FROM long JOIN b USING (sample_id, marker)),
-l AS (SELECT *, least(floor(spot), 126) AS lo FROM a),
+l AS (SELECT *, least(floor(spot), 510) AS lo FROM a),
 w AS (SELECT sample_id, marker, bin, sum(w) AS w FROM (
   SELECT sample_id, marker, lo AS bin, 1 - (spot - lo) AS w FROM l UNION ALL SELECT sample_id, marker, lo + 1, spot - lo FROM l) GROUP BY ALL HAVING sum(w) > 0)
 SELECT sample_id, marker, k::INT AS k, {r('any_value(low) + k * any_value(step)', 6)} AS x,
