@@ -687,7 +687,7 @@ def c8_fuzzy_graph(spark, d):
 
 @query()
 def c8b_layout_2d(spark, d):
-    return cluster.layout_2d(cluster.fuzzy_graph(cluster.knn(_points(spark, d))), 10)
+    return cluster.layout_2d(cluster.fuzzy_graph(cluster.knn(_points(spark, d))))
 
 
 CLUSTERED = FEATURES + ", " + LABELS + ", j AS (SELECT l.sample_id, resolution, cluster, 'm' || (i - 1) AS marker, v[i] AS value FROM features JOIN labels l USING (sample_id, cell_id), range(1, 65) AS g(i))"
