@@ -45,10 +45,10 @@ def corpus():
     return rows + [(2000, None), (2001, ""), (2002, "One two"), (2003, "one  two")]
 
 
-@pytest.mark.parametrize("block_rows", [16, 2])
-def test_near_copies_are_those_of_brute_force(spark, block_rows):
+@pytest.mark.parametrize("company", [100_000, 64, 2])
+def test_near_copies_are_those_of_brute_force(spark, company):
     rows = corpus()
-    got = simhash.keep_one_of_each(h.frame(spark, rows).repartition(5), block_rows=block_rows)
+    got = simhash.keep_one_of_each(h.frame(spark, rows).repartition(5), company=company)
     assert sorted(r["doc_id"] for r in got.collect()) == kept(rows)
 
 

@@ -15,8 +15,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, text_buffer, unique_keys
@@ -24,6 +25,8 @@ from tissuemill.llm.components import components
 
 #: For each byte value, its eight bits in eight byte lanes; up to 255 of them add up without carry.
 LANES = np.array([sum(((v >> k) & 1) << (8 * k) for k in range(8)) for v in range(256)], np.uint64)
+#: Shares of the shingle hashes by which rows are compared before they are paired; more shares rule out more pairs.
+SHARES = 64
 
 
 def shingle_hashes(text: bytes, width: int = 3, seed: int = 42) -> list[int]:
@@ -244,28 +247,90 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where((100 + percent) * s >= percent * n).select("u", "v")
 
 
-def near_links(texts: DataFrame, marks: DataFrame, percent: int, width: int, wide: Wide, block_rows: int = 16) -> DataFrame:
+def near_links(texts: DataFrame, marks: DataFrame, percent: int, width: int, wide: Wide, company: int = 64, guides: int = 8) -> DataFrame:
     """Edges (u, v) that connect the rows of ``marks`` which share a block and whose shingle sets are similar.
 
-    Members of a block of up to ``block_rows`` are paired off; those of larger ones go to ``hot_links``.
+    A large group of near copies shares blocks in many ways, large and small, so pairing off would give about all its pairs.
+    First the rows that meet others over ``company`` times in their blocks are compared with up to ``guides`` rows each, those
+    that stand for most of their blocks (a block's is the one with the most company, in a group the text that the others come
+    from). Components of these links are known to be connected; pairs are made only between different ones of a block,
+    and only where ``_possible`` can't rule them out, so no link between components is lost.
     """
     filed = marks.select("id", F.posexplode("blocks").alias("slot", "key"))
     shared = filed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
     filed = materialise(filed.join(shared, ["slot", "key"]))
-    ids = materialise(filed.select("id").distinct())
-    prints = materialise(marks.join(ids, "id", "left_semi").select("id", "print"))
-    small, large = filed.where(F.col("n") <= block_rows).select("slot", "key", "id"), filed.where(F.col("n") > block_rows)
-    pairs = small.withColumnRenamed("id", "u").join(small.withColumnRenamed("id", "v"), ["slot", "key"]).where("u > v").select("u", "v")
-    pairs = materialise(_close(pairs.distinct(), prints, wide.most))
-    both = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(large.select("id")).distinct()
-    sets = materialise(sets_of(texts.join(both, "id", "left_semi").select("id", "text"), width))
-    near = _alike(pairs, sets, percent)
-    if large.isEmpty():
-        return near
-    return near.union(hot_links(large.select("id", "slot", "key"), lambda found: _alike(_close(found, prints, wide.most), sets, percent)))
+    met = materialise(filed.groupBy("id").agg(F.sum(F.col("n") - 1).alias("w")))
+    prints = materialise(marks.join(met, "id", "left_semi").select("id", "print"))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(_close(materialise(pairs), prints, wide.most))
+        both = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+        sets = materialise(sets_of(texts.join(both, "id", "left_semi").select("id", "text"), width))
+        return materialise(_alike(pairs, sets, percent))
+
+    named = filed.select("slot", "key", "id", F.col("id").alias("part"), F.lit(None).cast("int").alias("size"), F.lit(None).cast("array<int>").alias("common"))
+    busy = met.where(F.col("w") > company)
+    if busy.isEmpty():
+        return verify(across(named, percent))
+    star = verify(guided(filed, busy, guides))
+    counts = own_shingles(sets_of(texts.join(busy, "id", "left_semi").select("id", "text"), width))
+    named = named.drop("part", "size", "common").join(components(star).toDF("id", "part"), "id", "left").join(counts, "id", "left")
+    return star.union(verify(across(named.withColumn("part", F.coalesce("part", "id")), percent)))
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(id, size, common) of each row of (id, set): how many shingles it has, and how many that others have too, by ``SHARES`` shares of the hashes."""
+    sets = materialise(sets)
+    once = sets.select("id", F.explode("set").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    own = once.groupBy("id").agg(F.collect_list("h").alias("own"))  # no longer than the row's set
+
+    def by_share(lists: pa.Array) -> np.ndarray:
+        rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        return np.bincount(rows * SHARES + lists.flatten().to_numpy() % SHARES, minlength=len(lists) * SHARES).reshape(-1, SHARES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            common = by_share(batch.column(1)) - by_share(batch.column(2))
+            size = pc.list_value_length(batch.column(1)).cast(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), size, _lists(common.astype(np.int32), np.ones(len(size), bool))], ["id", "size", "common"])
+
+    both = sets.join(own, "id", "left").select("id", "set", F.coalesce("own", F.array().cast("array<long>")).alias("own"))
+    return materialise(both.mapInArrow(run, "id long, size int, common array<int>"))
+
+
+def _possible(percent: int) -> Column:
+    """Whether rows of ``size`` and ``size_v`` shingles can have the similarity: in each share of the hashes they have at most
+    the lesser of their numbers of common shingles in common.
+
+    Rows that meet few others have no counts and are let through: what they have in common with others isn't known.
+    """
+    most = F.aggregate(F.zip_with("common", "common_v", lambda a, b: F.least(a, b)), F.lit(0), lambda n, k: n + k)
+    return F.col("common").isNull() | F.col("common_v").isNull() | ((100 + percent) * most >= percent * (F.col("size") + F.col("size_v")))
+
+
+def guided(filed: DataFrame, busy: DataFrame, guides: int) -> DataFrame:
+    """Pairs (u, v): each row of ``busy``, (id, w), with up to ``guides`` of those that stand for most of its blocks."""
+    large = materialise(filed.join(busy, "id").select("slot", "key", "id", "w"))
+    lead = large.groupBy("slot", "key").agg(F.max(F.struct("w", "id")).alias("lead"))
+    asked = large.join(lead, ["slot", "key"]).select(F.col("id").alias("u"), F.col("lead.id").alias("v"), F.col("lead.w").alias("w")).where("u <> v")
+    asked = asked.groupBy("u", "v").agg(F.count("*").alias("common"), F.first("w").alias("w"))
+    nth = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("common"), F.desc("w"), F.desc("v")))
+    best = asked.withColumn("nth", nth).where(F.col("nth") <= guides)
+    return best.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def across(named: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of rows of different parts that share a block, from (slot, key, id, part, size, common)."""
+    each = named.groupBy("slot", "key", "part").count()
+    most = each.groupBy("slot", "key").agg(F.max_by("part", F.struct("count", "part")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    named = materialise(named.join(most, ["slot", "key"]))
+    odd = named.where("part <> top").select("slot", "key", F.col("id").alias("u"), F.col("part").alias("tu"), "size", "common")
+    whole = named.select("slot", "key", F.col("id").alias("v"), F.col("part").alias("tv"), "top", F.col("size").alias("size_v"), F.col("common").alias("common_v"))
+    met = (odd["slot"] == whole["slot"]) & (odd["key"] == whole["key"]) & F.expr("tu <> tv and (tv = top or u > v)") & _possible(percent)
+    return odd.join(whole, met).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, wide: Wide = Wide(), block_rows: int = 16) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, wide: Wide = Wide(), company: int = 64) -> DataFrame:
     """The rows of ``docs`` without near copies: of the rows that links connect, the one with the smallest doc_id stays.
 
     Rows are linked whose sets of ``width``-word shingles (A-Z lower-cased; a text of fewer words is one shingle) have a Jaccard
@@ -279,7 +344,7 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, wide: W
     found = materialise(wide_marks(texts, width, wide))
     least = found.groupBy("low", "high").agg(F.min("id").alias("least"))
     first = found.join(least.select(F.col("least").alias("id")), "id", "left_semi")
-    parts = components(near_links(texts, first, percent, width, wide, block_rows))
+    parts = components(near_links(texts, first, percent, width, wide, company))
     copies = found.select("id", "low", "high").join(least, ["low", "high"]).where("id <> least").select("id")
     drop = copies.union(parts.where("node <> component").select("node")).toDF("_key")
     return keyed.join(drop, "_key", "left_anti").select("_row.*")
