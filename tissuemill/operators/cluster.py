@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import let
 from tissuemill.functions.storage import materialise
 from tissuemill.operators.report import density
@@ -378,7 +379,10 @@ def layout_2d(graph: DataFrame, rounds: int = 20) -> DataFrame:
 
 def cluster_labels_2d(layout: DataFrame, labels: DataFrame) -> DataFrame:
     """Where each cluster's label goes: the median of its cells' positions."""
-    return layout.join(labels, CELL).groupBy("sample_id", "resolution", "cluster").agg(F.median("x").alias("x"), F.median("y").alias("y"))
+    by = ["sample_id", "resolution", "cluster"]
+    axes = F.explode(F.array(*[F.struct(F.lit(n).alias("axis"), F.col(n).cast("double").alias("at")) for n in ("x", "y")])).alias("p")
+    middle = quantiles(layout.join(labels, CELL).select(*by, axes).select(*by, "p.*"), [*by, "axis"], "at", [0.5])
+    return middle.groupBy(*by).agg(*[F.max(F.when(F.col("axis") == n, F.get("q", F.lit(0)))).alias(n) for n in ("x", "y")])
 
 
 # -- cluster tables ---------------------------------------------------------------------------------------------------

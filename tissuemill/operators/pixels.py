@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import clip, finite_or_zero, let
 
 TILE = 512
@@ -195,8 +196,8 @@ def bw_overlay(dapi: DataFrame, boundary: DataFrame, binary: bool = True) -> Dat
 def rgb_overlay(dapi: DataFrame, boundary: DataFrame, approx: int | None = None) -> DataFrame:
     """(sample_id, y, x, r, g, b): blue is the image between its 1st and 99.5th percentile, red the boundary."""
     points = [0.01, 0.995]
-    q = F.percentile_approx("value", points, approx) if approx else F.percentile("value", F.array(*map(F.lit, points)))
-    limits = dapi.groupBy("sample_id").agg(q.alias("_q"))
+    limits = dapi.groupBy("sample_id").agg(F.percentile_approx("value", points, approx).alias("q")) if approx else quantiles(dapi, ["sample_id"], "value", points)
+    limits = limits.withColumnRenamed("q", "_q")
     low, high = F.get("_q", F.lit(0)), F.get("_q", F.lit(1))
     lines = boundary.select("sample_id", "y", "x", F.col("value").alias("_line"))
     both = dapi.join(limits, "sample_id").join(lines, ["sample_id", "y", "x"])

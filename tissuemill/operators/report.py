@@ -11,6 +11,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import normal_quantile
 
 CELL = ["sample_id", "cell_id"]
@@ -89,21 +90,22 @@ def make_unique(cells: DataFrame, order: str) -> DataFrame:
 
 def area_summary(cells: DataFrame, area: str = "Area") -> DataFrame:
     a = F.col(area)
-    return cells.groupBy("sample_id").agg(
-        F.round(F.avg(a), 2).alias("mean"), F.median(a).alias("median"), F.round(F.stddev_samp(a), 2).alias("sd"), F.min(a).alias("min"), F.max(a).alias("max")
-    )
+    rest = [F.round(F.avg(a), 2).alias("mean"), F.round(F.stddev_samp(a), 2).alias("sd"), F.min(a).alias("min"), F.max(a).alias("max")]
+    return quantiles(cells, ["sample_id"], a, [0.5], rest).select("sample_id", "mean", F.get("q", F.lit(0)).alias("median"), "sd", "min", "max")
 
 
-def _quantiles(value: str, points: Sequence[float], approx: int | None) -> Column:
-    points = [float(p) for p in points]
-    return F.percentile_approx(value, points, approx) if approx else F.percentile(value, F.array(*map(F.lit, points)))
+def _quantiles(df: DataFrame, by: Sequence[str], value: str, points: Sequence[float], approx: int | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+    """The array q of each group's points: exact, or of an accuracy of ``approx``."""
+    if not approx:
+        return quantiles(df, by, value, points, extra)
+    return df.groupBy(*by).agg(*extra, F.percentile_approx(value, [float(p) for p in points], approx).alias("q"))
 
 
 def marker_summary(long: DataFrame, value: str = "value", approx: int | None = None) -> DataFrame:
     """Mean, median, sd, min and max of each marker. ``approx``: accuracy of an approximate median of bounded memory."""
     v = F.col(value)
-    median = F.percentile_approx(value, 0.5, approx) if approx else F.median(v)
-    return long.groupBy("sample_id", "marker").agg(F.avg(v).alias("mean"), median.alias("median"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max"))
+    rest = [F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max")]
+    return _quantiles(long, ["sample_id", "marker"], value, [0.5], approx, rest).select("sample_id", "marker", "mean", F.get("q", F.lit(0)).alias("median"), "sd", "min", "max")
 
 
 def clr(long: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def correlation_matrix(cells: DataFrame, markers: Sequence[str]) -> DataFrame:
 def box_stats(long: DataFrame, value: str = "value", approx: int | None = None) -> DataFrame:
     """q1, median, q3, whiskers and the number of outliers of each marker."""
     by = ["sample_id", "marker"]
-    q = long.groupBy(*by).agg(_quantiles(value, (0.25, 0.5, 0.75), approx).alias("q"))
+    q = _quantiles(long, by, value, (0.25, 0.5, 0.75), approx)
     q = q.select(*by, *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
     v, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
@@ -158,7 +160,7 @@ def box_stats(long: DataFrame, value: str = "value", approx: int | None = None)
 def box_outliers(long: DataFrame, value: str = "value") -> DataFrame:
     """The rows beyond the whiskers of their marker."""
     by = ["sample_id", "marker"]
-    q = long.groupBy(*by).agg(_quantiles(value, (0.25, 0.75), None).alias("_q"))
+    q = _quantiles(long, by, value, (0.25, 0.75)).withColumnRenamed("q", "_q")
     low, high = F.get("_q", F.lit(0)), F.get("_q", F.lit(1))
     reach = 1.5 * (high - low)
     return long.join(q, by).where(~F.col(value).between(low - reach, high + reach)).drop("_q")
@@ -170,7 +172,8 @@ def box_outliers(long: DataFrame, value: str = "value") -> DataFrame:
 def bandwidths(df: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
     """n, low, high and the rule-of-thumb bandwidth of each group: 0.9 min(sd, IQR/1.34) n^-0.2, with fallbacks for 0."""
     v = F.col(value)
-    stats = df.groupBy(*by).agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_samp(v).alias("sd"), _quantiles(value, (0.25, 0.75), None).alias("q"))
+    rest = [F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_samp(v).alias("sd")]
+    stats = _quantiles(df, by, value, (0.25, 0.75), None, rest)
     spread = (F.get("q", F.lit(1)) - F.get("q", F.lit(0))) / 1.34
     least = F.least("sd", spread)
     width = F.when(least > 0, least).when(F.col("sd") > 0, F.col("sd")).when(F.abs("low") > 0, F.abs("low")).otherwise(1.0)
@@ -246,7 +249,7 @@ def qq_points(long: DataFrame, value: str = "value") -> DataFrame:
 
 def qq_line(long: DataFrame, value: str = "value") -> DataFrame:
     """Slope and intercept of the line through the quartiles of each marker."""
-    q = long.groupBy("sample_id", "marker").agg(_quantiles(value, (0.25, 0.75), None).alias("q"))
+    q = _quantiles(long, ["sample_id", "marker"], value, (0.25, 0.75))
     low, high = F.get("q", F.lit(0)), F.get("q", F.lit(1))
     z = normal_quantile(F.lit(0.75))
     return q.select("sample_id", "marker", ((high - low) / (2 * z)).alias("slope"), (low + (high - low) / 2).alias("intercept"))
