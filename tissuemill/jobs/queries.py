@@ -478,15 +478,16 @@ def p13c_bg_gaussian(spark, d):
 
 
 @query(f"""WITH {PIXELS}, o AS (SELECT dy, dx, 3 - sqrt(9 - dy * dy - dx * dx) AS depth FROM range(-3, 4) AS a(dy), range(-3, 4) AS b(dx) WHERE dy * dy + dx * dx <= 9),
-b AS (SELECT p.sample_id, p.y, p.x, min(q.value + depth) AS low FROM pixels p CROSS JOIN o JOIN pixels q ON q.sample_id = p.sample_id AND q.y = p.y + dy AND q.x = p.x + dx GROUP BY ALL)
+s AS MATERIALIZED (SELECT sample_id, y, x, y + dy AS qy, x + dx AS qx, depth FROM pixels CROSS JOIN o),
+b AS (SELECT s.sample_id, s.y, s.x, min(q.value + depth) AS low FROM s JOIN pixels q ON q.sample_id = s.sample_id AND q.y = s.qy AND q.x = s.qx GROUP BY ALL)
 SELECT sample_id, y, x, {r('greatest(value - low, 0.0)')} AS value FROM pixels JOIN b USING (sample_id, y, x)""")
 def p13d_bg_rollingball(spark, d):
     tiles = pixels.to_tiles(views.pixels(spark, d), 24)
     return pixels.to_pixels(halo.bg_rollingball(tiles, radius=3, size=24)).select("sample_id", "y", "x", "value")
 
 
-EDGES = MASK + """, n AS (SELECT m.sample_id, m.y, m.x, any_value(m.cell_id) AS own, min(q.cell_id) FILTER (abs(q.y - m.y) + abs(q.x - m.x) <= 1) AS low4, max(q.cell_id) FILTER (abs(q.y - m.y) + abs(q.x - m.x) <= 1) AS high4,
-  count(DISTINCT q.cell_id) FILTER (q.cell_id <> 0) AS labels FROM mask m CROSS JOIN range(-1, 2) AS a(dy) CROSS JOIN range(-1, 2) AS b(dx) JOIN mask q ON q.sample_id = m.sample_id AND q.y = m.y + dy AND q.x = m.x + dx GROUP BY m.sample_id, m.y, m.x),
+EDGES = MASK + """, m AS MATERIALIZED (SELECT *, y + dy AS qy, x + dx AS qx FROM mask CROSS JOIN range(-1, 2) AS a(dy) CROSS JOIN range(-1, 2) AS b(dx)), n AS (SELECT m.sample_id, m.y, m.x, any_value(m.cell_id) AS own, min(q.cell_id) FILTER (abs(q.y - m.y) + abs(q.x - m.x) <= 1) AS low4, max(q.cell_id) FILTER (abs(q.y - m.y) + abs(q.x - m.x) <= 1) AS high4,
+  count(DISTINCT q.cell_id) FILTER (q.cell_id <> 0) AS labels FROM m JOIN mask q ON q.sample_id = m.sample_id AND q.y = m.qy AND q.x = m.qx GROUP BY m.sample_id, m.y, m.x),
 edges AS (SELECT sample_id, y, x, CASE WHEN low4 <> high4 AND (own = 0 OR labels > 1) THEN 255 ELSE 0 END AS value FROM n)"""
 
 

@@ -41,8 +41,8 @@ def pixels(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFram
     )
 
 
-PIXELS = """pixels AS (SELECT 'img' || (vec_id // 250)::VARCHAR AS sample_id, 0 AS channel, (vec_id % 250)::INT AS y, (i - 1)::INT AS x, embedding[i]::DOUBLE AS value
-  FROM embeddings, range(1, 65) AS r(i)), mirrored AS (SELECT sample_id, channel, y, (63 - x)::INT AS x, value FROM pixels)"""
+PIXELS = """pixels AS MATERIALIZED (SELECT 'img' || (vec_id // 250)::VARCHAR AS sample_id, 0 AS channel, (vec_id % 250)::INT AS y, (i - 1)::INT AS x, embedding[i]::DOUBLE AS value
+  FROM embeddings, range(1, 65) AS r(i)), mirrored AS MATERIALIZED (SELECT sample_id, channel, y, (63 - x)::INT AS x, value FROM pixels)"""
 
 
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels(spark, sf_dir).select("sample_id", F.lit(0).alias("plane"), "y", "x", F.when(F.col("value") > 0, label).otherwise(0).cast("int").alias("cell_id"))
 
 
-MASK = PIXELS + ", mask AS (SELECT sample_id, 0 AS plane, y, x, CASE WHEN value > 0 THEN y // 5 * 13 + x // 5 + 1 ELSE 0 END AS cell_id FROM pixels)"
+MASK = PIXELS + ", mask AS MATERIALIZED (SELECT sample_id, 0 AS plane, y, x, CASE WHEN value > 0 THEN y // 5 * 13 + x // 5 + 1 ELSE 0 END AS cell_id FROM pixels)"
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
