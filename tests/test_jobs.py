@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.test_pixels import image, mask_frame
 from tissuemill.jobs import workloads
-from tissuemill.operators import pixels
+from tissuemill.operators import halo, pixels
 
 SF = "/root/testdata/sf0.001"
 ITERATIVE = {"c6_louvain", "c8b_layout_2d", "c7_transfer_labels"}  # tests of their own hold them, on planted groups
@@ -103,3 +103,48 @@ def test_background_job_refuses_blank_and_unequal_images(spark):
         tiles = pixels.to_tiles(image(spark, first).union(image(spark, second, channel=1)), 4)
         with pytest.raises(ValueError, match=text):
             workloads.binarised_nuclei(tiles, channels, "af")
+
+
+def test_sheets_to_cells(spark):
+    """Fields and a whole image of one scene give one cell table; bad sheets are refused; a membrane reaches the segmenter."""
+    rng = np.random.default_rng(1)
+    scene, other = rng.random((24, 16)) + 1, rng.random((24, 16))
+    stack = image(spark, scene).union(image(spark, other, channel=1)).drop("sample_id")
+    whole = stack.withColumn("sample_id", F.lit("b")).withColumn("path", F.lit("b.tif"))
+    fields = stack.withColumn("sample_id", F.lit("a")).withColumn("path", F.concat(F.lit("f"), F.floor(F.col("y") / 12).cast("string"))).withColumn("y", F.col("y") % 12)
+    images = pixels.to_tiles(whole.unionByName(fields), 8, by=("sample_id", "path", "channel")).withColumn("level", F.lit(0))
+    files = spark.createDataFrame([("a", "f0", "tiles"), ("a", "f1", "tiles"), ("b", "b.tif", "stitched")], "sample_id string, path string, format string")
+    regions = spark.createDataFrame([("a", "f0", 3, 4), ("a", "f1", 3, 16)], "sample_id string, path string, x int, y int")
+    levels = spark.createDataFrame([(s, 0, "CYX", [2, 24, 16], 0.5) for s in "ab"], "sample_id string, level int, axes string, shape array<int>, physical_size_x double")
+    channels = spark.createDataFrame([(s, i, n) for s in "ab" for i, n in enumerate(["dapi", "CD3"])], "sample_id string, channel int, name string")
+    markers = spark.createDataFrame([("DAPI", "x", "1", 0), ("CD3", "y", "1", 1)], "marker_name string, channel_name string, cycle_number string, marker_idx int")
+
+    def predict(area):  # tells two layers from one; pixels are cells where both channels are high
+        assert area.shape[0] == 2
+        high = (area[0] > 1.5) & (area[1] > 0.4)
+        return np.where(high, np.arange(1, high.size + 1).reshape(high.shape), 0)
+
+    def run(files, **more):
+        segmenter = lambda nuclei, membrane: halo.segment(nuclei, predict, 2, 8, membrane)
+        return workloads.sheets_to_cells(files, images, levels, channels, markers, segmenter, membrane="CD3", block=8, **more)
+
+    got = run(files, regions=regions, solidity=False)
+    half = lambda a: a.reshape(12, 2, 8, 2).mean((1, 3))
+    want = sorted((round(float(v), 6), round(float(w), 6)) for v, w in zip(half(scene).ravel(), half(other).ravel(), strict=True) if v > 1.5 and w > 0.4)
+    rows = got["cells"].collect()
+    for s in "ab":
+        assert sorted((round(r["DAPI"], 6), round(r["CD3"], 6)) for r in rows if r["sample_id"] == s) == want
+    assert got["rgb_overlay"].count() == 192 and got["bw_overlay"].count() == 384
+    for bad, text in ((files.withColumn("format", F.lit("odd")), "rules"), (files.withColumn("format", F.lit("fused")), "one file")):
+        with pytest.raises(ValueError, match=text):
+            run(bad, regions=regions)
+    with pytest.raises(ValueError, match="positions"):
+        run(files)
+
+
+def test_report_cells_from_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("CellID,DAPI,HLA-ABC,Area\n1,2,3,4\n1,5,6,7\n2,inf,1,1\n")
+    markers = spark.createDataFrame([("DAPI", 0), ("HLA-ABC", 1), ("CD8", 2)], "marker_name string, marker_idx int")
+    cells, found, missing = workloads.report_cells(spark, str(tmp_path / "a.csv"), markers, "a")
+    assert sorted((r["cell_id"], r["HLA.ABC"]) for r in cells.collect()) == [("1", 3.0), ("1.1", 6.0)]
+    assert found == ["DAPI", "HLA.ABC"] and [r["marker_name"] for r in missing.collect()] == ["CD8"]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tissuemill.functions import scalar
-from tissuemill.jobs import views
+from tissuemill.jobs import views, workloads
 from tissuemill.jobs.views import CELLS, CHANNELS, CLR, FEATURES, LABELS, LEVELS, LONG, MANIFEST, MARKERS, MASK, PIXELS
 from tissuemill.operators import cluster, halo, meta, pixels, quantify, report
 from tissuemill.sources import manifest
@@ -610,6 +610,41 @@ def j4_attach_markers(spark, d):
     return meta.attach_markers(views.channels(spark, d).drop("name"), sheet)
 
 
+@query(f"""WITH {PIXELS}, two AS (SELECT sample_id, y, x, 1 AS channel, value FROM pixels UNION ALL SELECT sample_id, y, x, 0, value FROM mirrored),
+ends AS (SELECT sample_id, max(y) + 1 AS hh, max(x) + 1 AS ww FROM pixels GROUP BY ALL),
+s AS MATERIALIZED (SELECT sample_id, channel, y // 2 AS y, x // 2 AS x, avg(value) AS value FROM two JOIN ends USING (sample_id) WHERE y < hh // 2 * 2 AND x < ww // 2 * 2 GROUP BY ALL),
+m AS (SELECT sample_id, y, x, y // 5 * 13 + x // 5 + 1 AS cell_id FROM s WHERE channel = 1 AND value > 0)
+SELECT sample_id, cell_id::INT AS cell_id, {r('avg(value) FILTER (channel = 1)')} AS "DAPI", {r('avg(value) FILTER (channel = 0)')} AS "CD3", count(*) FILTER (channel = 1)::DOUBLE AS "Area",
+{r('avg(x) FILTER (channel = 1)')} AS "X_centroid", {r('avg(y) FILTER (channel = 1)')} AS "Y_centroid" FROM s JOIN m USING (sample_id, y, x) GROUP BY ALL""")
+def wl1_sheets_to_cells(spark, d):
+    """The image job: even images come as fields of 50 rows, odd ones whole, at 0.5 um a pixel; cells as in the mask view."""
+    stack = pixels.stack_channels(views.pixels(spark, d), views.pixels(spark, d, True))
+    even = F.substring("sample_id", 4, 9).cast("int") % 2 == 0
+    field = F.when(even, F.floor(F.col("y") / 50)).otherwise(0).cast("int")
+    placed = stack.withColumn("path", F.concat(F.lit("f"), field.cast("string"))).withColumn("y", F.when(even, F.col("y") % 50).otherwise(F.col("y")))
+    images = pixels.to_tiles(placed, 32, by=("sample_id", "path", "channel")).withColumn("level", F.lit(0))
+    files = placed.select("sample_id", "path", F.when(even, "tiles").otherwise("stitched").alias("format")).distinct()
+    regions = files.where("format = 'tiles'").select("sample_id", "path", F.lit(7).alias("x"), (F.substring("path", 2, 9).cast("int") * 50 + 5).alias("y"))
+    ends = stack.groupBy("sample_id").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    levels = ends.select("sample_id", F.lit(0).alias("level"), F.lit("CYX").alias("axes"), F.array(F.lit(2), "h", "w").alias("shape"), F.lit(0.5).alias("physical_size_x"))
+    named = ends.select("sample_id", F.explode(F.array(*[F.struct(F.lit(i).alias("channel"), F.lit(n).alias("name")) for i, n in enumerate(("cd3", "dapi"))])).alias("c")).select("sample_id", "c.*")
+    sheet = spark.createDataFrame([("DAPI", None, "1", 0), ("CD3", None, "1", 1)], "marker_name string, channel_name string, cycle_number string, marker_idx int")
+
+    def squares(nuclei, membrane):
+        label = F.floor(F.col("y") / 5) * 13 + F.floor(F.col("x") / 5) + 1
+        return pixels.to_pixels(nuclei).where("value > 0").select("sample_id", "y", "x", label.cast("int").alias("cell_id"))
+
+    tables = workloads.sheets_to_cells(files, images, levels, named, sheet, squares, regions, solidity=False, block=32)
+    return tables["cells"].select("sample_id", "cell_id", "DAPI", "CD3", "Area", "X_centroid", "Y_centroid")
+
+
+@query(f"WITH {EDGES} SELECT sample_id, y, x, value::DOUBLE AS value FROM edges")
+def p14_boundary_tiles(spark, d):
+    """Block form: a block travels with a rim of one pixel."""
+    labels = pixels.to_tiles(views.mask(spark, d).withColumn("channel", F.lit(0)), 32, "cell_id")
+    return pixels.to_pixels(halo.boundary_tiles(labels, 32)).select("sample_id", "y", "x", "value")
+
+
 @query()
 def x1_segment(spark, d):
     """A plain segmenter: connected bright runs of a row within a block."""

@@ -5,14 +5,16 @@ Jobs check their own arguments, read tables and publish tables below an output f
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tissuemill.functions import scalar
 from tissuemill.functions.storage import materialise
 from tissuemill.operators import cluster, halo, meta, pixels, quantify, report
-from tissuemill.sources.cells import write_partitioned
+from tissuemill.sources import manifest as sheets
+from tissuemill.sources.cells import read_cells, write_partitioned
 
 BACKGROUNDS = ("none", "mean", "gaussian", "rollingball", "af")
 
@@ -60,6 +62,56 @@ def images_to_cells(tiles: DataFrame, mask: DataFrame, channels: DataFrame, mark
     return quantify.cell_table(values, quantify.cell_morphology(labels), names, quantify.cell_solidity(labels) if solidity else None)
 
 
+def sheets_to_cells(manifest: DataFrame, images: DataFrame, levels: DataFrame, channels: DataFrame, markers: DataFrame, segmenter: Callable[[DataFrame, DataFrame | None], DataFrame],
+                    regions: DataFrame | None = None, membrane: str | None = None, background: str | None = None, size: float = 50, leniency: float = 0.0,
+                    target: float = 1.0, stat: str = "mean", solidity: bool = True, integer: bool = False, block: int = 512) -> dict[str, DataFrame]:
+    """From sheets and images of all samples to the cell table, the mask and two overlays, by name.
+
+    ``images``: blocks with path and level (fields of a ``tiles`` sample: level 0, each field from its own corner, placed by
+    ``regions``); ``levels``: axes, shape and physical size of each level. Sheets that break a rule, samples without a usable
+    level or nuclear channel, blank images and other bad input are refused before cells are made. Each sample is scaled to
+    ``target`` um a pixel from its best level. ``background``: segment the thresholded nuclear channel, less that background;
+    None: the channel itself. ``segmenter`` gets blocks of the nuclear and the membrane channel (None without one) and
+    returns cell pixels (sample_id, y, x, cell_id), as ``halo.segment`` does. Intensities come from the scaled image.
+    """
+    for bad in (sheets.validate_manifest(manifest), sheets.validate_markers(markers)):
+        _refuse(bad.select(F.concat_ws(": ", F.col("row").cast("string"), "message").alias("sample_id")), "a sheet breaks the rules")
+    _refuse(sheets.check_single_file(manifest), "a stitched or fused sample needs one file")
+    chosen = materialise(meta.select_level(meta.analyze_levels(levels.join(manifest.select("sample_id").distinct(), "sample_id", "left_semi"), target)))
+    _refuse(chosen.where("message is not null"), "no level to read")
+    routes = {form: images.join(rows.select("sample_id").distinct(), "sample_id", "left_semi") for form, rows in sheets.branch_by_format(manifest).items()}
+    read = [routes[f].join(chosen.select("sample_id", "level"), ["sample_id", "level"], "left_semi") for f in ("stitched", "fused")]
+    plain = [pixels.to_pixels(part.drop("path", "level")) for part in read]
+    if regions is not None:
+        plain.append(pixels.stitch(pixels.to_pixels(routes["tiles"].drop("level")), regions))
+    else:
+        _refuse(routes["tiles"].select("sample_id").distinct(), "fields of a sample need their positions")
+    scaled = pixels.downscale_by(sheets.union_images(*[part.select("sample_id", "channel", "y", "x", "value") for part in plain]), chosen, integer)
+    tiles = materialise(pixels.to_tiles(scaled, block))
+    _refuse(meta.channel_violations(channels, tiles.groupBy("sample_id").agg((F.max("channel") + 1).alias("n_channels"))), "no nuclear channel")
+    nuclei = meta.extract_channel(tiles, channels)
+    seen = nuclei if background is None else pixels.to_tiles(binarised_nuclei(tiles, channels, background, size, leniency, block), block)
+    found = segmenter(seen, meta.extract_channel(tiles, channels, membrane) if membrane else None)
+    flat = pixels.to_pixels(nuclei)
+    labelled = flat.select("sample_id", "y", "x").join(found, ["sample_id", "y", "x"], "left").select("sample_id", F.lit(0).alias("channel"), "y", "x", F.coalesce("cell_id", F.lit(0)).alias("cell_id"))
+    mask = materialise(pixels.to_tiles(labelled, block, "cell_id"))
+    lines = materialise(halo.boundary_tiles(mask, block))
+    edges = pixels.to_pixels(lines)
+    return {
+        "cells": images_to_cells(tiles, mask, channels, markers, stat, solidity),
+        "mask": mask,
+        "bw_overlay": pixels.bw_overlay(flat, edges),
+        "rgb_overlay": pixels.rgb_overlay(flat, edges),
+    }
+
+
+def report_cells(spark: SparkSession, path: str, markers: DataFrame, sample_id: str) -> tuple[DataFrame, list[str], DataFrame]:
+    """A sample's cell CSV as the report wants it: cells with unique ids, the sheet's markers among its columns, and those missing."""
+    raw = read_cells(spark, path, sample_id)
+    own = markers.withColumn("marker_name", scalar.make_names(F.col("marker_name")))  # as the columns' names are made
+    return report.make_unique(raw, "row_id"), report.effective_markers(own, raw.columns), report.missing_markers(own, raw.columns)
+
+
 def quality_tables(cells: DataFrame, markers: Sequence[str], points: int = 512, sample: int = 100_000) -> dict[str, DataFrame]:
     """The tables of the quality report, by name. Extreme cells are left out of all but the table that lists them."""
     if not markers:

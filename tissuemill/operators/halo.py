@@ -16,7 +16,8 @@ def map_halo_tiles(tiles: DataFrame, fn: Callable[[np.ndarray], np.ndarray], hal
     """``fn`` on every block extended by ``halo`` pixels (fewer at the image's edges), cut back to the block.
 
     Blocks lie on a grid of ``size``. Each goes to those neighbours whose halo reaches it, cropped to what they need. ``whole``
-    replaces the cutting back: it gets the key, the extended array and the block's place in it, and returns rows.
+    replaces the cutting back: it gets the key, the extended array and the block's place in it, and returns rows. Blocks whose
+    values hold several layers, one after the other, come as (layers, h, w); where some have fewer, the last are 0.
     """
     reach = -(-halo // size)
     around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)])
@@ -34,13 +35,15 @@ def map_halo_tiles(tiles: DataFrame, fn: Callable[[np.ndarray], np.ndarray], hal
         top, left = max(0, ty * size - halo), max(0, tx * size - halo)
         bottom = min(ty * size + h + halo, int((parts.y0 + parts.h).max()))
         right = min(tx * size + w + halo, int((parts.x0 + parts.w).max()))
-        area = np.zeros((bottom - top, right - left))
+        layers = max(len(p.values) // (p.h * p.w) for p in parts.itertuples())
+        area = np.zeros((layers, bottom - top, right - left))
         for p in parts.itertuples():
-            block = np.asarray(p.values, float).reshape(p.h, p.w)
+            block = np.asarray(p.values, float).reshape(-1, p.h, p.w)
             y, x = max(p.y0, top), max(p.x0, left)
             z, v = min(p.y0 + p.h, bottom), min(p.x0 + p.w, right)
             if y < z and x < v:
-                area[y - top : z - top, x - left : v - left] = block[y - p.y0 : z - p.y0, x - p.x0 : v - p.x0]
+                area[: len(block), y - top : z - top, x - left : v - left] = block[:, y - p.y0 : z - p.y0, x - p.x0 : v - p.x0]
+        area = area[0] if layers == 1 else area
         inner = (slice(ty * size - top, ty * size - top + h), slice(tx * size - left, tx * size - left + w))
         if whole is not None:
             return whole(key, area, (top, left), inner)
@@ -88,10 +91,27 @@ def bg_rollingball(tiles: DataFrame, radius: int = 50, size: int = 512) -> DataF
     return map_halo_tiles(tiles, lambda v: np.clip(v - ball_background(v, radius), 0, None), radius, size)
 
 
-def segment(tiles: DataFrame, predict: Callable[[np.ndarray], np.ndarray], halo: int, size: int = 512) -> DataFrame:
+def outer_edges(labels: np.ndarray) -> np.ndarray:
+    """255 on outer boundaries of a label array, else 0; see ``pixels.outer_boundaries``. Beyond the array nothing counts."""
+    h, w = labels.shape
+    wide = np.pad(labels, 1, mode="edge")  # repeats pixels that are neighbours already
+    around = np.stack([wide[a : a + h, b : b + w] for a in range(3) for b in range(3)])
+    four = around[[1, 3, 4, 5, 7]]
+    least = np.where(around == 0, np.inf, around).min(0)
+    edge = (four.min(0) != four.max(0)) & ((labels == 0) | (least != around.max(0)))
+    return np.where(edge, 255.0, 0.0)
+
+
+def boundary_tiles(mask: DataFrame, size: int = 512) -> DataFrame:
+    """``pixels.outer_boundaries`` on blocks of a mask: a rim of one pixel is shuffled with each block, not nine rows a pixel."""
+    return map_halo_tiles(mask, outer_edges, 1, size)
+
+
+def segment(tiles: DataFrame, predict: Callable[[np.ndarray], np.ndarray], halo: int, size: int = 512, membrane: DataFrame | None = None) -> DataFrame:
     """(sample_id, y, x, cell_id): a user's segmenter, run on every extended block of one-channel images.
 
-    ``predict`` gets a 2-D array and returns labels (0: background). A cell belongs to the block that holds its centroid,
+    ``predict`` gets a 2-D array and returns labels (0: background). With ``membrane``, blocks of a second channel on the same
+    grid, samples that have one give (2, h, w) arrays, the nuclear channel first; the others stay 2-D. A cell belongs to the block that holds its centroid,
     so cells that a block's edge cuts come out once; halo must be at least a cell's extent. Ids are made unique per
     sample by numbering the blocks: counts of each block, summed before it.
     """
@@ -105,6 +125,10 @@ def segment(tiles: DataFrame, predict: Callable[[np.ndarray], np.ndarray], halo:
             found = found[(centre.y >= inner[0].start) & (centre.y < inner[0].stop) & (centre.x >= inner[1].start) & (centre.x < inner[1].stop)]
         return pd.DataFrame({"sample_id": key[0], "ty": key[2], "tx": key[3], "y": found.y + corner[0], "x": found.x + corner[1], "local": found.local.astype("int64")})
 
+    if membrane is not None:
+        other = membrane.select("sample_id", "ty", "tx", F.col("values").alias("_more"))
+        both = F.concat("values", F.coalesce("_more", F.array().cast(dict(tiles.dtypes)["values"])))
+        tiles = tiles.join(other, ["sample_id", "ty", "tx"], "left").withColumn("values", both).drop("_more")
     cells = map_halo_tiles(tiles, lambda v: v, halo, size, "sample_id string, ty int, tx int, y int, x int, local long", own_cells)
     blocks = cells.groupBy("sample_id", "ty", "tx").agg(F.max("local").alias("most"))
     before = F.sum("most").over(Window.partitionBy("sample_id").orderBy("ty", "tx").rowsBetween(Window.unboundedPreceding, -1))

@@ -116,6 +116,17 @@ def downscale(pixels: DataFrame, k: int, integer: bool = False) -> DataFrame:
     return inside.groupBy("sample_id", "channel", F.floor(F.col("y") / k).cast("int").alias("y"), F.floor(F.col("x") / k).cast("int").alias("x")).agg((F.rint(mean) if integer else mean).alias("value"))
 
 
+def downscale_by(pixels: DataFrame, factors: DataFrame, integer: bool = False) -> DataFrame:
+    """``downscale`` with a factor of its own for each sample (``factors``: sample_id, k)."""
+    k = F.col("_k")
+    own = pixels.join(factors.select("sample_id", F.col("k").cast("int").alias("_k")), "sample_id")
+    size = own.groupBy("sample_id").agg(F.max("y").alias("_y"), F.max("x").alias("_x"))
+    inside = own.join(size, "sample_id").where((F.col("y") < F.floor((F.col("_y") + 1) / k) * k) & (F.col("x") < F.floor((F.col("_x") + 1) / k) * k))
+    mean = F.avg("value")
+    place = [F.floor(F.col(c) / k).cast("int").alias(c) for c in ("y", "x")]
+    return inside.groupBy("sample_id", "channel", *place).agg((F.rint(mean) if integer else mean).alias("value"))
+
+
 def downscale_tiles(tiles: DataFrame, k: int, integer: bool = False) -> DataFrame:
     """The same inside each block, without a shuffle: block sides must be multiples of k but at the far edges."""
     if k == 1:
