@@ -10,10 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuemill.functions import scalar
+from tissuemill.functions import scalar, storage
 from tissuemill.jobs import views, workloads
 from tissuemill.jobs.views import CELLS, CHANNELS, CLR, FEATURES, LABELS, LEVELS, LONG, MANIFEST, MARKERS, MASK, PIXELS
 from tissuemill.operators import cluster, halo, meta, pixels, quantify, report
+from tissuemill.sources import cells as cell_files
 from tissuemill.sources import manifest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -738,7 +739,17 @@ def c9_cluster_marker_means(spark, d):
     return cluster.cluster_marker_means(_marked(spark, d), views.labels(spark, d))
 
 
-@query()
+BY = "sample_id, resolution, cluster, marker"
+
+
+@query(f"""WITH {CLUSTERED}, limits AS (SELECT sample_id, resolution, min(value) AS axis_low, max(value) AS axis_high FROM j GROUP BY ALL),
+s AS (SELECT {BY}, count(value) AS n, min(value) AS low, max(value) AS high, stddev_samp(value) AS sd, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM j GROUP BY ALL),
+b AS MATERIALIZED (SELECT *, 0.9 * CASE WHEN least(sd, iqr / 1.34) > 0 THEN least(sd, iqr / 1.34) WHEN sd > 0 THEN sd WHEN abs(low) > 0 THEN abs(low) ELSE 1.0 END * pow(n, -0.2) AS bw, (high - low) / 511 AS step FROM s),
+a AS (SELECT {BY}, CASE WHEN step > 0 THEN (value - low) / step ELSE 0.0 END AS spot FROM j JOIN b USING ({BY})),
+l AS (SELECT *, least(floor(spot), 510) AS lo FROM a),
+w AS MATERIALIZED (SELECT {BY}, bin, sum(w) AS w FROM (SELECT {BY}, lo AS bin, 1 - (spot - lo) AS w FROM l UNION ALL SELECT {BY}, lo + 1, spot - lo FROM l) GROUP BY ALL HAVING sum(w) > 0),
+d AS (SELECT {BY}, k, any_value(low) + k * any_value(step) AS x, sum(w * exp(-0.5 * pow((k - bin) * step / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())) AS density FROM w JOIN b USING ({BY}), range(0, 512) AS g(k) GROUP BY {BY}, k)
+SELECT sample_id, resolution, cluster, marker, k::INT AS k, {r('x')} AS x, {r('density')} AS density, {r('axis_low')} AS axis_low, {r('axis_high')} AS axis_high FROM d JOIN limits USING (sample_id, resolution)""")
 def c10_cluster_marker_density(spark, d):
     return cluster.cluster_marker_density(_marked(spark, d), views.labels(spark, d))
 
@@ -760,3 +771,62 @@ def c12_spatial_marker_map(spark, d):
 def c13_cluster_labels_2d(spark, d):
     layout = views.features(spark, d).select("sample_id", "cell_id", F.get("v", F.lit(0)).alias("x"), F.get("v", F.lit(1)).alias("y"))
     return cluster.cluster_labels_2d(layout, views.labels(spark, d))
+
+
+# -- files: written from the tables, read by the operators ------------------------------------------------------------
+
+
+def _csv(df: DataFrame) -> str:
+    path = storage.shared_dir(df.sparkSession)
+    df.write.option("header", True).csv(path)
+    return path
+
+
+@query(f"WITH {MANIFEST} SELECT sample_id, path, coalesce(format, 'tiles') AS format FROM manifest")
+def s1_read_manifest(spark, d):
+    sheet = views.manifest(spark, d).select(F.col("sample_id").alias("sample"), F.col("path").alias("tiffs"), "format")
+    return manifest.read_manifest(spark, _csv(sheet))
+
+
+@query("SELECT p_brand AS marker_name, min(p_type) AS channel_name, count(*)::VARCHAR AS cycle_number, (row_number() OVER (ORDER BY p_brand) - 1)::INT AS marker_idx FROM part GROUP BY p_brand")
+def s2_read_markers(spark, d):
+    """A sheet of the brands, in order, in one file."""
+    sheet = views.table(spark, d, "part").groupBy(F.col("p_brand").alias("marker_name")).agg(F.min("p_type").alias("channel_name"), F.count("*").alias("cycle_number"))
+    return manifest.read_markers(spark, _csv(sheet.orderBy("marker_name").coalesce(1)))
+
+
+@query(f"""WITH {CELLS} SELECT 'run' AS sample_id, cell_id::VARCHAR AS cell_id, "DAPI", {r('"HLA.ABC"')} AS "HLA.ABC", "X_centroid" FROM cells WHERE "DAPI" <> 7 AND "Y_centroid" % 5 <> 0""")
+def s5_read_cells(spark, d):
+    """Cells as CSV, with infinite and missing values in it."""
+    c = F.col
+    raw = views.cells(spark, d).select(c("cell_id").alias("CellID"), F.when(c("DAPI") == 7, "inf").otherwise(c("DAPI").cast("string")).alias("DAPI"), c("`HLA.ABC`").alias("HLA-ABC"), F.when(c("Y_centroid") % 5 != 0, c("X_centroid")).alias("X centroid"))
+    return cell_files.read_cells(spark, _csv(raw), "run").select("sample_id", "cell_id", "DAPI", "`HLA.ABC`", F.col("`X.centroid`").alias("X_centroid"))
+
+
+@query(f"WITH {PIXELS} SELECT sample_id, y, x, {r('value')} AS value FROM pixels")
+def s6_read_tiles(spark, d):
+    """One of two channels of a block table laid out by sample and channel."""
+    path = storage.shared_dir(spark)
+    cell_files.write_partitioned(_blocks(spark, d)[0], path, ("sample_id", "channel"))
+    return pixels.to_pixels(cell_files.read_tiles(spark, path, channels=[1])).select("sample_id", "y", "x", "value")
+
+
+@query(f"""WITH {CELLS} SELECT sample_id, 'seg' || ("Area" % 2)::INT AS seg, cell_id, {r('"HLA.ABC"')} AS value FROM cells""")
+def s7_write_partitioned(spark, d):
+    path, seg = storage.shared_dir(spark), F.concat(F.lit("seg"), (F.col("Area") % 2).cast("int").cast("string"))
+    cell_files.write_partitioned(views.cells(spark, d).select("sample_id", seg.alias("seg"), "cell_id", F.col("`HLA.ABC`").alias("value")), path)
+    return spark.read.parquet(path).select("sample_id", "seg", "cell_id", "value")
+
+
+@query("SELECT CASE p_partkey % 6 WHEN 4 THEN 'CD8' ELSE 'CD45' END AS marker_name, p_partkey::INT AS marker_idx FROM part WHERE p_partkey % 6 IN (4, 5)")
+def v7_missing_markers(spark, d):
+    """A long sheet of six names, of which the cell table has four."""
+    names = F.array(*map(F.lit, [*MARKERS, "CD8", "CD45"]))
+    sheet = views.table(spark, d, "part").select(F.get(names, (F.col("p_partkey") % 6).cast("int")).alias("marker_name"), F.col("p_partkey").cast("int").alias("marker_idx"))
+    return report.missing_markers(sheet, views.cells(spark, d).columns)
+
+
+@query(f"WITH {PIXELS} SELECT sample_id, y AS channel, 0 AS y, x, {r('value')} AS value FROM pixels")
+def p12_normalise_axes(spark, d):
+    """A plane without a channel, then with its first two axes swapped."""
+    return pixels.permute_axes(pixels.normalise_axes(views.pixels(spark, d).drop("channel")), (1, 0, 2))
