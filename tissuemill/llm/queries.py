@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import decontaminate, langid, licenses, mixing, order_minhash, recompression, simhash, suffix_dedup, tokens, warc
+from tissuemill.llm import alignment, decontaminate, langid, licenses, mixing, order_minhash, recompression, simhash, suffix_dedup, tokens, warc
 from tissuemill.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, a_file: str = "/opt/tokenizers/byte_bpe_50k.json", b_file: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    """``alignment.align`` over whole ``documents``."""
+    return alignment.align(table(spark, sf_dir, "documents"), a_file, b_file)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scans": op10_license_scans,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
