@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissuemill.llm import alignment, decontaminate, langid, licenses, mixing, order_minhash, recompression, simhash, suffix_dedup, tokens, warc
+from tissuemill.llm import alignment, centroids, decontaminate, langid, licenses, mixing, order_minhash, recompression, sharding, simhash, suffix_dedup, tokens, warc
 from tissuemill.llm.common import table
 
 
@@ -50,6 +50,16 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sharding.shard`` of whole ``documents`` into 24 shards."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``centroids.cluster`` over whole ``embeddings``."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, a_file: str = "/opt/tokenizers/byte_bpe_50k.json", b_file: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
     """``alignment.align`` over whole ``documents``."""
     return alignment.align(table(spark, sf_dir, "documents"), a_file, b_file)
@@ -66,10 +76,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scans": op10_license_scans,
+    "op11_sharding": op11_sharding,
+    "op12_centroid_clustering": op12_centroid_clustering,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
     "op5_mixing_sources": mixing.ORACLE,
     "op10_license_scans": licenses.oracle(),
+    "op11_sharding": sharding.ORACLE,
+    "op12_centroid_clustering": centroids.oracle(),
 }
