@@ -204,11 +204,15 @@ def bw_overlay(dapi: DataFrame, boundary: DataFrame, binary: bool = True) -> Dat
     return dapi.withColumn("channel", F.lit(0)).select(*columns).unionByName(boundary.withColumn("channel", F.lit(1)).withColumn("value", line).select(*columns))
 
 
+def overlay_limits(dapi: DataFrame, approx: int | None = None) -> DataFrame:
+    """(sample_id, q): each image's 1st and 99.5th percentile."""
+    points = [0.01, 0.995]
+    return dapi.groupBy("sample_id").agg(F.percentile_approx("value", points, approx).alias("q")) if approx else quantiles(dapi, ["sample_id"], "value", points)
+
+
 def rgb_overlay(dapi: DataFrame, boundary: DataFrame, approx: int | None = None) -> DataFrame:
     """(sample_id, y, x, r, g, b): blue is the image between its 1st and 99.5th percentile, red the boundary."""
-    points = [0.01, 0.995]
-    limits = dapi.groupBy("sample_id").agg(F.percentile_approx("value", points, approx).alias("q")) if approx else quantiles(dapi, ["sample_id"], "value", points)
-    limits = limits.withColumnRenamed("q", "_q")
+    limits = overlay_limits(dapi, approx).withColumnRenamed("q", "_q")
     low, high = F.get("_q", F.lit(0)), F.get("_q", F.lit(1))
     lines = boundary.select("sample_id", "y", "x", F.col("value").alias("_line"))
     both = dapi.join(limits, "sample_id").join(lines, ["sample_id", "y", "x"])
@@ -227,18 +231,25 @@ def intensity_histogram(pixels: DataFrame, bins: int = 256, integer: bool = Fals
     if integer:
         return pixels.groupBy("sample_id", F.col("value").cast("long").alias("bin")).agg(F.first("value").alias("centre"), F.count("*").alias("n"))
     ends = pixels.groupBy("sample_id").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+    return binned(pixels.join(ends, "sample_id"), bins)
+
+
+def binned(pixels: DataFrame, bins: int) -> DataFrame:
+    """Counts of pixels that have their image's range (_low, _high), by equal bins of it."""
     width = (F.col("_high") - F.col("_low")) / bins
     at = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * bins), F.lit(bins - 1))).otherwise(0)
-    binned = pixels.join(ends, "sample_id").withColumn("bin", at).withColumn("centre", F.when(width > 0, F.col("_low") + (F.col("bin") + 0.5) * width).otherwise(F.col("_low")))
-    return binned.groupBy("sample_id", "bin", "centre").agg(F.count("*").alias("n"))
+    placed = pixels.withColumn("bin", at).withColumn("centre", F.when(width > 0, F.col("_low") + (F.col("bin") + 0.5) * width).otherwise(F.col("_low")))
+    return placed.groupBy("sample_id", "bin", "centre").agg(F.count("*").alias("n"))
 
 
 def otsu(pixels: DataFrame, leniency: float = 0.0, bins: int = 256, integer: bool = False) -> DataFrame:
-    """(sample_id, threshold, adjusted): the bin centre after which the variance between classes is largest; first of equals.
+    """(sample_id, threshold, adjusted): the bin centre after which the variance between classes is largest; first of equals."""
+    return otsu_of(intensity_histogram(pixels, bins, integer), leniency)
 
-    Running sums go over a sample's bins only. A constant image's threshold is its value.
-    """
-    h = intensity_histogram(pixels, bins, integer).withColumn("nc", F.col("n") * F.col("centre"))
+
+def otsu_of(histogram: DataFrame, leniency: float = 0.0) -> DataFrame:
+    """``otsu`` from a histogram: running sums over a sample's bins only. A constant image's threshold is its value."""
+    h = histogram.withColumn("nc", F.col("n") * F.col("centre"))
     by = Window.partitionBy("sample_id").orderBy("bin")
     low, high = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(1, Window.unboundedFollowing)
     w1, w2 = F.sum("n").over(low), F.sum("n").over(high)
