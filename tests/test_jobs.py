@@ -1,3 +1,4 @@
+import json
 import math
 import os
 
@@ -134,7 +135,10 @@ def test_sheets_to_cells(spark):
     rows = got["cells"].collect()
     for s in "ab":
         assert sorted((round(r["DAPI"], 6), round(r["CD3"], 6)) for r in rows if r["sample_id"] == s) == want
-    assert got["rgb_overlay"].count() == 192 and got["bw_overlay"].count() == 384
+    assert pixels.to_pixels(got["bw_overlay"]).count() == 384 and got["rgb_overlay"].agg(F.sum(F.size("b"))).first()[0] == 192
+    assert got["selected"].agg(F.max("channel")).first()[0] == 1
+    scaling = {r["sample_id"]: json.loads(r["json"]) for r in got["scale_metadata"].collect()}
+    assert scaling["a"]["original_files"] == ["f0", "f1"] and scaling["b"]["output_shape"] == [2, 12, 8] and scaling["b"]["integer_scale_applied"] == 2 and scaling["a"]["channel_names"] == ["dapi", "CD3"]
     for bad, text in ((files.withColumn("format", F.lit("odd")), "rules"), (files.withColumn("format", F.lit("fused")), "one file")):
         with pytest.raises(ValueError, match=text):
             run(bad, regions=regions)
@@ -148,3 +152,57 @@ def test_report_cells_from_csv(spark, tmp_path):
     cells, found, missing = workloads.report_cells(spark, str(tmp_path / "a.csv"), markers, "a")
     assert sorted((r["cell_id"], r["HLA.ABC"]) for r in cells.collect()) == [("1", 3.0), ("1.1", 6.0)]
     assert found == ["DAPI", "HLA.ABC"] and [r["marker_name"] for r in missing.collect()] == ["CD8"]
+
+
+def test_overlays_show_what_was_segmented_and_segmentations_stay_apart(spark, tmp_path):
+    """With a background the overlays' image is the thresholded one; two segmenters give two masks and tables, published by seg."""
+    rng = np.random.default_rng(6)
+    scene = np.rint(rng.random((20, 24)) * 50)
+    image_of = pixels.to_tiles(image(spark, scene).withColumn("path", F.lit("s.tif")), 16, by=("sample_id", "path", "channel")).withColumn("level", F.lit(0))
+    files = spark.createDataFrame([("s", "s.tif", "fused")], "sample_id string, path string, format string")
+    levels = spark.createDataFrame([("s", 0, "CYX", [1, 20, 24], 1.0)], "sample_id string, level int, axes string, shape array<int>, physical_size_x double")
+    channels = spark.createDataFrame([("s", 0, "dapi")], "sample_id string, channel int, name string")
+    markers = spark.createDataFrame([("DAPI", "x", "1", 0)], "marker_name string, channel_name string, cycle_number string, marker_idx int")
+    whole = lambda n, m: n.withColumn("values", F.transform("values", lambda v: F.when(v > 0, 1).otherwise(0)))
+    upper = lambda n, m: pixels.to_pixels(n).where("value > 0 and y < 10").select("sample_id", "y", "x", F.lit(7).alias("cell_id"))
+    got = workloads.sheets_to_cells(files, image_of, levels, channels, markers, {"one": whole, "two": upper}, background="none", integer=True, block=8, solidity=False)
+    cut = pixels.otsu(image(spark, scene), integer=True).first()["adjusted"]
+    assert got["thresholds"].first()["adjusted"] == cut and got["histogram"].agg(F.sum("n")).first()[0] == scene.size
+    high = scene > cut
+    shown = pixels.to_pixels(got["bw_overlay"].where("seg = 'one' and channel = 0")).collect()
+    assert all(r["value"] == (255.0 if high[r["y"], r["x"]] else 0.0) for r in shown) and len(shown) == scene.size
+    cells = {(r["seg"], r["cell_id"]): r for r in got["cells"].collect()}
+    assert set(cells) == {("one", 1), ("two", 7)} and cells["one", 1]["Area"] == high.sum() and cells["two", 7]["Area"] == high[:10].sum()
+    assert abs(cells["one", 1]["DAPI"] - scene[high].mean()) < 1e-9  # of the image, not of the thresholded one
+    plan = got["mask"]._jdf.queryExecution().optimizedPlan().toString() + got["bw_overlay"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan
+    workloads.publish({"cells": got["cells"]}, str(tmp_path))
+    assert {r["seg"] for r in spark.read.parquet(str(tmp_path / "cells")).select("seg").distinct().collect()} == {"one", "two"}
+
+
+def test_nothing_left_of_a_nuclear_channel_is_refused(spark):
+    channels = spark.createDataFrame([("s", 0, "dapi"), ("s", 1, "AF")], "sample_id string, channel int, name string")
+    tiles = pixels.to_tiles(image(spark, np.ones((6, 6))).union(image(spark, np.ones((6, 6)) * 2, channel=1)), 4)
+    with pytest.raises(ValueError, match="nothing is left"):
+        workloads.processed_nuclei(tiles, channels, "af")
+
+
+def test_report_of_many_csvs(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = []
+    for s in ("a", "b"):
+        for seg in ("x", "y"):
+            path = tmp_path / f"{s}_{seg}.csv"
+            path.write_text("CellID,DAPI,CD8,Area\n" + "".join(f"{i},{rng.random():.6f},{rng.random():.6f},{i + 1}\n" for i in range(30 if seg == "x" else 20)))
+            rows.append((s, seg, str(path)))
+    files = spark.createDataFrame(rows, "sample_id string, seg string, path string")
+    markers = spark.createDataFrame([("DAPI", 0), ("CD8", 1)], "marker_name string, marker_idx int")
+    tables = workloads.report_tables(spark, files, markers, points=8)
+    assert {(r["sample_id"], r["seg"], r["marker"]) for r in tables["marker_summary"].collect()} == {(s, g, m) for s in "ab" for g in "xy" for m in ("DAPI", "CD8")}
+    workloads.publish({"area": tables["area_summary"]}, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/area")).count() == 4
+    odd = tmp_path / "odd.csv"
+    odd.write_text("CellID,DAPI,Area\n1,2,3\n")
+    more = files.union(spark.createDataFrame([("c", "x", str(odd))], files.schema))
+    with pytest.raises(ValueError, match="other markers"):
+        workloads.report_tables(spark, more, markers)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tissuemill.functions import scalar, storage
 from tissuemill.jobs import views, workloads
 from tissuemill.jobs.views import CELLS, CHANNELS, CLR, FEATURES, LABELS, LEVELS, LONG, MANIFEST, MARKERS, MASK, PIXELS
-from tissuemill.operators import cluster, halo, meta, pixels, quantify, report
+from tissuemill.operators import blocks, cluster, halo, meta, pixels, quantify, report
 from tissuemill.sources import cells as cell_files
 from tissuemill.sources import manifest
 
@@ -433,11 +433,28 @@ STITCH = "t AS (SELECT sample_id, 't' || (y // 50) AS path, channel, y % 50 AS y
 
 @query(f"WITH {PIXELS}, {STITCH}, p AS (SELECT sample_id, channel, y + 45 * substr(path, 2)::INT AS y, x + 3 * substr(path, 2)::INT AS x, value, path FROM t) SELECT sample_id, channel, y::INT AS y, x::INT AS x, {r('arg_min(value, path)')} AS value FROM p GROUP BY ALL")
 def p7_stitch(spark, d):
+    return pixels.stitch(*_fields(spark, d))
+
+
+def _fields(spark, d):
+    """Images cut into fields of 50 rows that overlap by five on the canvas, and their places."""
     px = views.pixels(spark, d)
     tile = F.floor(F.col("y") / 50)
     tiles = px.withColumn("path", F.concat(F.lit("t"), tile.cast("string"))).withColumn("y", F.col("y") % 50)
     regions = px.select("sample_id", tile.alias("i")).distinct().select("sample_id", F.concat(F.lit("t"), F.col("i").cast("string")).alias("path"), (F.col("i") * 3 + 7).alias("x"), (F.col("i") * 45 + 5).alias("y"))
-    return pixels.stitch(tiles, regions)
+    return tiles, regions
+
+
+@query(f"WITH {PIXELS}, {STITCH}, p AS (SELECT sample_id, channel, y + 45 * substr(path, 2)::INT AS y, x + 3 * substr(path, 2)::INT AS x, value, path FROM t) SELECT sample_id, channel, y::INT AS y, x::INT AS x, {r('arg_min(value, path)')} AS value FROM p GROUP BY ALL")
+def p7_stitch_tiles(spark, d):
+    """Block form: fields come as blocks of 16, the canvas as blocks of 32. Its gaps, which are 0 there, are left out."""
+    fields, regions = _fields(spark, d)
+    canvas = blocks.stitch_tiles(pixels.to_tiles(fields, 16, by=("sample_id", "path", "channel")), regions, 32)
+    ends = regions.join(fields.groupBy("sample_id", "path").agg(F.max("y").alias("h"), F.max("x").alias("w")), ["sample_id", "path"])
+    inside = ends.select("sample_id", (F.col("y") - 5).alias("top"), (F.col("y") - 5 + F.col("h")).alias("end"), (F.col("x") - 7).alias("left"), (F.col("x") - 7 + F.col("w")).alias("side"))
+    rects = inside.groupBy("sample_id").agg(F.collect_list(F.struct("top", "end", "left", "side")).alias("rects"))
+    within = F.exists("rects", lambda q: F.col("y").between(q["top"], q["end"]) & F.col("x").between(q["left"], q["side"]))
+    return pixels.to_pixels(canvas).join(rects, "sample_id").where(within).drop("rects")
 
 
 def _scaled(k: int, value: str = "value") -> str:
@@ -460,6 +477,12 @@ def p8_build_pyramid(spark, d):
     return pixels.build_pyramid(views.pixels(spark, d), (1, 2, 4))
 
 
+@query(f"WITH {PIXELS} SELECT sample_id, 0 AS level, channel, y, x, {r('value')} AS value FROM pixels UNION ALL SELECT sample_id, 1, channel, y, x, {r('value')} FROM ({_scaled(2)}) UNION ALL SELECT sample_id, 2, channel, y, x, {r('value')} FROM ({_scaled(4)})")
+def p8_pyramid_tiles(spark, d):
+    """Block form: each level from the blocks of the one before."""
+    return pixels.to_pixels(blocks.pyramid_tiles(pixels.to_tiles(views.pixels(spark, d), 32), (1, 2, 4), 32))
+
+
 @query(f"WITH {PIXELS} SELECT sample_id, channel, y, x, {r('greatest(value - avg(value) OVER (PARTITION BY sample_id, channel), 0.0)')} AS value FROM pixels")
 def p13a_bg_mean(spark, d):
     return pixels.bg_mean(views.pixels(spark, d))
@@ -636,14 +659,20 @@ def wl1_sheets_to_cells(spark, d):
     named = ends.select("sample_id", F.explode(F.array(*[F.struct(F.lit(i).alias("channel"), F.lit(n).alias("name")) for i, n in enumerate(("cd3", "dapi"))])).alias("c")).select("sample_id", "c.*")
     sheet = spark.createDataFrame([("DAPI", None, "1", 0), ("CD3", None, "1", 1)], "marker_name string, channel_name string, cycle_number string, marker_idx int")
 
-    def squares(nuclei, membrane):
-        label = F.floor(F.col("y") / 5) * 13 + F.floor(F.col("x") / 5) + 1
-        return pixels.to_pixels(nuclei).where("value > 0").select("sample_id", "y", "x", label.cast("int").alias("cell_id"))
-
-    tables = workloads.sheets_to_cells(files, images, levels, named, sheet, squares, regions, solidity=False, block=32)
+    tables = workloads.sheets_to_cells(files, images, levels, named, sheet, _squares, regions, solidity=False, block=32)
     return tables["cells"].select("sample_id", "cell_id", "DAPI", "CD3", "Area", "X_centroid", "Y_centroid")
 
 
+def _squares(nuclei: DataFrame, membrane: DataFrame | None) -> DataFrame:
+    """Mask blocks: positive pixels of 5 x 5 squares, labelled as in the mask view."""
+
+    def labelled(s):
+        place = lambda i: F.floor((s["y0"] + F.floor(i / s["w"])) / 5) * 13 + F.floor((s["x0"] + i % s["w"]) / 5) + 1
+        return F.transform(s["values"], lambda v, i: F.when(v > 0, place(i)).otherwise(0).cast("int"))
+
+    return nuclei.withColumn("values", scalar.let(F.struct("values", "y0", "x0", "w"), labelled))
+
+
 @query(f"WITH {EDGES} SELECT sample_id, y, x, value::DOUBLE AS value FROM edges")
 def p14_boundary_tiles(spark, d):
     """Block form: a block travels with a rim of one pixel."""
