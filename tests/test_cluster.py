@@ -87,3 +87,84 @@ def test_louvain_has_all_resolutions_and_raises_at_its_bounds(spark, monkeypatch
     monkeypatch.setattr(cluster, "louvain", lambda edges, r, cells=None: edges.selectExpr("sample_id", "src AS cell_id", "0 AS cluster"))
     got = entry.queries()["c6_louvain"](spark, SF)
     assert {r[0] for r in got.select("resolution").distinct().collect()} == {0.25, 0.5, 0.75, 1.0}
+
+
+def cloud(spark, n=900, dim=3, groups=12, seed=8):
+    """Points in tight groups, some of them the same, in two samples of different size."""
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(0, 30, (groups, dim))
+    points = {s: np.concatenate([middles[rng.integers(0, groups, m)] + rng.normal(0, 1, (m, dim)), np.tile(middles[0], (m // 6, 1))]) for s, m in (("a", n), ("b", n // 9))}
+    rows = [(s, i, [float(v) for v in p]) for s, x in points.items() for i, p in enumerate(x)]
+    return points, spark.createDataFrame(rows, "sample_id string, cell_id long, pc array<double>")
+
+
+def brute_near(queries, data, k):
+    d = np.sqrt(((queries[:, None] - data[None]) ** 2).sum(axis=2))
+    order = np.lexsort((np.broadcast_to(np.arange(len(data)), d.shape), d), axis=1)[:, :k]
+    return {(i, r + 1, int(j)) for i, row in enumerate(order) for r, j in enumerate(row)}
+
+
+def test_neighbours_are_exact_and_far_blocks_are_skipped(spark):
+    points, df = cloud(spark)
+    block = 40
+    got = {}
+    for r in cluster.knn(df, 7, block).collect():
+        got.setdefault(r["sample_id"], set()).add((r["cell_id"], r["rank"], r["neighbour_id"]))
+    for s, x in points.items():
+        assert got[s] == brute_near(x, x, 7)
+    cells, blocks = cluster.partitioned(df, block)
+    assert cells.groupBy("sample_id", "j", "sub").count().agg(F.max("count")).first()[0] <= 3 * block  # also where a sixth is one point
+    pivots = {r["sample_id"]: len(r["blocks"]) for r in blocks.collect()}
+    assert pivots["a"] > pivots["b"] > 1
+    met = cluster._sent(df, blocks, cells, 7, block, "pc")[1].where("sample_id = 'a'")
+    n = len(points["a"])
+    total = n * (cells.where("sample_id = 'a'").select("j", "sub").distinct().count() - 1)
+    asked = met.groupBy("cell_id").count().agg(F.sum("count")).first()[0] / 7  # neighbours that came from further blocks, seven a block
+    assert asked < 0.35 * total
+
+
+def test_queries_meet_a_broadcast_sketch_where_they_are(spark):
+    points, df = cloud(spark, 300)
+    sketch = df.where("cell_id % 5 = 0")
+    want = {s: {(i, r, int(j) * 5) for i, r, j in brute_near(x, x[::5], 6)} for s, x in points.items()}
+    for most in (1 << 20, 10):  # as a broadcast, and by blocks beyond the bound
+        found = cluster.nearest_broadcast(df, sketch, 6, most)
+        got = {}
+        for r in found.collect():
+            got.setdefault(r["sample_id"], set()).add((r["cell_id"], r["rank"], r["neighbour_id"]))
+        assert got == want
+    plan = cluster.nearest_broadcast(df, sketch, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # the full side stays
+
+
+def test_leverage_sample_ranks_one_range_only(spark):
+    """The draw is that of a plain sort of race keys; the plan ranks what the counts have left over."""
+    rng = np.random.default_rng(9)
+    rows = [(s, i, [float(v) for v in rng.gamma(1, 2, 3)]) for s, n in (("a", 700), ("b", 40)) for i in range(n)]
+    features = spark.createDataFrame(rows, "sample_id string, cell_id long, v array<double>")
+    got = {(r["sample_id"], r["cell_id"]) for r in cluster.leverage_sample(features, 100).collect()}
+    key = -F.log(cluster._uniform(0)) / F.greatest("leverage", F.lit(1e-12))
+    raced = [(r["sample_id"], r["k"], r["cell_id"]) for r in cluster.leverage_scores(features).withColumn("k", key).collect()]
+    want = {(s, i) for t in "ab" for s, _, i in sorted(x for x in raced if x[0] == t)[:100]}
+    assert got == want and sum(s == "a" for s, _ in got) == 100 and sum(s == "b" for s, _ in got) == 40
+
+
+@pytest.mark.parametrize("n", [1, 50, 97, 300, 5000])
+def test_first_rows_equal_a_sort(spark, n):
+    from tissuemill.functions.selection import first_rows
+
+    rng = np.random.default_rng(n)
+    rows = [(g, i, int(k)) for g, m in (("x", 400), ("y", 60)) for i, k in enumerate(rng.integers(0, 40, m))]  # many ties
+    df = spark.createDataFrame(rows, "g string, i int, k int")
+    got = sorted(map(tuple, first_rows(df, ["g"], n, [F.floor(F.col("k") / 16), F.col("k")], [F.col("k"), F.col("i")]).collect()))
+    assert got == sorted(r for g in "xy" for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[2], r[1]))[:n])
+
+
+def test_louvain_tells_the_driver_one_number_a_sweep(spark):
+    """A sample of its own is clustered as in a run of many; no list of samples is in a plan."""
+    pairs = [(f"s{s}", 10 * g + i, 10 * g + j, 1.0) for s in range(6) for g in range(1 + s % 3) for i in range(5) for j in range(i + 1, 5)]
+    edges = spark.createDataFrame(pairs, "sample_id string, src long, dst long, weight double")
+    found = cluster.louvain(edges)
+    alone = cluster.louvain(edges.where("sample_id = 's4'"))
+    assert sorted(map(tuple, found.where("sample_id = 's4'").collect())) == sorted(map(tuple, alone.collect()))
+    assert {r["sample_id"]: r["n"] for r in found.groupBy("sample_id").agg(F.countDistinct("cluster").alias("n")).collect()} == {f"s{s}": 1 + s % 3 for s in range(6)}

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import let
-from tissuemill.functions.storage import materialise
+from tissuemill.functions.selection import first_rows
+from tissuemill.functions.storage import forget, materialise
 from tissuemill.operators.report import density
 
 CELL = ["sample_id", "cell_id"]
@@ -121,11 +122,13 @@ def leverage_scores(features: DataFrame) -> DataFrame:
 def leverage_sample(features: DataFrame, n: int = 50_000, seed: int = 0) -> DataFrame:
     """``n`` cells of each sample that has more, drawn without replacement with probability as their leverage.
 
-    Keys -ln(u)/w are exponential races: the n least are the draw. Spark takes the n least in every task first.
+    Keys -ln(u)/w are exponential races: the n least are the draw. They are found by counts of keys in ranges of their logarithm,
+    256 an octave and then 2^20 an octave: only the cells of one such range are ranked.
     """
     key = -F.log(_uniform(seed)) / F.greatest("leverage", F.lit(1e-12))
-    nth = F.row_number().over(Window.partitionBy("sample_id").orderBy("_key", "cell_id"))
-    chosen = leverage_scores(features).withColumn("_key", key).withColumn("_nth", nth).where(F.col("_nth") <= n)
+    raced = materialise(leverage_scores(features).select(*CELL, key.alias("_key")))
+    fine = lambda parts: F.floor(F.log2("_key") * parts)
+    chosen = first_rows(raced, ["sample_id"], n, [fine(256), fine(1 << 20)], [F.col("_key"), F.col("cell_id")])
     return features.join(chosen.select(*CELL), CELL, "left_semi")
 
 
@@ -142,34 +145,147 @@ def samples_over(cells: DataFrame, limit: int) -> DataFrame:
 # -- neighbours -------------------------------------------------------------------------------------------------------
 
 
+def _top(x: np.ndarray, y: np.ndarray, k: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of the k rows of y nearest to each of x, equal ones by their order in y; exact distances."""
+    m, out = min(k, len(y)), []
+    sizes = (y * y).sum(axis=1)
+    for at in range(0, len(x), rows):
+        part = x[at : at + rows]
+        own = (part * part).sum(axis=1)
+        square = own[:, None] + sizes - 2 * part @ y.T  # off by rounding: all that may be among the k are measured anew
+        far = np.partition(square, m - 1, axis=1)[:, m - 1] + 1e-9 * (own + sizes.max())
+        i, j = np.nonzero(square <= far[:, None])
+        dist = np.sqrt(((part[i] - y[j]) ** 2).sum(axis=1))
+        order = np.lexsort((j, dist, i))
+        i, j, dist = i[order], j[order], dist[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        out.append((i[place < m] + at, j[place < m], dist[place < m]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+NEAR = "sample_id string, cell_id {0}, neighbour_id {0}, dist double"
+
+
+def _met(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The nearest data cells of query cells of one sample, as rows of ``NEAR``."""
+    if queries.empty or data.empty:
+        return pd.DataFrame(columns=["sample_id", "cell_id", "neighbour_id", "dist"])
+    data = data.sort_values("cell_id")
+    i, j, dist = _top(np.stack(queries.p), np.stack(data.p), k)
+    return pd.DataFrame({"sample_id": queries.sample_id.iloc[0], "cell_id": queries.cell_id.to_numpy()[i], "neighbour_id": data.cell_id.to_numpy()[j], "dist": dist})
+
+
+#: Pivots of a sample at most; beyond that its blocks are cut by hash.
+PIVOTS = 64
+
+
+def partitioned(data: DataFrame, block: int, vector: str = "pc") -> tuple[DataFrame, DataFrame]:
+    """Data cells in blocks round pivots (sample_id, cell_id, p, j, sub), and the blocks of each sample; both written.
+
+    A sample's pivots are the cells of its least hashes, one for every ``block`` cells, ``PIVOTS`` at most. A cell belongs to
+    its nearest pivot, so that a block is a cell of the pivots' Voronoi diagram; where that has over 2 * ``block`` cells (very
+    many alike) it is cut by hash into subs. Blocks: an array of j, p (the pivot), r (its farthest cell), subs.
+    """
+    counts = data.groupBy("sample_id").agg(F.count("*").alias("n"))
+    wanted = F.least(F.ceil(F.col("n") / block), F.lit(PIVOTS)).cast("int")
+    hashed = materialise(data.select(*CELL, F.col(vector).alias("p"), F.xxhash64("cell_id").alias("_h")))
+    drawn = first_rows(hashed, ["sample_id"], PIVOTS, [F.shiftright("_h", 48), F.shiftright("_h", 32)], [F.col("_h"), F.col("cell_id")])
+    pivots = drawn.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("_h", "cell_id", "p"))).alias("a")).join(counts, "sample_id")  # PIVOTS rows a sample
+    pivots = materialise(pivots.select("sample_id", F.transform(F.slice("a", F.lit(1), wanted), lambda x: x["p"]).alias("pivots")))
+    least = let(F.struct("p", "pivots"), lambda s: F.array_min(F.transform(s["pivots"], lambda c, i: F.struct(_far(s["p"], c).alias("d"), i.alias("j")))))
+    placed = hashed.join(pivots, "sample_id").select(*CELL, "p", "_h", least.alias("_m")).select(*CELL, "p", "_h", F.col("_m.j").alias("j"), F.col("_m.d").alias("d"))
+    sizes = placed.groupBy("sample_id", "j").agg(F.max("d").alias("r"), F.ceil(F.count("*") / (2 * block)).cast("int").alias("subs"))
+    blocks = sizes.join(pivots, "sample_id").select("sample_id", F.struct("j", F.get("pivots", F.col("j")).alias("p"), "r", "subs").alias("b"))
+    blocks = materialise(blocks.groupBy("sample_id").agg(F.array_sort(F.collect_list("b")).alias("blocks")))
+    subs = let(F.struct("blocks", "j"), lambda s: F.get(F.filter(s["blocks"], lambda b: b["j"] == s["j"]), F.lit(0))["subs"])
+    cells = placed.join(blocks, "sample_id").select(*CELL, "p", "j", F.pmod("_h", subs).cast("int").alias("sub"))
+    return materialise(cells), blocks
+
+
+def _far(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+
+
 def nearest(queries: DataFrame, data: DataFrame, k: int, block: int = 2000, vector: str = "pc") -> DataFrame:
     """(sample_id, cell_id, neighbour_id, rank, dist): each query cell's k nearest data cells of its sample, exactly.
 
-    Cells are dealt into blocks of about ``block`` by hash, and every pair of blocks of a sample is one numpy task; a
-    query's best k of each block are merged. Ties go to the smaller id. Meant for sketches of cells: work is queries x data.
+    Data lie in blocks round pivots (``partitioned``). A query cell first meets a block of its nearest pivot, which bounds the distance of its k-th
+    neighbour. A block farther off than that is skipped: every cell of block j is at least d(q, p_j) - r_j away, and at least
+    (d(q, p_j)^2 - d(q, p_i)^2) / 2 d(p_i, p_j) if p_i is the cell's nearest pivot. The cell is sent to the others only, and the best k
+    of all are merged. Ties go to the smaller id.
     """
-    most = lambda df: df.groupBy("sample_id").count().agg(F.coalesce(F.max("count"), F.lit(1))).first()[0]
-    qn, dn = (-(-most(df) // block) for df in (queries, data))
-    q = queries.select(*CELL, F.col(vector).alias("p"), F.pmod(F.xxhash64("cell_id"), F.lit(qn)).alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dn - 1).cast("long"))).alias("db"))
-    d = data.select(F.col("sample_id").alias("sample"), F.col("cell_id").alias("other"), F.col(vector).alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qn - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("cell_id"), F.lit(dn)).alias("db"))
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=["sample_id", "cell_id", "neighbour_id", "dist"])
-        b = b.sort_values("other")
-        x, y = np.stack(a.p), np.stack(b.p)
-        square = np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T, 0)
-        m = min(k, len(y))
-        near = np.argsort(square, axis=1, kind="stable")[:, :m]
-        dist = np.sqrt(((x[:, None, :] - y[near]) ** 2).sum(axis=2))
-        return pd.DataFrame({"sample_id": a.sample_id.iloc[0], "cell_id": np.repeat(a.cell_id.to_numpy(), m), "neighbour_id": b.other.to_numpy()[near].ravel(), "dist": dist.ravel()})
+    cells, blocks = partitioned(data, block, vector)
+    first, more = _sent(queries, blocks, cells, k, block, vector)
+    return _merged(first.unionByName(more), k)
 
-    kind = dict(queries.dtypes)["cell_id"]
-    found = q.groupBy("sample_id", "qb", "db").cogroup(d.groupBy("sample", "qb", "db")).applyInPandas(run, f"sample_id string, cell_id {kind}, neighbour_id {kind}, dist double")
+
+def _merged(found: DataFrame, k: int) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy(*CELL).orderBy("dist", "neighbour_id"))
     return found.withColumn("rank", nth).where(F.col("rank") <= k).select(*CELL, "neighbour_id", "rank", "dist")
 
 
+def _sent(queries: DataFrame, blocks: DataFrame, cells: DataFrame, k: int, block: int, vector: str) -> tuple[DataFrame, DataFrame]:
+    """Neighbours from each query's first block (written), and from the further blocks that may hold nearer ones."""
+    kind = dict(queries.dtypes)["cell_id"]
+    ball = lambda s: F.transform(s["blocks"], lambda b: F.struct(_far(s["p"], b["p"]).alias("d"), b["j"].alias("j"), b["p"].alias("p"), b["r"].alias("r"), b["subs"].alias("subs")))
+    seen = queries.select(*CELL, F.col(vector).alias("p")).join(blocks, "sample_id").withColumn("balls", let(F.struct("p", "blocks"), ball))
+    seen = seen.withColumn("own", F.array_min("balls")).withColumn("sub", F.pmod(F.xxhash64("cell_id"), F.col("own.subs")).cast("int"))
+    start = seen.select(*CELL, "p", F.col("own.j").alias("j"), "sub")
+    first = materialise(_together(start, cells, k, block, kind))
+    reach = first.groupBy(*CELL).agg(F.when(F.count("*") >= k, F.max("dist")).otherwise(float("inf")).alias("u"))
+
+    def met(s: Column) -> Column:
+        """The (j, sub) of blocks that a query must still meet."""
+        slack = lambda low: low - 1e-9 * (F.abs(low) + s["own"]["d"] + 1e-300)
+
+        def needed(b: Column) -> Column:
+            apart = _far(s["own"]["p"], b["p"])
+            plane = F.when(apart > 0, (b["d"] - s["own"]["d"]) * (b["d"] + s["own"]["d"]) / (2 * apart)).otherwise(0.0)
+            return slack(F.greatest(b["d"] - b["r"], plane)) <= s["u"]
+
+        places = F.flatten(F.transform(F.filter(s["balls"], needed), lambda b: F.transform(F.sequence(F.lit(0), b["subs"] - 1), lambda x: F.struct(b["j"].alias("j"), x.alias("sub")))))
+        return F.filter(places, lambda t: (t["j"] != s["own"]["j"]) | (t["sub"] != s["sub"]))
+
+    further = seen.join(reach, CELL).select(*CELL, "p", F.explode(let(F.struct("balls", "own", "sub", "u"), met)).alias("t")).select(*CELL, "p", "t.j", "t.sub")
+    return first, _together(further, cells, k, block, kind)
+
+
+def _together(queries: DataFrame, cells: DataFrame, k: int, block: int, kind: str) -> DataFrame:
+    """Queries with the data block that they name; a block asked by very many is copied for every 4 * ``block`` of them."""
+    place = ["sample_id", "j", "sub"]
+    asked = queries.groupBy(*place).agg(F.ceil(F.count("*") / (4 * block)).cast("int").alias("copies"))
+    asked = materialise(asked)
+    q = queries.join(asked, place).withColumn("copy", F.pmod(F.xxhash64("cell_id", F.lit(1)), F.col("copies")).cast("int")).drop("copies")
+    d = cells.join(asked, place).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    named = d.select(*[F.col(c).alias(f"_{c}") for c in (*place, "copy")], "cell_id", "p")
+    return q.groupBy(*place, "copy").cogroup(named.groupBy(*[f"_{c}" for c in (*place, "copy")])).applyInPandas(lambda a, b: _met(a, b, k), NEAR.format(kind))
+
+
+#: Bytes of data cells that may be broadcast to be met where the queries are.
+MOST_BROADCAST = 128 << 20
+
+
+def nearest_broadcast(queries: DataFrame, data: DataFrame, k: int, most: int = MOST_BROADCAST, vector: str = "pc") -> DataFrame:
+    """``nearest`` without moving the queries: data of up to ``most`` bytes go to every task, and each batch of queries meets its
+    sample's. Larger data are met by blocks. Meant for many queries and a bounded sketch."""
+    bound = data.agg(F.coalesce(F.sum(8 * F.size(vector) + 64), F.lit(0))).first()[0]
+    if bound > most:
+        return nearest(queries, data, k, vector=vector)
+    rows = data.select(*CELL, F.col(vector).alias("p")).toPandas()
+    held = data.sparkSession.sparkContext.broadcast({s: part for s, part in rows.groupby("sample_id")})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for sample, part in batch.groupby("sample_id"):
+                if sample in held.value:
+                    found = _met(part, held.value[sample], k)
+                    found["rank"] = (found.groupby("cell_id", sort=False).cumcount() + 1).astype("int32")
+                    yield found
+
+    kind = dict(queries.dtypes)["cell_id"]
+    return queries.select(*CELL, F.col(vector).alias("p")).mapInPandas(run, NEAR.format(kind) + ", rank int").select(*CELL, "neighbour_id", "rank", "dist")
+
+
 def knn(points: DataFrame, k: int = 20, block: int = 2000, vector: str = "pc") -> DataFrame:
     """Each cell's k nearest cells, itself among them."""
     return nearest(points, points, k, block, vector)
@@ -195,6 +311,7 @@ def snn(neighbours: DataFrame, k: int = 20, prune: float = 1 / 15) -> DataFrame:
 
 
 def _weighted(near: DataFrame) -> DataFrame:
+    """Neighbours with w: 1 - dist / (distance of the cell's k-th), all equal if that is 0."""
     far = F.max("dist").over(Window.partitionBy(*CELL))
     return near.withColumn("w", F.when(far > 0, 1 - F.col("dist") / far).otherwise(1.0) + 1e-9)
 
@@ -204,7 +321,7 @@ def transfer_labels(sketch: DataFrame, labels: DataFrame, full: DataFrame, k: in
 
     ``sketch`` and ``full`` have pc; a neighbour's weight is 1 - dist / (distance of the k-th), all equal if that is 0.
     """
-    votes = _weighted(nearest(full, sketch, k)).join(labels.select("sample_id", F.col("cell_id").alias("neighbour_id"), "resolution", "cluster"), ["sample_id", "neighbour_id"])
+    votes = _weighted(nearest_broadcast(full, sketch, k)).join(labels.select("sample_id", F.col("cell_id").alias("neighbour_id"), "resolution", "cluster"), ["sample_id", "neighbour_id"])
     votes = votes.groupBy(*CELL, "resolution", "cluster").agg(F.sum("w").alias("w"))
     return votes.groupBy(*CELL, "resolution").agg(F.max_by("cluster", F.struct("w", -F.col("cluster"))).alias("cluster"))
 
@@ -220,7 +337,7 @@ def transfer_layout(sketch: DataFrame, layout: DataFrame, full: DataFrame, k: in
     """(sample_id, cell_id, x, y): positions of all cells. Cells of the layout keep theirs; the others lie at the mean of
     their nearest sketch cells, weighted as in ``transfer_labels``."""
     placed = sketch.join(layout.select(*CELL), CELL, "left_semi")
-    near = _weighted(nearest(full.join(layout.select(*CELL), CELL, "left_anti"), placed, k))
+    near = _weighted(nearest_broadcast(full.join(layout.select(*CELL), CELL, "left_anti"), placed, k))
     at = near.join(layout.select("sample_id", F.col("cell_id").alias("neighbour_id"), "x", "y"), ["sample_id", "neighbour_id"])
     mean = lambda name: (F.sum(F.col("w") * F.col(name)) / F.sum("w")).alias(name)
     return layout.select(*CELL, "x", "y").unionByName(at.groupBy(*CELL).agg(mean("x"), mean("y")))
@@ -242,7 +359,8 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
     In a sweep every node weighs the communities of its neighbours by modularity gain; a half of the nodes, chosen by a
     hash, move at once. After the sweeps communities become nodes. Each sample ends its sweeps when no node would move or its
     modularity has not risen for four sweeps, its own best partition counts, and it is done when no nodes merge. At the
-    bounds of sweeps and levels this is an error. Every sweep's labels go to shared storage.
+    bounds of sweeps and levels this is an error. Labels, the best so far and what each sample has reached are tables in shared
+    storage, of which a sweep leaves one each; the driver learns how many samples go on, and nothing else.
     """
     both = edges.select("sample_id", F.col("src").alias("a"), F.col("dst").alias("b"), "weight").union(edges.select("sample_id", "dst", "src", "weight"))
     graph = materialise(both)
@@ -253,52 +371,51 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
         total = graph.groupBy("sample_id").agg(F.sum("weight").alias("m2"))
         label = materialise(degree.select("sample_id", F.col("a").alias("node"), F.col("a").alias("c"), "d"))
 
-        def state(label: DataFrame) -> dict:
-            """Of each sample, its modularity and the number of nodes that would move."""
+        def quality(label: DataFrame) -> DataFrame:
+            """(sample_id, q, wish): of each sample, its modularity and the number of nodes that would move."""
             at = label.select("sample_id", "node", "c")
             own = graph.join(at.withColumnsRenamed({"node": "a", "c": "ca"}), ["sample_id", "a"]).join(at.withColumnsRenamed({"node": "b", "c": "cb"}), ["sample_id", "b"])
             inside = own.where("ca = cb").groupBy("sample_id").agg(F.sum("weight").alias("w"))
             mass = label.groupBy("sample_id", "c").agg(F.sum("d").alias("s"), F.sum("wish").alias("wish")).groupBy("sample_id").agg(F.sum(F.col("s") * F.col("s")).alias("s2"), F.sum("wish").alias("wish"))
             q = F.coalesce("w", F.lit(0.0)) / F.col("m2") - resolution * F.col("s2") / F.col("m2") / F.col("m2")
-            return {r["sample_id"]: (r["q"], r["wish"]) for r in total.join(mass, "sample_id").join(inside, "sample_id", "left").select("sample_id", q.alias("q"), "wish").collect()}
+            return total.join(mass, "sample_id").join(inside, "sample_id", "left").select("sample_id", q.alias("q"), "wish")
 
-        tables = [label]
-        best = {sample: (q, 0, 0) for sample, (q, _) in state(label.withColumn("wish", F.lit(1))).items()}  # modularity, its sweep, sweeps since
-        active = set(best)
+        best = materialise(label.select("sample_id", "node", "c"))
+        state = materialise(quality(label.withColumn("wish", F.lit(1))).select("sample_id", F.col("q").alias("top"), F.lit(0).alias("quiet")))  # of samples that go on
         for sweep in range(sweeps):
-            if not active:
+            if not state.count():
                 break
-            label = label.where(F.col("sample_id").isin(sorted(active)))
-            mass = label.groupBy("sample_id", "c").agg(F.sum("d").alias("mass"))
-            near = graph.where("a <> b").join(label.select("sample_id", F.col("node").alias("b"), "c"), ["sample_id", "b"]).groupBy("sample_id", F.col("a").alias("node"), "c").agg(F.sum("weight").alias("w"))
-            stay = label.select("sample_id", "node", "c", F.lit(0.0).alias("w"))
+            now = label.join(state.select("sample_id"), "sample_id", "left_semi")
+            mass = now.groupBy("sample_id", "c").agg(F.sum("d").alias("mass"))
+            near = graph.where("a <> b").join(now.select("sample_id", F.col("node").alias("b"), "c"), ["sample_id", "b"]).groupBy("sample_id", F.col("a").alias("node"), "c").agg(F.sum("weight").alias("w"))
+            stay = now.select("sample_id", "node", "c", F.lit(0.0).alias("w"))
             choice = near.union(stay).groupBy("sample_id", "node", "c").agg(F.sum("w").alias("w"))
-            choice = choice.join(label.select("sample_id", "node", F.col("c").alias("old"), "d"), ["sample_id", "node"]).join(mass, ["sample_id", "c"]).join(total, "sample_id")
+            choice = choice.join(now.select("sample_id", "node", F.col("c").alias("old"), "d"), ["sample_id", "node"]).join(mass, ["sample_id", "c"]).join(total, "sample_id")
             others = F.col("mass") - F.when(F.col("c") == F.col("old"), F.col("d")).otherwise(0.0)
             gain = F.round(F.col("w") - resolution * F.col("d") * others / F.col("m2"), 9)
             move = choice.groupBy("sample_id", "node").agg(F.max_by("c", F.struct(gain, (F.col("c") == F.col("old")).cast("int"), F.col("c"))).alias("new"), F.first("old").alias("old"), F.first("d").alias("d"))
             awake = F.pmod(F.xxhash64("node", F.lit(sweep + 100 * level)), F.lit(2)) == 0
             wish = (F.col("new") != F.col("old")).cast("int").alias("wish")
-            label = materialise(move.select("sample_id", "node", F.when(awake, F.col("new")).otherwise(F.col("old")).alias("c"), "d", wish))
-            tables.append(label)
-            for sample, (q, wishes) in state(label).items():
-                top, at, quiet = best[sample]
-                quiet = 0 if q > top + 1e-7 else quiet + 1
-                best[sample] = (q, len(tables) - 1, quiet) if q > top else (top, at, quiet)
-                if not wishes or quiet == 4:
-                    active.discard(sample)
-        if active:
-            raise RuntimeError(f"louvain did not settle in {sweeps} sweeps")
-        chosen = label.select("sample_id", "node", "c").limit(0)
-        for at in sorted({at for _, at, _ in best.values()}):
-            chosen = chosen.union(tables[at].where(F.col("sample_id").isin(sorted(k for k, v in best.items() if v[1] == at))).select("sample_id", "node", "c"))
-        merged = materialise(chosen.select("sample_id", F.col("node").alias("_n"), F.col("c").alias("_c")))
-        going = [r[0] for r in merged.groupBy("sample_id").agg(F.count("*").alias("n"), F.countDistinct("_c").alias("m")).where("m < n").collect()]
-        if not going:
+            moved = materialise(move.select("sample_id", "node", F.when(awake, F.col("new")).otherwise(F.col("old")).alias("c"), "d", wish))
+            rose = F.col("q") > F.col("top")
+            quiet = F.when(F.col("q") > F.col("top") + 1e-7, 0).otherwise(F.col("quiet") + 1)
+            judged = materialise(state.join(quality(moved), "sample_id").select("sample_id", rose.alias("rose"), F.greatest("top", "q").alias("top"), quiet.alias("quiet"), "wish"))
+            risen = judged.where("rose").select("sample_id")
+            kept = materialise(best.join(risen, "sample_id", "left_anti").unionByName(moved.join(risen, "sample_id", "left_semi").select("sample_id", "node", "c")))
+            after = materialise(judged.where("wish > 0 and quiet < 4").select("sample_id", "top", "quiet"))
+            forget(label, best, state, judged)
+            label, best, state = moved, kept, after
+        else:
+            if state.count():
+                raise RuntimeError(f"louvain did not settle in {sweeps} sweeps")
+        merged = materialise(best.select("sample_id", F.col("node").alias("_n"), F.col("c").alias("_c")))
+        counts = merged.groupBy("sample_id").agg(F.count("*").alias("n"), F.countDistinct("_c").alias("m"))
+        going = materialise(counts.where("m < n").select("sample_id"))
+        if not going.count():
             break
         of = materialise(of.join(merged, (of["sample_id"] == merged["sample_id"]) & (of["node"] == merged["_n"]), "left").select(of["sample_id"], "cell_id", F.coalesce("_c", "node").alias("node")))
         ma, mb = merged.withColumnsRenamed({"_n": "a", "_c": "na"}), merged.withColumnsRenamed({"_n": "b", "_c": "nb"})
-        graph = materialise(graph.where(F.col("sample_id").isin(going)).join(ma, ["sample_id", "a"]).join(mb, ["sample_id", "b"]).groupBy("sample_id", F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("weight").alias("weight")))
+        graph = materialise(graph.join(going, "sample_id", "left_semi").join(ma, ["sample_id", "a"]).join(mb, ["sample_id", "b"]).groupBy("sample_id", F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("weight").alias("weight")))
     else:
         raise RuntimeError(f"louvain did not settle in {levels} levels")
     if cells is not None:  # cells without an edge are clusters of their own
