@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Catalogue tables by their folder, and the folders written in each ``settled`` that runs.
+_named: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def _path(spark: SparkSession, name: str):
@@ -34,24 +38,54 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{_path(spark, base)[0].toString().rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession) -> str:
+    path = shared_dir(spark)
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared storage and read it back: cuts the lineage, survives lost executors."""
-    path, schema = shared_dir(df.sparkSession), df.schema
+    path, schema = _folder(df.sparkSession), df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def bucketed(df: DataFrame, by: str) -> DataFrame:
-    """Like ``materialise``, in buckets of ``by``: joins on it shuffle the other side alone."""
+    """Like ``materialise``, in buckets of ``by``: joins on it shuffle the other side alone. ``forget`` drops the table."""
     spark, name = df.sparkSession, f"tissuemill_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, by).option("path", shared_dir(spark)).saveAsTable(name, format="parquet")
+    path, buckets = _folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, by).option("path", path).saveAsTable(name, format="parquet")
+    _named[path] = name
     return spark.table(name)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    if folder in _named:
+        spark.sql(f"DROP TABLE IF EXISTS {_named.pop(folder)}")
+    path, store = _path(spark, folder)
+    store.delete(path, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``materialise`` or ``bucketed`` has written, once nothing reads them any more."""
     for table in tables:
         for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-            path, store = _path(table.sparkSession, folder)
-            store.delete(path, True)
+            qualified = {_path(table.sparkSession, f)[0].toString(): f for f in _named}
+            _delete(table.sparkSession, qualified.get(_path(table.sparkSession, folder)[0].toString(), folder))
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of ``make()``, written; the tables that ``make`` wrote on the way are deleted then. Calls may be nested."""
+    _scopes.append([])
+    try:
+        found = make()
+        path = shared_dir(spark)
+        found.write.parquet(path)
+    finally:
+        for folder in _scopes.pop():
+            _delete(spark, folder)
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return spark.read.schema(found.schema).parquet(path)
