@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissuemill.functions.storage import settled
 from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, text_buffer, unique_keys
 from tissuemill.llm.components import components
 
@@ -341,10 +342,14 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, wide: W
     """
     keyed, _ = unique_keys(packed(docs))
     texts = keyed.select(F.col("_key").alias("id"), "text")
-    found = materialise(wide_marks(texts, width, wide))
-    least = found.groupBy("low", "high").agg(F.min("id").alias("least"))
-    first = found.join(least.select(F.col("least").alias("id")), "id", "left_semi")
-    parts = components(near_links(texts, first, percent, width, wide, company))
-    copies = found.select("id", "low", "high").join(least, ["low", "high"]).where("id <> least").select("id")
-    drop = copies.union(parts.where("node <> component").select("node")).toDF("_key")
+
+    def dropped() -> DataFrame:
+        found = materialise(wide_marks(texts, width, wide))
+        least = found.groupBy("low", "high").agg(F.min("id").alias("least"))
+        first = found.join(least.select(F.col("least").alias("id")), "id", "left_semi")
+        parts = components(near_links(texts, first, percent, width, wide, company))
+        copies = found.select("id", "low", "high").join(least, ["low", "high"]).where("id <> least").select("id")
+        return copies.union(parts.where("node <> component").select("node")).toDF("_key")
+
+    drop = settled(docs.sparkSession, dropped)  # of the stage's tables only the ids that go are left
     return keyed.join(drop, "_key", "left_anti").select("_row.*")
