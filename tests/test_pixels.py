@@ -139,6 +139,23 @@ def test_channels(spark):
     assert meta.channel_violations(channels, spark.createDataFrame([("s", 0), ("u", 1)], "sample_id string, n_channels int")).count() == 2
 
 
+def hull_area(ys, xs):
+    """The area of the convex hull of unit squares, by gift wrapping over all corners."""
+    points = sorted({(y + a, x + b) for y, x in zip(ys.tolist(), xs.tolist(), strict=True) for a in (-0.5, 0.5) for b in (-0.5, 0.5)})
+    cross = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+    far = lambda a, b: (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2
+    hull, now = [], points[0]
+    while not hull or now != hull[0]:
+        hull.append(now)
+        nxt = points[0] if now != points[0] else points[1]
+        for p in points:
+            c = cross(now, nxt, p)
+            if p != now and (c < 0 or c == 0 and far(now, p) > far(now, nxt)):
+                nxt = p
+        now = nxt
+    return abs(sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(hull, [*hull[1:], hull[0]], strict=True))) / 2
+
+
 def test_quantification(spark):
     labels = np.zeros((12, 12))
     labels[1:4, 1:4], labels[5, 2:11], labels[7:10, 1], labels[9, 1:4] = 1, 2, 3, 3
@@ -151,6 +168,10 @@ def test_quantification(spark):
     assert shape[4]["MajorAxisLength"] == 0 and shape[4]["Eccentricity"] == 0
     solid = {r["cell_id"]: r["Solidity"] for r in quantify.cell_solidity(mask).collect()}
     assert abs(solid[1] - 1) < 1e-9 and abs(solid[2] - 1) < 1e-9 and abs(solid[4] - 1) < 1e-9 and abs(solid[3] - 5 / 7) < 1e-9
+    shapes = RNG.integers(0, 2, (14, 40)) * np.kron(np.arange(1, 15).reshape(2, 7), np.ones((7, 6)))[:, :40]
+    for r in quantify.cell_solidity(mask_frame(spark, shapes)).collect():
+        ys, xs = np.nonzero(shapes == r["cell_id"])
+        assert abs(r["Solidity"] - len(ys) / hull_area(ys, xs)) < 1e-9
     for size in (5, 12):
         tiles = pixels.to_tiles(image(spark, values), size)
         blocks = pixels.to_tiles(mask.withColumn("channel", F.lit(0)), size, "cell_id")

@@ -137,3 +137,49 @@ def test_summaries_match_numpy(spark):
     got = report.marker_summary(long_frame(spark, rows)).first()
     v = np.array([r[3] for r in rows])
     assert all(math.isclose(got[n], w) for n, w in (("mean", v.mean()), ("median", np.median(v)), ("sd", v.std(ddof=1)), ("min", v.min()), ("max", v.max())))
+
+
+def test_correlation_of_gaps_constants_and_many_markers(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e6, 1, (50, 60))
+    x[:, 3] = 7.25  # constant
+    x[:, 5] = 2e6 - x[:, 4]
+    gap = rng.random(x.shape) < 0.2
+    names = [f"m{i}" for i in range(60)]
+    rows = [("s", *(None if g else float(v) for v, g in zip(a, b, strict=True))) for a, b in zip(x, gap, strict=True)]
+    df = spark.createDataFrame(rows, "sample_id string, " + ", ".join(f"{n} double" for n in names))
+    got = {(r["marker_a"], r["marker_b"]): r["r"] for r in report.correlation_matrix(df.repartition(5), names).collect()}
+    assert len(got) == 60 * 61 // 2
+    for (a, b), r in got.items():
+        i, j = int(a[1:]), int(b[1:])
+        both = ~gap[:, i] & ~gap[:, j]
+        if 3 in (i, j):
+            assert r is None
+        else:
+            assert i >= j and abs(r - np.corrcoef(x[both, i], x[both, j])[0, 1]) <= 0.00501
+    assert got["m5", "m4"] == -1
+
+
+def test_qq_points_over_many_ranges_and_a_common_value(spark):
+    rng = random.Random(3)
+    values = {m: [round(rng.gauss(0, 1), 2) for _ in range(300)] + [0.5] * 200 for m in "ab"}
+    long = long_frame(spark, [("s", str(i), m, v) for m, vs in values.items() for i, v in enumerate(vs)])
+    got = report.qq_points(long, run=64).collect()
+    for m, vs in values.items():
+        own = sorted((r["i"], r["sample"]) for r in got if r["marker"] == m)
+        assert own == list(zip(range(1, 501), sorted(vs), strict=True))
+    plan = report.qq_points(long)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_part" in line for line in plan.splitlines() if "Window [" in line)
+
+
+def test_a_large_sheet_is_matched_without_a_nested_loop(spark):
+    from tissuemill.operators import meta
+
+    channels = spark.createDataFrame([("s", i, f"Ch{i:04d} x") for i in range(2000)] + [("t", 0, None), ("t", 1, "ab")], "sample_id string, channel int, name string")
+    markers = spark.createDataFrame([(f"h{i:04d}", i) for i in range(1500)] + [("a", 1500), ("", 1501), (None, 1502), ("zz", 1503)], "marker_name string, marker_idx int")
+    found = meta.match_channels(channels, markers)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    rows = {(r["sample_id"], r["marker_idx"]): (r["channel"], r["n_matches"]) for r in found.collect()}
+    assert len(rows) == 2 * 1504 and all(rows["s", i] == (i, 1) for i in range(1500))
+    assert rows["t", 1500] == (1, 1) and rows["s", 1501] == (0, 2000) and rows["t", 1501] == (1, 1) and rows["s", 1502] == (None, 0) and rows["t", 1503] == (None, 0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tissuemill.functions import scalar, storage
 from tissuemill.jobs import views, workloads
-from tissuemill.jobs.views import CELLS, CHANNELS, CLR, FEATURES, LABELS, LEVELS, LONG, MANIFEST, MARKERS, MASK, PIXELS
+from tissuemill.jobs.views import CELLS, CHANNELS, CLR, FEATURES, LABELS, LEVELS, LONG, MANIFEST, MARKERS, MASK, PIXELS, PLAIN
 from tissuemill.operators import blocks, cluster, halo, meta, pixels, quantify, report
 from tissuemill.sources import cells as cell_files
 from tissuemill.sources import manifest
@@ -135,6 +135,14 @@ def r8_correlation_matrix(spark, d):
     return report.correlation_matrix(views.cells(spark, d), MARKERS)
 
 
+@query(f"WITH {FEATURES}, l AS MATERIALIZED (SELECT sample_id, cell_id, i, v[i] AS x FROM features, range(1, 65) AS g(i)) SELECT a.sample_id, 'm' || (a.i - 1) AS marker_a, 'm' || (b.i - 1) AS marker_b, round(corr(a.x, b.x), 2) + 0.0 AS r FROM l a JOIN l b ON a.sample_id = b.sample_id AND a.cell_id = b.cell_id AND a.i >= b.i GROUP BY ALL")
+def r8_correlation_64_markers(spark, d):
+    """All 2080 pairs of 64 markers, from matrices that the tasks add up."""
+    names = [f"m{i}" for i in range(64)]
+    wide = views.features(spark, d).select("sample_id", *[F.get("v", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return report.correlation_matrix(wide, names)
+
+
 @query(f"WITH {CELLS} SELECT sample_id, count(DISTINCT cell_id) AS n_cells FROM cells GROUP BY sample_id")
 def r9_count_cells(spark, d):
     return report.count_cells(views.cells(spark, d))
@@ -423,7 +431,7 @@ def p4_permute_axes(spark, d):
     return pixels.permute_axes(views.pixels(spark, d), (2, 0, 1))
 
 
-@query(f"WITH {PIXELS} SELECT sample_id, 0 AS channel, y, x, {r('value')} AS value FROM mirrored UNION ALL SELECT sample_id, 1, y, x, {r('value')} FROM pixels")
+@query(f"WITH {PLAIN} SELECT sample_id, 1 - mirror AS channel, y, CASE mirror WHEN 1 THEN 63 - x ELSE x END AS x, {r('value')} AS value FROM plain, range(0, 2) AS m(mirror)")
 def p5_stack_channels(spark, d):
     return pixels.stack_channels(views.pixels(spark, d), views.pixels(spark, d, True))
 
@@ -488,7 +496,7 @@ def p13a_bg_mean(spark, d):
     return pixels.bg_mean(views.pixels(spark, d))
 
 
-@query(f"WITH {PIXELS} SELECT sample_id, 0 AS channel, y, x, {r('greatest(p.value - m.value, 0.0)')} AS value FROM pixels p JOIN mirrored m USING (sample_id, y, x)")
+@query(f"WITH {PLAIN} SELECT sample_id, 0 AS channel, y, x, {r('greatest(value - other, 0.0)')} AS value FROM plain")
 def p13b_bg_af(spark, d):
     return pixels.bg_af(views.pixels(spark, d), views.pixels(spark, d, True))
 
@@ -525,7 +533,16 @@ def p14_outer_boundaries(spark, d):
     return pixels.outer_boundaries(views.mask(spark, d))
 
 
-@query(f"WITH {EDGES} SELECT sample_id, 0 AS channel, y, x, {r('value')} AS value FROM pixels UNION ALL SELECT sample_id, 1, y, x, value::DOUBLE FROM edges")
+# The same boundaries by shifts of whole rows: a label and those around it from windows over the image's rows and columns.
+SHIFTED = """plain AS (SELECT 'img' || (vec_id // 250)::VARCHAR AS sample_id, (vec_id % 250)::INT AS y, unnest(embedding)::DOUBLE AS value, (generate_subscripts(embedding, 1) - 1)::INT AS x FROM embeddings),
+m AS (SELECT *, CASE WHEN value > 0 THEN y // 5 * 13 + x // 5 + 1 ELSE 0 END AS c FROM plain),
+rows3 AS (SELECT *, lag(c) OVER w AS up, lead(c) OVER w AS down FROM m WINDOW w AS (PARTITION BY sample_id, x ORDER BY y)),
+nine AS (SELECT *, [c, up, down] AS mid, [lag(c) OVER w, lag(up) OVER w, lag(down) OVER w] AS lft, [lead(c) OVER w, lead(up) OVER w, lead(down) OVER w] AS rgt FROM rows3 WINDOW w AS (PARTITION BY sample_id, y ORDER BY x)),
+edges AS (SELECT sample_id, y, x, value, list_filter([c, up, down, lft[1], rgt[1]], lambda v: v IS NOT NULL) AS four, len(list_distinct(list_filter(list_concat(mid, lft, rgt), lambda v: v > 0))) AS labels, c FROM nine),
+lines AS (SELECT sample_id, y, x, value, CASE WHEN list_min(four) <> list_max(four) AND (c = 0 OR labels > 1) THEN 255.0 ELSE 0.0 END::DOUBLE AS line FROM edges)"""
+
+
+@query(f"WITH {SHIFTED} SELECT sample_id, k::INT AS channel, y, x, CASE k WHEN 0 THEN {r('value')} ELSE line END AS value FROM lines, range(0, 2) AS g(k)")
 def p15_bw_overlay(spark, d):
     return pixels.bw_overlay(views.pixels(spark, d), pixels.outer_boundaries(views.mask(spark, d)))
 
@@ -602,7 +619,16 @@ def q2_cell_morphology(spark, d):
     return out.select("sample_id", "cell_id", "X_centroid", "Y_centroid", "Area", "MajorAxisLength", F.round("MinorAxisLength", 3).alias("MinorAxisLength"), "Extent")
 
 
-@query()
+# The hull's width at each line between rows is the most that two row ends reach to each other; between lines it is linear.
+HULL = MASK + """, ends AS (SELECT sample_id, cell_id, y, max(x) + 0.5 AS right_end, 0.5 - min(x) AS left_end, count(*) AS n FROM mask WHERE cell_id > 0 GROUP BY ALL),
+corners AS (SELECT sample_id, cell_id, y + e - 0.5 AS y, max(right_end) AS r, max(left_end) AS l FROM ends, range(0, 2) AS g(e) GROUP BY ALL),
+lines AS (SELECT m.sample_id, m.cell_id, m.y, max(CASE WHEN a.y = b.y THEN a.r ELSE a.r + (b.r - a.r) * (m.y - a.y) / (b.y - a.y) END) AS r, max(CASE WHEN a.y = b.y THEN a.l ELSE a.l + (b.l - a.l) * (m.y - a.y) / (b.y - a.y) END) AS l
+FROM corners m JOIN corners a ON a.sample_id = m.sample_id AND a.cell_id = m.cell_id AND a.y <= m.y JOIN corners b ON b.sample_id = m.sample_id AND b.cell_id = m.cell_id AND b.y >= m.y GROUP BY ALL),
+strips AS (SELECT sample_id, cell_id, y - lag(y) OVER w AS high, (r + l + lag(r) OVER w + lag(l) OVER w) / 2 AS wide FROM lines WINDOW w AS (PARTITION BY sample_id, cell_id ORDER BY y)),
+hull AS (SELECT sample_id, cell_id, sum(high * wide) AS area FROM strips GROUP BY ALL)"""
+
+
+@query(f"WITH {HULL}, c AS (SELECT sample_id, cell_id, sum(n) AS n FROM ends GROUP BY ALL) SELECT sample_id, cell_id::INT AS cell_id, {r('n / area')} AS Solidity FROM c JOIN hull USING (sample_id, cell_id)")
 def q3_cell_solidity(spark, d):
     return quantify.cell_solidity(views.mask(spark, d))
 
@@ -613,7 +639,7 @@ def q4_cell_table(spark, d):
     return quantify.cell_table(intensity, quantify.cell_morphology(views.mask(spark, d)), ["c0", "c1"]).select("sample_id", "cell_id", "c0", "c1", "Area")
 
 
-@query(f"WITH {PIXELS} SELECT sample_id, y, x, {r('p.value')} AS value, {r('m.value')} AS af FROM pixels p JOIN mirrored m USING (sample_id, y, x)")
+@query(f"WITH {PLAIN} SELECT sample_id, y, x, {r('value')} AS value, {r('other')} AS af FROM plain")
 def j1_join_by_sample(spark, d):
     af = views.pixels(spark, d, True).select("sample_id", "y", "x", F.col("value").alias("af"))
     return quantify.join_by_sample(views.pixels(spark, d), af, ("sample_id", "y", "x")).select("sample_id", "y", "x", "value", "af")
@@ -627,7 +653,7 @@ def j2_combine_mask_image(spark, d):
     return both.select("sample_id", "seg", "ty", "tx", F.size("values").cast("long").alias("n_pixels"), F.size(F.filter("labels", lambda x: x > 0)).cast("long").alias("n_labelled"))
 
 
-@query(f"WITH {PIXELS} SELECT p.sample_id, p.y, p.x, {r('p.value')} AS value, {r('m.value')} AS membrane FROM pixels p LEFT JOIN (SELECT * FROM mirrored WHERE x > 9) m USING (sample_id, y, x)")
+@query(f"WITH {PLAIN} SELECT sample_id, y, x, {r('value')} AS value, CASE WHEN x > 9 THEN {r('other')} END AS membrane FROM plain")
 def j3_pair_images(spark, d):
     membrane = views.pixels(spark, d, True).where("x > 9").select("sample_id", "y", "x", F.col("value").alias("membrane"))
     return quantify.pair_images(views.pixels(spark, d), membrane, ("sample_id", "y", "x")).select("sample_id", "y", "x", "value", "membrane")
@@ -751,6 +777,25 @@ def c7_transfer_labels(spark, d):
     return cluster.labels_of_all(sketch, views.labels(spark, d), points)
 
 
+VOTE = FEATURES + """, near AS (SELECT a.sample_id, a.cell_id, b.cell_id AS other, list_distance(a.v, b.v) AS dist FROM features a JOIN features b ON a.sample_id = b.sample_id AND b.v[1] > 0),
+first AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY sample_id, cell_id ORDER BY dist, other) <= 20),
+weighted AS (SELECT *, CASE WHEN max(dist) OVER w > 0 THEN 1 - dist / max(dist) OVER w ELSE 1.0 END + 1e-9 AS weight FROM first WINDOW w AS (PARTITION BY sample_id, cell_id)),
+votes AS (SELECT w.sample_id, w.cell_id, resolution, cluster, sum(weight) AS weight FROM weighted w JOIN labels l ON l.sample_id = w.sample_id AND l.cell_id = w.other GROUP BY ALL)"""
+
+
+@query(f"WITH {LABELS}, {VOTE} SELECT sample_id, cell_id, resolution, cluster FROM votes QUALIFY row_number() OVER (PARTITION BY sample_id, cell_id, resolution ORDER BY weight DESC, cluster) = 1")
+def c7_transfer_vote(spark, d):
+    """All cells take the labels of a sketch, here the cells whose first feature is positive."""
+    points = views.features(spark, d).withColumnRenamed("v", "pc")
+    return cluster.transfer_labels(points.where(F.get("pc", F.lit(0)) > 0), views.labels(spark, d), points)
+
+
+@query()
+def t4_leverage_draw(spark, d):
+    """A sketch of half the cells of a sample of 250, so that a draw takes place."""
+    return cluster.sketch(views.features(spark, d), 200, 125).select("sample_id", "cell_id")
+
+
 @query()
 def c8_fuzzy_graph(spark, d):
     return cluster.fuzzy_graph(cluster.knn(_points(spark, d)))

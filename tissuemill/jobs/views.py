@@ -44,6 +44,10 @@ def pixels(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFram
 PIXELS = """pixels AS MATERIALIZED (SELECT 'img' || (vec_id // 250)::VARCHAR AS sample_id, 0 AS channel, (vec_id % 250)::INT AS y, (i - 1)::INT AS x, embedding[i]::DOUBLE AS value
   FROM embeddings, range(1, 65) AS r(i)), mirrored AS MATERIALIZED (SELECT sample_id, channel, y, (63 - x)::INT AS x, value FROM pixels)"""
 
+#: Pixels with the mirrored image's value beside their own, without a join: for twins that need no more.
+PLAIN = """plain AS (SELECT 'img' || (vec_id // 250)::VARCHAR AS sample_id, (vec_id % 250)::INT AS y, unnest(embedding)::DOUBLE AS value, unnest(list_reverse(embedding))::DOUBLE AS other,
+  (generate_subscripts(embedding, 1) - 1)::INT AS x FROM embeddings)"""
+
 
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells are the positive pixels of 5 x 5 squares."""

@@ -55,15 +55,29 @@ def channel_violations(channels: DataFrame, counts: DataFrame, name: str = "DAPI
     return found.select("sample_id", message.alias("message")).where("message is not null")
 
 
+#: Rows that a marker sheet may have.
+MOST_MARKERS = 100_000
+
+
 def match_channels(channels: DataFrame, markers: DataFrame) -> DataFrame:
     """(sample_id, marker_name, marker_idx, channel, n_matches, new_channel): each marker's first containing channel.
 
     Markers without a match have a null channel (left out of the numbering); n_matches over 1 is ambiguous, the first counts.
-    Both tables are sheets, not pixels: the join on containment is a small one.
+    Channel names are filed under their parts of up to three letters, and a marker looks up its own first three (or all): only
+    those names are searched. A result has a row for each sample and marker, so the sheet, whose size is checked, is
+    given to every sample.
     """
-    samples = channels.select("sample_id").distinct()
-    asked = samples.join(F.broadcast(markers.select("marker_name", "marker_idx")))
-    hit = channels.join(F.broadcast(markers.select("marker_name", "marker_idx")), contains_ci(channels["name"], F.col("marker_name")))
+    sheet = markers.select("marker_name", "marker_idx")
+    if sheet.limit(MOST_MARKERS + 1).count() > MOST_MARKERS:
+        raise ValueError(f"a marker sheet has at most {MOST_MARKERS} rows")
+    rows = sheet.agg(F.collect_list(F.struct("marker_name", "marker_idx")).alias("m"))
+    asked = channels.select("sample_id").distinct().select("sample_id", F.inline(rows.scalar()))
+    upper, many = F.upper("name"), F.length(F.upper("name"))
+    starts = lambda n: F.when(many >= n, F.transform(F.sequence(F.lit(1), many - n + 1), lambda i: F.substring(upper, i, F.lit(n))))
+    parts = F.array_distinct(F.flatten(F.array_compact(F.array(F.array(F.lit("")), *[starts(n) for n in (1, 2, 3)]))))
+    filed = channels.where("name is not null").select("sample_id", "channel", "name", F.explode(parts).alias("_part"))
+    sought = sheet.where("marker_name is not null").withColumn("_part", F.substring(F.upper("marker_name"), 1, 3))
+    hit = filed.join(sought, "_part").where(contains_ci(F.col("name"), F.col("marker_name")))
     best = hit.groupBy("sample_id", "marker_name", "marker_idx").agg(F.min("channel").alias("channel"), F.count("*").alias("n_matches"))
     out = asked.join(best, ["sample_id", "marker_name", "marker_idx"], "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0)))
     nth = F.count("channel").over(Window.partitionBy("sample_id").orderBy("marker_idx")) - 1

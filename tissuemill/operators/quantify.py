@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tissuemill.functions.scalar import let
+
 CELL = ["sample_id", "cell_id"]
 
 
@@ -59,39 +60,43 @@ def cell_morphology(mask: DataFrame) -> DataFrame:
     )
 
 
-def hull_area(points: np.ndarray) -> float:
-    """The area of the convex hull of unit squares around integer points, given any that include the hull's corners."""
-    corners = np.unique(np.concatenate([points + d for d in ((-0.5, -0.5), (-0.5, 0.5), (0.5, -0.5), (0.5, 0.5))]), axis=0)
+def _chain(rows: Column, side: Callable[[Column], Column]) -> Column:
+    """The outer chain of a cell's rows (y, low, high in order of y) on one side, from corner to corner: (y, x) of the hull.
+
+    ``side`` is how far a row reaches. The chain so far is convex, so that a new corner takes away its last members only:
+    those behind which it doesn't turn inwards.
+    """
+    corner = lambda row, up: F.struct((row["y"] + up).cast("double").alias("y"), side(row).cast("double").alias("x"))
+    corners = F.flatten(F.transform(rows, lambda row: F.array(corner(row, -0.5), corner(row, 0.5))))
+
+    def turns_in(a: Column, b: Column, p: Column) -> Column:
+        return (b["y"] - a["y"]) * (p["x"] - b["x"]) - (b["x"] - a["x"]) * (p["y"] - b["y"]) < 0
+
+    def add(chain: Column, p: Column) -> Column:
+        held = F.filter(F.sequence(F.lit(1), F.size(chain) - 1, F.lit(1)), lambda i: turns_in(F.get(chain, i - 1), F.get(chain, i), p))
+        kept = F.when(F.size(chain) < 2, chain).otherwise(F.slice(chain, 1, F.size(held) + 1))
+        return F.concat(kept, F.array(p))
+
+    return F.aggregate(corners, F.array().cast("array<struct<y:double,x:double>>"), add)
 
-    def half(rows: np.ndarray) -> list:
-        out: list = []
-        for p in rows:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
-                out.pop()
-            out.append(p)
-        return out
 
-    hull = np.array(half(corners)[:-1] + half(corners[::-1])[:-1])
-    x, y = hull[:, 0], hull[:, 1]
-    return abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))) / 2
+def _below(chain: Column) -> Column:
+    """The area between a chain and x = 0."""
+    pairs = F.zip_with(F.slice(chain, 1, F.size(chain) - 1), F.slice(chain, 2, F.size(chain) - 1), lambda a, b: (b["y"] - a["y"]) * (a["x"] + b["x"]) / 2)
+    return F.aggregate(pairs, F.lit(0.0), lambda s, t: s + t)
 
 
-def cell_solidity(mask: DataFrame, buckets: int = 256) -> DataFrame:
+def cell_solidity(mask: DataFrame) -> DataFrame:
     """(sample_id, cell_id, Solidity): area over convex-hull area (of the pixels as unit squares).
 
-    A cell's rows are first shrunk to their ends, so only two points a row reach Python, many cells at a time.
+    A cell's rows are first shrunk to their ends; the hull's two sides are folds over them, in SQL alone. What is gathered
+    is one cell's rows: as many as it is high.
     """
     rows = mask.where("cell_id > 0").groupBy(*CELL, "y").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("n"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*CELL), F.lit(buckets)))
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (sample, cell), g in part.groupby(["sample_id", "cell_id"]):
-            points = np.concatenate([g[["low", "y"]].to_numpy(float), g[["high", "y"]].to_numpy(float)])
-            out.append((sample, cell, float(g.n.sum() / hull_area(points))))
-        return pd.DataFrame(out, columns=[*CELL, "Solidity"])
-
-    return rows.groupBy("sample_id", "bucket").applyInPandas(lambda part: run(part), "sample_id string, cell_id int, Solidity double")
+    cells = rows.groupBy(*CELL).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("y", "low", "high"))).alias("rows"))
+    chain = lambda side: let(F.col("rows"), lambda r: _chain(r, side))
+    hull = cells.select(*CELL, "n", chain(lambda r: r["high"] + 0.5).alias("right"), chain(lambda r: 0.5 - r["low"]).alias("left"))
+    return hull.select(*CELL, (F.col("n") / (let(F.col("right"), _below) + let(F.col("left"), _below))).alias("Solidity"))
 
 
 def cell_table(intensity: DataFrame, morphology: DataFrame, markers: Sequence[str], solidity: DataFrame | None = None) -> DataFrame:

@@ -5,14 +5,16 @@ All keys start with sample_id. Wide tables have a column for each marker; long o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import normal_quantile
+from tissuemill.functions.storage import materialise
 
 CELL = ["sample_id", "cell_id"]
 NUCLEAR = "DAPI"
@@ -137,11 +139,35 @@ def cell_totals(long: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(cells: DataFrame, markers: Sequence[str]) -> DataFrame:
-    """(sample_id, marker_a, marker_b, r): lower triangle with diagonal of Pearson's r, to 2 digits; one pass."""
-    pairs = list(combinations_with_replacement(markers, 2))
-    q = lambda m: F.col(f"`{m}`")
-    rs = [F.struct(F.lit(b).alias("marker_a"), F.lit(a).alias("marker_b"), F.round(F.corr(q(a), q(b)), 2).alias("r")) for a, b in pairs]
-    return cells.groupBy("sample_id").agg(F.array(*rs).alias("rs")).select("sample_id", F.inline("rs"))
+    """(sample_id, marker_a, marker_b, r): lower triangle with diagonal of Pearson's r, to 2 digits.
+
+    For any number of markers: every task adds up products of its own cells as matrices, and what is shuffled and added are a task's sums
+    of each pair. A cell counts for a pair if it has both values. r is null where either is constant, or no cell has
+    both, and NaN where one is. Values are taken from their sample's least, so that sums don't cancel out.
+    """
+    d = len(markers)
+    low, high = np.tril_indices(d)  # marker_a comes after marker_b, or is the same
+    v = F.array(*[F.col(f"`{m}`").cast("double") for m in markers])
+    least = materialise(cells.groupBy("sample_id").agg(F.array(*[F.coalesce(F.min(F.col(f"`{m}`").cast("double")), F.lit(0.0)) for m in markers]).alias("_least")))
+    shifted = cells.select("sample_id", v.alias("v")).join(least, "sample_id").select("sample_id", F.zip_with("v", "_least", lambda x, m: F.coalesce(x - m, F.lit(0.0))).alias("v"), F.transform("v", lambda x: x.isNotNull().cast("double")).alias("there"))
+    names = ["n", "sa", "sb", "qa", "qb", "p"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for sample, part in batch.groupby("sample_id", dropna=False):
+                x, there = np.stack(part.v), np.stack(part.there)
+                s, q = x.T @ there, (x * x).T @ there
+                sums = np.stack([(there.T @ there)[low, high], s[low, high], s.T[low, high], q[low, high], q.T[low, high], (x.T @ x)[low, high]])
+                held[sample] = held.get(sample, 0) + sums
+        yield pd.DataFrame([(k, *m) for k, m in held.items()], columns=["sample_id", *names])
+
+    tasks = shifted.mapInPandas(run, "sample_id string, " + ", ".join(f"{n} array<double>" for n in names))
+    each = tasks.select("sample_id", F.posexplode(F.arrays_zip(*names)).alias("i", "s")).groupBy("sample_id", "i").agg(*[F.sum(f"s.{n}").alias(n) for n in names])
+    spread = lambda q, s: F.col(q) - F.try_divide(F.col(s) * F.col(s), F.col("n"))
+    r = F.try_divide(F.col("p") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n")), F.sqrt(F.greatest(spread("qa", "sa"), F.lit(0.0)) * F.greatest(spread("qb", "sb"), F.lit(0.0))))
+    named = lambda at: F.get(F.array(*[F.lit(markers[k]) for k in at.tolist()]), F.col("i"))
+    return each.select("sample_id", named(low).alias("marker_a"), named(high).alias("marker_b"), F.round(r, 2).alias("r"))
 
 
 def box_stats(long: DataFrame, value: str = "value", approx: int | None = None) -> DataFrame:
@@ -232,17 +258,24 @@ def sample_cells(long: DataFrame, n: int = 100_000, seed: int = 0) -> DataFrame:
     return keep_cells(long, whole.select(*CELL).union(edge.select(*CELL)))
 
 
-def qq_points(long: DataFrame, value: str = "value") -> DataFrame:
+def qq_points(long: DataFrame, value: str = "value", run: int = 1 << 20) -> DataFrame:
     """(sample_id, marker, i, theoretical, sample): sorted values against normal quantiles.
 
-    Ranks go by a marker's sorted values; equal values are counted first, so that the window sees distinct values only. As
-    in the report, large samples go through ``sample_cells`` before.
+    Equal values are counted first; the distinct ones lie in ranges over all samples and markers, which are written with their
+    numbers. A range's values are ranked in the range, after the counts of the ranges before: no window holds a marker. As
+    in the report, large samples go through ``sample_cells`` before. Ranks of equal values are written out ``run`` at a time.
     """
     by = ["sample_id", "marker"]
     counts = long.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("sample")).agg(F.count("*").alias("c"))
-    run = Window.partitionBy(*by).orderBy("sample").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("upto", F.sum("c").over(run)).withColumn("n", F.sum("c").over(Window.partitionBy(*by)))
-    rows = counts.select(*by, "n", F.explode(F.sequence(F.col("upto") - F.col("c") + 1, F.col("upto"))).alias("i"), "sample")
+    ranged = materialise(counts.repartitionByRange(*by, "sample").withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy(*by, "_part").agg(F.sum("c").alias("_n"))  # a row for each range that a marker reaches into
+    earlier = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = materialise(parts.select(*by, "_part", F.coalesce(earlier, F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(*by)).alias("n")))
+    within = Window.partitionBy(*by, "_part").orderBy("sample").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.withColumn("_upto", F.sum("c").over(within)).join(parts, [*by, "_part"]).withColumn("_first", F.col("_before") + F.col("_upto") - F.col("c"))
+    runs = ranked.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / run))))
+    last = F.col("_first") + F.least(F.col("c"), (F.col("_run") + 1) * run)
+    rows = runs.select(*by, "n", F.explode(F.sequence(F.col("_first") + F.col("_run") * run + 1, last)).alias("i"), "sample")
     a = F.when(F.col("n") <= 10, 0.375).otherwise(0.5)
     return rows.select(*by, "i", normal_quantile((F.col("i") - a) / (F.col("n") + 1 - 2 * a)).alias("theoretical"), "sample")
 
