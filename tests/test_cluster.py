@@ -168,3 +168,33 @@ def test_louvain_tells_the_driver_one_number_a_sweep(spark):
     alone = cluster.louvain(edges.where("sample_id = 's4'"))
     assert sorted(map(tuple, found.where("sample_id = 's4'").collect())) == sorted(map(tuple, alone.collect()))
     assert {r["sample_id"]: r["n"] for r in found.groupBy("sample_id").agg(F.countDistinct("cluster").alias("n")).collect()} == {f"s{s}": 1 + s % 3 for s in range(6)}
+
+
+def normalised(edges, n):
+    w = np.zeros((n, n))
+    for a, b, x in edges:
+        w[a, b] = w[b, a] = x
+    d = w.sum(axis=1)
+    return w / np.sqrt(np.outer(d, d)), d
+
+
+def test_layout_settles_on_a_long_chain(spark, monkeypatch):
+    """The leading vectors of a chain, where plain power iteration crawls; a small sample beside it leaves early."""
+    n = 60
+    chain = [(i, i + 1, 1.0) for i in range(n - 1)]
+    ring = [(i, (i + 1) % 5, 1.0 + i) for i in range(5)]
+    graph = spark.createDataFrame([("chain", min(a, b), max(a, b), w) for a, b, w in chain] + [("ring", min(a, b), max(a, b), w) for a, b, w in ring], "sample_id string, src long, dst long, weight double")
+    got = cluster.layout_2d(graph, 1e-3).toPandas()
+    for name, edges, m in (("chain", chain, n), ("ring", ring, 5)):
+        a, d = normalised(edges, m)
+        own = got[got.sample_id == name].sort_values("cell_id")
+        assert own.cell_id.tolist() == list(range(m))
+        v = own[["x", "y"]].to_numpy() * np.sqrt(d)[:, None]
+        values = np.linalg.eigvalsh(a)[::-1]
+        for k in (0, 1):
+            u = v[:, k] / np.linalg.norm(v[:, k])
+            ray = u @ a @ u
+            assert np.linalg.norm(a @ u - ray * u) <= 1.01e-3 and abs(ray - values[k + 1]) < 1e-3 and abs(u @ np.sqrt(d)) < 1e-6
+        assert abs(v[:, 0] @ v[:, 1]) < 1e-6 * np.linalg.norm(v[:, 0]) * np.linalg.norm(v[:, 1])
+    with pytest.raises(RuntimeError, match="did not settle"):
+        cluster.layout_2d(graph, 1e-6, rounds=2)

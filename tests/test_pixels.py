@@ -236,7 +236,7 @@ def test_clusters_of_planted_groups(spark):
     assert all(r["cluster"] == r["cell_id"] % 3 for r in moved.collect()) and moved.count() == 60
     graph = cluster.fuzzy_graph(near, 10)
     assert graph.where("weight <= 0 or weight > 1 + 1e-9").count() == 0
-    assert cluster.layout_2d(graph, 3).count() == 60
+    assert cluster.layout_2d(graph).count() == 60
     assert cluster.cluster_labels_2d(points.select("sample_id", "cell_id", F.get("pc", F.lit(0)).alias("x"), F.get("pc", F.lit(1)).alias("y")), labels).count() == 3
 
 

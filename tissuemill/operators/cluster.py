@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -463,11 +464,30 @@ def fuzzy_graph(neighbours: DataFrame, k: int = 20) -> DataFrame:
     return each.select("sample_id", "src", "dst", (F.col("sum") - F.col("both")).alias("weight"))
 
 
-def layout_2d(graph: DataFrame, rounds: int = 20) -> DataFrame:
+def _ritz(products: np.ndarray, images: np.ndarray) -> np.ndarray:
+    """(2, 6): the combinations of six vectors that are best as the two leading eigenvectors, from the vectors' products with each
+    other and with their images. Vectors that are zero or depend on others have no part."""
+    size = np.sqrt(np.maximum(np.diag(products), 0))
+    held = np.flatnonzero(size > 1e-14 * max(size.max(), 1e-300))
+    out = np.zeros((2, 6))
+    if not len(held):
+        return out
+    unit = np.diag(1 / size[held])
+    d, u = np.linalg.eigh(unit @ products[np.ix_(held, held)] @ unit)
+    base = unit @ u[:, d > 1e-10] / np.sqrt(d[d > 1e-10])
+    _, z = np.linalg.eigh(base.T @ images[np.ix_(held, held)] @ base)
+    best = (base @ z[:, ::-1][:, :2]).T
+    out[: len(best), held] = best
+    return out
+
+
+def layout_2d(graph: DataFrame, tolerance: float = 1e-3, rounds: int = 200) -> DataFrame:
     """(sample_id, cell_id, x, y): spectral layout of a fuzzy graph, the start layout of the published map.
 
-    Power iteration of the two leading vectors of the normalised graph besides the trivial one; each round is a join
-    and an aggregate, with vectors made orthogonal by sample-wide sums, and goes to shared storage.
+    The two leading eigenvectors of the normalised graph besides the trivial one, by locally optimal steps: in each round a join and an aggregate give the images of
+    both residuals, sample-wide sums of products of vectors, residuals and last steps (six of them) say how they combine best,
+    and a sample is settled when both residuals, |Av - lambda v| of unit vectors, are at most ``tolerance``. Settled samples leave; at
+    the bound of rounds this is an error. A round leaves one table; the driver learns how many samples go on and how many leave.
     """
     both = graph.select("sample_id", F.col("src").alias("a"), F.col("dst").alias("b"), "weight").union(graph.select("sample_id", "dst", "src", "weight"))
     degree = both.groupBy("sample_id", "a").agg(F.sum("weight").alias("d"))
@@ -475,23 +495,61 @@ def layout_2d(graph: DataFrame, rounds: int = 20) -> DataFrame:
     right = degree.select("sample_id", F.col("a").alias("b"), F.col("d").alias("db"))
     edges = materialise(both.join(left, ["sample_id", "a"]).join(right, ["sample_id", "b"]).select("sample_id", "a", "b", (F.col("weight") / F.sqrt(F.col("da") * F.col("db"))).alias("w")))
     unit = lambda seed: F.shiftrightunsigned(F.xxhash64("a", F.lit(seed)), 11) / float(1 << 53) - 0.5
-    now = degree.select("sample_id", "a", F.sqrt("d").alias("t"), unit(1).alias("x"), unit(2).alias("y"))
-
-    def orthogonal(v: DataFrame) -> DataFrame:
-        for names in (("x", ("t",)), ("y", ("t", "x"))):
-            name, against = names
-            sums = v.groupBy("sample_id").agg(*[(F.sum(F.col(name) * F.col(o)) / F.sum(F.col(o) * F.col(o))).alias(f"_{o}") for o in against])
-            v = v.join(sums, "sample_id")
-            v = v.withColumn(name, F.col(name) - sum((F.coalesce(F.col(f"_{o}"), F.lit(0.0)) * F.col(o) for o in against[1:]), F.coalesce(F.col(f"_{against[0]}"), F.lit(0.0)) * F.col(against[0]))).drop(*[f"_{o}" for o in against])
-        size = v.groupBy("sample_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_x"), F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("_y"))
-        return v.join(size, "sample_id").select("sample_id", "a", "t", F.coalesce(F.try_divide("x", "_x"), F.lit(0.0)).alias("x"), F.coalesce(F.try_divide("y", "_y"), F.lit(0.0)).alias("y"))
-
-    now = materialise(orthogonal(now))
+    vectors = [f"v{i}" for i in range(6)]  # two vectors, their residuals, their last steps
+    images = [f"i{i}" for i in range(6)]
+    pairs = [(i, j) for i in range(6) for j in range(i + 1)]
+
+    def with_images(v: DataFrame, names: Sequence[str], out: Sequence[str]) -> DataFrame:
+        sent = edges.join(v.select("sample_id", F.col("a").alias("b"), *names), ["sample_id", "b"])
+        return v.join(sent.groupBy("sample_id", "a").agg(*[F.sum(F.col("w") * F.col(n)).alias(o) for n, o in zip(names, out, strict=True)]), ["sample_id", "a"])
+
+    def combined(v: DataFrame) -> DataFrame:
+        """New vectors and steps, with their images, from all six."""
+        sums = v.groupBy("sample_id").agg(F.array(*[F.sum(F.col(vectors[i]) * F.col(vectors[j])) for i, j in pairs]).alias("g"), F.array(*[F.sum(F.col(vectors[i]) * F.col(images[j])) for i, j in pairs]).alias("h"))
+
+        def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for r in batch.itertuples():
+                    g, h = np.zeros((6, 6)), np.zeros((6, 6))
+                    for m, flat in ((g, r.g), (h, r.h)):
+                        for (i, j), x in zip(pairs, flat, strict=True):
+                            m[i, j] = m[j, i] = x
+                    rows.append((r.sample_id, *_ritz(g, h)))
+                yield pd.DataFrame(rows, columns=["sample_id", "c0", "c1"])
+
+        weights = materialise(sums.mapInPandas(solve, "sample_id string, c0 array<double>, c1 array<double>"))
+        mix = lambda names, c, first: reduce(lambda x, y: x + y, [F.get(c, F.lit(i)) * F.col(names[i]) for i in range(first, 6)])
+        new = {}
+        for k in (0, 1):
+            for names, kind in ((vectors, "v"), (images, "i")):
+                new[f"{kind}{k}"], new[f"{kind}{4 + k}"] = mix(names, f"c{k}", 0), mix(names, f"c{k}", 2)
+        return v.join(weights, "sample_id").select("sample_id", "a", "t", *[e.alias(n) for n, e in new.items()])
+
+    zero = [F.lit(0.0).alias(n) for i in range(2, 6) for n in (vectors[i], images[i])]
+    start = degree.select("sample_id", "a", F.sqrt("d").alias("t"), unit(1).alias("v0"), unit(2).alias("v1"))
+    along = start.groupBy("sample_id").agg(*[(F.sum(F.col(f"v{k}") * F.col("t")) / F.sum(F.col("t") * F.col("t"))).alias(f"_{k}") for k in (0, 1)])
+    start = start.join(along, "sample_id").select("sample_id", "a", "t", *[(F.col(f"v{k}") - F.col(f"_{k}") * F.col("t")).alias(f"v{k}") for k in (0, 1)])
+    now = materialise(combined(with_images(materialise(start), ["v0", "v1"], ["i0", "i1"]).select("*", *zero)))
+    done = materialise(now.select("sample_id", "a", "t", "v0", "v1").limit(0))
     for _ in range(rounds):
-        sent = edges.join(now.select("sample_id", F.col("a").alias("b"), "x", "y"), ["sample_id", "b"]).groupBy("sample_id", "a").agg(F.sum(F.col("w") * F.col("x")).alias("sx"), F.sum(F.col("w") * F.col("y")).alias("sy"))
-        moved = now.join(sent, ["sample_id", "a"]).select("sample_id", "a", "t", ((F.col("x") + F.col("sx")) / 2).alias("x"), ((F.col("y") + F.col("sy")) / 2).alias("y"))
-        now = materialise(orthogonal(moved))
-    return now.select("sample_id", F.col("a").alias("cell_id"), F.try_divide("x", "t").alias("x"), F.try_divide("y", "t").alias("y"))
+        squares = lambda k: (F.sum(F.col(f"v{k}") * F.col(f"i{k}")).alias(f"l{k}"), F.sum(F.col(f"i{k}") * F.col(f"i{k}")).alias(f"q{k}"))
+        reached = materialise(now.groupBy("sample_id").agg(*squares(0), *squares(1), (F.sum(F.col("t") * F.col("v0")) / F.sum(F.col("t") * F.col("t"))).alias("t0"), (F.sum(F.col("t") * F.col("v1")) / F.sum(F.col("t") * F.col("t"))).alias("t1")))
+        off = F.greatest(*[F.col(f"q{k}") - F.col(f"l{k}") * F.col(f"l{k}") for k in (0, 1)])
+        settled = F.coalesce(off <= tolerance * tolerance, F.lit(True))
+        leave, stay = reached.where(settled).select("sample_id"), reached.where(~settled)
+        leaving, going = reached.agg(F.count_if(settled), F.count_if(~settled)).first()
+        if leaving:
+            done = materialise(done.unionByName(now.join(leave, "sample_id", "left_semi").select(done.columns)))
+        if not going:
+            break
+        rest = [(F.col(f"i{k}") - F.col(f"l{k}") * F.col(f"v{k}") - (1 - F.col(f"l{k}")) * F.col(f"t{k}") * F.col("t")).alias(f"v{2 + k}") for k in (0, 1)]
+        kept = now.join(stay, "sample_id").select("sample_id", "a", "t", *[n for k in (0, 1, 4, 5) for n in (f"v{k}", f"i{k}")], *rest)
+        before, now = now, materialise(combined(materialise(with_images(kept, ["v2", "v3"], ["i2", "i3"]))))
+        forget(before, reached)
+    else:
+        raise RuntimeError(f"layout_2d did not settle in {rounds} rounds")
+    return done.select("sample_id", F.col("a").alias("cell_id"), F.try_divide("v0", "t").alias("x"), F.try_divide("v1", "t").alias("y"))
 
 
 def cluster_labels_2d(layout: DataFrame, labels: DataFrame) -> DataFrame:
