@@ -6,6 +6,7 @@ Doubles are rounded on both sides, as engines add in different orders.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,7 +191,9 @@ def w4_qq_line(spark, d):
     return report.qq_line(_long(spark, d))
 
 
-@query()
+@query(f"""WITH {CELLS}, {LONG}, d AS (SELECT DISTINCT sample_id, cell_id FROM cells),
+s AS (SELECT sample_id, cell_id FROM d QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY md5(sample_id || ':' || cell_id || ':0'), cell_id) <= 5000)
+SELECT sample_id, cell_id, marker, {r('value')} AS value FROM long SEMI JOIN s USING (sample_id, cell_id)""")
 def t1_sample_cells(spark, d):
     return report.sample_cells(_long(spark, d), 5000)
 
@@ -236,9 +239,10 @@ def u1_union_of_branches(spark, d):
     return manifest.union_images(*manifest.branch_by_format(views.manifest(spark, d)).values())
 
 
-@query(f"WITH {MANIFEST} SELECT row_id, sample_id, path FROM manifest WHERE format = 'fused'")
+@query(f"WITH {MANIFEST} SELECT format AS branch, row_id, sample_id, path FROM manifest WHERE format IN ('tiles', 'stitched', 'fused')")
 def v3_branch_by_format(spark, d):
-    return manifest.branch_by_format(views.manifest(spark, d))["fused"].select("row_id", "sample_id", "path")
+    named = [rows.select(F.lit(form).alias("branch"), "row_id", "sample_id", "path") for form, rows in manifest.branch_by_format(views.manifest(spark, d)).items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 @query(f"WITH {MANIFEST} SELECT sample_id, count(path) AS n_files, array_to_string(list_sort(list(path) FILTER (path IS NOT NULL)), ',') AS files FROM manifest WHERE format IN ('stitched', 'fused') GROUP BY sample_id HAVING count(path) <> 1")
@@ -620,15 +624,15 @@ def q2_cell_morphology(spark, d):
 
 
 # The hull's width at each line between rows is the most that two row ends reach to each other; between lines it is linear.
-HULL = MASK + """, ends AS (SELECT sample_id, cell_id, y, max(x) + 0.5 AS right_end, 0.5 - min(x) AS left_end, count(*) AS n FROM mask WHERE cell_id > 0 GROUP BY ALL),
-corners AS (SELECT sample_id, cell_id, y + e - 0.5 AS y, max(right_end) AS r, max(left_end) AS l FROM ends, range(0, 2) AS g(e) GROUP BY ALL),
+HULL = MASK + """, sides AS (SELECT sample_id, cell_id, y, max(x) + 0.5 AS right_end, 0.5 - min(x) AS left_end, count(*) AS n FROM mask WHERE cell_id > 0 GROUP BY ALL),
+corners AS (SELECT sample_id, cell_id, y + e - 0.5 AS y, max(right_end) AS r, max(left_end) AS l FROM sides, range(0, 2) AS g(e) GROUP BY ALL),
 lines AS (SELECT m.sample_id, m.cell_id, m.y, max(CASE WHEN a.y = b.y THEN a.r ELSE a.r + (b.r - a.r) * (m.y - a.y) / (b.y - a.y) END) AS r, max(CASE WHEN a.y = b.y THEN a.l ELSE a.l + (b.l - a.l) * (m.y - a.y) / (b.y - a.y) END) AS l
 FROM corners m JOIN corners a ON a.sample_id = m.sample_id AND a.cell_id = m.cell_id AND a.y <= m.y JOIN corners b ON b.sample_id = m.sample_id AND b.cell_id = m.cell_id AND b.y >= m.y GROUP BY ALL),
 strips AS (SELECT sample_id, cell_id, y - lag(y) OVER w AS high, (r + l + lag(r) OVER w + lag(l) OVER w) / 2 AS wide FROM lines WINDOW w AS (PARTITION BY sample_id, cell_id ORDER BY y)),
 hull AS (SELECT sample_id, cell_id, sum(high * wide) AS area FROM strips GROUP BY ALL)"""
 
 
-@query(f"WITH {HULL}, c AS (SELECT sample_id, cell_id, sum(n) AS n FROM ends GROUP BY ALL) SELECT sample_id, cell_id::INT AS cell_id, {r('n / area')} AS Solidity FROM c JOIN hull USING (sample_id, cell_id)")
+@query(f"WITH {HULL}, c AS (SELECT sample_id, cell_id, sum(n) AS n FROM sides GROUP BY ALL) SELECT sample_id, cell_id::INT AS cell_id, {r('n / area')} AS Solidity FROM c JOIN hull USING (sample_id, cell_id)")
 def q3_cell_solidity(spark, d):
     return quantify.cell_solidity(views.mask(spark, d))
 
@@ -645,12 +649,12 @@ def j1_join_by_sample(spark, d):
     return quantify.join_by_sample(views.pixels(spark, d), af, ("sample_id", "y", "x")).select("sample_id", "y", "x", "value", "af")
 
 
-@query(f"WITH {MASK} SELECT sample_id, 'seg' || s AS seg, y // 32 AS ty, x // 32 AS tx, count(*) AS n_pixels, count(*) FILTER (cell_id > 0) AS n_labelled FROM mask, range(0, 2) AS g(s) GROUP BY ALL")
+@query(f"WITH {MASK} SELECT sample_id, 'seg' || s AS seg, c::INT AS channel, y // 32 AS ty, x // 32 AS tx, count(*) AS n_pixels, count(*) FILTER (cell_id > 0) AS n_labelled FROM mask, range(0, 2) AS g(s), range(0, 2) AS h(c) GROUP BY ALL")
 def j2_combine_mask_image(spark, d):
     tiles, labels = _blocks(spark, d)
     seg = labels.withColumn("seg", F.explode(F.array(F.lit("seg0"), F.lit("seg1"))))
-    both = quantify.combine_mask_image(seg, tiles.where("channel = 1"))
-    return both.select("sample_id", "seg", "ty", "tx", F.size("values").cast("long").alias("n_pixels"), F.size(F.filter("labels", lambda x: x > 0)).cast("long").alias("n_labelled"))
+    both = quantify.combine_mask_image(seg, tiles)
+    return both.select("sample_id", "seg", "channel", "ty", "tx", F.size("values").cast("long").alias("n_pixels"), F.size(F.filter("labels", lambda x: x > 0)).cast("long").alias("n_labelled"))
 
 
 @query(f"WITH {PLAIN} SELECT sample_id, y, x, {r('value')} AS value, CASE WHEN x > 9 THEN {r('other')} END AS membrane FROM plain")
@@ -668,11 +672,32 @@ def j4_attach_markers(spark, d):
 @query(f"""WITH {PIXELS}, two AS (SELECT sample_id, y, x, 1 AS channel, value FROM pixels UNION ALL SELECT sample_id, y, x, 0, value FROM mirrored),
 ends AS (SELECT sample_id, max(y) + 1 AS hh, max(x) + 1 AS ww FROM pixels GROUP BY ALL),
 s AS MATERIALIZED (SELECT sample_id, channel, y // 2 AS y, x // 2 AS x, avg(value) AS value FROM two JOIN ends USING (sample_id) WHERE y < hh // 2 * 2 AND x < ww // 2 * 2 GROUP BY ALL),
-m AS (SELECT sample_id, y, x, y // 5 * 13 + x // 5 + 1 AS cell_id FROM s WHERE channel = 1 AND value > 0)
+mask AS MATERIALIZED (SELECT sample_id, y::INT AS y, x::INT AS x, CASE WHEN value > 0 THEN y // 5 * 13 + x // 5 + 1 ELSE 0 END AS cell_id FROM s WHERE channel = 1){HULL[len(MASK):]}
 SELECT sample_id, cell_id::INT AS cell_id, {r('avg(value) FILTER (channel = 1)')} AS "DAPI", {r('avg(value) FILTER (channel = 0)')} AS "CD3", count(*) FILTER (channel = 1)::DOUBLE AS "Area",
-{r('avg(x) FILTER (channel = 1)')} AS "X_centroid", {r('avg(y) FILTER (channel = 1)')} AS "Y_centroid" FROM s JOIN m USING (sample_id, y, x) GROUP BY ALL""")
+{r('avg(x) FILTER (channel = 1)')} AS "X_centroid", {r('avg(y) FILTER (channel = 1)')} AS "Y_centroid", {r('count(*) FILTER (channel = 1) / ((max(x) - min(x) + 1) * (max(y) - min(y) + 1))')} AS "Extent",
+{r('count(*) FILTER (channel = 1) / any_value(area)')} AS "Solidity" FROM s JOIN mask USING (sample_id, y, x) JOIN hull USING (sample_id, cell_id) WHERE cell_id > 0 GROUP BY ALL""")
 def wl1_sheets_to_cells(spark, d):
     """The image job: even images come as fields of 50 rows, odd ones whole, at 0.5 um a pixel; cells as in the mask view."""
+    return _image_job(spark, d)["cells"].select("sample_id", "cell_id", "DAPI", "CD3", "Area", "X_centroid", "Y_centroid", "Extent", F.round("Solidity", 4).alias("Solidity"))
+
+
+# Labels and lines of the image job: boundaries as in EDGES, on the scaled image.
+JOB = f"""{PIXELS}, ends AS (SELECT sample_id, max(y) + 1 AS hh, max(x) + 1 AS ww FROM pixels GROUP BY ALL),
+s AS MATERIALIZED (SELECT sample_id, y // 2 AS y, x // 2 AS x, avg(value) AS value FROM pixels JOIN ends USING (sample_id) WHERE y < hh // 2 * 2 AND x < ww // 2 * 2 GROUP BY ALL),
+mask AS MATERIALIZED (SELECT sample_id, y::INT AS y, x::INT AS x, value, CASE WHEN value > 0 THEN y // 5 * 13 + x // 5 + 1 ELSE 0 END AS cell_id FROM s)""" + EDGES[len(MASK):]
+
+
+@query(f"WITH {JOB} SELECT m.sample_id, m.y, m.x, {r('m.value')} AS value, m.cell_id::INT AS cell_id, e.value::DOUBLE AS line FROM mask m JOIN edges e USING (sample_id, y, x)")
+def wl1_mask_and_overlay(spark, d):
+    """The image job's mask and two-channel overlay, side by side."""
+    made = _image_job(spark, d)
+    shown = {c: pixels.to_pixels(made["bw_overlay"].where(F.col("channel") == c).drop("channel", "seg")) for c in (0, 1)}
+    labels = pixels.to_pixels(made["mask"].drop("channel", "seg"), "cell_id")
+    both = shown[0].join(labels, ["sample_id", "y", "x"]).join(shown[1].withColumnRenamed("value", "line"), ["sample_id", "y", "x"])
+    return both.select("sample_id", "y", "x", "value", "cell_id", "line")
+
+
+def _image_job(spark, d):
     stack = pixels.stack_channels(views.pixels(spark, d), views.pixels(spark, d, True))
     even = F.substring("sample_id", 4, 9).cast("int") % 2 == 0
     field = F.when(even, F.floor(F.col("y") / 50)).otherwise(0).cast("int")
@@ -685,8 +710,7 @@ def wl1_sheets_to_cells(spark, d):
     named = ends.select("sample_id", F.explode(F.array(*[F.struct(F.lit(i).alias("channel"), F.lit(n).alias("name")) for i, n in enumerate(("cd3", "dapi"))])).alias("c")).select("sample_id", "c.*")
     sheet = spark.createDataFrame([("DAPI", None, "1", 0), ("CD3", None, "1", 1)], "marker_name string, channel_name string, cycle_number string, marker_idx int")
 
-    tables = workloads.sheets_to_cells(files, images, levels, named, sheet, _squares, regions, solidity=False, block=32)
-    return tables["cells"].select("sample_id", "cell_id", "DAPI", "CD3", "Area", "X_centroid", "Y_centroid")
+    return workloads.sheets_to_cells(files, images, levels, named, sheet, _squares, regions, block=32)
 
 
 def _squares(nuclei: DataFrame, membrane: DataFrame | None) -> DataFrame:
@@ -737,6 +761,13 @@ def c2_scale_features(spark, d):
     return _flat(cluster.scale_features(views.features(spark, d)))
 
 
+@query(f"WITH {FEATURES}, l AS MATERIALIZED (SELECT sample_id, cell_id, i, v[i] AS x FROM features, range(1, 65) AS g(i)) SELECT a.sample_id, (a.i - 1)::INT AS i, (b.i - 1)::INT AS j, count(*) AS n, {r('sum(a.x * b.x)')} AS product FROM l a JOIN l b USING (sample_id, cell_id) GROUP BY ALL")
+def c3_gram(spark, d):
+    """The sums of products that the axes come from: matrices added up in the tasks."""
+    each = cluster.gram(views.features(spark, d)).select("sample_id", "n", F.posexplode("products").alias("at", "product"))
+    return each.select("sample_id", F.floor(F.col("at") / 64).cast("int").alias("i"), (F.col("at") % 64).cast("int").alias("j"), "n", "product")
+
+
 @query()
 def c3_pca(spark, d):
     return cluster.pca(cluster.scale_features(views.features(spark, d)))
@@ -801,6 +832,25 @@ def c8_fuzzy_graph(spark, d):
     return cluster.fuzzy_graph(cluster.knn(_points(spark, d)))
 
 
+# The bandwidth of each cell by 64 halvings, as the operator finds it.
+FUZZY = KNN + """, near AS (SELECT sample_id, cell_id, neighbour_id, dist FROM knn WHERE neighbour_id <> cell_id),
+rho AS (SELECT sample_id, cell_id, coalesce(min(dist) FILTER (dist > 0), 0.0) AS rho FROM near GROUP BY ALL),
+over AS MATERIALIZED (SELECT sample_id, cell_id, any_value(rho) AS rho, list(greatest(dist - rho, 0.0)) AS d FROM near JOIN rho USING (sample_id, cell_id) GROUP BY ALL),
+fold(sample_id, cell_id, rho, d, k, low, high, mid) AS (
+  SELECT sample_id, cell_id, rho, d, 0, 0.0::DOUBLE, 'inf'::DOUBLE, 1.0::DOUBLE FROM over
+  UNION ALL
+  SELECT sample_id, cell_id, rho, d, k + 1, CASE WHEN much THEN low ELSE mid END, CASE WHEN much THEN mid ELSE high END,
+    CASE WHEN much THEN (low + mid) / 2 WHEN high = 'inf'::DOUBLE THEN mid * 2 ELSE (mid + high) / 2 END
+  FROM (SELECT *, list_sum(list_transform(d, lambda x: exp(-x / mid))) > log2(20) AS much FROM fold WHERE k < 64)
+), w AS (SELECT n.sample_id, cell_id AS i, neighbour_id AS j, exp(-greatest(dist - rho, 0.0) / greatest(mid, 1e-12)) AS w FROM near n JOIN (SELECT sample_id, cell_id, rho, mid FROM fold WHERE k = 64) USING (sample_id, cell_id))"""
+
+
+@query(f"WITH RECURSIVE {FUZZY} SELECT sample_id, least(i, j) AS src, greatest(i, j) AS dst, {r('sum(w) - CASE WHEN count(*) > 1 THEN product(w) ELSE 0.0 END')} AS weight FROM w GROUP BY ALL")
+def c8_fuzzy_features(spark, d):
+    """The fuzzy graph of the features themselves."""
+    return cluster.fuzzy_graph(cluster.knn(views.features(spark, d), 20, vector="v"))
+
+
 @query()
 def c8b_layout_2d(spark, d):
     return cluster.layout_2d(cluster.fuzzy_graph(cluster.knn(_points(spark, d))))
@@ -833,12 +883,12 @@ def c10_cluster_marker_density(spark, d):
     return cluster.cluster_marker_density(_marked(spark, d), views.labels(spark, d))
 
 
-@query(f"WITH {CELLS} SELECT sample_id, cell_id, \"Y_centroid\" AS x, \"X_centroid\" AS y, (\"Area\" % 7)::INT AS cluster FROM cells")
+@query(f"WITH {CELLS} SELECT sample_id, cell_id, \"Y_centroid\" AS x, \"X_centroid\" AS y, (\"Area\" % 7)::INT AS cluster, {cluster.palette()[:7]}[(\"Area\" % 7)::INT + 1] AS colour FROM cells")
 def c11_spatial_map(spark, d):
     cells = views.cells(spark, d)
     numbered = cells.withColumn("cell_id", F.struct("cell_id", "row_key"))
     labels = numbered.select("sample_id", "cell_id", (F.col("Area") % 7).cast("int").alias("cluster"))
-    return cluster.spatial_map(numbered, labels).select("sample_id", F.col("cell_id.cell_id").alias("cell_id"), "x", "y", "cluster")
+    return cluster.spatial_map(numbered, labels).select("sample_id", F.col("cell_id.cell_id").alias("cell_id"), "x", "y", "cluster", "colour")
 
 
 @query(f"WITH {CELLS}, l AS (" + " UNION ALL ".join(f"SELECT sample_id, cell_id, \"Y_centroid\" AS x, \"X_centroid\" AS y, '{m}' AS marker, \"{m}\" AS value FROM cells" for m in MARKERS) + f") SELECT sample_id, cell_id, x, y, marker, {r('value')} AS value FROM l")

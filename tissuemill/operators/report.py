@@ -246,8 +246,8 @@ def sample_cells(long: DataFrame, n: int = 100_000, seed: int = 0) -> DataFrame:
     Samples are cut by the n-th hash in two steps, so that no window holds a whole sample: hashes are first counted in
     4096 ranges, and only the range in which the n-th lies is ranked.
     """
-    cells = distinct_cells(long).withColumn("_hash", F.xxhash64("sample_id", "cell_id", F.lit(seed)))
-    cells = cells.withColumn("_range", F.shiftright("_hash", 52))
+    cells = distinct_cells(long).withColumn("_hash", F.md5(F.concat_ws(":", "sample_id", F.col("cell_id").cast("string"), F.lit(seed).cast("string")).cast("binary")))
+    cells = cells.withColumn("_range", F.substring("_hash", 1, 3))
     ranges = cells.groupBy("sample_id", "_range").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("sample_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranges = ranges.withColumn("_before", before).where(F.col("_before") < n)
