@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm import helpers as h
 from tissuemill.llm import recompression, repeats, simhash, suffix_dedup
@@ -61,9 +62,13 @@ def test_common_prefixes(text):
     assert got.tolist() == [min(x, 20) for x in want]
 
 
-def test_nothing_is_removed_without_the_suffix_arrays(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "judged", lambda fetched, length: spark.createDataFrame([], suffix_dedup.JUDGED))
-    assert {r["n_removed"] for r in suffix_dedup.dedup(h.frame(spark, corpus())).collect()} == {0}
+def test_which_part_of_the_removal_suffix_arrays_decide(spark, monkeypatch):
+    """Without the arrays' verdicts only copies go: windows of a content that is equal, by its digest, to an earlier one."""
+    whole = sum(r["n_removed"] for r in suffix_dedup.dedup(h.frame(spark, corpus())).collect())
+    judged = suffix_dedup.judged
+    monkeypatch.setattr(suffix_dedup, "judged", lambda fetched, length: judged(fetched, length).withColumn("spans", F.array().cast("array<struct<b:long,e:long>>")))
+    copies = sum(r["n_removed"] for r in suffix_dedup.dedup(h.frame(spark, corpus())).collect())
+    assert 0 < copies < whole
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")

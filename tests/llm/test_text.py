@@ -289,3 +289,48 @@ def test_language_scores_are_out_of_place_distances(spark):
         away = {lang: sum(abs(of[g] - k) if g in of else 300 for k, g in enumerate(own)) for lang, of in ranks.items()}
         best = min(sorted(away), key=away.get)
         assert r["lang_pred"] == best and abs(r["score"] - (1 - away[best] / (300 * len(own)))) < 1e-12
+
+
+def test_ids_of_any_type(spark, tmp_path):
+    """Text ids, repeated and null ones: a row for each row, and the id as it was."""
+    docs = spark.createDataFrame([("a/1", EN, "en", "s", 0), ("a/1", EN, "en", "s", 0), ("b", DE, "de", "s", 0), (None, None, None, None, None)], "doc_id string, text string, lang string, source string, n_chars long")
+    want = [None, "a/1", "a/1", "b"]
+    key = lambda x: (x is not None, x)
+    for got in (langid.identify(docs), tokens.section_counts(docs, VOCABULARY), order_minhash.fingerprints(docs)):
+        assert sorted((r["doc_id"] for r in got.collect()), key=key) == want
+    pages = spark.createDataFrame([("p one", "u", "<a>"), ("q/2", None, "<a>"), ("none", "v", "é"), (None, "w", None)], "page_id string, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    rows = {r["page_id"]: r for r in warc.round_trip(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"p one", "q/2", "none", None} and rows["p one"]["refers_to"] == "q/2" and rows["q/2"]["record_type"] == "response"
+    assert rows["none"]["payload_bytes"] == 2 and rows[None]["payload_bytes"] == 0
+
+
+def test_leaks_keep_benchmark_rows_apart(spark, monkeypatch):
+    """Two rows with one item_id: reported each for itself, in one block or in many."""
+    rng = random.Random(8)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    one, two = text(30), text(60)
+    docs = h.frame(spark, [(1, f"{text(20)} {one} {text(20)} {two} {text(5)}"), (1, two), (2, text(200))])
+    benchmark = spark.createDataFrame([(7, one), (7, two), (7, two), (8, None)], "item_id long, text string")
+    seen = []
+    for size in (decontaminate.BLOCK_BYTES, 150):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        seen.append(sorted(tuple(r) for r in decontaminate.leaks(docs, benchmark).collect()))
+    assert seen[0] == seen[1] and [r[:2] for r in seen[0]] == [(1, 7)] * 5
+    assert len({r[5] for r in seen[0]}) == 2  # the passages of one text, not of both
+
+
+def test_long_texts_of_text_operators(spark):
+    """Texts of over 1 MiB go whole through every operator of this file; empty tables give nothing."""
+    rng = random.Random(9)
+    long = " ".join(rng.choice(EN.split()) for _ in range(260_000))
+    docs = h.frame(spark, [(1, long), (2, long[: 1 << 20]), (3, EN)])
+    assert len(long) > 1 << 20 and {r["lang_pred"] for r in langid.identify(docs).collect()} == {"en"}
+    counts = {r["doc_id"]: r for r in tokens.section_counts(docs, VOCABULARY).collect()}
+    assert counts[1]["n_tokens"] == sum(s["n_tokens"] for s in counts[1]["sections"]) > 200_000
+    marks = {r["doc_id"]: r for r in order_minhash.fingerprints(docs).collect()}
+    assert marks[1]["n_chars"] == len(long) and 0 <= marks[2]["near_next"] <= 1
+    assert decontaminate.leaks(docs, spark.createDataFrame([(5, long[-500:])], "item_id long, text string")).where("doc_id = 1").count() == 1
+    assert licenses.scan(docs).count() == 0 and mixing.mix(docs).count() == 3
+    none = h.frame(spark, [])
+    assert tokens.section_counts(none, VOCABULARY).count() == 0 and order_minhash.fingerprints(none).count() == 0

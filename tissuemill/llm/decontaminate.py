@@ -292,8 +292,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
     first to the last passage found; edits are summed over passages.
 
     An item under 12 such bytes is sought unedited, as whole words. Null texts hold nothing, null and blank items aren't sought;
-    very long texts are searched whole; rows that repeat a doc_id or item_id are reported for each row and
-    item text. No benchmark or no documents: no rows.
+    very long texts are searched whole; rows that repeat a doc_id or an item_id are reported row by row, each
+    benchmark row for itself. No benchmark or no documents: no rows.
     """
     out = None
     spark = docs.sparkSession
@@ -302,10 +302,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
     types = [*map(to_arrow_type, ids), *[pa.int64()] * 5]
     schema = StructType([StructField(c, t) for c, t in zip(names, [*ids, *[LongType()] * 5], strict=True)])
     for rows in _blocks(benchmark):
-        shared = spark.sparkContext.broadcast(build(rows, rate))
+        numbered = build([(n, text) for n, (_, text) in enumerate(rows)], rate)  # rows that repeat an item_id stay apart
+        shared = spark.sparkContext.broadcast((numbered, [item for item, _ in rows]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            index, names_of = shared.value
             total: dict = {}
             for item in index.items:
                 total[item] = total.get(item, 0) + 1
@@ -318,7 +319,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06) -> DataFram
                         x = found.setdefault((i + r, index.items[p]), [a, z, {}])
                         x[0], x[1] = min(x[0], a), max(x[1], z)
                         x[2][p] = min(e, x[2].get(p, e))
-                rows = [(ids[r].as_py(), item, a, z, len(ps), total[item], sum(ps.values())) for (r, item), (a, z, ps) in sorted(found.items(), key=lambda x: (x[0][0], str(x[0][1])))]
+                rows = [(ids[r].as_py(), names_of[n], a, z, len(ps), total[n], sum(ps.values())) for (r, n), (a, z, ps) in sorted(found.items())]
                 cols = list(zip(*rows, strict=True)) or [()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 

@@ -135,7 +135,8 @@ def identify(docs: DataFrame, top: int = 300) -> DataFrame:
     Profiles are learned from all rows with a text and a lang whose crc32(doc_id) mod 4 isn't 2; the other rows are held out.
     A prediction uses the whole text alone; score is 1 less the distance as a part of the largest possible one. ``und``
     (score 0): null texts, texts without a letter, nothing learned. Equal distances: the first lang in order. Rows
-    with a null doc_id aren't held out and teach nothing.
+    with a null doc_id aren't held out and teach nothing; doc_ids may be of any type, and rows that repeat one keep a row each. A very
+    long text is profiled whole. An empty table gives no rows.
     """
     judge = _learned(docs, top)
 
@@ -145,7 +146,7 @@ def identify(docs: DataFrame, top: int = 300) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out, "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", held_out, "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, top: int = 300, least: float = 1 / 3) -> DataFrame:

@@ -92,28 +92,30 @@ def _row(doc_id: int | None, own: tuple, following: tuple) -> tuple:
     return doc_id, len(points), sha, mark.tobytes(), other.tobytes(), float((mark == other).mean()), float((mark == following[1]).mean())
 
 
-ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
-NAMES = [x.split()[0] for x in ROW.split(", ")]
-TYPES = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+ROW = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+NAMES = ["doc_id", *(x.split()[0] for x in ROW.split(", "))]
+TYPES = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
 
-def _arrays(rows: list[tuple]) -> list[pa.Array]:
-    return [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)] if rows else [pa.array([], t) for t in TYPES]
+def _arrays(rows: list[tuple], ids: pa.DataType) -> list[pa.Array]:
+    types = [ids, *TYPES]
+    return [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types]
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a partition in order: all but the last meet their next; head and last go out as the partition's edge."""
-    held = head = None
+    held = head = ids = None
     rows: list[tuple] = []
 
     def out(rows: list[tuple], edge: tuple | None = None) -> pa.RecordBatch:
         n, more = len(rows), edge is not None
-        cols = [pa.concat_arrays([c, pa.nulls(int(more), c.type)]) for c in _arrays(rows)]
+        cols = [pa.concat_arrays([c, pa.nulls(int(more), c.type)]) for c in _arrays(rows, ids)]
         part = TaskContext.get().partitionId()
-        extra = [pa.array([None] * n + [x] * more, t) for x, t in zip((part, *(edge or (None,) * 3)), (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)]
+        extra = [pa.array([None] * n + [x] * more, t) for x, t in zip((part, *(edge or (None,) * 3)), (pa.int64(), pa.binary(), ids, pa.binary()), strict=True)]
         return pa.RecordBatch.from_arrays([*cols, *extra], [*NAMES, "part", "head", "last_id", "last"])
 
     for batch in batches:
+        ids = batch.column(0).type
         data, offsets = text_buffer(batch.column(1))
         for k, doc_id in enumerate(batch.column(0).to_pylist()):
             raw = data[offsets[k] : offsets[k + 1]].tobytes()
@@ -137,7 +139,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars/2) code points replaced by the first as many (or all) of the next document,
     in descending doc_id; after the last comes the first. A fingerprint is 64 numbers of 16 bits in hex; likeness is the part
     of the numbers that agree, an estimate that falls with the edit distance. Null texts are empty; empty texts share one
-    fingerprint. Rows that repeat a doc_id follow each other by text; a null doc_id comes last. A single document is
+    fingerprint. Rows that repeat a doc_id follow each other by text; a null doc_id comes last; ids may be of any type that can be
+    sorted. A single document is
     its own next.
 
     Documents are ranged by doc_id, and each task holds one document besides the one it reads. A partition's last document
@@ -145,8 +148,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     very long text is fingerprinted whole, in the task that holds it.
     """
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
-    done = materialise(ranged.mapInArrow(_in_order, f"{ROW}, part long, head binary, last_id long, last binary"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
+    done = materialise(ranged.mapInArrow(_in_order, f"doc_id {kind}, {ROW}, part long, head binary, last_id {kind}, last binary"))
     edges = done.where("part is not null").select("part", "head", "last_id", "last")
     # only the partitions' numbers meet in one place: one for each; texts go by a join
     everyone = Window.orderBy("part")
@@ -161,8 +165,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for doc_id, last, following in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 a, b = _points(last), _points(following)
                 rows.append(_row(doc_id, (a, signature(a.astype(np.uint64))), (b, signature(b.astype(np.uint64)))))
-            yield pa.RecordBatch.from_arrays(_arrays(rows), NAMES)
+            yield pa.RecordBatch.from_arrays(_arrays(rows, batch.column(0).type), NAMES)
 
-    whole = done.where("part is null").select(*NAMES).union(pairs.mapInArrow(close, ROW))
+    whole = done.where("part is null").select(*NAMES).union(pairs.mapInArrow(close, f"doc_id {kind}, {ROW}"))
     text = {c: F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")}
     return whole.select(*[text.get(c, F.col(c)) for c in NAMES])

@@ -11,42 +11,52 @@ from tissuemill.llm.common import table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``simhash.near_duplicates`` of whole ``documents``."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``decontaminate.leaks`` of whole ``documents`` against whole ``benchmark``."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``langid.identify`` of whole ``documents``."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``suffix_dedup.dedup`` of whole ``documents``."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mixing.mix`` of all ``documents`` by source."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:
+    """``tokens.section_counts`` of the lines of whole ``documents``."""
     return tokens.section_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``warc.round_trip`` of whole ``pages``."""
     return warc.round_trip(spark, sf_dir)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``recompression.dedup`` of whole ``documents``."""
     return recompression.dedup(table(spark, sf_dir, "documents"))
 
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_minhash.fingerprints`` of whole ``documents``."""
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``licenses.scan`` of whole ``documents``."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 

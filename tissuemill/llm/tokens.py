@@ -58,7 +58,8 @@ def section_counts(docs: DataFrame, vocabulary: str, fields: Sequence[str] = ("t
     line feed) or its fields (each but the last with the joining one). Token spans come from the bytes of the tokens; a
     crossing token is allotted by ``rule`` (see ``attributed``), so section counts always add up to n_tokens. Spans of
     sections are in code points. Null fields are empty; an empty text has no tokens and one empty section. Strings of
-    special tokens are ordinary text. Rows that repeat a doc_id keep a row each. ``vocabulary``: path of a rank
+    special tokens are ordinary text. Rows that repeat a doc_id keep a row each; doc_ids may be null and of any type. A text
+    of any length is encoded whole. An empty table gives no rows. ``vocabulary``: path of a rank
     file; it is read by Spark and broadcast after a check of its size.
     """
     if rule not in ("first", "last", "most") or by not in ("lines", "fields"):
@@ -98,4 +99,4 @@ def section_counts(docs: DataFrame, vocabulary: str, fields: Sequence[str] = ("t
     joined = F.concat_ws("\n", *texts)
     sizes = [F.octet_length(t) + (1 if i + 1 < len(texts) else 0) for i, t in enumerate(texts)]
     ends = F.array(*[sum(sizes[1 : i + 1], sizes[0]).cast("long") for i in range(len(sizes))])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), joined.alias("text"), ends.alias("ends")).mapInArrow(run, "doc_id long, n_tokens long, n_crossing long, sections array<struct<first_char:long,end_char:long,n_tokens:long>>")
+    return docs.select("doc_id", joined.alias("text"), ends.alias("ends")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_crossing long, sections array<struct<first_char:long,end_char:long,n_tokens:long>>")

@@ -12,7 +12,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,11 +32,16 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def _name(page_id: int | str | None) -> str:
+    """A page_id in a URN: numbers as they are, others quoted after ``=``."""
+    return "none" if page_id is None else str(page_id) if isinstance(page_id, int) else "=" + quote(str(page_id), safe="")
+
+
+def record(page_id: int | str | None, url: str | None, payload: bytes, refers_to: int | str | None, revisit: bool) -> bytes:
     """A response with its payload, or a revisit with the HTTP header alone; both tell the full payload's size and digest."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    name = "none" if page_id is None else page_id
+    name = _name(page_id)
     fields = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -49,7 +54,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     ]
     if revisit:
         fields += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-        fields += [f"WARC-Refers-To: <urn:page:{refers_to}>"] if refers_to is not None else []
+        fields += [f"WARC-Refers-To: <urn:page:{_name(refers_to)}>"] if refers_to is not None else []
     return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -94,8 +99,13 @@ def member(raw: bytes, level: int = 4) -> bytes:
     return deflate.compress(raw) + deflate.flush()
 
 
+#: Names that Hadoop gives to stores which Arrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 def _open(path: str):
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition("://")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
 
 
 def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -175,7 +185,7 @@ def normalise(files: DataFrame, folder: str, level: int = 4) -> DataFrame:
                 if rows:
                     yield _indexed(rows)
 
-    n = max(1, files.count())  # a task for each archive: without a number, few rows would be put together into one task
+    n = max(1, files.count())  # as many tasks as archives, dealt by a hash of the path: without a number, few rows would be put together into one task
     return materialise(files.select("path").repartition(n, "path").mapInArrow(run, INDEX))
 
 
@@ -184,15 +194,16 @@ def _indexed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in INDEX.split(", ")])
 
 
-def _page(urn: str | None) -> int | None:
+def _page(urn: str | None) -> str | None:
+    """The page_id of a URN, as text."""
     found = (urn or "<urn:page:none>")[len("<urn:page:") : -1]
-    return None if found == "none" else int(found)
+    return None if found == "none" else unquote(found[1:]) if found.startswith("=") else found
 
 
-def read_records(index: DataFrame) -> DataFrame:
+def read_records(index: DataFrame, ids: str = "long") -> DataFrame:
     """Read every record of an index by its offset: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A response's payload is digested anew and must match its header.
+    A response's payload is digested anew and must match its header. ``ids``: the type of page_id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,17 +225,22 @@ def read_records(index: DataFrame) -> DataFrame:
                 if fields["WARC-Type"] == "response" and (len(payload) != size or digest(payload) != said):
                     raise ValueError(f"{path} at {offset}: the payload doesn't match its header")
                 rows.append((_page(fields["WARC-Record-ID"]), size, said, fields["WARC-Type"], _page(fields.get("WARC-Refers-To"))))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
         if file is not None:
             file.close()
 
-    return index.select("path", "offset", "length").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    read = index.select("path", "offset", "length").mapInArrow(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    return read.withColumns({c: F.col(c).cast(ids) for c in ("page_id", "refers_to")})
 
 
 def round_trip(spark: SparkSession, sf_dir: str, folder: str | None = None, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` as archives below ``folder``, normalise them, and read all records back. Empty tables give no rows."""
-    folder = folder or shared_dir(spark)
-    written = write_monolithic(decided(table(spark, sf_dir, "pages"), least_bytes), f"{folder}/monolithic")
-    return read_records(normalise(written, f"{folder}/members"))
+    """Write ``pages`` as archives below ``folder``, normalise them, and read all records back. Empty tables give no rows.
+
+    Very long payloads are written and read whole, one at a time. page_ids may be of any type; rows that repeat one give records of one
+    id, and so do rows without one.
+    """
+    folder, pages = folder or shared_dir(spark), table(spark, sf_dir, "pages")
+    written = write_monolithic(decided(pages, least_bytes), f"{folder}/monolithic")
+    return read_records(normalise(written, f"{folder}/members"), pages.schema["page_id"].dataType.simpleString())
