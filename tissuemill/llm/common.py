@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql.types import IntegralType
 
 from tissuemill.functions.storage import bucketed, forget, materialise, shared_dir
 
-__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "materialise", "packed", "packed_lists", "shared_dir", "table", "text_buffer", "unique_keys"]
+__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "materialise", "packed", "packed_lists", "release", "shared_dir", "table", "text_buffer", "unique_keys"]
 
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19
@@ -27,10 +29,22 @@ def packed(docs: DataFrame, *without: str) -> DataFrame:
     return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("_row"))
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def filtered(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``docs`` through a function that drops rows of Arrow batches; columns go by number, so any name is good."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return plain.mapInArrow(tidy, plain.schema).toDF(*docs.columns)
 
 
 def unique_keys(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:

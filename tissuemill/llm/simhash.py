@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissuemill.functions.storage import settled
-from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, text_buffer, unique_keys
+from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, release, text_buffer, unique_keys
 from tissuemill.llm.components import components
 
 #: For each byte value, its eight bits in eight byte lanes; up to 255 of them add up without carry.
@@ -214,6 +214,7 @@ def wide_marks(docs: DataFrame, width: int, wide: Wide) -> DataFrame:
                 held = np.array([len(s) > 0 for s in sets])
                 prints = wide_fingerprints([s for s in sets if len(s)], wide) if held.any() else np.zeros((0, wide.words), np.uint64)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], as_int64(names[:, 1]), as_int64(names[:, 0]), _lists(prints.view(np.int64), held), _lists(blocks_of(prints, wide), held)], ["id", "low", "high", "print", "blocks"])
+        release()
 
     return docs.mapInArrow(run, "id long, low long, high long, print array<long>, blocks array<int>")
 
@@ -228,6 +229,7 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
                 sets = shingle_sets(data, offsets[i : j + 1], width)
                 ends = pa.array(np.cumsum([0, *[len(s) for s in sets]], dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(ends, as_int64(np.concatenate(sets)))], ["id", "set"])
+        release()
 
     return docs.mapInArrow(run, "id long, set array<long>")
 

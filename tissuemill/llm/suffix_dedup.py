@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import forget, groups_of_rows, materialise, packed, text_buffer, unique_keys
+from tissuemill.llm.common import forget, groups_of_rows, materialise, packed, release, text_buffer, unique_keys
 from tissuemill.llm.repeats import anchored, merged, received, runs, shipped, with_spans
 
 GRAM = 24
@@ -311,6 +311,7 @@ def _applied(rows: DataFrame, whole_characters: bool) -> DataFrame:
                 out.append((len(whole), len(whole) - len(kept), len(runs), kept.decode() if whole_characters else hashlib.sha256(kept).hexdigest()))
             cols = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], ["_key", "n_bytes", "n_removed", "n_spans", "kept"])
+        release()
 
     return rows.mapInArrow(run, "_key long, n_bytes long, n_removed long, n_spans long, kept string")
 
