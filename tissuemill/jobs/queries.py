@@ -330,36 +330,34 @@ def f7_infer_plane_shape(spark, d):
     return views.table(spark, d, "part").select("p_partkey", out.cast("string").alias("shape"), meta.plane_axes_ok(axes).alias("ok"))
 
 
-@query(f"WITH {CHANNELS} SELECT sample_id, min(channel) FILTER (contains(upper(name), 'NATION_1')) AS channel FROM channels GROUP BY sample_id")
+@query(f"WITH {CHANNELS} SELECT sample_id, min(channel) FILTER (contains(upper(name), 'RED')) AS channel FROM channels GROUP BY sample_id")
 def t2_first_match(spark, d):
-    return meta.first_match(views.channels(spark, d), "nation_1")
+    return meta.first_match(views.channels(spark, d), "red")
 
 
-P2_PIXELS = "SELECT (l_linenumber % 5)::VARCHAR AS sample_id, (l_orderkey % 5)::INT AS channel, l_orderkey, l_linenumber FROM lineitem"
+P2_PIXELS = "SELECT (l_partkey // 5)::VARCHAR AS sample_id, (l_orderkey % 5)::INT AS channel, l_orderkey, l_linenumber FROM lineitem"
 
 
-@query(f"WITH {CHANNELS}, t AS ({P2_PIXELS}), f AS (SELECT sample_id, min(channel) AS channel FROM channels WHERE contains(upper(name), 'NATION_1') GROUP BY ALL) SELECT t.* FROM t SEMI JOIN f USING (sample_id, channel)")
+@query(f"WITH {CHANNELS}, t AS ({P2_PIXELS}), f AS (SELECT sample_id, min(channel) AS channel FROM channels WHERE contains(upper(name), 'RED') GROUP BY ALL) SELECT t.* FROM t SEMI JOIN f USING (sample_id, channel)")
 def p2_extract_channel(spark, d):
-    t = views.table(spark, d, "lineitem").select((F.col("l_linenumber") % 5).cast("string").alias("sample_id"), (F.col("l_orderkey") % 5).cast("int").alias("channel"), "l_orderkey", "l_linenumber")
-    return meta.extract_channel(t, views.channels(spark, d), "nation_1").select("sample_id", "channel", "l_orderkey", "l_linenumber")
+    t = views.table(spark, d, "lineitem").select(F.floor(F.col("l_partkey") / 5).cast("string").alias("sample_id"), (F.col("l_orderkey") % 5).cast("int").alias("channel"), "l_orderkey", "l_linenumber")
+    return meta.extract_channel(t, views.channels(spark, d), "red").select("sample_id", "channel", "l_orderkey", "l_linenumber")
 
 
-MATCH = f"""{CHANNELS}, m AS (SELECT n_name AS marker_name, n_nationkey AS marker_idx FROM nation),
+MATCH = f"""{CHANNELS}, {views.TYPE_SHEET},
 k AS (SELECT s.sample_id, marker_name, marker_idx, min(channel) AS channel, count(channel) AS n_matches FROM (SELECT DISTINCT sample_id FROM channels) s CROSS JOIN m LEFT JOIN channels c ON c.sample_id = s.sample_id AND contains(upper(name), upper(marker_name)) GROUP BY ALL),
 picked AS (SELECT *, CASE WHEN channel IS NOT NULL THEN count(channel) OVER (PARTITION BY sample_id ORDER BY marker_idx) - 1 END AS new_channel FROM k)"""
 
 
 @query(f"WITH {MATCH} SELECT sample_id, marker_name, marker_idx, channel, n_matches, new_channel FROM picked")
 def p3_match_channels(spark, d):
-    m = views.table(spark, d, "nation").select(F.col("n_name").alias("marker_name"), F.col("n_nationkey").alias("marker_idx"))
-    return meta.match_channels(views.channels(spark, d), m)
+    return meta.match_channels(views.channels(spark, d), views.type_sheet(spark, d))
 
 
 @query(f"WITH {MATCH}, t AS ({P2_PIXELS}) SELECT t.sample_id, picked.new_channel::INT AS channel, l_orderkey, l_linenumber FROM t JOIN picked USING (sample_id, channel)")
 def p3_select_channels(spark, d):
-    t = views.table(spark, d, "lineitem").select((F.col("l_linenumber") % 5).cast("string").alias("sample_id"), (F.col("l_orderkey") % 5).cast("int").alias("channel"), "l_orderkey", "l_linenumber")
-    m = views.table(spark, d, "nation").select(F.col("n_name").alias("marker_name"), F.col("n_nationkey").alias("marker_idx"))
-    return meta.select_channels(t, views.channels(spark, d), m).select("sample_id", "channel", "l_orderkey", "l_linenumber")
+    t = views.table(spark, d, "lineitem").select(F.floor(F.col("l_partkey") / 5).cast("string").alias("sample_id"), (F.col("l_orderkey") % 5).cast("int").alias("channel"), "l_orderkey", "l_linenumber")
+    return meta.select_channels(t, views.channels(spark, d), views.type_sheet(spark, d)).select("sample_id", "channel", "l_orderkey", "l_linenumber")
 
 
 @query("SELECT s_suppkey, floor(s_acctbal / (s_nationkey % 5) * (s_suppkey / 8.0) + 0.5)::BIGINT AS x, floor(s_acctbal / 4 * (s_suppkey / 16.0) + 0.5)::BIGINT AS y, 64 AS width, 32 AS height FROM supplier WHERE s_nationkey % 5 <> 0")

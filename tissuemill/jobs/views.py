@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MARKERS = ["DAPI", "HLA.ABC", "CD3", "CD11c"]
@@ -89,12 +89,21 @@ MANIFEST = """manifest AS (SELECT event_id AS row_id, (CASE WHEN user_id % 7 = 0
 
 
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An image for each region, a channel for each of its nations."""
-    n = table(spark, sf_dir, "nation")
-    return n.select(F.col("n_regionkey").cast("string").alias("sample_id"), F.floor(F.col("n_nationkey") / 5).cast("int").alias("channel"), F.col("n_name").alias("name"))
+    """An image for every five parts, a channel for each of them."""
+    p, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    return p.select(F.floor(key / 5).cast("string").alias("sample_id"), (key % 5).cast("int").alias("channel"), F.concat_ws(" ", "p_type", "p_name").alias("name"))
 
 
-CHANNELS = "channels AS (SELECT n_regionkey::VARCHAR AS sample_id, (n_nationkey // 5)::INT AS channel, n_name AS name FROM nation)"
+CHANNELS = "channels AS (SELECT (p_partkey // 5)::VARCHAR AS sample_id, (p_partkey % 5)::INT AS channel, p_type || ' ' || p_name AS name FROM part)"
+
+
+def type_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A marker sheet: the kinds of parts, in order of their names."""
+    kinds = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("marker_name")).agg(F.count("*").alias("n"))
+    return kinds.select("marker_name", (F.row_number().over(Window.orderBy("marker_name")) - 1).alias("marker_idx"))
+
+
+TYPE_SHEET = "m AS (SELECT p_type AS marker_name, (row_number() OVER (ORDER BY p_type) - 1)::INT AS marker_idx FROM (SELECT DISTINCT p_type FROM part))"
 
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:

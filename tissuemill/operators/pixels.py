@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import clip, finite_or_zero, let
+from tissuemill.functions.storage import materialise
 
 TILE = 512
 PLACE = ["sample_id", "channel", "y", "x"]
@@ -111,7 +112,7 @@ def downscale(pixels: DataFrame, k: int, integer: bool = False) -> DataFrame:
     if k == 1:
         return pixels
     size = pixels.groupBy("sample_id").agg((F.floor((F.max("y") + 1) / k) * k).alias("_h"), (F.floor((F.max("x") + 1) / k) * k).alias("_w"))
-    inside = pixels.join(F.broadcast(size), "sample_id").where("y < _h and x < _w")
+    inside = pixels.join(materialise(size), "sample_id").where("y < _h and x < _w")  # written, so that Spark knows its size
     mean = F.avg("value")
     return inside.groupBy("sample_id", "channel", F.floor(F.col("y") / k).cast("int").alias("y"), F.floor(F.col("x") / k).cast("int").alias("x")).agg((F.rint(mean) if integer else mean).alias("value"))
 
