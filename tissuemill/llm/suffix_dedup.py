@@ -267,8 +267,9 @@ def judged(fetched: DataFrame, length: int, chunk: int = CHUNK) -> DataFrame:
 def removal_spans(keyed: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """Spans (doc, b, e), in bytes, that an equal ``length``-byte string starting earlier covers; spans may overlap.
 
-    An anchor with over ``hot`` contents would make one large suffix array: its windows are filed one by one under their own
-    bytes, so that equal windows still meet, in arrays of bounded size.
+    An anchor with over ``hot`` contents would make one large suffix array: its windows are filed one by one under a hash of
+    their own bytes, so that equal windows still meet. All rows of one window meet in one task, whatever their number.
+    Windows of equal contents (anchor, length and digest of all bytes) are told by the digest; see ``judged`` for the others.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
