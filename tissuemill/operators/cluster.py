@@ -481,7 +481,7 @@ def _ritz(products: np.ndarray, images: np.ndarray) -> np.ndarray:
     return out
 
 
-def layout_2d(graph: DataFrame, tolerance: float = 1e-3, rounds: int = 200) -> DataFrame:
+def layout_2d(graph: DataFrame, tolerance: float = 1e-2, rounds: int = 200) -> DataFrame:
     """(sample_id, cell_id, x, y): spectral layout of a fuzzy graph, the start layout of the published map.
 
     The two leading eigenvectors of the normalised graph besides the trivial one, by locally optimal steps: in each round a join and an aggregate give the images of
