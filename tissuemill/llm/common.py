@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegralType
 
 from tissuemill.functions.storage import bucketed, forget, materialise, shared_dir
 
-__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "materialise", "packed", "packed_lists", "release", "shared_dir", "table", "text_buffer", "unique_keys"]
+__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "lighter", "materialise", "packed", "packed_lists", "release", "shared_dir", "table", "text_buffer", "unique_keys"]
 
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19
@@ -29,6 +29,15 @@ def packed(docs: DataFrame, *without: str) -> DataFrame:
     return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("_row"))
 
 
+#: Rows of a few numbers each that may be broadcast: some tens of megabytes.
+MOST_ROWS = 1 << 20
+
+
+def lighter(table: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """A written table to join with, broadcast if it has up to ``most`` rows; else Spark joins it as it likes."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
 def release() -> None:
     """Give memory that this worker has freed back to the system: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissuemill.functions.storage import settled
-from tissuemill.llm.common import as_int64, groups_of_rows, materialise, packed, release, text_buffer, unique_keys
+from tissuemill.llm.common import as_int64, groups_of_rows, lighter, materialise, packed, release, text_buffer, unique_keys
 from tissuemill.llm.components import components
 
 #: For each byte value, its eight bits in eight byte lanes; up to 255 of them add up without carry.
@@ -260,15 +260,15 @@ def near_links(texts: DataFrame, marks: DataFrame, percent: int, width: int, wid
     and only where ``_possible`` can't rule them out, so no link between components is lost.
     """
     filed = marks.select("id", F.posexplode("blocks").alias("slot", "key"))
-    shared = filed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
-    filed = materialise(filed.join(shared, ["slot", "key"]))
+    shared = materialise(filed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    filed = materialise(filed.join(lighter(shared), ["slot", "key"]))
     met = materialise(filed.groupBy("id").agg(F.sum(F.col("n") - 1).alias("w")))
     prints = materialise(marks.join(met, "id", "left_semi").select("id", "print"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialise(_close(materialise(pairs), prints, wide.most))
-        both = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-        sets = materialise(sets_of(texts.join(both, "id", "left_semi").select("id", "text"), width))
+        both = materialise(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct())
+        sets = materialise(sets_of(texts.join(lighter(both), "id", "left_semi").select("id", "text"), width))  # ids go to the texts, where they can
         return materialise(_alike(pairs, sets, percent))
 
     named = filed.select("slot", "key", "id", F.col("id").alias("part"), F.lit(None).cast("int").alias("size"), F.lit(None).cast("array<int>").alias("common"))
@@ -276,7 +276,7 @@ def near_links(texts: DataFrame, marks: DataFrame, percent: int, width: int, wid
     if busy.isEmpty():
         return verify(across(named, percent))
     star = verify(guided(filed, busy, guides))
-    counts = own_shingles(sets_of(texts.join(busy, "id", "left_semi").select("id", "text"), width))
+    counts = own_shingles(sets_of(texts.join(lighter(materialise(busy.select("id"))), "id", "left_semi").select("id", "text"), width))
     named = named.drop("part", "size", "common").join(components(star).toDF("id", "part"), "id", "left").join(counts, "id", "left")
     return star.union(verify(across(named.withColumn("part", F.coalesce("part", "id")), percent)))
 
