@@ -334,3 +334,59 @@ def test_long_texts_of_text_operators(spark):
     assert licenses.scan(docs).count() == 0 and mixing.mix(docs).count() == 3
     none = h.frame(spark, [])
     assert tokens.section_counts(none, VOCABULARY).count() == 0 and order_minhash.fingerprints(none).count() == 0
+
+
+def test_leaks_equal_brute_force(spark):
+    """Documents with passages at, below and above the budget of edits: what is found is what plain edit distances say."""
+    import re
+
+    rng = random.Random(21)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+
+    def edited(s, n):
+        for _ in range(n):
+            k = rng.randrange(len(s))
+            s = rng.choice((s[:k] + rng.choice("klmn") + s[k + 1 :], s[:k] + s[k + 1 :], s[:k] + rng.choice("klmn") + s[k:]))
+        return s
+
+    items = [(0, text(9)), (1, text(22)), (2, text(45)), (3, text(5)), (3, text(30)), (4, "zz " + text(17))]
+    docs = []
+    for i in range(14):
+        part = rng.choice(items)[1]
+        a = rng.randrange(max(1, len(part) - 60))
+        docs.append((i, f"{text(15)}, {edited(part[a:], rng.randrange(9)).upper() if i % 3 else part[a:]}! {text(15)}"))
+    plain = lambda s: re.sub("[^a-z0-9]+", " ", s.lower()).strip()
+    want = []
+    for d, body in docs:
+        for item, s in items:
+            whole = plain(s)
+            cuts = [0] if len(whole) <= 144 else [*range(0, len(whole) - 96, 48), len(whole) - 96]
+            parts = [whole if len(cuts) == 1 else whole[a : a + 96] for a in cuts]
+            least = [h.edit_distance_inside(p, f" {plain(body)} ") for p in parts]
+            hit = [e for e, p in zip(least, parts, strict=True) if e <= min(int(len(p) * 0.06), (len(p) - 12) // 12)]
+            if hit:
+                want.append((d, item, len(hit), len(parts), sum(hit)))
+    got = decontaminate.leaks(h.frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["passages_hit"], r["passages"], r["edits"]) for r in got) == sorted(want)
+    assert 3 < len({w[0] for w in want}) < len(docs)
+
+
+@pytest.mark.parametrize("text", ["", "abc", "abcabcabcabcabc" * 3, "the quick brown fox jumps over the lazy dog, the quick brown fox", "é日本" * 9])
+def test_signature_is_the_two_least_occurrences_in_text_order(text):
+    import numpy as np
+
+    om, mask = order_minhash, (1 << 64) - 1
+    stirred = lambda x: int(om.stirred(np.array([x & mask], np.uint64))[0])
+    points = [ord(c) for c in text]
+    points += [0x110000] * (om.K - len(points)) if points else []
+    kmers = [stirred(sum(p * int(w) for p, w in zip(points[i : i + om.K], om.WEIGHTS, strict=True))) for i in range(len(points) - om.K + 1)]
+    seen, base = {}, []
+    for k in kmers:
+        base.append(stirred(k + seen.get(k, 0) * 0x9E3779B97F4A7C15) >> 32)
+        seen[k] = seen.get(k, 0) + 1
+    want = []
+    for part in range(om.PARTS):
+        ranked = sorted(range(len(base)), key=lambda i: (((base[i] ^ int(om.FLIPS[part])) * int(om.FACTORS[part])) % (1 << 32), i))
+        low, high = (min(ranked[:2]), max(ranked[:2])) if len(ranked) > 1 else (0, 0)
+        want.append(stirred(kmers[low] * int(om.WEIGHTS[0]) + stirred(kmers[high] + int(om.SALTS[part]))) >> 48 if kmers else 0)
+    assert om.signature(np.array([ord(c) for c in text], np.uint64)).tolist() == want
