@@ -503,50 +503,57 @@ def layout_2d(graph: DataFrame, tolerance: float = 1e-2, rounds: int = 200) -> D
         sent = edges.join(v.select("sample_id", F.col("a").alias("b"), *names), ["sample_id", "b"])
         return v.join(sent.groupBy("sample_id", "a").agg(*[F.sum(F.col("w") * F.col(n)).alias(o) for n, o in zip(names, out, strict=True)]), ["sample_id", "a"])
 
-    def combined(v: DataFrame) -> DataFrame:
-        """New vectors and steps, with their images, from all six."""
-        sums = v.groupBy("sample_id").agg(F.array(*[F.sum(F.col(vectors[i]) * F.col(vectors[j])) for i, j in pairs]).alias("g"), F.array(*[F.sum(F.col(vectors[i]) * F.col(images[j])) for i, j in pairs]).alias("h"))
+    def weighed(v: DataFrame) -> DataFrame:
+        """A row a sample, written: how its six vectors combine to the next two (c0, c1), and of those l (v'Av), q (|Av|^2) and t (part of the trivial one)."""
+        dot = lambda x, y: F.sum(F.col(x) * F.col(y))
+        sums = {"g": [dot(vectors[i], vectors[j]) for i, j in pairs], "h": [dot(vectors[i], images[j]) for i, j in pairs], "m": [dot(images[i], images[j]) for i, j in pairs], "o": [dot("t", n) for n in vectors]}
+        rows = v.groupBy("sample_id").agg(*[F.array(*x).alias(n) for n, x in sums.items()], dot("t", "t").alias("tt"))
+
+        def square(flat: np.ndarray) -> np.ndarray:
+            out = np.zeros((6, 6))
+            for (i, j), x in zip(pairs, flat, strict=True):
+                out[i, j] = out[j, i] = x
+            return out
 
         def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = []
+                out = []
                 for r in batch.itertuples():
-                    g, h = np.zeros((6, 6)), np.zeros((6, 6))
-                    for m, flat in ((g, r.g), (h, r.h)):
-                        for (i, j), x in zip(pairs, flat, strict=True):
-                            m[i, j] = m[j, i] = x
-                    rows.append((r.sample_id, *_ritz(g, h)))
-                yield pd.DataFrame(rows, columns=["sample_id", "c0", "c1"])
-
-        weights = materialise(sums.mapInPandas(solve, "sample_id string, c0 array<double>, c1 array<double>"))
+                    c = _ritz(square(r.g), square(r.h))
+                    out.append((r.sample_id, *c, *[np.einsum("ki,ij,kj->k", c, square(x), c) for x in (r.h, r.m)], c @ np.asarray(r.o) / r.tt))
+                yield pd.DataFrame(out, columns=["sample_id", "c0", "c1", "l", "q", "p"])
+
+        return materialise(rows.mapInPandas(solve, "sample_id string, " + ", ".join(f"{n} array<double>" for n in ("c0", "c1", "l", "q", "p"))))
+
+    def combined(v: DataFrame, weights: DataFrame) -> DataFrame:
+        """New vectors and steps, with their images, from all six."""
         mix = lambda names, c, first: reduce(lambda x, y: x + y, [F.get(c, F.lit(i)) * F.col(names[i]) for i in range(first, 6)])
         new = {}
         for k in (0, 1):
             for names, kind in ((vectors, "v"), (images, "i")):
                 new[f"{kind}{k}"], new[f"{kind}{4 + k}"] = mix(names, f"c{k}", 0), mix(names, f"c{k}", 2)
-        return v.join(weights, "sample_id").select("sample_id", "a", "t", *[e.alias(n) for n, e in new.items()])
+        return v.join(weights, "sample_id").select("sample_id", "a", "t", *[e.alias(n) for n, e in new.items()], "l", "q", "p")
 
     zero = [F.lit(0.0).alias(n) for i in range(2, 6) for n in (vectors[i], images[i])]
     start = degree.select("sample_id", "a", F.sqrt("d").alias("t"), unit(1).alias("v0"), unit(2).alias("v1"))
     along = start.groupBy("sample_id").agg(*[(F.sum(F.col(f"v{k}") * F.col("t")) / F.sum(F.col("t") * F.col("t"))).alias(f"_{k}") for k in (0, 1)])
     start = start.join(along, "sample_id").select("sample_id", "a", "t", *[(F.col(f"v{k}") - F.col(f"_{k}") * F.col("t")).alias(f"v{k}") for k in (0, 1)])
-    now = materialise(combined(with_images(materialise(start), ["v0", "v1"], ["i0", "i1"]).select("*", *zero)))
+    now = materialise(with_images(materialise(start), ["v0", "v1"], ["i0", "i1"]).select("*", *zero))
     done = materialise(now.select("sample_id", "a", "t", "v0", "v1").limit(0))
-    for _ in range(rounds):
-        squares = lambda k: (F.sum(F.col(f"v{k}") * F.col(f"i{k}")).alias(f"l{k}"), F.sum(F.col(f"i{k}") * F.col(f"i{k}")).alias(f"q{k}"))
-        reached = materialise(now.groupBy("sample_id").agg(*squares(0), *squares(1), (F.sum(F.col("t") * F.col("v0")) / F.sum(F.col("t") * F.col("t"))).alias("t0"), (F.sum(F.col("t") * F.col("v1")) / F.sum(F.col("t") * F.col("t"))).alias("t1")))
-        off = F.greatest(*[F.col(f"q{k}") - F.col(f"l{k}") * F.col(f"l{k}") for k in (0, 1)])
-        settled = F.coalesce(off <= tolerance * tolerance, F.lit(True))
-        leave, stay = reached.where(settled).select("sample_id"), reached.where(~settled)
-        leaving, going = reached.agg(F.count_if(settled), F.count_if(~settled)).first()
+    at = lambda name, k: F.get(name, F.lit(k))
+    settled = F.greatest(*[at("q", k) - at("l", k) * at("l", k) for k in (0, 1)]) <= tolerance * tolerance
+    for _ in range(rounds + 1):
+        weights = weighed(now)
+        state = combined(now, weights)
+        leaving, going = weights.agg(F.count_if(settled), F.count_if(~settled)).first()
         if leaving:
-            done = materialise(done.unionByName(now.join(leave, "sample_id", "left_semi").select(done.columns)))
+            done = materialise(done.unionByName(state.where(settled).select(done.columns)))
         if not going:
             break
-        rest = [(F.col(f"i{k}") - F.col(f"l{k}") * F.col(f"v{k}") - (1 - F.col(f"l{k}")) * F.col(f"t{k}") * F.col("t")).alias(f"v{2 + k}") for k in (0, 1)]
-        kept = now.join(stay, "sample_id").select("sample_id", "a", "t", *[n for k in (0, 1, 4, 5) for n in (f"v{k}", f"i{k}")], *rest)
-        before, now = now, materialise(combined(materialise(with_images(kept, ["v2", "v3"], ["i2", "i3"]))))
-        forget(before, reached)
+        rest = [(F.col(f"i{k}") - at("l", k) * F.col(f"v{k}") - (1 - at("l", k)) * at("p", k) * F.col("t")).alias(f"v{2 + k}") for k in (0, 1)]
+        kept = materialise(state.where(~settled).select("sample_id", "a", "t", *[n for k in (0, 1, 4, 5) for n in (f"v{k}", f"i{k}")], *rest))
+        before, now = now, materialise(with_images(kept, ["v2", "v3"], ["i2", "i3"]))
+        forget(before, weights, kept)
     else:
         raise RuntimeError(f"layout_2d did not settle in {rounds} rounds")
     return done.select("sample_id", F.col("a").alias("cell_id"), F.try_divide("v0", "t").alias("x"), F.try_divide("v1", "t").alias("y"))
