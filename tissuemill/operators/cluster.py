@@ -299,6 +299,7 @@ def snn(neighbours: DataFrame, k: int = 20, prune: float = 1 / 15) -> DataFrame:
     joined, and the cells that are neighbours of very many drop out of the join key. The count is verified on whole sets.
     """
     m = max(1, int(np.ceil(2 * k * prune / (1 + prune) - 1e-9)))
+    neighbours = materialise(neighbours)  # read twice
     popular = neighbours.groupBy("sample_id", "neighbour_id").agg(F.count("*").alias("c"))
     lists = neighbours.join(popular, ["sample_id", "neighbour_id"]).groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("c", "neighbour_id"))).alias("a"))
     lists = materialise(lists.select(*CELL, F.transform("a", lambda x: x["neighbour_id"]).alias("set")))
@@ -489,8 +490,9 @@ def layout_2d(graph: DataFrame, tolerance: float = 1e-2, rounds: int = 200) -> D
     and a sample is settled when both residuals, |Av - lambda v| of unit vectors, are at most ``tolerance``. Settled samples leave; at
     the bound of rounds this is an error. A round leaves one table; the driver learns how many samples go on and how many leave.
     """
+    graph = materialise(graph)  # read several times
     both = graph.select("sample_id", F.col("src").alias("a"), F.col("dst").alias("b"), "weight").union(graph.select("sample_id", "dst", "src", "weight"))
-    degree = both.groupBy("sample_id", "a").agg(F.sum("weight").alias("d"))
+    degree = materialise(both.groupBy("sample_id", "a").agg(F.sum("weight").alias("d")))
     left = degree.select("sample_id", "a", F.col("d").alias("da"))
     right = degree.select("sample_id", F.col("a").alias("b"), F.col("d").alias("db"))
     edges = materialise(both.join(left, ["sample_id", "a"]).join(right, ["sample_id", "b"]).select("sample_id", "a", "b", (F.col("weight") / F.sqrt(F.col("da") * F.col("db"))).alias("w")))
