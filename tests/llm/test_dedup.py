@@ -2,6 +2,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,6 +101,20 @@ def test_long_texts(spark):
     assert [tuple(r)[1:] for r in got] == h.window_dedup(rows)
 
 
+def test_records_leave_a_large_batch_in_parts():
+    data = np.random.default_rng(3).integers(97, 123, 6 << 20, np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3072)), pa.array([data[2048 * i : 2048 * (i + 1)] for i in range(3072)])], ["_key", "text"])
+    parts = list(suffix_dedup.record_batches(iter([batch]), 100))
+    windows = sum(sum(p.column("n").to_pylist()) for p in parts)
+    assert len(parts) > 1 and max(p.num_rows for p in parts) < 1.2 * suffix_dedup.RECORDS and windows == 3072 * (2048 - 99)
+
+
+def test_anchors_count_the_records(spark):
+    docs = spark.createDataFrame(corpus(), "_key long, text string").coalesce(2)
+    found = suffix_dedup.records(docs, 100).groupBy("h").agg(F.sum(1 + F.coalesce(F.size("dups"), F.lit(0))).alias("n"))
+    assert sorted(found.collect()) == sorted(suffix_dedup.anchors(docs, 100).groupBy("h").agg(F.sum("n").alias("n")).collect())
+
+
 def test_suffix_dedup_repeated_ids_nulls_and_empty(spark):
     text = passage(random.Random(2), 60)
     rows = [(1, text), (1, text), (1, None), (None, text), (7, text)]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuemill.llm.common import groups_of_rows, text_buffer
+from tissuemill.llm.common import groups_of_rows, release, text_buffer
 
 PLACES = np.uint64((1 << 20) - 1)
 #: Units of a row that are worked on at once; longer rows go in pieces that overlap by a window.
@@ -69,6 +69,7 @@ def slices(keyed: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray]
                 out = work(keys[i:j], data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 if out is not None:
                     yield out
+        release()
 
     return keyed.mapInArrow(run, schema)
 
@@ -84,6 +85,7 @@ def shipped(keyed: DataFrame) -> DataFrame:
             for i, j in groups_of_rows(offsets, 8 << 20):
                 packed = [(b - a).to_bytes(4, "little") + codec.compress(view[a:b], asbytes=True) for a, b in zip(offsets[i:j].tolist(), offsets[i + 1 : j + 1].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(packed, pa.binary())], ["_key", "text"])
+        release()
 
     return keyed.select("_key", "text").mapInArrow(run, "_key long, text binary")
 

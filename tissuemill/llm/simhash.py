@@ -296,6 +296,7 @@ def own_shingles(sets: DataFrame) -> DataFrame:
             common = by_share(batch.column(1)) - by_share(batch.column(2))
             size = pc.list_value_length(batch.column(1)).cast(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), size, _lists(common.astype(np.int32), np.ones(len(size), bool))], ["id", "size", "common"])
+        release()
 
     both = sets.join(own, "id", "left").select("id", "set", F.coalesce("own", F.array().cast("array<long>")).alias("own"))
     return materialise(both.mapInArrow(run, "id long, size int, common array<int>"))
