@@ -168,6 +168,23 @@ def test_symbols_agree_inside_equal_windows():
     assert inside[0] and all(x == inside[0] for x in inside)
 
 
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 30), st.integers(1, 9)), max_size=25))
+@settings(max_examples=60, deadline=None)
+def test_maximal_runs_of_many_rows(spans):
+    row, b, n = (np.array(x, np.int64) for x in (zip(*spans, strict=True) if spans else ((), (), ())))
+    _, _, *got = repeats.maximal(row, b, b + n)
+    want = [(r, *run) for r in range(5) for run in repeats.merged([(x, x + k) for q, x, k in spans if q == r])]
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == want
+
+
+def test_substring_dedup_leaves_the_session_as_it_is(spark, monkeypatch):
+    name, seen = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", []
+    before, named = spark.conf.get(name), recompression.named
+    monkeypatch.setattr(recompression, "named", lambda *a: seen.append(spark.conf.get(name)) or named(*a))
+    recompression.dedup(spark.createDataFrame(corpus()[:9], "doc_id long, text string"), turns=1)
+    assert seen == [str(recompression.LISTS)] * 2 and spark.conf.get(name) == before
+
+
 def test_substring_dedup_edges(spark):
     text = passage(random.Random(6), 70)
     got = recompression.dedup(h.frame(spark, [(2, text), (2, text), (None, text), (3, None), (4, " \t\n")])).collect()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,18 @@ def bucketed(df: DataFrame, by: str) -> DataFrame:
     return spark.table(name)
 
 
+@contextmanager
+def lists_by_hash(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is written meanwhile collects up to ``most`` lists a task by hashing; Spark's default sorts from 128 on, before and after a shuffle."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     if folder in _named:
         spark.sql(f"DROP TABLE IF EXISTS {_named.pop(folder)}")

@@ -29,8 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tissuemill.functions.storage import lists_by_hash
 from tissuemill.llm.common import SLICE_BYTES, bucketed, forget, materialise, packed_lists, unique_keys
-from tissuemill.llm.repeats import PLACES, anchored, merged, received, runs, shipped, slices, with_spans
+from tissuemill.llm.repeats import PLACES, anchored, listed, maximal, received, runs, shipped, slices, with_spans
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -47,6 +48,8 @@ SPREAD = 20_000
 #: Neighbouring symbols that a window is filed under.
 SHARED = 3
 NEVER = 1 << 40
+#: Lists that a task collects by hashing, some 30 MB with a few numbers each; more are sorted.
+LISTS = 1 << 16
 
 
 @lru_cache(maxsize=8)
@@ -131,24 +134,24 @@ def stretches(keyed: DataFrame, wanted: DataFrame, length: int, room: int) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, j, data, offsets in ((b, *part) for b in batches for part in received(b.column(1))):
+        for batch, (bounds, cells), i, j, data, offsets in ((b, lists, *part) for b in batches for lists in [listed(b.column(2))] for part in received(b.column(1))):
             found: dict[bytes, tuple[int, int, list[int], list[int]]] = {}
-            for k, (key, records) in enumerate(zip(batch.column(0)[i:j].to_pylist(), batch.column(2)[i:j].to_pylist(), strict=True)):
-                words = data[offsets[k] : offsets[k + 1]].tobytes().split()
-                records.sort(key=lambda r: r["pos"])
-                seen = 0
-                for b, e in merged([(r["pos"], r["pos"] + r["n"] + length - 1) for r in records]):
-                    end = seen
-                    while end < len(records) and records[end]["pos"] < e:
-                        end += 1
-                    h, count = min((r["h"], r["count"]) for r in records[seen:end])
-                    seen = end
-                    place = h + key % (1 + count // SPREAD)
-                    for x in range(b, max(b + 1, e - length + 1), room):
-                        y = min(e, x + room + length - 1)
-                        held = found.setdefault(b" ".join(words[x:y]), (place, y - x, [], []))
-                        held[2].append(key)
-                        held[3].append(x)
+            keys = batch.column(0)[i:j].to_numpy()
+            pos, n, h, count = (x[bounds[i] : bounds[j]] for x in cells)
+            order, heads, row, low, high = maximal(np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), pos, pos.astype(np.int64) + n + length - 1)
+            h, count = h[order], count[order]
+            least = np.minimum.reduceat(h, heads)
+            alike = np.where(h == np.repeat(least, np.diff(np.append(heads, len(h)))), count, 0)  # an anchor has one count
+            places = least + keys[row] % (1 + np.maximum.reduceat(alike, heads) // SPREAD)
+            last, words = -1, []
+            for k, key, b, e, place in zip(row.tolist(), keys[row].tolist(), low.tolist(), high.tolist(), places.tolist(), strict=True):
+                if k != last:
+                    last, words = k, data[offsets[k] : offsets[k + 1]].tobytes().split()
+                for x in range(b, max(b + 1, e - length + 1), room):
+                    y = min(e, x + room + length - 1)
+                    held = found.setdefault(b" ".join(words[x:y]), (place, y - x, [], []))
+                    held[2].append(key)
+                    held[3].append(x)
             if found:
                 place, size, doc, at = zip(*found.values(), strict=True)
                 lists = (pa.array(x, pa.list_(pa.int64())) for x in (doc, at))
@@ -511,11 +514,12 @@ def covered_spans(words: DataFrame, state: DataFrame, length: int) -> DataFrame:
 
 def removal_spans(keyed: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:
     """Spans (doc, b, e), in words, that windows found in a smaller document cover."""
-    wanted, found = sieved(keyed, length)
-    chunked = chunks(keyed, wanted, length, room)
-    forget(found)
-    words = words_named(chunked)
-    return covered_spans(words, rounds(words, turns), length)
+    with lists_by_hash(keyed.sparkSession, LISTS):
+        wanted, found = sieved(keyed, length)
+        chunked = chunks(keyed, wanted, length, room)
+        forget(found)
+        words = words_named(chunked)
+        return covered_spans(words, rounds(words, turns), length)
 
 
 def dedup(docs: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CHUNK) -> DataFrame:
@@ -531,11 +535,13 @@ def dedup(docs: DataFrame, length: int = 50, turns: int = ROUNDS, room: int = CH
     pure = keyed.select("_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, j, data, offsets in ((b, *part) for b in batches for part in received(b.column(1))):
+        for batch, (bounds, cells), i, j, data, offsets in ((b, lists, *part) for b in batches for lists in [listed(b.column(2))] for part in received(b.column(1))):
             total, removed, kept = [], [], []
-            for k, spans in enumerate(batch.column(2)[i:j].to_pylist()):
+            _, _, row, low, high = maximal(np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), *(x[bounds[i] : bounds[j]] for x in cells))
+            spans, cuts = list(zip(low.tolist(), high.tolist(), strict=True)), np.searchsorted(row, np.arange(j - i + 1)).tolist()
+            for k in range(j - i):
                 words = data[offsets[k] : offsets[k + 1]].tobytes().split()
-                found = merged([(s["b"], s["e"]) for s in spans or ()])
+                found = spans[cuts[k] : cuts[k + 1]]
                 total.append(len(words))
                 removed.append(sum(e - b for b, e in found))
                 edges = [0, *[x for r in found for x in r], len(words)]

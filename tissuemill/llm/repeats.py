@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +124,25 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def maximal(row: np.ndarray, b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``merged`` for the spans of many rows: order of the spans, where runs begin in it, and row, begin and end of each run."""
+    order = np.lexsort((b, row))
+    row, b, e = row[order], b[order].astype(np.int64), e[order].astype(np.int64)
+    if not len(row):
+        return order, order, row, b, e
+    shift = row.astype(np.int64) << 40  # no span of a row reaches the next row's
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (b + shift)[1:] > np.maximum.accumulate(e + shift)[:-1]
+    heads = np.flatnonzero(fresh)
+    return order, heads, row[heads], b[heads], np.maximum.reduceat(e, heads)
+
+
+def listed(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The n+1 bounds of a column's lists of structs, null lists empty, and the structs' fields."""
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    return bounds, [x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten()]
+
+
 def runs(hit: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last places of the runs of true neighbours of one group."""
     at = np.flatnonzero(hit)
