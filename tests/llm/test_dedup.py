@@ -185,6 +185,36 @@ def test_substring_dedup_leaves_the_session_as_it_is(spark, monkeypatch):
     assert seen == [str(recompression.LISTS)] * 2 and spark.conf.get(name) == before
 
 
+@pytest.fixture
+def two_rows_a_batch(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 2)
+    yield
+    spark.conf.set(name, before)
+
+
+def test_names_come_as_rows_whatever_batches_they_lie_in(spark, two_rows_a_batch):
+    """One number for all rows of a key that stands more than once, others have none; no list of a key's chunks is made."""
+    rng = random.Random(5)
+    rows = [(chunk, nth, key, rng.choice([1, 1, 2])) for chunk in range(6) for nth, key in enumerate(rng.sample([b"%d" % k for k in range(40)], 12))]
+    total = {}
+    for _, _, key, n in rows:
+        total[key] = total.get(key, 0) + n
+    names = recompression.named(spark.createDataFrame(rows, "chunk long, nth int, key binary, n long"), ["key"])
+    assert [kind for _, kind in names.dtypes] == ["bigint", "int", "bigint"]
+    got = {(r["chunk"], r["nth"]): r["id"] for r in names.collect()}
+    assert set(got) == {(c, n) for c, n, key, _ in rows if total[key] > 1}
+    pairs = {(key, got[c, n]) for c, n, key, _ in rows if (c, n) in got}
+    assert len(pairs) == len({key for key, _ in pairs}) == len({i for _, i in pairs}) and all(i > 0 for _, i in pairs)
+
+
+def test_substring_dedup_in_batches_of_two_rows_is_brute_force(spark, two_rows_a_batch):
+    rows = corpus(5)
+    got = recompression.dedup(h.frame(spark, rows), turns=1, room=200).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == h.window_dedup(rows)
+
+
 def test_substring_dedup_edges(spark):
     text = passage(random.Random(6), 70)
     got = recompression.dedup(h.frame(spark, [(2, text), (2, text), (None, text), (3, None), (4, " \t\n")])).collect()

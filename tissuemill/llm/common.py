@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegralType
 
 from tissuemill.functions.storage import bucketed, forget, materialise, shared_dir
 
-__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "lighter", "materialise", "packed", "packed_lists", "release", "shared_dir", "table", "text_buffer", "unique_keys"]
+__all__ = ["as_int64", "bucketed", "filtered", "forget", "groups_of_rows", "lighter", "materialise", "packed", "release", "shared_dir", "table", "text_buffer", "unique_keys"]
 
 #: Bytes of text that a task works on at once; numpy's temporaries are some ten times as large.
 SLICE_BYTES = 1 << 19
@@ -74,12 +74,6 @@ def unique_keys(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataF
     return keyed, lambda out: keyed.drop("text").join(out, "_key")
 
 
-def packed_lists(chunk: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """One row: a number and a list for each column."""
-    lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()]
-    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists], ["chunk", *columns])
-
-
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the n+1 offsets of its rows; nulls are empty."""
     if pa.types.is_large_string(column.type):
