@@ -198,3 +198,37 @@ def test_layout_settles_on_a_long_chain(spark, monkeypatch):
         assert abs(v[:, 0] @ v[:, 1]) < 1e-6 * np.linalg.norm(v[:, 0]) * np.linalg.norm(v[:, 1])
     with pytest.raises(RuntimeError, match="did not settle"):
         cluster.layout_2d(graph, 1e-6, rounds=2)
+
+
+def communities(spark, seed=5):
+    """Edges of two samples with planted groups, names of different length, some weights alike."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for s, n in (("a", 60), ("b", 20)):
+        i, j = np.triu_indices(n, 1)
+        held = rng.random(len(i)) < np.where(i % 6 == j % 6, 0.35, 0.03)
+        rows += [(s, int(x) * 7, int(y) * 7, float(w)) for x, y, w in zip(i[held], j[held], rng.integers(1, 5, held.sum()) / 8, strict=True)]
+    return spark.createDataFrame(rows, "sample_id string, src long, dst long, weight double")
+
+
+def test_louvain_in_tasks_equals_the_sweeps_over_tables(spark, monkeypatch):
+    edges = communities(spark)
+    alone = {"n": 0}
+    kept = cluster._settled_in_tasks
+
+    def counted(*args):
+        alone["n"] += 1
+        return kept(*args)
+
+    monkeypatch.setattr(cluster, "_settled_in_tasks", counted)
+    found = sorted(map(tuple, cluster.louvain(edges, 0.9).collect()))
+    assert alone["n"] == 1 and len({r[:2] for r in found}) > 70 and len({r[2] for r in found}) > 2
+    monkeypatch.setattr(cluster, "MOST_ROWS", 300)  # by tables first, from some level on in tasks
+    assert sorted(map(tuple, cluster.louvain(edges, 0.9).collect())) == found
+
+
+def test_hash_of_a_sweep_is_that_of_spark(spark):
+    names = spark.range(50).selectExpr("cast(id * 7919 AS string) AS node")
+    for number in (0, 7, 4999):
+        rows = names.select(F.xxhash64("node").alias("h"), F.xxhash64("node", F.lit(number)).alias("want")).toPandas()
+        assert cluster._int_hash(number, rows.h.to_numpy().view(np.uint64)).view(np.int64).tolist() == rows.want.tolist()

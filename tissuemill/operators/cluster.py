@@ -6,10 +6,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -355,20 +358,141 @@ def layout_of_all(sketch: DataFrame, layout: DataFrame, full: DataFrame, k: int
 # -- graph clusters ---------------------------------------------------------------------------------------------------
 
 
+#: Rows of a graph (both directions) that one task may hold: the sweeps of a sample up to that size run there.
+MOST_ROWS = 1 << 22
+
+
+def _int_hash(number: int, seeds: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of an int on top of other hashes."""
+    turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    p1, p2, p3, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    with np.errstate(over="ignore"):
+        x = (seeds + p5 + np.uint64(4)) ^ (np.uint64(number) * p1)
+        x = turn(x, 23) * p2 + p3
+        x = (x ^ (x >> np.uint64(33))) * p2
+        x = (x ^ (x >> np.uint64(29))) * p3
+    return x ^ (x >> np.uint64(32))
+
+
+def _sum_by(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of w by pairs of numbers below n, in order of a and b."""
+    key = a.astype(np.int64) * n + b
+    order = np.argsort(key, kind="stable")
+    key, w = key[order], w[order]
+    del order
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key = key[first]
+    return key // n, key % n, np.add.reduceat(w, first) if len(first) else w
+
+
+def _settle(a: np.ndarray, b: np.ndarray, w: np.ndarray, seeds: np.ndarray, resolution: float, sweeps: int, levels: Sequence[int]) -> np.ndarray | str:
+    """The community of each node of one graph, by the sweeps and levels of ``louvain``; a bound that was reached.
+
+    Rows are both directions of each edge. Nodes are numbers in the order of their names; a community has the number of one of its nodes.
+    """
+    n = len(seeds)
+    of = np.arange(n)
+    for level in levels:
+        nodes = np.flatnonzero(np.bincount(a, minlength=n))
+        d, m2 = np.bincount(a, w, n), w.sum()
+        apart = a != b
+        ea, eb, ew = a[apart], b[apart], w[apart]
+
+        def quality(c: np.ndarray) -> float:
+            mass = np.bincount(c[nodes], d[nodes], n)
+            return w[c[a] == c[b]].sum() / m2 - resolution * (mass * mass).sum() / m2 / m2
+
+        c = np.arange(n)
+        best, top, quiet = c, quality(c), 0
+        for sweep in range(sweeps):
+            mass = np.bincount(c[nodes], d[nodes], n)
+            i, to, near = _sum_by(np.concatenate([ea, nodes]), np.concatenate([c[eb], c[nodes]]), np.concatenate([ew, np.zeros(len(nodes))]), n)
+            stays = to == c[i]
+            gain = np.round(near - resolution * d[i] * (mass[to] - np.where(stays, d[i], 0.0)) / m2, 9)
+            order = np.lexsort((to, stays, gain, i))
+            last = order[np.flatnonzero(np.diff(i[order], append=n))]
+            new = c.copy()
+            new[i[last]] = to[last]
+            wish = int((new != c).sum())
+            awake = _int_hash(sweep + 100 * level, seeds) % np.uint64(2) == 0
+            c = np.where(awake, new, c)
+            q = quality(c)
+            quiet = 0 if q > top + 1e-7 else quiet + 1
+            if q > top:
+                best, top = c, q
+            if not (wish > 0 and quiet < 4):
+                break
+        else:
+            return f"louvain did not settle in {sweeps} sweeps"
+        if len(np.unique(best[nodes])) == len(nodes):
+            return of
+        of = best[of]
+        a, b, w = _sum_by(best[a], best[b], w, n)
+    return "louvain did not settle in its levels"
+
+
+def _settled_in_tasks(graph: DataFrame, resolution: float, sweeps: int, levels: Sequence[int]) -> DataFrame:
+    """(sample_id, _n, _c): the communities of the nodes of each sample's graph, written. A sample is one task's."""
+
+    def run(part: pa.Table) -> pa.Table:
+        import xxhash
+
+        ends = [part[x].combine_chunks() for x in ("a", "b")]
+        w, sample = part["weight"].to_numpy(), part["sample_id"][0].as_py()
+        del part
+        names = pa.concat_arrays([e.unique() for e in ends]).unique()
+        names = names.take(pc.sort_indices(names))
+        a, b = (pc.index_in(e, names).to_numpy() for e in ends)
+        del ends
+        seeds = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in names.to_pylist()], np.uint64)
+        apart = a != b
+        a, b, w = np.concatenate([a, b[apart]]), np.concatenate([b, a[apart]]), np.concatenate([w, w[apart]])
+        found = _settle(a, b, w, seeds, resolution, sweeps, levels)
+        if isinstance(found, str):
+            return pa.table([[sample], [None], [None], [found]], schema)
+        return pa.table([pa.repeat(sample, len(names)).cast("string"), names, names.take(pa.array(found)), pa.nulls(len(names), "string")], schema)
+
+    schema = pa.schema([(x, "string") for x in ("sample_id", "_n", "_c", "error")])
+    made = materialise(graph.where("a <= b").groupBy("sample_id").applyInArrow(run, "sample_id string, _n string, _c string, error string"))
+    error = made.agg(F.max("error")).first()[0]
+    if error:
+        raise RuntimeError(error)
+    return made.drop("error")
+
+
 def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None = None, sweeps: int = 200, levels: int = 50) -> DataFrame:
     """(sample_id, cell_id, cluster): modularity clusters of a weighted graph (src < dst), 0 being the largest.
 
     In a sweep every node weighs the communities of its neighbours by modularity gain; a half of the nodes, chosen by a
     hash, move at once. After the sweeps communities become nodes. Each sample ends its sweeps when no node would move or its
     modularity has not risen for four sweeps, its own best partition counts, and it is done when no nodes merge. At the
-    bounds of sweeps and levels this is an error. Labels, the best so far and what each sample has reached are tables in shared
+    bounds of sweeps and levels this is an error. Samples whose graph has up to ``MOST_ROWS`` rows, from the start or after
+    some levels, are finished each in a task, by the same sweeps. Of larger ones, labels, the best so far and what each sample has reached are tables in shared
     storage, of which a sweep leaves one each; the driver learns how many samples go on, and nothing else.
     """
     both = edges.select("sample_id", F.col("src").alias("a"), F.col("dst").alias("b"), "weight").union(edges.select("sample_id", "dst", "src", "weight"))
-    graph = materialise(both)
-    of = materialise(graph.select("sample_id", F.col("a").alias("cell_id"), F.col("a").cast("string").alias("node")).distinct())
-    graph = materialise(graph.select("sample_id", F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "weight"))
+    kind = dict(both.dtypes)["a"]
+    of, parts = None, []
+    graph = both.select("sample_id", F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "weight")
     for level in range(levels):
+        rows = materialise(graph.groupBy("sample_id").agg(F.count("*").alias("rows")))
+        few = rows.where(F.col("rows") <= MOST_ROWS).select("sample_id")
+        n_few, n_many = rows.agg(F.count_if(F.col("rows") <= MOST_ROWS), F.count_if(F.col("rows") > MOST_ROWS)).first()
+        if n_few:
+            ends = _settled_in_tasks(graph.join(few, "sample_id", "left_semi"), resolution, sweeps, range(level, levels))
+            if of is None:
+                parts.append(ends.select("sample_id", F.col("_n").cast(kind).alias("cell_id"), F.col("_c").alias("node")))
+            else:
+                at = ends.withColumnRenamed("_n", "node")
+                parts.append(of.join(at, ["sample_id", "node"]).select("sample_id", "cell_id", F.col("_c").alias("node")))
+                of = of.join(few, "sample_id", "left_anti")
+        if not n_many:
+            break
+        graph = graph.join(few, "sample_id", "left_anti")
+        if of is None:
+            graph = materialise(graph)
+            of = graph.select("sample_id", F.col("a").cast(kind).alias("cell_id"), F.col("a").alias("node")).distinct()
+        of = materialise(of)
         degree = graph.groupBy("sample_id", "a").agg(F.sum("weight").alias("d"))
         total = graph.groupBy("sample_id").agg(F.sum("weight").alias("m2"))
         label = materialise(degree.select("sample_id", F.col("a").alias("node"), F.col("a").alias("c"), "d"))
@@ -420,6 +544,10 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
         graph = materialise(graph.join(going, "sample_id", "left_semi").join(ma, ["sample_id", "a"]).join(mb, ["sample_id", "b"]).groupBy("sample_id", F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("weight").alias("weight")))
     else:
         raise RuntimeError(f"louvain did not settle in {levels} levels")
+    for part in parts:
+        of = part if of is None else of.unionByName(part)
+    if of is None:  # no edges
+        of = both.select("sample_id", F.col("a").alias("cell_id"), F.col("a").cast("string").alias("node"))
     if cells is not None:  # cells without an edge are clusters of their own
         of = cells.select(*CELL).join(of, CELL, "left").select(*CELL, F.coalesce("node", F.concat(F.lit("alone "), F.col("cell_id").cast("string"))).alias("node"))
     sizes = of.groupBy("sample_id", "node").agg(F.count("*").alias("n"), F.min("cell_id").alias("least"))
@@ -430,11 +558,9 @@ def louvain(edges: DataFrame, resolution: float = 1.0, cells: DataFrame | None =
 def clusters(edges: DataFrame, resolutions: Sequence[float] = RESOLUTIONS, cells: DataFrame | None = None) -> DataFrame:
     """(sample_id, cell_id, resolution, cluster) at several resolutions, from the same edges."""
     edges = materialise(edges)
-    out = None
-    for r in resolutions:
-        one = louvain(edges, r, cells).select(*CELL, F.lit(float(r)).alias("resolution"), "cluster")
-        out = one if out is None else out.unionByName(one)
-    return out
+    one = lambda r: louvain(edges, r, cells).select(*CELL, F.lit(float(r)).alias("resolution"), "cluster")
+    with ThreadPoolExecutor(len(resolutions)) as pool:  # at once: a resolution's sweeps leave cores idle
+        return reduce(DataFrame.unionByName, pool.map(one, resolutions))
 
 
 # -- map --------------------------------------------------------------------------------------------------------------
