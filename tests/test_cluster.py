@@ -232,3 +232,18 @@ def test_hash_of_a_sweep_is_that_of_spark(spark):
     for number in (0, 7, 4999):
         rows = names.select(F.xxhash64("node").alias("h"), F.xxhash64("node", F.lit(number)).alias("want")).toPandas()
         assert cluster._int_hash(number, rows.h.to_numpy().view(np.uint64)).view(np.int64).tolist() == rows.want.tolist()
+
+
+def test_neighbours_in_many_parts_are_met_in_place(spark, monkeypatch):
+    """Exact, ties by id, ids of text; no query is shuffled."""
+    points, df = cloud(spark, 400, 16)
+    kept = cluster.by_sample
+    monkeypatch.setattr(cluster, "by_sample", lambda rows: kept(rows, 1 << 14))  # several row groups
+    plan = cluster.knn(df, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    for name in (lambda c: c, lambda c: F.format_string("c%06d", c)):
+        got = {}
+        for r in cluster.knn(df.withColumn("cell_id", name(F.col("cell_id"))), 7).collect():
+            got.setdefault(r["sample_id"], set()).add(tuple(int(str(r[c]).lstrip("c0") or 0) for c in ("cell_id", "rank", "neighbour_id")))
+        for s, x in points.items():
+            assert got[s] == brute_near(x, x, 7)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -46,13 +48,51 @@ def _folder(spark: SparkSession) -> str:
     return path
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: cuts the lineage, survives lost executors."""
+def materialise(df: DataFrame, **options) -> DataFrame:
+    """Write ``df`` to shared storage and read it back: cuts the lineage, survives lost executors. ``options`` are the writer's."""
     path, schema = _folder(df.sparkSession), df.schema
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+class SampleRows:
+    """Rows of a written table by sample, read in a task straight from shared storage, a row group at a time.
+
+    ``by_sample`` writes such tables. Arrow opens the files, so shared storage must be one that it knows (a mounted folder, HDFS, S3, GCS).
+    """
+
+    def __init__(self, files: Sequence[str], columns: Sequence[str]):
+        self.files, self.columns = files, list(columns)
+        self.groups: list[tuple] = []
+
+    def _open(self, uri: str, metadata=None):
+        from pyarrow import fs, parquet
+
+        store, path = fs.FileSystem.from_uri(uri)
+        return parquet.ParquetFile(path, filesystem=store, metadata=metadata)
+
+    def of(self, sample: str) -> Iterator[pa.Table]:
+        if not self.groups:
+            for uri in self.files:
+                meta = self._open(uri).metadata
+                at = meta.schema.names.index("sample_id")
+                for i in range(meta.num_row_groups):
+                    stats = meta.row_group(i).column(at).statistics
+                    self.groups.append((uri, meta, i, *((stats.min, stats.max) if stats is not None and stats.has_min_max else (None, None))))
+        for uri, meta, i, low, high in self.groups:
+            if low is None or low <= sample <= high:
+                rows = self._open(uri, meta).read_row_group(i, columns=["sample_id", *self.columns], use_threads=False)
+                if low is None or low < high:
+                    rows = rows.filter(pc.equal(rows["sample_id"], sample))
+                if len(rows):
+                    yield rows.select(self.columns)
+
+
+def by_sample(df: DataFrame, group_bytes: int = 1 << 20) -> DataFrame:
+    """``materialise`` for ``SampleRows``: rows of a task in order of samples, in small row groups, of which a sample has few beside its own."""
+    return materialise(df.sortWithinPartitions("sample_id"), **{"parquet.block.size": group_bytes, "compression": "zstd"})
+
+
 def bucketed(df: DataFrame, by: str) -> DataFrame:
     """Like ``materialise``, in buckets of ``by``: joins on it shuffle the other side alone. ``forget`` drops the table."""
     spark, name = df.sparkSession, f"tissuemill_{uuid.uuid4().hex}"

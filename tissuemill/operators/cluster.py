@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tissuemill.functions.quantiles import quantiles
 from tissuemill.functions.scalar import let
 from tissuemill.functions.selection import first_rows
-from tissuemill.functions.storage import forget, materialise
+from tissuemill.functions.storage import SampleRows, by_sample, forget, materialise
 from tissuemill.operators.report import density
 
 CELL = ["sample_id", "cell_id"]
@@ -216,13 +216,96 @@ def nearest(queries: DataFrame, data: DataFrame, k: int, block: int = 2000, vect
     Data lie in blocks round pivots (``partitioned``). A query cell first meets a block of its nearest pivot, which bounds the distance of its k-th
     neighbour. A block farther off than that is skipped: every cell of block j is at least d(q, p_j) - r_j away, and at least
     (d(q, p_j)^2 - d(q, p_i)^2) / 2 d(p_i, p_j) if p_i is the cell's nearest pivot. The cell is sent to the others only, and the best k
-    of all are merged. Ties go to the smaller id.
+    of all are merged. Ties go to the smaller id. Vectors of more than ``FEW_PARTS`` are met in place (``_in_place``).
     """
-    cells, blocks = partitioned(data, block, vector)
-    first, more = _sent(queries, blocks, cells, k, block, vector)
+    held = by_sample(data.select(*CELL, F.col(vector).alias("p")))
+    asking = held if queries is data else queries.select(*CELL, F.col(vector).alias("p"))
+    one = held.select(F.size("p")).first()
+    if one and one[0] > FEW_PARTS:
+        return _in_place(asking, held, k)
+    cells, blocks = partitioned(held, block, "p")
+    first, more = _sent(asking, blocks, cells, k, block, "p")
     return _merged(first.unionByName(more), k)
 
 
+#: In vectors of more parts hardly a block is farther off than the k-th neighbour, and a query would be sent to nearly all.
+FEW_PARTS = 12
+
+
+class _Nearest:
+    """The k nearest so far of rows x, equal ones by id, while rows of data come along; exact distances."""
+
+    def __init__(self, x: np.ndarray, k: int):
+        self.x, self.k, self.own = x, k, (x * x).sum(axis=1)
+        self.dist, self.ids = np.full((len(x), k), np.inf), None
+
+    def meet(self, y: np.ndarray, ids: np.ndarray, rows: int = 256) -> None:
+        if self.ids is None:
+            self.ids = np.full(self.dist.shape, ids[0], ids.dtype)
+        far = self.dist[:, -1]
+        if np.isinf(far).any():
+            order = np.argsort(ids, kind="stable")
+            i, j, dist = _top(self.x, y[order], self.k)
+            self._merge(i, ids[order][j], dist)
+            return
+        sizes, found = (y * y).sum(axis=1), []
+        limit = far * far + 1e-9 * (self.own + sizes.max()) - self.own  # off by rounding: all that may be nearer are measured anew
+        turned = -2 * y.T
+        for at in range(0, len(self.x), rows):
+            square = self.x[at : at + rows] @ turned
+            square += sizes
+            i, j = np.divmod(np.flatnonzero(square <= limit[at : at + rows, None]), len(y))
+            i += at
+            dist = np.sqrt(((self.x[i] - y[j]) ** 2).sum(axis=1))
+            near = dist <= far[i]
+            found.append((i[near], j[near], dist[near]))
+        i, j, dist = (np.concatenate(c) for c in zip(*found, strict=True))
+        if len(i):
+            self._merge(i, ids[j], dist)
+
+    def _merge(self, i: np.ndarray, ids: np.ndarray, dist: np.ndarray) -> None:
+        changed = np.unique(i)
+        i, ids, dist = np.concatenate([np.repeat(changed, self.k), i]), np.concatenate([self.ids[changed].ravel(), ids]), np.concatenate([self.dist[changed].ravel(), dist])
+        order = np.lexsort((np.unique(ids, return_inverse=True)[1] if ids.dtype == object else ids, dist, i))
+        i = i[order]
+        order = order[np.arange(len(i)) - np.searchsorted(i, i) < self.k]
+        self.ids[changed], self.dist[changed] = ids[order].reshape(-1, self.k), dist[order].reshape(-1, self.k)
+
+
+def _matrix(lists: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Each sample's part of each batch."""
+    for batch in batches:
+        for sample in pc.unique(batch["sample_id"]).drop_null().to_pylist():
+            yield sample, batch.filter(pc.equal(batch["sample_id"], sample))
+
+
+def _in_place(queries: DataFrame, held: DataFrame, k: int) -> DataFrame:
+    """``nearest`` where queries stay: a task takes its batches over all cells of the sample, which it reads row group by row group.
+
+    Nothing is shuffled or written but the cells (``held``, by ``by_sample``), and a task holds a batch and a row group. The work is quadratic in the sample.
+    """
+    files, kind = held.inputFiles(), dict(queries.dtypes)["cell_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = SampleRows(files, ["cell_id", "p"])
+        for sample, part in _samples(batches):
+            near = _Nearest(_matrix(part["p"]), k)
+            for rows in cells.of(sample):
+                near.meet(_matrix(rows["p"]), rows["cell_id"].to_numpy())
+            i, rank = np.nonzero(np.isfinite(near.dist))
+            if len(i):
+                own = part["cell_id"]
+                columns = [pa.repeat(sample, len(i)), own.take(pa.array(i)), pa.array(near.ids[i, rank], own.type), pa.array((rank + 1).astype(np.int32)), pa.array(near.dist[i, rank])]
+                yield pa.RecordBatch.from_arrays(columns, ["sample_id", "cell_id", "neighbour_id", "rank", "dist"])
+
+    return queries.mapInArrow(run, f"sample_id string, cell_id {kind}, neighbour_id {kind}, rank int, dist double")
+
+
 def _merged(found: DataFrame, k: int) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy(*CELL).orderBy("dist", "neighbour_id"))
     return found.withColumn("rank", nth).where(F.col("rank") <= k).select(*CELL, "neighbour_id", "rank", "dist")
