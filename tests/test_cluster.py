@@ -247,3 +247,32 @@ def test_neighbours_in_many_parts_are_met_in_place(spark, monkeypatch):
             got.setdefault(r["sample_id"], set()).add(tuple(int(str(r[c]).lstrip("c0") or 0) for c in ("cell_id", "rank", "neighbour_id")))
         for s, x in points.items():
             assert got[s] == brute_near(x, x, 7)
+
+
+def test_shared_neighbours_are_counted_in_place(spark):
+    """Against brute force, with a cell that is everyone's neighbour and cells of equal sets; pairs are not shuffled."""
+    rng = np.random.default_rng(11)
+    for kind, name in (("long", int), ("string", lambda i: f"c{i:04d}")):
+        sets = {(s, i): {0} | set(rng.choice(np.arange(1, n), 7, replace=False).tolist()) if i % 5 else set(range(8)) for s, n in (("a", 90), ("b", 30)) for i in range(n)}
+        rows = [(s, name(i), name(x), r + 1, 1.0) for (s, i), held in sets.items() for r, x in enumerate(sorted(held))]
+        near = spark.createDataFrame(rows, f"sample_id string, cell_id {kind}, neighbour_id {kind}, rank int, dist double")
+        edges = cluster.snn(near, 8, 1 / 4)
+        plan = edges._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        want = {}
+        for (s, i), held in sets.items():
+            for (t, j), other in sets.items():
+                common = len(held & other)
+                if s == t and i < j and common / (16 - common) >= 1 / 4:
+                    want[s, name(i), name(j)] = common / (16 - common)
+        got = [tuple(r) for r in edges.collect()]
+        assert len(got) == len(want) and {r[:3]: r[3] for r in got} == want
+
+
+def test_pairs_of_one_common_neighbour_come_in_bounded_parts():
+    n = 300
+    row, key = np.repeat(np.arange(n), 2), np.tile([5, 9], n)
+    sets = cluster._Sets(row, key, n, 2)
+    parts = list(sets.shared(row, key, lambda i, j: i < j, 5000))
+    assert len(parts) > 10 and max(len(i) for i, _, _ in parts) <= 5000
+    assert sum(len(i) for i, _, _ in parts) == n * (n - 1) // 2 and all((s == 2).all() for _, _, s in parts)

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -382,20 +382,99 @@ def snn(neighbours: DataFrame, k: int = 20, prune: float = 1 / 15) -> DataFrame:
     """(sample_id, src, dst, weight), src < dst: shared neighbours s as s / (2k - s), from ``prune`` on.
 
     A pair must share at least m neighbours, so it shares one of the first k-m+1 of both, rarest first: only those are
-    joined, and the cells that are neighbours of very many drop out of the join key. The count is verified on whole sets.
+    looked up, and the cells that are neighbours of very many drop out of them. The count is verified on whole sets. Pairs
+    are made where they are counted: a task takes a batch of sets over all sets of the sample, read from shared storage a row group at a time.
     """
     m = max(1, int(np.ceil(2 * k * prune / (1 + prune) - 1e-9)))
-    neighbours = materialise(neighbours)  # read twice
-    popular = neighbours.groupBy("sample_id", "neighbour_id").agg(F.count("*").alias("c"))
-    lists = neighbours.join(popular, ["sample_id", "neighbour_id"]).groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("c", "neighbour_id"))).alias("a"))
-    lists = materialise(lists.select(*CELL, F.transform("a", lambda x: x["neighbour_id"]).alias("set")))
-    front = lists.select("sample_id", F.col("cell_id").alias("id"), F.explode(F.slice("set", 1, k - m + 1)).alias("key"))
-    a, b = front.withColumnRenamed("id", "src"), front.withColumnRenamed("id", "dst")
-    pairs = a.join(b, ["sample_id", "key"]).where("src < dst").select("sample_id", "src", "dst").distinct()
-    sets = lambda name, out: lists.select("sample_id", F.col("cell_id").alias(name), F.col("set").alias(out))
-    both = pairs.join(sets("src", "s1"), ["sample_id", "src"]).join(sets("dst", "s2"), ["sample_id", "dst"])
-    shared = both.withColumn("s", F.size(F.array_intersect("s1", "s2")))
-    return shared.withColumn("weight", F.col("s") / (2 * k - F.col("s"))).where((F.col("weight") >= prune) & (F.col("s") > 0)).select("sample_id", "src", "dst", "weight")
+    kind = dict(neighbours.dtypes)["neighbour_id"]
+    lists = materialise(neighbours.groupBy(*CELL).agg(F.collect_list("neighbour_id").alias("set")))
+    popular = by_sample(lists.select("sample_id", F.explode("set").alias("id")).groupBy("sample_id", "id").agg(F.count("*").alias("c")))
+    common = popular.inputFiles()
+
+    def rarest_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted = SampleRows(common, ["id", "c"])
+        for sample, part in _samples(batches):
+            row, key = _flat(part["set"])
+            names, code = np.unique(key, return_inverse=True)
+            c = np.zeros(len(names), np.int64)
+            for rows in counted.of(sample):
+                at = _places(names, rows["id"].to_numpy())
+                c[at[at >= 0]] = rows["c"].to_numpy()[at >= 0]
+            order = np.lexsort((code, c[code], row))
+            sets = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32)), pa.array(key[order], part["set"].type.value_type))
+            yield pa.RecordBatch.from_arrays([part["sample_id"], part["cell_id"], sets], ["sample_id", "cell_id", "set"])
+
+    sets = by_sample(lists.select(*CELL, "set").mapInArrow(rarest_first, lists.select(*CELL, "set").schema))
+    forget(lists, popular)
+    files, cell = sets.inputFiles(), dict(sets.dtypes)["cell_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = SampleRows(files, ["cell_id", "set"])
+        for sample, part in _samples(batches):
+            ids, held = part["cell_id"].to_numpy(zero_copy_only=False), _Sets(*_flat(part["set"]), len(part), k - m + 1)
+            for rows in others.of(sample):
+                theirs = rows["cell_id"].to_numpy()
+                for i, j, s in held.shared(*_flat(rows["set"]), lambda i, j, theirs=theirs: ids[i] < theirs[j]):
+                    weight = s / (2 * k - s)
+                    on = (weight >= prune) & (s > 0)
+                    if on.any():
+                        columns = [pa.repeat(sample, on.sum()), part["cell_id"].take(pa.array(i[on])), pa.array(theirs[j[on]], part["cell_id"].type), pa.array(weight[on])]
+                        yield pa.RecordBatch.from_arrays(columns, ["sample_id", "src", "dst", "weight"])
+
+    return sets.mapInArrow(run, f"sample_id string, src {cell}, dst {cell}, weight double")
+
+
+def _flat(lists: pa.ListArray | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The row and the value of each element of lists."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _places(names: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where keys are in sorted names, -1 for others."""
+    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+    return np.where(names[at] == keys, at, -1)
+
+
+class _Sets:
+    """Sets (row and key of each element, in the sets' own order), found by their first ``front`` keys."""
+
+    def __init__(self, row: np.ndarray, key: np.ndarray, n: int, front: int):
+        self.front, self.names = front, np.unique(key)
+        code = _places(self.names, key)
+        self.codes, first = self._laid(row, code, n, -2)
+        order = np.argsort(code[first], kind="stable")
+        self.rows, self.starts = row[first][order], np.searchsorted(code[first][order], np.arange(len(self.names) + 1))
+
+    def _laid(self, row: np.ndarray, code: np.ndarray, n: int, none: int) -> tuple[np.ndarray, np.ndarray]:
+        """A column of codes for each set, and which elements are in front."""
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        out = np.full((place.max(initial=0) + 1, n), none, np.int32)
+        out[place, row] = code
+        return out, place < self.front
+
+    def shared(self, row: np.ndarray, key: np.ndarray, wanted: Callable, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, number of common keys) of own sets i and others j that are ``wanted`` and have a common key in front."""
+        n = row[-1] + 1 if len(row) else 0
+        code = _places(self.names, key)
+        theirs, first = self._laid(row, code, n, -1)
+        first &= code >= 0
+        j, code = row[first], code[first]
+        hits = self.starts[code + 1] - self.starts[code]
+        ends = np.cumsum(np.bincount(j, hits, n)).astype(np.int64)
+        low = 0
+        while low < n:  # up to ``most`` pairs, or one set's
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, "right")))
+            at = slice(*np.searchsorted(j, [low, high]))
+            number, begin = hits[at], self.starts[code[at]]
+            a = self.rows[np.repeat(begin - (np.cumsum(number) - number), number) + np.arange(number.sum())]
+            b = np.repeat(j[at], number)
+            on = wanted(a, b)
+            pair = np.unique(a[on] * n + b[on])
+            a, b = np.divmod(pair, n)
+            mine, other = self.codes[:, a], theirs[:, b]
+            yield a, b, sum(((mine == x).any(axis=0).astype(np.int64) for x in other), np.zeros(len(a), np.int64))
+            low = high
 
 
 def _weighted(near: DataFrame) -> DataFrame:
