@@ -276,3 +276,8 @@ def test_pairs_of_one_common_neighbour_come_in_bounded_parts():
     parts = list(sets.shared(row, key, lambda i, j: i < j, 5000))
     assert len(parts) > 10 and max(len(i) for i, _, _ in parts) <= 5000
     assert sum(len(i) for i, _, _ in parts) == n * (n - 1) // 2 and all((s == 2).all() for _, _, s in parts)
+
+
+def test_fuzzy_graph_of_features_shuffles_lists_and_pairs_only(spark):
+    plan = entry.queries()["c8_fuzzy_features"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
